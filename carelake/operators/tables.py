@@ -194,6 +194,9 @@ def publish(df: DataFrame, name: str, base_path: str, comment: str | None = None
     if spark.catalog.tableExists(name):
         spark.sql(f"DROP TABLE {qname(name)}")  # external table: drops the entry, keeps files
     spark.sql(f"CREATE TABLE {qname(name)} USING parquet LOCATION '{version}'")
+    if partition_by:
+        # The folder layout makes it a partitioned table; register its partitions.
+        spark.sql(f"ALTER TABLE {qname(name)} RECOVER PARTITIONS")
     if comment:
         spark.sql(f"COMMENT ON TABLE {qname(name)} IS '{comment.replace(chr(39), chr(39) * 2)}'")
     return spark.table(name)

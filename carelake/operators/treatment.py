@@ -67,7 +67,7 @@ def scale_features(df: DataFrame, features: list[str], extra: list[str] | None =
     return asm2.transform(scaled)
 
 
-def vector_columns(df: DataFrame, vector: str, names: list[str], digits: int | None = 6) -> list:
+def vector_columns(vector: str, names: list[str], digits: int | None = 6) -> list:
     arr = vector_to_array(vector)
     return [(F.round(arr[i], digits) if digits is not None else arr[i]).alias(n) for i, n in enumerate(names)]
 
@@ -112,6 +112,17 @@ def tune_forest(train: DataFrame, label: str, features: str = "all_features", gr
     return tvs.fit(train)
 
 
+def scoring_model(model):
+    """The model to score with: the best forest without its training summary.
+
+    A fitted forest keeps a training summary that holds the session; once the
+    session has used an ``Observation`` (row counters on writes) that session
+    can no longer be serialised into tasks. ``copy()`` drops the summary.
+    """
+    best = model.bestModel if isinstance(model, TrainValidationSplitModel) else model
+    return best.copy()
+
+
 def grid_table(spark: SparkSession, model: TrainValidationSplitModel) -> DataFrame:
     """One row per parameter set: ``(bootstrap, max_depth, num_trees, auc, is_best)``."""
     rows = []
@@ -126,7 +137,7 @@ def grid_table(spark: SparkSession, model: TrainValidationSplitModel) -> DataFra
 
 def predictions_table(model, df: DataFrame, key: list[str], label: str) -> DataFrame:
     """``key…, label, prediction, probability_1`` — no vectors, no collect."""
-    pred = model.transform(df)
+    pred = scoring_model(model).transform(df)
     return pred.select(*key, label, "prediction",
                        vector_to_array("probability")[1].alias("probability_1"))
 
@@ -135,6 +146,7 @@ def metrics_table(spark: SparkSession, model, label: str, **splits: DataFrame) -
     """Area under ROC and ``1 - auc`` per named split: ``(split, auc, error)``.
     (The notebook printed this number as "accuracy"; it is the area under ROC.)"""
     ev = evaluator(label)
+    model = scoring_model(model)
     rows = []
     for name, df in splits.items():
         auc = ev.evaluate(model.transform(df), {ev.metricName: "areaUnderROC"})

@@ -88,7 +88,7 @@ _BRANDS = f"""(SELECT p_brand AS Drug, CAST(count(*) AS BIGINT) AS Frequency
  FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_brand HAVING count(*) >= {MIN_NOTES})"""
 
 _DUCK_TO_SPARK = """CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
-  WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp'
+  WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
   ELSE lower(column_type) END"""
 
 _CUSTOMER_PLUS_PARTIAL = """SELECT * FROM customer UNION ALL

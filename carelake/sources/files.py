@@ -42,7 +42,7 @@ def scan_notes(spark: SparkSession, path: str) -> DataFrame:
     pair RDD is needed. Partition folders in the path (``note_id=3/``) come back
     as columns.
     """
-    return (spark.read.option("wholetext", "true").text(path)
+    return (spark.read.text(path, wholetext=True)
             .select(F.col("_metadata.file_path").alias("path"), F.col("*"))
             .withColumnRenamed("value", "text"))
 
