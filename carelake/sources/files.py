@@ -40,7 +40,8 @@ def scan_notes(spark: SparkSession, path: str) -> DataFrame:
 
     Each file is one task input, so notes are read in parallel; no driver-side
     pair RDD is needed. Partition folders in the path (``note_id=3/``) come back
-    as columns.
+    as columns. Zero-length files are skipped by the file scan, so an empty note
+    has no row (it has no entities either).
     """
     return (spark.read.text(path, wholetext=True)
             .select(F.col("_metadata.file_path").alias("path"), F.col("*"))
@@ -68,7 +69,8 @@ def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """Folder listing as a DataFrame ``(path, modificationTime, length)``.
 
     The binary-file source lists files in parallel; the content column is pruned,
-    so no file body is read.
+    so no file body is read. Like every Spark file scan it skips zero-length
+    files (table data files are never empty).
     """
     return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
             .option("recursiveFileLookup", "true").load(path)
