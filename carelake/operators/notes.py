@@ -66,28 +66,47 @@ def entity_spans(notes: DataFrame, lexicon: DataFrame, key: str = "doc_id", text
                        F.col("pos").alias("start"), (F.col("pos") + 1).alias("end"))
 
 
-def note_entities(spans: DataFrame, key: str = "doc_id") -> DataFrame:
+def note_entities(spans: DataFrame, key: str = "doc_id", labels: list[str] | None = ENTITY_CLASSES) -> DataFrame:
     """One row per (note, chunk): the label of the chunk's last mention (a later
     mention overwrites an earlier one) and the token position of its first.
 
-    ``max_by``/``min`` are partial aggregates, so a chunk repeated many times in a
-    huge note is combined map-side before the shuffle.
+    With a closed label set (``labels``, default the seven classes), the label
+    travels as its small integer code, so every aggregation buffer is fixed
+    width and Spark runs a hash aggregate with map-side partial results (a
+    chunk repeated many times in a huge note is combined before the shuffle).
+    ``labels=None`` accepts any label text (sort-based aggregation).
     """
-    return (spans.groupBy(key, "chunk")
-            .agg(F.max_by("entity", "start").alias("entity"), F.min("start").alias("first_start")))
+    if labels is None:
+        return (spans.groupBy(key, "chunk")
+                .agg(F.max_by("entity", "start").alias("entity"), F.min("start").alias("first_start")))
+    codes = F.array(*[F.lit(x) for x in labels])
+    pos = F.array_position(codes, F.col("entity")).cast("int")
+    code = F.when(pos > 0, pos).otherwise(F.raise_error(F.concat(
+        F.lit("entity label outside the declared label set: "), F.coalesce(F.col("entity"), F.lit("NULL")),
+        F.lit(" (pass labels=None)"))))
+    coded = spans.select(key, "chunk", "start", code.cast("int").alias("code"))
+    out = (coded.groupBy(key, "chunk")
+           .agg(F.max_by("code", "start").alias("code"), F.min("start").alias("first_start")))
+    return out.select(key, "chunk", F.element_at(codes, F.col("code")).alias("entity"), "first_start")
 
 
 def entity_doc_freq(entities: DataFrame, key: str = "doc_id", entity: str = "DRUG",
                     min_notes: int = 6, name: str = "Drug", count_name: str = "Frequency") -> DataFrame:
     """Number of notes that mention each chunk of one class, kept when at least
     ``min_notes``; sorted by that number descending, ties by first appearance
-    (note order, then position in the note)."""
+    (note order, then position in the note).
+
+    ``(note, chunk)`` is unique here, so the first appearance is the note with
+    the smallest key and the position in it: ``min`` and ``min_by`` over
+    fixed-width values, which keeps the aggregation hash based.
+    """
     return (entities.where(F.col("entity") == entity)
             .groupBy("chunk")
             .agg(F.count(F.lit(1)).alias(count_name),
-                 F.min(F.struct(F.col(key), F.col("first_start"))).alias("__first"))
+                 F.min(key).alias("__first_note"),
+                 F.min_by("first_start", key).alias("__first_start"))
             .where(F.col(count_name) >= min_notes)
-            .orderBy(F.desc(count_name), F.col("__first"))
+            .orderBy(F.desc(count_name), "__first_note", "__first_start")
             .select(F.col("chunk").alias(name), F.col(count_name)))
 
 

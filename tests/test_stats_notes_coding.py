@@ -74,6 +74,12 @@ def test_note_entities_last_label_and_doc_freq(spark):
     assert ne == {(1, "aspirin"): ("DRUG", 0), (2, "heparin"): ("FORM", 0)}
     freq = notes.entity_doc_freq(notes.note_entities(spans), min_notes=1).collect()
     assert [(r.Drug, r.Frequency) for r in freq] == [("aspirin", 1)]
+    free = {(r.doc_id, r.chunk): r.entity for r in notes.note_entities(spans, labels=None).collect()}
+    assert free == {k: v[0] for k, v in ne.items()}
+    odd = spans.union(spark.createDataFrame([(3, "x", "GENE", 0, 1)], spans.schema))
+    with pytest.raises(Exception, match="label set"):
+        notes.note_entities(odd).collect()
+    assert notes.note_entities(odd, labels=None).where("entity = 'GENE'").count() == 1
 
 
 def test_doc_freq_threshold_and_tie_order(spark):
