@@ -1,10 +1,18 @@
 """Joins of a large table with a side that is usually small.
 
-``join_small`` broadcasts the small side only after proving its size: it counts
-at most ``max_rows + 1`` rows of it (the scan stops early). When the bound
-does not hold, the join is a shuffle join in which the large side is salted, so
-that one hot key (say a third of all rows) is spread over ``salt`` tasks
-instead of landing in one.
+``join_small`` broadcasts the small side only after proving its size.
+
+* ``check="count"``: it counts at most ``max_rows + 1`` rows of the small side
+  (the scan stops early). Meant for small sides that are cheap to evaluate. When
+  the bound does not hold, the join is a shuffle join in which the large side is
+  salted, so that one hot key (say a third of all rows) is spread over ``salt``
+  tasks instead of landing in one.
+* ``check="runtime"``: for small sides that are expensive to evaluate (an
+  aggregate over a large table), counting first would run them twice. The join
+  is planned as a shuffle join; adaptive execution measures the materialised
+  small side and turns the join into a broadcast join only when it is under
+  ``spark.sql.adaptive.autoBroadcastJoinThreshold``; otherwise skewed
+  partitions of the large side are split by the adaptive skew-join rule.
 """
 
 from __future__ import annotations
@@ -22,13 +30,16 @@ def fits(df: DataFrame, max_rows: int) -> bool:
 
 
 def join_small(big: DataFrame, small: DataFrame, on: list[str] | str, how: str = "inner",
-               max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, salt: int = DEFAULT_SALT) -> DataFrame:
+               max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, salt: int = DEFAULT_SALT,
+               check: str = "count") -> DataFrame:
     """Equi-join ``big`` with ``small`` on column names ``on``.
 
     ``how`` is one of inner, left, left_semi, left_anti (the small side is never
     the preserved side, so replicating it over salts keeps the result exact).
     """
     on = [on] if isinstance(on, str) else list(on)
+    if check == "runtime":
+        return big.join(small, on, how)
     if fits(small, max_rows):
         return big.join(F.broadcast(small), on, how)
     if salt <= 1:

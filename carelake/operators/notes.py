@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelake.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, join_small
+from carelake.operators.parallel import spread
 
 # The seven entity classes of the clinical tagger, in its order.
 ENTITY_CLASSES = ["DRUG", "DOSAGE", "STRENGTH", "ROUTE", "FREQUENCY", "DURATION", "FORM"]
@@ -59,7 +60,7 @@ def entity_spans(notes: DataFrame, lexicon: DataFrame, key: str = "doc_id", text
     The lexicon is broadcast when its size is proven small; otherwise the join is
     a salted shuffle join, so a very common term does not end up in one task.
     """
-    toks = tokens(notes, key, text)
+    toks = tokens(spread(notes.select(key, text)), key, text)
     lex = lexicon.select(F.col("term").alias("token"), "entity")
     hits = join_small(toks, lex, "token", "inner", max_rows=max_broadcast_rows)
     return hits.select(key, F.col("token").alias("chunk"), "entity",
@@ -135,7 +136,7 @@ def extract_with_model(notes: DataFrame, load_model: Callable[[], Extractor], ke
             yield pd.DataFrame(rows, columns=[key, "chunk", "entity", "start", "end"]).astype(
                 {"start": "int32", "end": "int32"})
 
-    return notes.select(key, text).mapInPandas(run, schema)
+    return spread(notes.select(key, text)).mapInPandas(run, schema)
 
 
 class LexiconModel:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from carelake.functions.columns import exact_sum, lenient_cast, month_of, rounded
 from carelake.operators import coding, notes, quality, stats, tables as tbl, treatment
+from carelake.operators.parallel import cache_for_iterations
 from carelake.plans import medallion
 from carelake.plans.tables import (CONCEPTS_PER_RESPONSE, CUSTOMER_SCHEMA, GOLD_YEAR, LAB_FEATURES,
                                    MIN_NOTES, ORDERS_SCHEMA, TOP_K, brand_frequency, concept_table,
@@ -191,11 +192,14 @@ def _fitted(spark, sf_dir):
     k = (id(spark), sf_dir)
     if k not in _models:
         data = _scaled(spark, sf_dir).select("l_orderkey", "l_linenumber", "all_features", "TREATMENT")
+        data = cache_for_iterations(data)
         train, test = treatment.random_split(data)
         model = treatment.tune_forest(train, "TREATMENT", grid_kwargs=QUERY_GRID)
+        for *_, cached in _models.values():
+            cached.unpersist()
         _models.clear()
-        _models[k] = (model, train, test)
-    return _models[k]
+        _models[k] = (model, train, test, data)
+    return _models[k][:3]
 
 
 def q_rf_grid(spark, sf_dir):

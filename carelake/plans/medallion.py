@@ -87,7 +87,10 @@ def run_medallion(spark: SparkSession, landing_dir: str, out_dir: str, year: int
     _point(spark, f"{db}.bronze", bronze_dir, BRONZE_COMMENT)
 
     checked, obs = observe_rules(silver(bronze), SILVER_RULES, "silver_rules")
-    silver_tbl = publish(checked.repartition("Year_Of_Birth"), f"{db}.silver", f"{out_dir}/silver",
+    # Partitioned by year so that gold reads one folder. No repartition by the
+    # year: that would put all rows of a year in one task; every task writes
+    # its own files into the year folders instead.
+    silver_tbl = publish(checked, f"{db}.silver", f"{out_dir}/silver",
                          SILVER_COMMENT, partition_by=["Year_Of_Birth"])
     report = report_from_observation(spark, obs, SILVER_RULES)
     gold_tbl = publish(gold(silver_tbl, year), f"{db}.gold", f"{out_dir}/gold", GOLD_COMMENT)
