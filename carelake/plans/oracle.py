@@ -150,11 +150,12 @@ ORACLE: dict[str, str] = {
     "managed_table": "SELECT * FROM orders",
     "external_table": "SELECT * FROM orders",
     "path_table": "SELECT * FROM orders",
-    "expect_report": """SELECT 'key_present' AS rule, count_if(coalesce(o_orderkey IS NOT NULL, false)) AS passed,
-  count_if(NOT coalesce(o_orderkey IS NOT NULL, false)) AS failed FROM orders
+    "expect_report": """SELECT 'key_present' AS rule,
+  CAST(count_if(coalesce(o_orderkey IS NOT NULL, false)) AS BIGINT) AS passed,
+  CAST(count_if(NOT coalesce(o_orderkey IS NOT NULL, false)) AS BIGINT) AS failed FROM orders
 UNION ALL
-SELECT 'large_order' AS rule, count_if(coalesce(o_totalprice > 100000, false)) AS passed,
-  count_if(NOT coalesce(o_totalprice > 100000, false)) AS failed FROM orders""",
+SELECT 'large_order' AS rule, CAST(count_if(coalesce(o_totalprice > 100000, false)) AS BIGINT) AS passed,
+  CAST(count_if(NOT coalesce(o_totalprice > 100000, false)) AS BIGINT) AS failed FROM orders""",
     "describe_schema": f"SELECT column_name AS col_name, {_DUCK_TO_SPARK} AS data_type FROM (DESCRIBE orders)",
 }
 

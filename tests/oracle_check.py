@@ -44,6 +44,23 @@ def canon(df: pd.DataFrame) -> list[tuple]:
     return sorted(rows, key=lambda r: tuple((x is None, str(type(x)), str(x)) for x in r))
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+                 "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE", "boolean": "BOOLEAN",
+                 "date": "DATE", "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
+def type_mismatches(sdf, con, sql: str) -> list:
+    duck_types = dict(con.execute(f"DESCRIBE {sql}").fetchall() and
+                      [(r[0], r[1]) for r in con.execute(f"DESCRIBE {sql}").fetchall()])
+    out = []
+    for f in sdf.schema.fields:
+        want = SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+        got = duck_types.get(f.name)
+        if got != want:
+            out.append((f.name, f.dataType.simpleString(), got))
+    return out
+
+
 def compare(spark, sf_dir: str, key: str, query, sql: str | None, con) -> dict:
     t0 = time.time()
     sdf = query(spark, sf_dir)
@@ -64,6 +81,9 @@ def compare(spark, sf_dir: str, key: str, query, sql: str | None, con) -> dict:
         return out
     bad = [(x, y) for x, y in zip(a, b) if x != y]
     out["status"] = "ok" if not bad else f"VALUES {len(bad)} differ, e.g. {bad[:2]}"
+    types = type_mismatches(sdf, con, sql)
+    if types:
+        out["types"] = types
     return out
 
 
