@@ -15,6 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit, TrainValidationSplitModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from carelake.functions.columns import flag, lenient_cast
 
@@ -77,6 +78,16 @@ def random_split(df: DataFrame, ratio: float = TRAIN_RATIO, seed: int = SEED) ->
     return train, test
 
 
+def labelled_split(df: DataFrame, ratio: float = TRAIN_RATIO, seed: int = SEED) -> DataFrame:
+    """Adds ``split`` = train/test in one pass, row for row the split that
+    ``randomSplit([ratio, 1 - ratio], seed)`` makes (same per-partition sort, same
+    per-partition random sequence), without evaluating the input twice."""
+    u = F.rand(seed)
+    orderable = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
+    return (df.sortWithinPartitions(*orderable)
+            .withColumn("split", F.when(u < F.lit(ratio), F.lit("train")).otherwise(F.lit("test"))))
+
+
 def hash_split(df: DataFrame, key: list[str], ratio: float = TRAIN_RATIO, seed: int = SEED) -> DataFrame:
     """Adds ``split`` = train/test from a hash of the row key: the same row lands
     in the same split however the data is partitioned or re-read."""

@@ -178,9 +178,7 @@ def q_scaled_features(spark, sf_dir):
 
 def q_train_split(spark, sf_dir):
     data = _scaled(spark, sf_dir).select("l_orderkey", "l_linenumber", "all_features", "TREATMENT")
-    train, test = treatment.random_split(data)
-    return (train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
-            .select("l_orderkey", "l_linenumber", "TREATMENT", "split"))
+    return treatment.labelled_split(data).select("l_orderkey", "l_linenumber", "TREATMENT", "split")
 
 
 # Small search for the registered queries; the full 24-set grid is the API default.

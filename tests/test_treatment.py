@@ -79,3 +79,12 @@ def test_forest_search_tables(spark):
 def test_default_grid_is_the_full_search(spark):
     rf = treatment.forest("y")
     assert len(treatment.param_grid(rf)) == 24
+
+
+def test_labelled_split_equals_random_split(spark):
+    df = spark.createDataFrame([(i, float(i % 17)) for i in range(3000)], "k bigint, x double").repartition(4)
+    df = df.cache()
+    train, test = treatment.random_split(df)
+    lab = treatment.labelled_split(df)
+    assert {r.k for r in lab.where("split = 'train'").collect()} == {r.k for r in train.collect()}
+    assert {r.k for r in lab.where("split = 'test'").collect()} == {r.k for r in test.collect()}
