@@ -121,7 +121,9 @@ def extract_with_model(notes: DataFrame, load_model: Callable[[], Extractor], ke
     """Run a model over every note: ``(key, chunk, entity, start, end)``.
 
     ``load_model`` is called once per task (not per note, not on the driver) and
-    returns a function from a note's text to its spans.
+    returns a function from a note's text to its spans. Notes reach Python in
+    Arrow batches capped by ``spark.sql.execution.arrow.maxBytesPerBatch`` (set
+    by ``build_session``), so long notes do not make a batch unbounded.
     """
     schema = f"{key} {key_type}, {SPAN_SCHEMA}"
 

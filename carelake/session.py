@@ -35,6 +35,9 @@ def build_session(master: str | None = None, app: str = "carelake",
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+         # Batches handed to Python (the model hook) are cut by bytes as well as
+         # rows, so a batch of very long notes stays bounded in worker memory.
+         .config("spark.sql.execution.arrow.maxBytesPerBatch", str(64 * 1024 * 1024))
          .config("spark.sql.parquet.filterPushdown", "true"))
     if master.startswith("local"):
         b = b.config("spark.driver.memory", os.environ.get("CARELAKE_DRIVER_MEM", "16g"))
