@@ -30,7 +30,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 9)
+        return v
     if isinstance(v, pd.Timestamp):
         return v.tz_localize(None).isoformat() if v.tzinfo else v.isoformat()
     if hasattr(v, "item"):
