@@ -30,6 +30,17 @@ def scan_parquet(spark: SparkSession, path: str, view: str | None = None) -> Dat
     return df
 
 
+def blob_uri(container: str, account: str, path: str) -> str:
+    """Address of a file in an Azure blob container (``wasbs://``)."""
+    return f"wasbs://{container}@{account}.blob.core.windows.net/{path.lstrip('/')}"
+
+
+def set_blob_sas(spark: SparkSession, container: str, account: str, token: str) -> None:
+    """Give the session read access to one container with a shared-access token
+    (the token is session configuration, never part of a path or a table)."""
+    spark.conf.set(f"fs.azure.sas.{container}.{account}.blob.core.windows.net", token)
+
+
 def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") -> str:
     df.write.mode(mode).option("header", "true").option("sep", sep).csv(path)
     return path

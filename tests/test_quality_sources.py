@@ -128,3 +128,9 @@ def test_medallion_run_updates_and_fail_keeps_old_tables(spark, scratch):
     _csv(f"{land2}/b1", "rows.csv", CLEAN)
     res = medallion.run_medallion(spark, f"{land2}/*", out, 2021, "med_test_db", full_refresh=True)
     assert res["bronze_rows_added"] == 4
+
+
+def test_blob_credentials_are_session_conf(spark):
+    files.set_blob_sas(spark, "public", "lake", "tok")
+    assert spark.conf.get("fs.azure.sas.public.lake.blob.core.windows.net") == "tok"
+    assert files.blob_uri("public", "lake", "/a/b.parquet") == "wasbs://public@lake.blob.core.windows.net/a/b.parquet"
