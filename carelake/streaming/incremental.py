@@ -21,6 +21,10 @@ def incremental_load(spark: SparkSession, source_dir: str, schema: StructType |
 
     Returns the number of rows added by this run. ``transform`` (optional) maps
     the raw stream before it is written, e.g. a rename or projection.
+
+    Schema evolution: when new files carry an extra column, run again with the
+    widened ``schema`` on the same checkpoint; ``read_loaded`` merges the
+    schemas, so rows loaded earlier show NULL in the new column.
     """
     opts = {"header": "true", "mode": "FAILFAST"} if fmt == "csv" else {}
     opts.update(options or {})
@@ -41,5 +45,5 @@ def incremental_load(spark: SparkSession, source_dir: str, schema: StructType |
 
 def read_loaded(spark: SparkSession, target_dir: str) -> DataFrame:
     """The loaded table. Reading through the sink's metadata log shows only
-    committed batches."""
-    return spark.read.parquet(target_dir)
+    committed batches; schemas of batches loaded with a widened schema merge."""
+    return spark.read.option("mergeSchema", "true").parquet(target_dir)

@@ -134,3 +134,30 @@ def test_blob_credentials_are_session_conf(spark):
     files.set_blob_sas(spark, "public", "lake", "tok")
     assert spark.conf.get("fs.azure.sas.public.lake.blob.core.windows.net") == "tok"
     assert files.blob_uri("public", "lake", "/a/b.parquet") == "wasbs://public@lake.blob.core.windows.net/a/b.parquet"
+
+
+def test_incremental_load_schema_evolution(spark, scratch):
+    root = scratch("ev").removeprefix("file:")
+    os.makedirs(f"{root}/land/b1")
+    with open(f"{root}/land/b1/a.csv", "w") as f:
+        f.write("cord_uid,title\na,A\nb,B\n")
+    args = (f"{root}/land/*", f"{root}/t", f"{root}/ck")
+    assert incremental_load(spark, args[0], "cord_uid string, title string", *args[1:]) == 2
+    assert incremental_load(spark, args[0], "cord_uid string, title string", *args[1:]) == 0
+    os.makedirs(f"{root}/land/b2")
+    with open(f"{root}/land/b2/a.csv", "w") as f:
+        f.write("cord_uid,title,journal\nc,C,J\n")
+    assert incremental_load(spark, args[0], "cord_uid string, title string, journal string", *args[1:]) == 1
+    got = sorted(tuple(r) for r in read_loaded(spark, args[1]).select("cord_uid", "title", "journal").collect())
+    assert got == [("a", "A", None), ("b", "B", None), ("c", "C", "J")]
+
+
+def test_null_count_stops_the_update(spark, scratch):
+    root = scratch("med")
+    land, out = f"{root}/landing", f"{root}/out"
+    _csv(f"{land}/b1", "rows.csv", CLEAN)
+    medallion.run_medallion(spark, f"{land}/*", out, 2021, "med_null_db")
+    _csv(f"{land}/b2", "rows.csv", "2021,EMMA,BRONX,F,\n")  # NULL Count
+    with pytest.raises(Exception, match="valid_count"):
+        medallion.run_medallion(spark, f"{land}/*", out, 2021, "med_null_db")
+    assert spark.table("med_null_db.silver").count() == 4
