@@ -1,5 +1,5 @@
-from carelake.functions.columns import (exact_sum, flag, in_year, lenient_cast, month_of,
+from carelake.functions.columns import (exact_sum, flag, lenient_cast, month_of,
                                         pearson, request_url, rounded)
 
-__all__ = ["exact_sum", "flag", "in_year", "lenient_cast", "month_of", "pearson",
+__all__ = ["exact_sum", "flag", "lenient_cast", "month_of", "pearson",
            "request_url", "rounded"]

@@ -52,13 +52,6 @@ def pearson(a: ColumnOrName, b: ColumnOrName) -> Column:
     return F.try_divide(F.covar_samp(a, b), F.stddev_samp(a) * F.stddev_samp(b))
 
 
-def in_year(ts: ColumnOrName, year: int) -> Column:
-    """``year(ts) = year`` written as a range, which Parquet can push down."""
-    ts = _col(ts)
-    return (ts >= F.lit(f"{year:04d}-01-01").cast("timestamp")) & \
-           (ts < F.lit(f"{year + 1:04d}-01-01").cast("timestamp"))
-
-
 def request_url(base: str, name: ColumnOrName) -> Column:
     """Lookup URL for a drug name: base + url-encoded name."""
     return F.concat(F.lit(base), F.url_encode(_col(name)))

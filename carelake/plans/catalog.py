@@ -16,7 +16,7 @@ from carelake.functions.columns import exact_sum, lenient_cast, month_of, rounde
 from carelake.operators import coding, notes, quality, stats, tables as tbl, treatment
 from carelake.operators.parallel import cache_for_iterations
 from carelake.plans import medallion
-from carelake.plans.tables import (CONCEPTS_PER_RESPONSE, CUSTOMER_SCHEMA, GOLD_YEAR, LAB_FEATURES,
+from carelake.plans.tables import (CONCEPTS_PER_RESPONSE, GOLD_YEAR, LAB_FEATURES,
                                    MIN_NOTES, ORDERS_SCHEMA, TOP_K, brand_frequency, concept_table,
                                    lab_frame, name_counts, table)
 from carelake.session import scratch_dir

@@ -23,7 +23,6 @@ MIN_NOTES = 6
 
 ORDERS_SCHEMA = ("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
                  "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING")
-CUSTOMER_SCHEMA = "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
 
 LAB_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
