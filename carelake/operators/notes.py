@@ -54,15 +54,29 @@ def lexicon_from_text(texts: DataFrame, text: str = "text", min_len: int = 6) ->
 
 
 def entity_spans(notes: DataFrame, lexicon: DataFrame, key: str = "doc_id", text: str = "text",
-                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Lexicon matches in every note: ``(key, chunk, entity, start, end)``.
-
-    The lexicon is broadcast when its size is proven small; otherwise the join is
-    a salted shuffle join, so a very common term does not end up in one task.
+                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                 rules: dict[str, str] | None = None) -> DataFrame:
+    """Matches in every note: ``(key, chunk, entity, start, end)``.
+
+    A token is tagged by the lexicon; ``rules`` (``{entity: regex}``, in order)
+    tag tokens the lexicon does not know, a regex matching the whole lower-cased
+    token (e.g. ``{"FREQUENCY": "daily|nightly|weekly"}``). The lexicon is
+    broadcast when its size is proven small; otherwise the join is a salted
+    shuffle join, so a very common term does not end up in one task.
     """
     toks = tokens(spread(notes.select(key, text)), key, text)
     lex = lexicon.select(F.col("term").alias("token"), "entity")
-    hits = join_small(toks, lex, "token", "inner", max_rows=max_broadcast_rows)
+    if not rules:
+        hits = join_small(toks, lex, "token", "inner", max_rows=max_broadcast_rows)
+    else:
+        tagged = join_small(toks, lex, "token", "left", max_rows=max_broadcast_rows)
+        by_rule = None
+        for label, rx in reversed(list(rules.items())):
+            hit = F.col("token").rlike(f"^(?:{rx})$")
+            by_rule = F.when(hit, F.lit(label)) if by_rule is None else \
+                F.when(hit, F.lit(label)).otherwise(by_rule)
+        hits = (tagged.withColumn("entity", F.coalesce(F.col("entity"), by_rule))
+                .where(F.col("entity").isNotNull()))
     return hits.select(key, F.col("token").alias("chunk"), "entity",
                        F.col("pos").alias("start"), (F.col("pos") + 1).alias("end"))
 

@@ -39,6 +39,12 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
 
 
+def describe_table(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """``describe()`` as in the notebooks: rows count, mean, stddev, min, max;
+    one string column per input column (text columns get count, min, max)."""
+    return df.describe(*(cols or []))
+
+
 def describe_long(df: DataFrame, cols: list[str] | None = None, digits: int | None = 6) -> DataFrame:
     """Summary statistics as a long table ``(column, stat, value)``.
 

@@ -157,3 +157,21 @@ def test_join_small_salted_equals_broadcast(spark, how):
     a = sorted(map(str, join_small(big, small, "k", how).collect()))
     b = sorted(map(str, join_small(big, small, "k", how, max_rows=0).collect()))
     assert a == b and len(a) > 0
+
+
+def test_entity_rules_fill_tokens_the_lexicon_does_not_know(spark):
+    docs = spark.createDataFrame([(1, "Warfarin daily by mouth; tablets nightly for weeks")], NOTES)
+    lex = spark.createDataFrame([("warfarin", "DRUG"), ("nightly", "DOSAGE")], "term string, entity string")
+    rules = {"FREQUENCY": "daily|nightly|weekly", "FORM": "tablets?|capsules?", "DURATION": "days?|weeks?"}
+    got = sorted((r.chunk, r.entity, r.start) for r in notes.entity_spans(docs, lex, rules=rules).collect())
+    assert got == [("daily", "FREQUENCY", 1), ("nightly", "DOSAGE", 5), ("tablets", "FORM", 4),
+                   ("warfarin", "DRUG", 0), ("weeks", "DURATION", 7)]
+    salted = sorted((r.chunk, r.entity, r.start) for r in
+                    notes.entity_spans(docs, lex, rules=rules, max_broadcast_rows=0).collect())
+    assert salted == got
+
+
+def test_describe_table_wide(spark):
+    df = spark.createDataFrame([(1.0, "a"), (3.0, "b")], "x double, s string")
+    rows = {r.summary: (r.x, r.s) for r in stats.describe_table(df).collect()}
+    assert rows["count"] == ("2", "2") and rows["mean"][0] == "2.0" and rows["max"] == ("3.0", "b")
