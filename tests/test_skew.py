@@ -1,0 +1,43 @@
+"""Results stay whole and exact when one key holds a third of all rows."""
+
+from pyspark.sql import functions as F
+
+from carelake.operators import notes, stats, tables as tbl
+from carelake.operators.joins import join_small
+
+
+def test_merge_with_a_hot_new_key(spark, scratch):
+    root = scratch("skew")
+    db = tbl.scratch_database(spark, f"{root}/db", prefix="skew")
+    tbl.save_table(spark.range(0, 2000).select(F.col("id").cast("string").alias("k"), F.lit("old").alias("v")),
+                   f"{db}.t")
+    hot = spark.range(0, 1500).select(F.lit("HOT").alias("k"), F.col("id").cast("string").alias("v"))
+    rest = spark.range(1000, 4000).select(F.col("id").cast("string").alias("k"), F.lit("new").alias("v"))
+    n = tbl.merge_insert_only(spark, f"{db}.t", hot.unionByName(rest), "k")
+    assert n == 1500 + 2000  # every hot row (same new key) and keys 2000..3999
+    assert spark.table(f"{db}.t").count() == 2000 + 3500
+
+
+def test_salted_join_with_a_hot_token(spark):
+    big = spark.range(0, 3000).select((F.col("id") % 3 == 0).cast("int").alias("hot"), "id") \
+        .select(F.when(F.col("hot") == 1, F.lit("common")).otherwise(F.concat(F.lit("w"), F.col("id"))).alias("token"),
+                "id")
+    small = spark.createDataFrame([("common", "DRUG"), ("w1", "FORM")], "token string, entity string")
+    salted = join_small(big, small, "token", "inner", max_rows=0, salt=16)
+    assert salted.count() == 1000 + 1
+    by_salt = big.withColumn("s", F.pmod(F.xxhash64(*big.columns), F.lit(16))).where("token = 'common'") \
+        .groupBy("s").count().agg(F.max("count")).first()[0]
+    assert by_salt < 200  # the hot token's 1000 rows are spread over the salts
+
+
+def test_note_and_frequency_aggregates_with_a_hot_chunk(spark):
+    rows = [(1, "heparin", "DRUG", i, i + 1) for i in range(3000)]            # one (note, chunk): 3000 spans
+    rows += [(n, "heparin", "DRUG", 0, 1) for n in range(2, 2000)]             # in 1998 other notes
+    rows += [(n, f"x{n}", "FORM", 0, 1) for n in range(2000, 3000)]
+    spans = spark.createDataFrame(rows, "doc_id bigint, chunk string, entity string, start int, end int")
+    ne = notes.note_entities(spans)
+    assert ne.where("doc_id = 1").collect()[0].first_start == 0
+    freq = notes.entity_doc_freq(ne).collect()
+    assert [(r.Drug, r.Frequency) for r in freq] == [("heparin", 1999)]
+    total = stats.grouped(spans, ["chunk"], {"n": F.count(F.lit(1))}).where("chunk = 'heparin'").first().n
+    assert total == 3000 + 1998
