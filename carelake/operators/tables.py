@@ -95,6 +95,8 @@ def snapshot_clone(spark: SparkSession, source: DataFrame, clone_path: str, deep
     if deep:
         source.write.mode("overwrite").parquet(f"{clone_path}/data")
         return clone_path
+    # The manifest is metadata (one path per data file, as listed by the driver
+    # for any file scan), written as one small file.
     files = source.inputFiles()
     spark.createDataFrame([(f,) for f in files], "file string") \
         .coalesce(1).write.mode("overwrite").parquet(f"{clone_path}/_manifest")

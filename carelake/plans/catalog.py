@@ -248,7 +248,7 @@ def q_entity_doc_freq(spark, sf_dir):
 
 def q_entity_udf(spark, sf_dir):
     path = scratch_dir(spark, "lexicon-model")
-    _lexicon(spark, sf_dir).coalesce(1).write.parquet(path)
+    _lexicon(spark, sf_dir).write.parquet(path)  # the "model file": one part per task
     return notes.extract_with_model(_documents(spark, sf_dir), notes.LexiconModel(path))
 
 

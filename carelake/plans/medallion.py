@@ -32,6 +32,7 @@ SILVER_RULES = [
     Rule("valid_count", "Count > 0", "fail"),
 ]
 
+# The table comments of the three layers.
 BRONZE_COMMENT = "Data ingested from NY State Department of Health"
 SILVER_COMMENT = "Data cleaned and prepared for analysis"
 GOLD_COMMENT = "A table summarizing counts of the top names for NY in 2021."
