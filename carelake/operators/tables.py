@@ -179,13 +179,25 @@ def describe_schema(df: DataFrame) -> DataFrame:
 
 # --- publish a new version only on success -------------------------------------------
 
+def point_name(spark: SparkSession, name: str, path: str, comment: str | None = None,
+               fmt: str = "parquet") -> None:
+    """Make ``name`` show the files at ``path``, in one catalog operation.
+
+    ``CREATE OR REPLACE VIEW`` swaps atomically: a reader sees the old version or
+    the new one, never no table. Year folders (``k=v/``) are discovered from the
+    path, so partition pruning needs no partition metadata in the catalog.
+    """
+    c = f" COMMENT '{comment.replace(chr(39), chr(39) * 2)}'" if comment else ""
+    spark.sql(f"CREATE OR REPLACE VIEW {qname(name)}{c} AS SELECT * FROM {fmt}.`{path}`")
+
+
 def publish(df: DataFrame, name: str, base_path: str, comment: str | None = None,
             partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` as a new version folder, then point table ``name`` at it.
+    """Write ``df`` as a new version folder, then point ``name`` at it.
 
     If the write fails (for example a ``fail`` expectation raises inside the
-    plan), the table keeps its previous version: readers never see a half
-    written or rejected update.
+    plan), ``name`` keeps showing the previous version: readers never see a
+    half written or rejected update.
     """
     spark = df.sparkSession
     version = f"{base_path}/v-{uuid.uuid4().hex[:12]}"
@@ -193,12 +205,5 @@ def publish(df: DataFrame, name: str, base_path: str, comment: str | None = None
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(version)
-    if spark.catalog.tableExists(name):
-        spark.sql(f"DROP TABLE {qname(name)}")  # external table: drops the entry, keeps files
-    spark.sql(f"CREATE TABLE {qname(name)} USING parquet LOCATION '{version}'")
-    if partition_by:
-        # The folder layout makes it a partitioned table; register its partitions.
-        spark.sql(f"ALTER TABLE {qname(name)} RECOVER PARTITIONS")
-    if comment:
-        spark.sql(f"COMMENT ON TABLE {qname(name)} IS '{comment.replace(chr(39), chr(39) * 2)}'")
+    point_name(spark, name, version, comment)
     return spark.table(name)

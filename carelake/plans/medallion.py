@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.operators.quality import Rule, enforce, observe_rules, report_from_observation
-from carelake.operators.tables import publish, qname
+from carelake.operators.tables import point_name, publish
 from carelake.sources.files import scan_csv
 from carelake.streaming.incremental import incremental_load
 
@@ -85,7 +85,7 @@ def run_medallion(spark: SparkSession, landing_dir: str, out_dir: str, year: int
     added = incremental_load(spark, landing_dir, BRONZE_SCHEMA, bronze_dir, ck, fmt="csv",
                              transform=bronze_rename)
     bronze = spark.read.parquet(bronze_dir)
-    _point(spark, f"{db}.bronze", bronze_dir, BRONZE_COMMENT)
+    point_name(spark, f"{db}.bronze", bronze_dir, BRONZE_COMMENT)
 
     checked, obs = observe_rules(silver(bronze), SILVER_RULES, "silver_rules")
     # Partitioned by year so that gold reads one folder. No repartition by the
@@ -98,15 +98,6 @@ def run_medallion(spark: SparkSession, landing_dir: str, out_dir: str, year: int
     return {"bronze_rows_added": added, "report": report, "gold": gold_tbl}
 
 
-def _point(spark: SparkSession, name: str, path: str, comment: str) -> None:
-    if spark.catalog.tableExists(name):
-        spark.sql(f"ALTER TABLE {qname(name)} SET LOCATION '{path}'")
-        spark.sql(f"REFRESH TABLE {qname(name)}")
-    else:
-        spark.sql(f"CREATE TABLE {qname(name)} USING parquet LOCATION '{path}'")
-    spark.sql(f"COMMENT ON TABLE {qname(name)} IS '{comment}'")
-
-
 def _generation(spark: SparkSession, out_dir: str, new: bool) -> str:
     """Name of the bronze generation; a full refresh starts a new one (new data
     folder and new stream checkpoint), leaving the old files untouched."""
