@@ -70,12 +70,14 @@ def describe_long(df: DataFrame, cols: list[str] | None = None, digits: int | No
     return wide.select(F.inline(F.array(*entries)))
 
 
-def corr_matrix(df: DataFrame, cols: list[str], digits: int | None = 6) -> DataFrame:
+def corr_matrix(df: DataFrame, cols: list[str] | None = None, digits: int | None = 6) -> DataFrame:
     """Pearson r of every ordered pair of columns ``(feature_a, feature_b, r)``.
 
     One aggregation computes each unordered pair once; constant columns give
-    NULL. The diagonal is 1 for non-constant columns.
+    NULL. The diagonal is 1 for non-constant columns. Without ``cols``, the
+    numeric columns of the schema are used (text columns are left out).
     """
+    cols = cols or numeric_columns(df)
     aggs, pairs = [], []
     for i, a in enumerate(cols):
         for j in range(i, len(cols)):

@@ -95,7 +95,9 @@ def run_medallion(spark: SparkSession, landing_dir: str, out_dir: str, year: int
                          SILVER_COMMENT, partition_by=["Year_Of_Birth"])
     report = report_from_observation(spark, obs, SILVER_RULES)
     gold_tbl = publish(gold(silver_tbl, year), f"{db}.gold", f"{out_dir}/gold", GOLD_COMMENT)
-    return {"bronze_rows_added": added, "report": report, "gold": gold_tbl}
+    # Row order of stored files is not kept on read: sort again.
+    gold_sorted = gold_tbl.sort(F.desc("Total_Count"), F.asc("First_Name"))
+    return {"bronze_rows_added": added, "report": report, "gold": gold_sorted}
 
 
 def _generation(spark: SparkSession, out_dir: str, new: bool) -> str:

@@ -57,6 +57,8 @@ def test_describe_and_correlation(spark):
     assert m[("a", "a")] == 1 and m[("b", "b")] == 1
     assert m[("a", "b")] == m[("b", "a")]
     assert m[("c", "c")] is None and m[("a", "c")] is None  # constant column: NULL, no error
+    with_text = df.withColumn("s", F.lit("text"))
+    assert {r.feature_a for r in stats.corr_matrix(with_text).collect()} == {"a", "b", "c", "y"}
     t = stats.corr_with_target(df, ["a", "b", "c"], "y").collect()
     assert t[0].feature == "y" and t[0].r == 1
     assert [r.r for r in t if r.r is not None] == sorted([r.r for r in t if r.r is not None], reverse=True)
