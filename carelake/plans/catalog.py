@@ -136,6 +136,10 @@ def q_describe_stats(spark, sf_dir):
     return stats.describe_long(table(spark, sf_dir, "customer"))
 
 
+def q_describe_summary(spark, sf_dir):
+    return stats.describe_table(table(spark, sf_dir, "customer"), ["c_custkey", "c_nationkey", "c_acctbal"])
+
+
 def q_row_count(spark, sf_dir):
     return stats.row_count(table(spark, sf_dir, "customer")).limit(5)
 
@@ -413,6 +417,7 @@ QUERIES: dict[str, Query] = {
     "count_by_key": q_count_by_key,
     "mean_min_max": q_mean_min_max,
     "describe_stats": q_describe_stats,
+    "describe_summary": q_describe_summary,
     "row_count": q_row_count,
     "limit_n": q_limit_n,
     "encode_flags": q_encode_flags,

@@ -34,6 +34,14 @@ def _describe(table: str, cols: list[str]) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+def _describe_wide(table: str, cols: list[str]) -> str:
+    stats = (("count", "count({})"), ("mean", "avg({})"), ("stddev", "stddev_samp({})"),
+             ("min", "min({})"), ("max", "max({})"))
+    return "\nUNION ALL\n".join(
+        f"SELECT '{stat}' AS summary, " + ", ".join(f"CAST({agg.format(c)} AS VARCHAR) AS {c}" for c in cols)
+        + f" FROM {table}" for stat, agg in stats)
+
+
 def _r(a: str, b: str) -> str:
     x, y = f"CAST({a} AS DOUBLE)", f"CAST({b} AS DOUBLE)"
     return f"round(covar_samp({x}, {y}) / nullif(stddev_samp({x}) * stddev_samp({y}), 0), 6)"
@@ -116,6 +124,7 @@ ORACLE: dict[str, str] = {
     "mean_min_max": """SELECT round(avg(c_acctbal), 6) AS mean_c_acctbal, min(c_acctbal) AS min_c_acctbal,
   max(c_acctbal) AS max_c_acctbal FROM customer""",
     "describe_stats": _describe("customer", ["c_custkey", "c_nationkey", "c_acctbal"]),
+    "describe_summary": _describe_wide("customer", ["c_custkey", "c_nationkey", "c_acctbal"]),
     "row_count": "SELECT count(*) AS n FROM customer LIMIT 5",
     "limit_n": "SELECT * FROM customer ORDER BY c_custkey LIMIT 10",
     "encode_flags": """SELECT c_custkey, c_name, c_acctbal,
