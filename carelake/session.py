@@ -34,6 +34,12 @@ def build_session(master: str | None = None, app: str = "carelake",
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
+         # No broadcast from planner estimates (compressed file sizes can be far
+         # below in-memory sizes). A side is broadcast only when its size is
+         # proven: counted against a bound (operators.joins.join_small), or
+         # measured after it materialised (adaptive threshold below).
+         .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          # Batches handed to Python (the model hook) are cut by bytes as well as
          # rows, so a batch of very long notes stays bounded in worker memory.
