@@ -19,7 +19,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -140,6 +143,9 @@ def extract_with_model(notes: DataFrame, load_model: Callable[[], Extractor], ke
     by ``build_session``), so long notes do not make a batch unbounded.
     """
     schema = f"{key} {key_type}, {SPAN_SCHEMA}"
+    # Ship this module's code with the task (the closure below and the stand-in
+    # model), so Python workers need no installed copy of the library.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = load_model()
