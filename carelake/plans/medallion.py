@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -102,13 +103,14 @@ def run_medallion(spark: SparkSession, landing_dir: str, out_dir: str, year: int
 
 def _generation(spark: SparkSession, out_dir: str, new: bool) -> str:
     """Name of the bronze generation; a full refresh starts a new one (new data
-    folder and new stream checkpoint), leaving the old files untouched."""
+    folder and new stream checkpoint), leaving the old files untouched. Until
+    the first full refresh the generation is ``g-0`` and no marker is needed."""
     marker = f"{out_dir}/_generation"
-    if not new:
-        try:
-            return spark.read.text(marker).first()[0]
-        except Exception:
-            pass
-    gen = f"g-{uuid.uuid4().hex[:10]}"
-    spark.createDataFrame([(gen,)], "value string").coalesce(1).write.mode("overwrite").text(marker)
-    return gen
+    if new:
+        gen = f"g-{uuid.uuid4().hex[:10]}"
+        spark.createDataFrame([(gen,)], "value string").coalesce(1).write.mode("overwrite").text(marker)
+        return gen
+    try:
+        return spark.read.text(marker).first()[0]
+    except AnalysisException:  # no full refresh yet
+        return "g-0"
