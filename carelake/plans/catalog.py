@@ -197,13 +197,18 @@ def _fitted(spark, sf_dir):
         data = cache_for_iterations(data)
         train, test = treatment.random_split(data)
         model = treatment.tune_forest(train, "TREATMENT", grid_kwargs=QUERY_GRID)
-        for *_, cached in _models.values():
-            cached.unpersist()
-        _models.clear()
+        reset_model_cache()
         _models[k] = (model, train, test, data)
     return _models[k][:3]
 
 
+def reset_model_cache() -> None:
+    """Forget the fitted model shared by the rf_* queries (and uncache its input)."""
+    for *_, cached in _models.values():
+        cached.unpersist()
+    _models.clear()
+
+
 def q_rf_grid(spark, sf_dir):
     return treatment.grid_table(spark, _fitted(spark, sf_dir)[0])
 
