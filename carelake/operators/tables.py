@@ -27,9 +27,20 @@ def write_overwrite(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     return path
 
 
-def save_table(df: DataFrame, name: str, mode: str = "errorifexists") -> DataFrame:
-    """Managed table sink. The default mode refuses to replace an existing table."""
-    df.write.format("parquet").mode(mode).saveAsTable(name)
+def save_table(df: DataFrame, name: str, mode: str = "errorifexists",
+               bucket_by: tuple[int, list[str]] | None = None) -> DataFrame:
+    """Managed table sink. The default mode refuses to replace an existing table.
+
+    ``bucket_by=(n, keys)`` stores the rows hash-bucketed (and sorted) by
+    ``keys``: later joins and merges on those keys read the table already
+    co-partitioned, so only the other side is shuffled. Choose ``n`` from the
+    table size (about one bucket per few hundred MB).
+    """
+    w = df.write.format("parquet").mode(mode)
+    if bucket_by:
+        n, keys = bucket_by
+        w = w.bucketBy(n, *keys).sortBy(*keys)
+    w.saveAsTable(name)
     return df.sparkSession.table(name)
 
 
@@ -134,7 +145,10 @@ def merge_insert_only(spark: SparkSession, target_name: str, source: DataFrame,
     Appends the unmatched rows to the target table. Appending next to files the
     same plan reads is safe: the input file list is fixed when the plan is made,
     and the new files are committed at the end of the job. Returns the number of
-    rows inserted (counted while writing, no extra pass).
+    rows inserted (counted while writing, no extra pass). When the target is
+    bucketed by the key (``save_table(bucket_by=...)``), the target is not
+    shuffled at all: only the source is; each merge adds files per bucket, which
+    a periodic rewrite of the table compacts.
     """
     on = [on] if isinstance(on, str) else list(on)
     target = spark.table(target_name)

@@ -28,6 +28,16 @@ def test_merge_insert_only_keys(spark, scratch):
         ("a", "A"), ("b", "B"), ("c", "C"), ("d", "D1"), ("d", "D2"), (None, "N")]
 
 
+def test_merge_into_bucketed_target(spark, scratch):
+    root, db = _db(spark, scratch)
+    t = f"{db}.b"
+    tbl.save_table(spark.createDataFrame([("a", "A", "1"), ("b", "B", "2")], CORD), t, bucket_by=(4, ["cord_uid"]))
+    src = spark.createDataFrame([("a", "x", "9"), ("c", "C", "3"), (None, "N", "6")], CORD)
+    assert tbl.merge_insert_only(spark, t, src, "cord_uid") == 2
+    assert sorted((r.cord_uid or "", r.title) for r in spark.table(t).collect()) == [
+        ("", "N"), ("a", "A"), ("b", "B"), ("c", "C")]
+
+
 def test_merge_twice_equals_once_for_non_null_keys(spark, scratch):
     root, db = _db(spark, scratch)
     t = f"{db}.m"
