@@ -1,0 +1,82 @@
+"""Physical-plan properties the library relies on for scale."""
+
+import contextlib
+import io
+import re
+
+import __spark_entry__ as E
+from carelake.operators import notes, tables as tbl
+from tests.conftest import SF0001
+
+QUERIES = E.queries()
+
+
+def plan_of(df) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()
+
+
+def nodes(plan: str, name: str) -> int:
+    return len(re.findall(rf"^\(\d+\) {name}\b", plan, re.M))
+
+
+def test_gold_top10_is_a_topk_over_one_shuffle_and_three_columns(spark):
+    p = plan_of(QUERIES["gold_top10"](spark, SF0001))
+    assert "TakeOrderedAndProject" in p
+    assert nodes(p, "Exchange") == 1
+    (schema,) = re.findall(r"ReadSchema: struct<([^>]*)>", p)
+    assert sorted(c.split(":")[0] for c in schema.split(",")) == ["l_quantity", "l_shipdate", "l_suppkey"]
+
+
+def test_filters_reach_the_scan(spark):
+    p = plan_of(QUERIES["filter_eq"](spark, SF0001))
+    assert "EqualTo(o_orderpriority,1-URGENT)" in p
+    p = plan_of(QUERIES["sum_in_list"](spark, SF0001))
+    assert "In(l_returnflag" in p
+
+
+def test_entity_aggregates_stay_hash_based(spark):
+    for key in ("note_entities", "entity_doc_freq"):
+        p = plan_of(QUERIES[key](spark, SF0001))
+        assert nodes(p, "SortAggregate") == 0 and nodes(p, "HashAggregate") >= 2, key
+
+
+def test_lexicon_broadcast_only_within_bound(spark):
+    docs = spark.createDataFrame([(1, "warfarin daily")], "doc_id bigint, text string")
+    lex = spark.createDataFrame([("warfarin", "DRUG")], "term string, entity string")
+    assert nodes(plan_of(notes.entity_spans(docs, lex)), "BroadcastExchange") == 1
+    salted = plan_of(notes.entity_spans(docs, lex, max_broadcast_rows=0))
+    assert nodes(salted, "BroadcastExchange") == 0 and "__salt" in salted
+
+
+def test_bucketed_merge_target_is_not_shuffled(spark, scratch):
+    root = scratch("plan")
+    db = tbl.scratch_database(spark, f"{root}/db", prefix="p")
+    c = spark.read.parquet(f"{SF0001}/customer.parquet")
+    tbl.save_table(c.where("c_nationkey < 15"), f"{db}.t", bucket_by=(8, ["c_custkey"]))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as build_session sets it
+    try:
+        p = plan_of(tbl.new_rows(spark.table(f"{db}.t"), c.where("c_nationkey >= 10"), ["c_custkey"]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert nodes(p, "Exchange") == 1  # the source only
+    target_scan = re.search(r"Scan parquet spark_catalog\.\S+\.t", p)
+    assert target_scan is not None
+
+
+def test_model_hook_is_the_only_python_stage(spark):
+    for key, q in QUERIES.items():
+        if key in {"entity_udf", "rf_grid", "rf_predictions", "rf_metrics", "train_split", "scan_notes",
+                   "medallion_run", "incremental_load", "bronze_py", "bronze_sql", "scan_csv"}:
+            continue
+        p = plan_of(q(spark, SF0001))
+        assert not re.search(r"MapInPandas|ArrowEvalPython|BatchEvalPython", p), key
+    assert "MapInPandas" in plan_of(QUERIES["entity_udf"](spark, SF0001))
+
+
+def test_exact_sum_is_a_decimal_sum(spark):
+    p = plan_of(QUERIES["sum_by_key"](spark, SF0001))
+    assert "decimal(18,2)" in p and nodes(p, "HashAggregate") == 2
