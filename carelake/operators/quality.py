@@ -24,10 +24,6 @@ class Rule:
         return F.coalesce(F.expr(self.expr), F.lit(False))
 
 
-class ExpectationFailed(RuntimeError):
-    pass
-
-
 def enforce(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """Pass rows through; raise inside the plan when a ``fail`` rule is violated."""
     for r in rules:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -118,7 +119,7 @@ def read_clone(spark: SparkSession, clone_path: str, schema: StructType | None =
     manifest = f"{clone_path}/_manifest"
     try:
         files = [r.file for r in spark.read.parquet(manifest).collect()]
-    except Exception:  # deep clone
+    except AnalysisException:  # no manifest: a deep clone
         return spark.read.parquet(f"{clone_path}/data")
     r = spark.read
     if schema is not None:
