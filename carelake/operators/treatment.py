@@ -135,15 +135,18 @@ def scoring_model(model):
 
 
 def grid_table(spark: SparkSession, model: TrainValidationSplitModel) -> DataFrame:
-    """One row per parameter set: ``(bootstrap, max_depth, num_trees, auc, is_best)``."""
+    """One row per parameter set: ``(bootstrap, max_depth, num_trees, metric,
+    score, is_best)``; ``metric`` names the search's evaluator metric."""
     rows = []
     metrics = model.validationMetrics
+    metric_name = model.getEvaluator().getMetricName()
     best = max(range(len(metrics)), key=lambda i: metrics[i])
     for i, (pm, m) in enumerate(zip(model.getEstimatorParamMaps(), metrics)):
         p = {k.name: v for k, v in pm.items()}
-        rows.append((bool(p["bootstrap"]), int(p["maxDepth"]), int(p["numTrees"]), float(m), i == best))
-    return spark.createDataFrame(rows, "bootstrap boolean, max_depth int, num_trees int, auc double, "
-                                       "is_best boolean")
+        rows.append((bool(p["bootstrap"]), int(p["maxDepth"]), int(p["numTrees"]), metric_name, float(m),
+                     i == best))
+    return spark.createDataFrame(rows, "bootstrap boolean, max_depth int, num_trees int, metric string, "
+                                       "score double, is_best boolean")
 
 
 def predictions_table(model, df: DataFrame, key: list[str], label: str) -> DataFrame:

@@ -69,6 +69,7 @@ def test_forest_search_tables(spark):
                                                            "num_trees": [5]})
     grid = treatment.grid_table(spark, model).collect()
     assert len(grid) == 2 and sum(r.is_best for r in grid) == 1
+    assert {r.metric for r in grid} == {"areaUnderROC"}
     m = {r.split: r for r in treatment.metrics_table(spark, model, "y", train=train, test=test).collect()}
     assert m["train"].auc > 0.9 and m["train"].error == pytest.approx(1 - m["train"].auc)
     pred = treatment.predictions_table(model, test, ["x1", "x2"], "y")
