@@ -78,7 +78,8 @@ def run_medallion(spark: SparkSession, landing_dir: str, out_dir: str, year: int
                   full_refresh: bool = False) -> dict:
     """One triggered update of the three layers.
 
-    Returns ``{"bronze_rows_added", "report" (DataFrame), "gold" (DataFrame)}``.
+    Returns ``{"bronze_rows_added", "report" (DataFrame), "gold" (DataFrame)}``;
+    the rule counts of every update are also appended to ``<db>.expectations``.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{out_dir}/_db'")
     gen = _generation(spark, out_dir, new=full_refresh)
@@ -95,6 +96,10 @@ def run_medallion(spark: SparkSession, landing_dir: str, out_dir: str, year: int
     silver_tbl = publish(checked, f"{db}.silver", f"{out_dir}/silver",
                          SILVER_COMMENT, partition_by=["Year_Of_Birth"])
     report = report_from_observation(spark, obs, SILVER_RULES)
+    # Expectation history: one row per rule and update, appended (never rewritten).
+    (report.withColumn("table", F.lit("silver")).withColumn("run_at", F.current_timestamp())
+     .write.mode("append").parquet(f"{out_dir}/_expectations"))
+    point_name(spark, f"{db}.expectations", f"{out_dir}/_expectations", "Expectation counts per update")
     gold_tbl = publish(gold(silver_tbl, year), f"{db}.gold", f"{out_dir}/gold", GOLD_COMMENT)
     # Row order of stored files is not kept on read: sort again.
     gold_sorted = gold_tbl.sort(F.desc("Total_Count"), F.asc("First_Name"))

@@ -1,3 +1,3 @@
-from carelake.streaming.incremental import incremental_load, read_loaded
+from carelake.streaming.incremental import incremental_load, read_loaded, start_continuous_load
 
-__all__ = ["incremental_load", "read_loaded"]
+__all__ = ["incremental_load", "read_loaded", "start_continuous_load"]

@@ -11,6 +11,7 @@ duplicates.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 
@@ -43,6 +44,22 @@ def incremental_load(spark: SparkSession, source_dir: str, schema: StructType |
     return int(sum(p.get("numInputRows", 0) for p in q.recentProgress))
 
 
+def start_continuous_load(spark: SparkSession, source_dir: str, schema: StructType | str, target_dir: str,
+                          checkpoint_dir: str, every: str = "1 minute", fmt: str = "csv",
+                          options: dict[str, str] | None = None, transform=None) -> StreamingQuery:
+    """The same load as ``incremental_load``, kept running: new files are picked
+    up every ``every``. Returns the running query (``stop()`` ends it); the
+    checkpoint makes a restart continue where it stopped."""
+    opts = {"header": "true", "mode": "FAILFAST"} if fmt == "csv" else {}
+    opts.update(options or {})
+    stream = spark.readStream.format(fmt).schema(schema).options(**opts).load(source_dir)
+    if transform is not None:
+        stream = transform(stream)
+    return (stream.writeStream.format("parquet").option("path", target_dir)
+            .option("checkpointLocation", checkpoint_dir).outputMode("append")
+            .trigger(processingTime=every).start())
+
+
 def read_loaded(spark: SparkSession, target_dir: str) -> DataFrame:
     """The loaded table. Reading through the sink's metadata log shows only
     committed batches; schemas of batches loaded with a widened schema merge."""

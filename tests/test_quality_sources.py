@@ -123,6 +123,8 @@ def test_medallion_run_updates_and_fail_keeps_old_tables(spark, scratch):
         medallion.run_medallion(spark, f"{land}/*", out, 2021, "med_test_db")
     assert spark.table("med_test_db.silver").count() == 5
     assert {r.First_Name for r in spark.table("med_test_db.gold").collect()} == {"OLIVIA", "LIAM", None}
+    history = spark.table("med_test_db.expectations")
+    assert history.count() == 2 and set(history.columns) >= {"rule", "passed", "failed", "table", "run_at"}
     # full refresh starts from a new bronze generation (new folder, new checkpoint)
     land2 = f"{root}/landing2"
     _csv(f"{land2}/b1", "rows.csv", CLEAN)
@@ -161,3 +163,21 @@ def test_null_count_stops_the_update(spark, scratch):
     with pytest.raises(Exception, match="valid_count"):
         medallion.run_medallion(spark, f"{land}/*", out, 2021, "med_null_db")
     assert spark.table("med_null_db.silver").count() == 4
+
+
+def test_continuous_load_picks_up_new_files(spark, scratch):
+    from carelake.streaming.incremental import start_continuous_load
+    root = scratch("cont").removeprefix("file:")
+    os.makedirs(f"{root}/land/b1")
+    with open(f"{root}/land/b1/a.csv", "w") as f:
+        f.write("k,v\na,1\n")
+    q = start_continuous_load(spark, f"{root}/land/*", "k string, v int", f"{root}/t", f"{root}/ck", every="1 second")
+    try:
+        q.processAllAvailable()
+        os.makedirs(f"{root}/land/b2")
+        with open(f"{root}/land/b2/a.csv", "w") as f:
+            f.write("k,v\nb,2\n")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert sorted(tuple(r) for r in read_loaded(spark, f"{root}/t").collect()) == [("a", 1), ("b", 2)]
