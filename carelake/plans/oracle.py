@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from carelake.operators.coding import DRUGS_PATH, SERVICE_BASE
 from carelake.operators.notes import ENTITY_CLASSES
-from carelake.plans.tables import CONCEPTS_PER_RESPONSE, GOLD_YEAR, LAB_FEATURES, MIN_NOTES, TOP_K
+from carelake.plans.tables import GOLD_YEAR, LAB_FEATURES, MIN_NOTES, TOP_K
 
 _NAMES = """(SELECT CAST(year(l_shipdate) AS INTEGER) AS Year,
         'name_' || CAST(l_suppkey AS VARCHAR) AS First_Name,
@@ -167,5 +167,3 @@ SELECT 'large_order' AS rule, CAST(count_if(coalesce(o_totalprice > 100000, fals
   CAST(count_if(NOT coalesce(o_totalprice > 100000, false)) AS BIGINT) AS failed FROM orders""",
     "describe_schema": f"SELECT column_name AS col_name, {_DUCK_TO_SPARK} AS data_type FROM (DESCRIBE orders)",
 }
-
-assert CONCEPTS_PER_RESPONSE > 0
