@@ -163,7 +163,13 @@ def extract_with_model(notes: DataFrame, load_model: Callable[[], Extractor], ke
 
 class LexiconModel:
     """A small stand-in model: lexicon lookup over regex tokens, loaded from a
-    Parquet ``(term, entity)`` file (as a real model would load its weights)."""
+    Parquet ``(term, entity)`` file (as a real model would load its weights).
+
+    Terms may span several tokens (``"twice daily"``, lower-case, one space
+    between tokens). Overlapping matches in a note are resolved longest first,
+    then earliest, keeping non-overlapping spans. Each note is handled within
+    its own row, so no note has to be gathered with others.
+    """
 
     def __init__(self, path: str):
         self.path = path
@@ -173,16 +179,31 @@ class LexiconModel:
 
         import pyarrow.parquet as pq
         t = pq.read_table(self.path.removeprefix("file:"), columns=["term", "entity"]).to_pydict()
-        lex = dict(zip(t["term"], t["entity"]))
+        by_first: dict[str, list[tuple[tuple[str, ...], str]]] = {}
+        for term, entity in zip(t["term"], t["entity"]):
+            words = tuple(term.split())
+            if words:
+                by_first.setdefault(words[0], []).append((words, entity))
+        for cands in by_first.values():
+            cands.sort(key=lambda c: -len(c[0]))
         rx = re.compile(TOKEN_PATTERN)
 
         def extract(text: str) -> list[tuple[str, str, int, int]]:
-            out = []
-            for i, m in enumerate(rx.finditer(text)):
-                w = m.group(0).lower()
-                e = lex.get(w)
-                if e is not None:
-                    out.append((w, e, i, i + 1))
-            return out
+            toks = [m.group(0).lower() for m in rx.finditer(text)]
+            found = []
+            for i, w in enumerate(toks):
+                for words, entity in by_first.get(w, ()):
+                    n = len(words)
+                    if tuple(toks[i:i + n]) == words:
+                        found.append((i, i + n, entity))
+            if any(e - s > 1 for s, e, _ in found):
+                taken: set[int] = set()
+                keep = []
+                for s_, e_, ent in sorted(found, key=lambda f: (-(f[1] - f[0]), f[0])):
+                    if not taken.intersection(range(s_, e_)):
+                        taken.update(range(s_, e_))
+                        keep.append((s_, e_, ent))
+                found = sorted(keep)
+            return [(" ".join(toks[s_:e_]), ent, s_, e_) for s_, e_, ent in found]
 
         return extract

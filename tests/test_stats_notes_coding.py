@@ -177,3 +177,18 @@ def test_describe_table_wide(spark):
     df = spark.createDataFrame([(1.0, "a"), (3.0, "b")], "x double, s string")
     rows = {r.summary: (r.x, r.s) for r in stats.describe_table(df).collect()}
     assert rows["count"] == ("2", "2") and rows["mean"][0] == "2.0" and rows["max"] == ("3.0", "b")
+
+
+def test_model_hook_multi_token_terms(spark, scratch):
+    docs = spark.createDataFrame([(1, "Take aspirin twice daily by mouth, then twice weekly."),
+                                  (2, "by mouth by mouth daily")], NOTES)
+    lex = spark.createDataFrame([("aspirin", "DRUG"), ("twice daily", "FREQUENCY"), ("daily", "FREQUENCY"),
+                                 ("by mouth", "ROUTE"), ("mouth", "FORM"), ("twice", "DOSAGE")],
+                                "term string, entity string")
+    p = scratch("phrases")
+    lex.write.parquet(p)
+    got = sorted(tuple(r) for r in notes.extract_with_model(docs, notes.LexiconModel(p)).collect())
+    assert got == [
+        (1, "aspirin", "DRUG", 1, 2), (1, "by mouth", "ROUTE", 4, 6), (1, "twice", "DOSAGE", 7, 8),
+        (1, "twice daily", "FREQUENCY", 2, 4),
+        (2, "by mouth", "ROUTE", 0, 2), (2, "by mouth", "ROUTE", 2, 4), (2, "daily", "FREQUENCY", 4, 5)]
