@@ -35,9 +35,18 @@ def incremental_load(spark: SparkSession, source_dir: str, schema: StructType |
     stream = reader.load(source_dir)
     if transform is not None:
         stream = transform(stream)
-    q = (stream.writeStream.format("parquet").option("path", target_dir)
-         .option("checkpointLocation", checkpoint_dir).outputMode("append")
-         .trigger(availableNow=True).start())
+    # The row count below sums this run's progress updates; keep all of them
+    # (Spark keeps 100 by default). The stream copies the session conf when it
+    # starts, so the setting is restored right after.
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "1000000")
+    try:
+        q = (stream.writeStream.format("parquet").option("path", target_dir)
+             .option("checkpointLocation", checkpoint_dir).outputMode("append")
+             .trigger(availableNow=True).start())
+    finally:
+        spark.conf.set(key, old)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()

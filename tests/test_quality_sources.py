@@ -181,3 +181,14 @@ def test_continuous_load_picks_up_new_files(spark, scratch):
     finally:
         q.stop()
     assert sorted(tuple(r) for r in read_loaded(spark, f"{root}/t").collect()) == [("a", 1), ("b", 2)]
+
+
+def test_incremental_load_counts_every_batch(spark, scratch):
+    root = scratch("many").removeprefix("file:")
+    for i in range(5):
+        os.makedirs(f"{root}/land/b{i}")
+        with open(f"{root}/land/b{i}/a.csv", "w") as f:
+            f.write("k,v\n" + "".join(f"x{i}_{j},{j}\n" for j in range(3)))
+    n = incremental_load(spark, f"{root}/land/*", "k string, v int", f"{root}/t", f"{root}/ck",
+                         max_files_per_trigger=1)
+    assert n == 15 and read_loaded(spark, f"{root}/t").count() == 15
