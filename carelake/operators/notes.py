@@ -10,7 +10,8 @@ tables come out of distributed jobs:
                        most frequent first, ties in order of first appearance
 
 The built-in extractor is a lexicon matcher: notes are tokenised by a regular
-expression inside the JVM, tokens are joined to a ``(term, entity)`` lexicon.
+expression inside the JVM, tokens are joined to a ``(term, entity)`` lexicon,
+and optional token rules tag what the lexicon does not know.
 A caller-supplied model runs instead through ``extract_with_model``
 (``mapInPandas``: one model load per task, Arrow batches of notes).
 """

@@ -195,7 +195,7 @@ def describe_schema(df: DataFrame) -> DataFrame:
 # --- publish a new version only on success -------------------------------------------
 
 def point_name(spark: SparkSession, name: str, path: str, comment: str | None = None,
-               fmt: str = "parquet") -> None:
+               fmt: str = "parquet", schema: StructType | None = None) -> None:
     """Make ``name`` show the files at ``path``, in one catalog operation.
 
     ``CREATE OR REPLACE VIEW`` swaps atomically: a reader sees the old version or
@@ -203,7 +203,14 @@ def point_name(spark: SparkSession, name: str, path: str, comment: str | None =
     path, so partition pruning needs no partition metadata in the catalog.
     """
     c = f" COMMENT '{comment.replace(chr(39), chr(39) * 2)}'" if comment else ""
-    spark.sql(f"CREATE OR REPLACE VIEW {qname(name)}{c} AS SELECT * FROM {fmt}.`{path}`")
+    try:
+        spark.sql(f"CREATE OR REPLACE VIEW {qname(name)}{c} AS SELECT * FROM {fmt}.`{path}`")
+    except AnalysisException:
+        if schema is None:
+            raise
+        # An empty version has no data file to read a schema from: same columns, no rows.
+        cols = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields)
+        spark.sql(f"CREATE OR REPLACE VIEW {qname(name)}{c} AS SELECT {cols} WHERE 1 = 0")
 
 
 def publish(df: DataFrame, name: str, base_path: str, comment: str | None = None,
@@ -220,5 +227,5 @@ def publish(df: DataFrame, name: str, base_path: str, comment: str | None = None
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(version)
-    point_name(spark, name, version, comment)
+    point_name(spark, name, version, comment, schema=df.schema)
     return spark.table(name)

@@ -27,6 +27,7 @@ from carelake.sources.files import scan_csv
 from carelake.streaming.incremental import incremental_load
 
 BRONZE_SCHEMA = "Year INT, `First Name` STRING, County STRING, Sex STRING, Count INT"
+BRONZE_TABLE_SCHEMA = "Year INT, First_Name STRING, County STRING, Sex STRING, Count INT"
 
 SILVER_RULES = [
     Rule("valid_first_name", "First_Name IS NOT NULL", "warn"),
@@ -86,8 +87,12 @@ def run_medallion(spark: SparkSession, landing_dir: str, out_dir: str, year: int
     bronze_dir, ck = f"{out_dir}/bronze/{gen}/data", f"{out_dir}/bronze/{gen}/_checkpoint"
     added = incremental_load(spark, landing_dir, BRONZE_SCHEMA, bronze_dir, ck, fmt="csv",
                              transform=bronze_rename)
-    bronze = spark.read.parquet(bronze_dir)
-    point_name(spark, f"{db}.bronze", bronze_dir, BRONZE_COMMENT)
+    # Declared schema: also reads a sink that has not committed any file yet.
+    bronze = spark.read.schema(BRONZE_TABLE_SCHEMA).parquet(bronze_dir)
+    try:
+        point_name(spark, f"{db}.bronze", bronze_dir, BRONZE_COMMENT)
+    except AnalysisException:  # nothing has landed yet; the name appears with the first file
+        pass
 
     checked, obs = observe_rules(silver(bronze), SILVER_RULES, "silver_rules")
     # Partitioned by year so that gold reads one folder. No repartition by the

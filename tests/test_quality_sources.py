@@ -192,3 +192,13 @@ def test_incremental_load_counts_every_batch(spark, scratch):
     n = incremental_load(spark, f"{root}/land/*", "k string, v int", f"{root}/t", f"{root}/ck",
                          max_files_per_trigger=1)
     assert n == 15 and read_loaded(spark, f"{root}/t").count() == 15
+
+
+def test_medallion_run_before_any_file_landed(spark, scratch):
+    root = scratch("empty").removeprefix("file:")
+    os.makedirs(f"{root}/landing")
+    res = medallion.run_medallion(spark, f"{root}/landing", f"{root}/out", 2021, "med_empty_db")
+    assert res["bronze_rows_added"] == 0 and res["gold"].count() == 0
+    _csv(f"{root}/landing", "a.csv", CLEAN)
+    res = medallion.run_medallion(spark, f"{root}/landing", f"{root}/out", 2021, "med_empty_db")
+    assert res["bronze_rows_added"] == 4 and res["gold"].count() == 2
