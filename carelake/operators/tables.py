@@ -8,6 +8,7 @@ publishing a new table version only after its job succeeded.
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -99,10 +100,10 @@ def append_by_name(df: DataFrame, name: str) -> None:
 def snapshot_clone(spark: SparkSession, source: DataFrame, clone_path: str, deep: bool = False) -> str:
     """Freeze the current contents of a file-based table.
 
-    shallow: record the table's current data files in a manifest (no data copy).
-    Valid while the source only gains new files (appends, inserts, insert-only
-    merges); an overwrite of the source breaks a shallow clone.
-    deep: copy the rows.
+    shallow: record the table's current data files and its schema in a manifest
+    (no data copy). Valid while the source only gains new files (appends,
+    inserts, insert-only merges); an overwrite of the source breaks a shallow
+    clone. deep: copy the rows.
     """
     if deep:
         source.write.mode("overwrite").parquet(f"{clone_path}/data")
@@ -110,21 +111,22 @@ def snapshot_clone(spark: SparkSession, source: DataFrame, clone_path: str, deep
     # The manifest is metadata (one path per data file, as listed by the driver
     # for any file scan), written as one small file.
     files = source.inputFiles()
-    spark.createDataFrame([(f,) for f in files], "file string") \
+    schema = source.schema.json()
+    spark.createDataFrame([(f, schema) for f in files] or [(None, schema)], "file string, schema string") \
         .coalesce(1).write.mode("overwrite").parquet(f"{clone_path}/_manifest")
     return clone_path
 
 
-def read_clone(spark: SparkSession, clone_path: str, schema: StructType | None = None) -> DataFrame:
-    manifest = f"{clone_path}/_manifest"
+def read_clone(spark: SparkSession, clone_path: str) -> DataFrame:
     try:
-        files = [r.file for r in spark.read.parquet(manifest).collect()]
+        rows = spark.read.parquet(f"{clone_path}/_manifest").collect()
     except AnalysisException:  # no manifest: a deep clone
         return spark.read.parquet(f"{clone_path}/data")
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
-    return r.parquet(*files)
+    schema = StructType.fromJson(json.loads(rows[0].schema))
+    files = [r.file for r in rows if r.file is not None]
+    if not files:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*files)
 
 
 # --- merge -------------------------------------------------------------------------------

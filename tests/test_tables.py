@@ -64,6 +64,15 @@ def test_snapshot_clone_is_isolated(spark, scratch):
     assert tbl.read_clone(spark, f"{root}/deep").count() == 5
 
 
+def test_clone_of_an_empty_table(spark, scratch):
+    root, db = _db(spark, scratch)
+    empty = tbl.create_empty(spark, f"{db}.e", CORD)
+    tbl.snapshot_clone(spark, empty, f"{root}/c")
+    tbl.insert_partial(spark, f"{db}.e", {"cord_uid": "x"})
+    clone = tbl.read_clone(spark, f"{root}/c")
+    assert clone.count() == 0 and clone.columns == ["cord_uid", "title", "publish_time"]
+
+
 def test_clone_then_merge_brings_new_rows(spark, scratch):
     """Clone, insert into the source, merge the source into the clone."""
     root, db = _db(spark, scratch)
