@@ -26,13 +26,22 @@ def build_session(master: str | None = None, app: str = "carelake",
     """
     master = master or os.environ.get("CARELAKE_MASTER", "local[8]")
     if shuffle_partitions is None:
-        shuffle_partitions = 8 if master.startswith("local") else 2000
+        # On a cluster start wide: a shuffle of a large input needs about
+        # size / 128 MB partitions (a 2 TB shuffle: ~16k). Most shuffles here
+        # follow a map-side partial aggregate and are small; adaptive execution
+        # coalesces those towards the advisory size below.
+        default = "8" if master.startswith("local") else "16384"
+        shuffle_partitions = int(os.environ.get("CARELAKE_SHUFFLE_PARTITIONS", default))
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+         # Post-shuffle partitions of about 128 MB and scan splits of 128 MB keep
+         # every task's working set well inside an executor's memory.
+         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(128 * 1024 * 1024))
+         .config("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024))
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          # No broadcast from planner estimates (compressed file sizes can be far
          # below in-memory sizes). A side is broadcast only when its size is
