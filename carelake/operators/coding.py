@@ -82,11 +82,9 @@ def concept_payloads(concepts: DataFrame, drug: str, group: str, rxcui: str, nam
     c = concepts.select(F.col(drug).alias("drug"), bucket.alias("bucket"), F.col(group).alias("grp"),
                         F.col(rxcui).cast("string").alias("rxcui"), F.col(name).alias("name"))
     # One shuffle serves both aggregations: hash partitioning on (drug, bucket)
-    # already clusters every (drug, bucket, grp) group. The partition count is
-    # fixed (not coalesced by size): building and parsing documents is CPU work
-    # that small byte counts do not reflect.
-    n = int(concepts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    c = c.repartition(n, "drug", "bucket")
+    # already clusters every (drug, bucket, grp) group. Adaptive execution sizes
+    # the partition count from the data.
+    c = c.repartition("drug", "bucket")
     prop = F.concat(F.lit("<conceptProperties><rxcui>"), _esc(F.col("rxcui")), F.lit("</rxcui><name>"),
                     _esc(F.col("name")), F.lit("</name></conceptProperties>"))
     groups = (c.groupBy("drug", "bucket", "grp")
