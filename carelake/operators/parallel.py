@@ -13,8 +13,11 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 
+MAX_SPREAD = 1024  # enough tasks for a small input on any cluster
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    target = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, MAX_SPREAD)
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
