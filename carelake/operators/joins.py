@@ -2,8 +2,9 @@
 
 ``join_small`` broadcasts the small side only after proving its size.
 
-* ``check="count"``: it counts at most ``max_rows + 1`` rows of the small side
-  (the scan stops early). Meant for small sides that are cheap to evaluate. When
+* ``check="count"``: the small side is evaluated once into the shared
+  checkpoint folder, then at most ``max_rows + 1`` of its rows are counted and
+  the join reads the stored rows (nothing is computed twice). When
   the bound does not hold, the join is a shuffle join in which the large side is
   salted, so that one hot key (say a third of all rows) is spread over ``salt``
   tasks instead of landing in one.
@@ -20,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from carelake.session import checkpoint_root
+
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 DEFAULT_SALT = 32
 
@@ -40,6 +43,8 @@ def join_small(big: DataFrame, small: DataFrame, on: list[str] | str, how: str =
     on = [on] if isinstance(on, str) else list(on)
     if check == "runtime":
         return big.join(small, on, how)
+    checkpoint_root(small.sparkSession)  # make sure a shared checkpoint folder is set
+    small = small.checkpoint(eager=True)
     if fits(small, max_rows):
         return big.join(F.broadcast(small), on, how)
     if salt <= 1:

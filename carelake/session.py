@@ -63,7 +63,7 @@ def build_session(master: str | None = None, app: str = "carelake",
     return spark
 
 
-def _checkpoint_root(spark: SparkSession) -> str:
+def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
@@ -83,4 +83,4 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     Every call returns a fresh path, so a query that is run twice never reads
     or overwrites the files of an earlier run.
     """
-    return f"{_checkpoint_root(spark)}/carelake/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{checkpoint_root(spark)}/carelake/{name}-{uuid.uuid4().hex[:12]}"
