@@ -54,11 +54,11 @@ def json_roundtrip(parsed: DataFrame) -> DataFrame:
 
 
 def code_drugs(drugs: DataFrame, concepts: DataFrame, drug: str = "Drug",
-               max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, check: str = "runtime") -> DataFrame:
+               max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, check: str = "count") -> DataFrame:
     """Attach concepts to each drug. Drugs without a concept drop out; a drug
-    with several concepts gets several rows. The drug list is the small side;
-    it is usually an aggregate over notes or orders, so its size is measured at
-    run time by default instead of evaluating it twice (see ``join_small``)."""
+    with several concepts gets several rows. The drug list is the small side:
+    it is evaluated once, counted against the bound and broadcast, so the
+    concept table is never shuffled (see ``join_small``)."""
     concepts = concepts.withColumnRenamed("Drug", drug) if drug != "Drug" else concepts
     return join_small(concepts, drugs, drug, "inner", max_rows=max_broadcast_rows, check=check)
 
