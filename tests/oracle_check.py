@@ -50,8 +50,7 @@ SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "dou
 
 
 def type_mismatches(sdf, con, sql: str) -> list:
-    duck_types = dict(con.execute(f"DESCRIBE {sql}").fetchall() and
-                      [(r[0], r[1]) for r in con.execute(f"DESCRIBE {sql}").fetchall()])
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
     out = []
     for f in sdf.schema.fields:
         want = SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
