@@ -117,9 +117,10 @@ def tune_forest(train: DataFrame, label: str, features: str = "all_features", gr
     """Train/validation search over the forest grid; the best set is refit on all
     training rows."""
     rf = forest(label, features)
-    tvs = TrainValidationSplit(estimator=rf, estimatorParamMaps=param_grid(rf, **(grid_kwargs or {})),
+    grid = param_grid(rf, **(grid_kwargs or {}))
+    tvs = TrainValidationSplit(estimator=rf, estimatorParamMaps=grid,
                                evaluator=evaluator(label), trainRatio=ratio, seed=seed,
-                               parallelism=parallelism)
+                               parallelism=max(1, min(parallelism, len(grid))))
     return tvs.fit(train)
 
 
