@@ -297,7 +297,7 @@ def _db(spark, name):
 def q_merge_insert_only(spark, sf_dir):
     root, db = _db(spark, "merge")
     c = table(spark, sf_dir, "customer")
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = min(spark.sparkContext.defaultParallelism, 1024)  # one bucket per core, bounded
     tbl.save_table(c.where(F.col("c_nationkey") < 15), f"{db}.target", bucket_by=(buckets, ["c_custkey"]))
     tbl.merge_insert_only(spark, f"{db}.target", c.where(F.col("c_nationkey") >= 10), "c_custkey")
     return spark.table(f"{db}.target")
