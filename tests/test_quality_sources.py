@@ -202,3 +202,18 @@ def test_medallion_run_before_any_file_landed(spark, scratch):
     _csv(f"{root}/landing", "a.csv", CLEAN)
     res = medallion.run_medallion(spark, f"{root}/landing", f"{root}/out", 2021, "med_empty_db")
     assert res["bronze_rows_added"] == 4 and res["gold"].count() == 2
+
+
+def test_command_line_jobs(spark, scratch, capsys):
+    import json
+
+    from carelake.plans import jobs
+    root = scratch("jobs").removeprefix("file:")
+    _csv(f"{root}/land/b1", "a.csv", CLEAN)
+    assert jobs.main(["medallion", "--landing", f"{root}/land/*", "--out", f"{root}/out",
+                      "--year", "2021", "--db", "jobs_test_db"]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["bronze_rows_added"] == 4 and {r["rule"] for r in out["rules"]} == {"valid_first_name", "valid_count"}
+    assert jobs.main(["load", "--source", f"{root}/land/*", "--schema", medallion.BRONZE_SCHEMA,
+                      "--target", f"{root}/t", "--checkpoint", f"{root}/ck"]) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"rows_added": 4}
