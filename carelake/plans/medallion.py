@@ -8,9 +8,10 @@ silver: ``Year AS Year_Of_Birth, First_Name, Count`` under two expectations:
 gold:   names of one year, total count per name, largest first.
 
 ``run_medallion`` runs the three layers as one triggered update: bronze is an
-incremental, exactly-once load of newly arrived files; silver (partitioned by
-year, so gold reads one partition) and gold are recomputed and published as new
-table versions only when their job succeeds.
+incremental, exactly-once load of newly arrived files; silver appends the new
+bronze rows that pass the rules (partitioned by year, so gold reads one
+partition); gold is recomputed and published as a new version only when its job
+succeeds.
 """
 
 from __future__ import annotations
@@ -21,13 +22,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.operators.quality import Rule, enforce, observe_rules, report_from_observation
+from carelake.operators.quality import Rule, enforce
 from carelake.operators.tables import point_name, publish
 from carelake.sources.files import scan_csv
-from carelake.streaming.incremental import incremental_load
+from carelake.streaming.incremental import incremental_load, run_available_now
 
 BRONZE_SCHEMA = "Year INT, `First Name` STRING, County STRING, Sex STRING, Count INT"
 BRONZE_TABLE_SCHEMA = "Year INT, First_Name STRING, County STRING, Sex STRING, Count INT"
+SILVER_TABLE_SCHEMA = "First_Name STRING, Count INT, Year_Of_Birth INT"
 
 SILVER_RULES = [
     Rule("valid_first_name", "First_Name IS NOT NULL", "warn"),
@@ -79,32 +81,51 @@ def run_medallion(spark: SparkSession, landing_dir: str, out_dir: str, year: int
                   full_refresh: bool = False) -> dict:
     """One triggered update of the three layers.
 
+    bronze: files that arrived since the last update, loaded exactly once.
+    silver: the bronze rows new since the last update, checked and appended
+            (partitioned by year). A ``fail`` rule violation fails the batch:
+            nothing of it is committed, silver and gold keep their state, and
+            the next update retries the same rows.
+    gold:   recomputed from the year's silver partition and published atomically.
+
     Returns ``{"bronze_rows_added", "report" (DataFrame), "gold" (DataFrame)}``;
     the rule counts of every update are also appended to ``<db>.expectations``.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{out_dir}/_db'")
     gen = _generation(spark, out_dir, new=full_refresh)
-    bronze_dir, ck = f"{out_dir}/bronze/{gen}/data", f"{out_dir}/bronze/{gen}/_checkpoint"
-    added = incremental_load(spark, landing_dir, BRONZE_SCHEMA, bronze_dir, ck, fmt="csv",
+    bronze_dir, bronze_ck = f"{out_dir}/bronze/{gen}/data", f"{out_dir}/bronze/{gen}/_checkpoint"
+    silver_dir, silver_ck = f"{out_dir}/silver/{gen}/data", f"{out_dir}/silver/{gen}/_checkpoint"
+    added = incremental_load(spark, landing_dir, BRONZE_SCHEMA, bronze_dir, bronze_ck, fmt="csv",
                              transform=bronze_rename)
-    # Declared schema: also reads a sink that has not committed any file yet.
-    bronze = spark.read.schema(BRONZE_TABLE_SCHEMA).parquet(bronze_dir)
-    try:
-        point_name(spark, f"{db}.bronze", bronze_dir, BRONZE_COMMENT)
-    except AnalysisException:  # nothing has landed yet; the name appears with the first file
-        pass
-
-    checked, obs = observe_rules(silver(bronze), SILVER_RULES, "silver_rules")
-    # Partitioned by year so that gold reads one folder. No repartition by the
-    # year: that would put all rows of a year in one task; every task writes
-    # its own files into the year folders instead.
-    silver_tbl = publish(checked, f"{db}.silver", f"{out_dir}/silver",
-                         SILVER_COMMENT, partition_by=["Year_Of_Birth"])
-    report = report_from_observation(spark, obs, SILVER_RULES)
+
+    # Silver reads the committed bronze files through bronze's commit log.
+    new_bronze = spark.readStream.schema(BRONZE_TABLE_SCHEMA).parquet(bronze_dir)
+    metrics = [F.count(F.lit(1)).alias("__rows")] + [F.count_if(~r.ok()).alias(r.name) for r in SILVER_RULES]
+    checked = silver(new_bronze, SILVER_RULES).observe("silver_rules", *metrics)
+    progress = run_available_now(checked, silver_dir, silver_ck, partition_by=["Year_Of_Birth"])
+    totals = {m: 0 for m in ["__rows"] + [r.name for r in SILVER_RULES]}
+    for p in progress:
+        row = (p["observedMetrics"] or {}).get("silver_rules")
+        if row is not None:
+            for m in totals:
+                totals[m] += int(row[m] or 0)
+    report = spark.createDataFrame(
+        [(r.name, totals["__rows"] - totals[r.name], totals[r.name]) for r in SILVER_RULES],
+        "rule string, passed bigint, failed bigint")
     # Expectation history: one row per rule and update, appended (never rewritten).
     (report.withColumn("table", F.lit("silver")).withColumn("run_at", F.current_timestamp())
      .write.mode("append").parquet(f"{out_dir}/_expectations"))
     point_name(spark, f"{db}.expectations", f"{out_dir}/_expectations", "Expectation counts per update")
+
+    for name, path, comment in ((f"{db}.bronze", bronze_dir, BRONZE_COMMENT),
+                                (f"{db}.silver", silver_dir, SILVER_COMMENT)):
+        try:
+            point_name(spark, name, path, comment)
+        except AnalysisException:  # nothing has landed yet; the name appears with the first file
+            pass
+    # Declared schema: also reads a sink that has not committed any file yet;
+    # the year filter prunes silver to one partition.
+    silver_tbl = spark.read.schema(SILVER_TABLE_SCHEMA).parquet(silver_dir)
     gold_tbl = publish(gold(silver_tbl, year), f"{db}.gold", f"{out_dir}/gold", GOLD_COMMENT)
     # Row order of stored files is not kept on read: sort again.
     gold_sorted = gold_tbl.sort(F.desc("Total_Count"), F.asc("First_Name"))

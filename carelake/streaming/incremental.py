@@ -15,6 +15,30 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 
+def run_available_now(stream: DataFrame, target_dir: str, checkpoint_dir: str,
+                      partition_by: list[str] | None = None) -> list:
+    """Write every not-yet-processed input of ``stream`` into a Parquet sink and
+    stop; returns the progress report of each micro-batch of this run."""
+    spark = stream.sparkSession
+    # Keep every progress report of the run (Spark keeps 100 by default). The
+    # stream copies the session conf when it starts, so it is restored after.
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "1000000")
+    try:
+        w = (stream.writeStream.format("parquet").option("path", target_dir)
+             .option("checkpointLocation", checkpoint_dir).outputMode("append"))
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        q = w.trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(key, old)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return list(q.recentProgress)
+
+
 def incremental_load(spark: SparkSession, source_dir: str, schema: StructType | str, target_dir: str,
                      checkpoint_dir: str, fmt: str = "csv", options: dict[str, str] | None = None,
                      transform=None, max_files_per_trigger: int | None = None) -> int:
@@ -35,22 +59,8 @@ def incremental_load(spark: SparkSession, source_dir: str, schema: StructType |
     stream = reader.load(source_dir)
     if transform is not None:
         stream = transform(stream)
-    # The row count below sums this run's progress updates; keep all of them
-    # (Spark keeps 100 by default). The stream copies the session conf when it
-    # starts, so the setting is restored right after.
-    key = "spark.sql.streaming.numRecentProgressUpdates"
-    old = spark.conf.get(key)
-    spark.conf.set(key, "1000000")
-    try:
-        q = (stream.writeStream.format("parquet").option("path", target_dir)
-             .option("checkpointLocation", checkpoint_dir).outputMode("append")
-             .trigger(availableNow=True).start())
-    finally:
-        spark.conf.set(key, old)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
-    return int(sum(p.get("numInputRows", 0) for p in q.recentProgress))
+    progress = run_available_now(stream, target_dir, checkpoint_dir)
+    return int(sum(p["numInputRows"] for p in progress))
 
 
 def start_continuous_load(spark: SparkSession, source_dir: str, schema: StructType | str, target_dir: str,
