@@ -41,3 +41,12 @@ def test_note_and_frequency_aggregates_with_a_hot_chunk(spark):
     assert [(r.Drug, r.Frequency) for r in freq] == [("heparin", 1999)]
     total = stats.grouped(spans, ["chunk"], {"n": F.count(F.lit(1))}).where("chunk = 'heparin'").first().n
     assert total == 3000 + 1998
+
+
+def test_spread_only_widens_small_inputs(spark):
+    from carelake.operators.parallel import MAX_SPREAD, spread
+    small = spark.range(100).coalesce(1)
+    assert spread(small, 8).rdd.getNumPartitions() == 8
+    wide = spark.range(1000).repartition(16)
+    assert spread(wide, 8) is wide  # already has enough splits: no shuffle added
+    assert MAX_SPREAD >= 8
