@@ -1,6 +1,9 @@
 """Run registered queries against their DuckDB oracle and compare.
 
-usage: python -m tests.oracle_check [sf_dir] [key ...]
+usage: python -m tests.oracle_check [--plain] [sf_dir] [key ...]
+
+``--plain`` runs in a default SparkSession (as an outside caller would) instead
+of one made by ``carelake.session.build_session``.
 """
 
 from __future__ import annotations
@@ -90,9 +93,16 @@ def main(argv: list[str]) -> int:
     sys.path.insert(0, ".")
     import __spark_entry__ as E
     from carelake.session import build_session
+    plain = "--plain" in argv
+    argv = [a for a in argv if a != "--plain"]
     sf_dir = argv[0] if argv and argv[0].startswith("/") else "/root/testdata/sf0.01"
     keys = [a for a in argv if not a.startswith("/")]
-    spark = build_session()
+    if plain:
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = build_session()
     qs, sqls = E.queries(), E.oracle_sql()
     con = duck(sf_dir)
     fails = 0
@@ -101,7 +111,7 @@ def main(argv: list[str]) -> int:
             r = compare(spark, sf_dir, k, qs[k], sqls.get(k), con)
         except Exception as e:  # noqa: BLE001
             r = {"key": k, "status": f"ERROR {type(e).__name__}: {str(e)[:400]}"}
-        fails += r["status"] not in ("ok", "rows-only")
+        fails += r["status"] not in ("ok", "rows-only") or bool(r.get("types"))
         print(r, flush=True)
     print("failures:", fails)
     return 1 if fails else 0
