@@ -135,7 +135,7 @@ Extractor = Callable[[str], list[tuple[str, str, int, int]]]
 
 
 def extract_with_model(notes: DataFrame, load_model: Callable[[], Extractor], key: str = "doc_id",
-                       text: str = "text", key_type: str = "bigint") -> DataFrame:
+                       text: str = "text", key_type: str | None = None) -> DataFrame:
     """Run a model over every note: ``(key, chunk, entity, start, end)``.
 
     ``load_model`` is called once per task (not per note, not on the driver) and
@@ -143,7 +143,8 @@ def extract_with_model(notes: DataFrame, load_model: Callable[[], Extractor], ke
     Arrow batches capped by ``spark.sql.execution.arrow.maxBytesPerBatch`` (set
     by ``build_session``), so long notes do not make a batch unbounded.
     """
-    schema = f"{key} {key_type}, {SPAN_SCHEMA}"
+    key_type = key_type or notes.schema[key].dataType.simpleString()
+    schema = f"`{key}` {key_type}, {SPAN_SCHEMA}"
     # Ship this module's code with the task (the closure below and the stand-in
     # model), so Python workers need no installed copy of the library.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -108,6 +108,9 @@ def test_entity_spans_lexicon_and_model_agree(spark, scratch):
     lex.coalesce(1).write.parquet(p)
     model = sorted(tuple(r) for r in notes.extract_with_model(docs, notes.LexiconModel(p)).collect())
     assert model == spans
+    by_path = docs.selectExpr("concat('note_', doc_id) AS path", "text")
+    keyed = sorted(tuple(r) for r in notes.extract_with_model(by_path, notes.LexiconModel(p), key="path").collect())
+    assert keyed == [("note_" + str(k), *rest) for k, *rest in spans]
 
 
 def test_lexicon_classes(spark):
