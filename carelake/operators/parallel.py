@@ -17,6 +17,8 @@ MAX_SPREAD = 1024  # enough tasks for a small input on any cluster
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    if df.isStreaming:  # micro-batches are split by the source; nothing to widen up front
+        return df
     target = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, MAX_SPREAD)
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)

@@ -50,3 +50,15 @@ def test_spread_only_widens_small_inputs(spark):
     wide = spark.range(1000).repartition(16)
     assert spread(wide, 8) is wide  # already has enough splits: no shuffle added
     assert MAX_SPREAD >= 8
+
+
+def test_entity_spans_on_a_stream_of_notes(spark, scratch):
+    from carelake.streaming.incremental import run_available_now
+    root = scratch("nstream")
+    spark.createDataFrame([(1, "warfarin daily"), (2, "no match")], "doc_id bigint, text string") \
+        .write.parquet(f"{root}/in")
+    stream = spark.readStream.schema("doc_id bigint, text string").parquet(f"{root}/in")
+    lex = spark.createDataFrame([("warfarin", "DRUG")], "term string, entity string")
+    progress = run_available_now(notes.entity_spans(stream, lex), f"{root}/out", f"{root}/ck")
+    assert sum(p["numInputRows"] for p in progress) == 2
+    assert [tuple(r) for r in spark.read.parquet(f"{root}/out").collect()] == [(1, "warfarin", "DRUG", 0, 1)]
