@@ -217,3 +217,22 @@ def test_command_line_jobs(spark, scratch, capsys):
     assert jobs.main(["load", "--source", f"{root}/land/*", "--schema", medallion.BRONZE_SCHEMA,
                       "--target", f"{root}/t", "--checkpoint", f"{root}/ck"]) == 0
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"rows_added": 4}
+
+
+def test_continuous_load_resumes_after_a_stop(spark, scratch):
+    from carelake.streaming.incremental import start_continuous_load
+    root = scratch("resume").removeprefix("file:")
+    args = (f"{root}/land/*", "k string, v int", f"{root}/t", f"{root}/ck")
+    os.makedirs(f"{root}/land/b1")
+    with open(f"{root}/land/b1/a.csv", "w") as f:
+        f.write("k,v\na,1\n")
+    q = start_continuous_load(spark, *args, every="1 second")
+    q.processAllAvailable()
+    q.stop()
+    os.makedirs(f"{root}/land/b2")  # arrives while the load is stopped
+    with open(f"{root}/land/b2/a.csv", "w") as f:
+        f.write("k,v\nb,2\n")
+    q = start_continuous_load(spark, *args, every="1 second")
+    q.processAllAvailable()
+    q.stop()
+    assert sorted(tuple(r) for r in read_loaded(spark, f"{root}/t").collect()) == [("a", 1), ("b", 2)]
