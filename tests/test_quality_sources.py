@@ -236,3 +236,19 @@ def test_continuous_load_resumes_after_a_stop(spark, scratch):
     q.processAllAvailable()
     q.stop()
     assert sorted(tuple(r) for r in read_loaded(spark, f"{root}/t").collect()) == [("a", 1), ("b", 2)]
+
+
+def test_scan_csv_separator_schema_and_modes(spark, scratch):
+    d = scratch("csv2").removeprefix("file:")
+    os.makedirs(d)
+    with open(f"{d}/a.csv", "w") as f:
+        f.write("id|name|amount\n1|x|2.5\n2|y|bad\n")
+    inferred = files.scan_csv(spark, d, sep="|")
+    assert dict(inferred.dtypes) == {"id": "int", "name": "string", "amount": "string"}
+    declared = files.scan_csv(spark, d, schema="id INT, name STRING, amount DOUBLE", sep="|")
+    assert [(r.id, r.amount) for r in declared.orderBy("id").collect()] == [(1, 2.5), (2, None)]
+    with pytest.raises(Exception):
+        files.scan_csv(spark, d, schema="id INT, name STRING, amount DOUBLE", sep="|", mode="FAILFAST").collect()
+    out = files.write_csv(declared.where("amount IS NOT NULL"), f"{d}/out", sep=";")
+    again = files.scan_csv(spark, out, schema="id INT, name STRING, amount DOUBLE", sep=";")
+    assert [tuple(r) for r in again.collect()] == [(1, "x", 2.5)]
