@@ -1,0 +1,56 @@
+"""Random fixtures checked against brute force in plain Python."""
+
+from collections import Counter
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from carelake.operators import notes, tables as tbl
+
+SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+
+keys = st.one_of(st.none(), st.sampled_from(["a", "b", "c", "d", "e"]))
+
+
+@SETTINGS
+@given(target=st.lists(st.sampled_from(["a", "b", "c"]), max_size=4, unique=True),
+       source=st.lists(keys, max_size=8))
+def test_merge_matches_brute_force(spark, scratch, target, source):
+    root = scratch("prop")
+    db = tbl.scratch_database(spark, f"{root}/db", prefix="prop")
+    tbl.save_table(spark.createDataFrame([(k, "t") for k in target], "k string, v string"), f"{db}.t")
+    src = spark.createDataFrame([(k, f"s{i}") for i, k in enumerate(source)], "k string, v string")
+    n = tbl.merge_insert_only(spark, f"{db}.t", src, "k")
+    expected_new = [(k, f"s{i}") for i, k in enumerate(source) if k is None or k not in target]
+    assert n == len(expected_new)
+    got = sorted(((r.k or ""), r.v) for r in spark.table(f"{db}.t").collect())
+    assert got == sorted([(k, "t") for k in target] + [((k or ""), v) for k, v in expected_new])
+
+
+LABELS = ["DRUG", "FORM"]
+span = st.tuples(st.integers(0, 4), st.sampled_from(["x", "y", "z", "w"]), st.sampled_from(LABELS))
+
+
+def brute_force(rows, min_notes):
+    """Per note (in note order) a dict chunk -> label filled in position order:
+    a later mention overwrites the label but keeps the chunk's first place;
+    then count DRUG chunks over notes, most common first, ties by first seen."""
+    seen = []
+    for note in sorted({r[0] for r in rows}):
+        d = {}
+        for _, chunk, label, start in sorted((r for r in rows if r[0] == note), key=lambda r: r[3]):
+            d[chunk] = label
+        seen += [c for c, lab in d.items() if lab == "DRUG"]
+    return [(c, n) for c, n in Counter(seen).most_common() if n >= min_notes]
+
+
+@SETTINGS
+@given(st.lists(span, min_size=1, max_size=30), st.integers(1, 3))
+def test_doc_freq_matches_brute_force(spark, raw, min_notes):
+    # one mention per (note, position); positions in order of appearance
+    rows = [(note, chunk, label, i) for i, (note, chunk, label) in enumerate(raw)]
+    df = spark.createDataFrame([(n, c, lab, s, s + 1) for n, c, lab, s in rows],
+                               "doc_id bigint, chunk string, entity string, start int, end int")
+    got = [(r.Drug, r.Frequency) for r in
+           notes.entity_doc_freq(notes.note_entities(df, labels=LABELS), min_notes=min_notes).collect()]
+    assert got == brute_force(rows, min_notes)
