@@ -4,7 +4,8 @@ Responses arrive as a payload table ``(drug, xml)``; they are decoded in Spark
 with ``from_xml`` against a declared schema. Both nesting levels are declared as
 arrays, so a group holding one concept and a group holding several decode the
 same way, a group without concepts yields nothing, and a response with no group,
-malformed XML or NULL XML yield no rows and no error.
+malformed XML or NULL XML yield no rows and no error. Surrounding whitespace of
+text values is trimmed, as XML-to-dict converters do.
 """
 
 from __future__ import annotations

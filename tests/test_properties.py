@@ -54,3 +54,21 @@ def test_doc_freq_matches_brute_force(spark, raw, min_notes):
     got = [(r.Drug, r.Frequency) for r in
            notes.entity_doc_freq(notes.note_entities(df, labels=LABELS), min_notes=min_notes).collect()]
     assert got == brute_force(rows, min_notes)
+
+
+name = st.text(alphabet=st.sampled_from(list("ab &<>é'\"")), min_size=1, max_size=6)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["B1", "B&2"]), st.sampled_from(["SBD", "T<1"]), name),
+                min_size=1, max_size=20))
+def test_response_documents_roundtrip(spark, concepts):
+    from pyspark.sql import functions as F
+
+    from carelake.operators import coding
+    rows = [(drug, grp, i, nm) for i, (drug, grp, nm) in enumerate(concepts)]
+    df = spark.createDataFrame(rows, "drug string, grp string, key bigint, name string")
+    docs = coding.concept_payloads(df, "drug", "grp", "key", "name", bucket=F.floor(F.col("key") / 3))
+    got = sorted(tuple(r) for r in coding.flatten_concepts(coding.parse_responses(docs)).collect())
+    # text values come back without surrounding whitespace, as XML-to-dict converters give them
+    assert got == sorted((drug, str(i), nm.strip()) for drug, _, i, nm in rows)
