@@ -72,3 +72,20 @@ def test_response_documents_roundtrip(spark, concepts):
     got = sorted(tuple(r) for r in coding.flatten_concepts(coding.parse_responses(docs)).collect())
     # text values come back without surrounding whitespace, as XML-to-dict converters give them
     assert got == sorted((drug, str(i), nm.strip()) for drug, _, i, nm in rows)
+
+
+text = st.text(alphabet=st.sampled_from(list("abAB éÉ.,\\n")), max_size=40)
+
+
+@SETTINGS
+@given(st.lists(text, min_size=1, max_size=5))
+def test_entity_spans_match_brute_force(spark, texts):
+    import re
+    lexicon = {"ab": "DRUG", "ba": "FORM", "a": "ROUTE"}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    lex = spark.createDataFrame(list(lexicon.items()), "term string, entity string")
+    got = sorted(tuple(r) for r in notes.entity_spans(docs, lex).collect())
+    want = sorted((i, w.lower(), lexicon[w.lower()], p, p + 1)
+                  for i, t in enumerate(texts)
+                  for p, w in enumerate(re.findall(r"[A-Za-z]+", t)) if w.lower() in lexicon)
+    assert got == want
