@@ -47,9 +47,12 @@ def rounded(c: ColumnOrName, digits: int = 6) -> Column:
 
 
 def pearson(a: ColumnOrName, b: ColumnOrName) -> Column:
-    """Pearson r as an aggregate; NULL (not an error) when a side is constant."""
+    """Pearson r as an aggregate over the rows where both values are present
+    (pairwise complete); NULL (not an error) when a side is constant."""
     a, b = _col(a), _col(b)
-    return F.try_divide(F.covar_samp(a, b), F.stddev_samp(a) * F.stddev_samp(b))
+    both = a.isNotNull() & b.isNotNull()
+    a2, b2 = F.when(both, a), F.when(both, b)
+    return F.try_divide(F.covar_samp(a2, b2), F.stddev_samp(a2) * F.stddev_samp(b2))
 
 
 def request_url(base: str, name: ColumnOrName) -> Column:

@@ -43,7 +43,8 @@ def _describe_wide(table: str, cols: list[str]) -> str:
 
 
 def _r(a: str, b: str) -> str:
-    x, y = f"CAST({a} AS DOUBLE)", f"CAST({b} AS DOUBLE)"
+    both = f"{a} IS NOT NULL AND {b} IS NOT NULL"
+    x, y = f"CASE WHEN {both} THEN CAST({a} AS DOUBLE) END", f"CASE WHEN {both} THEN CAST({b} AS DOUBLE) END"
     return f"round(covar_samp({x}, {y}) / nullif(stddev_samp({x}) * stddev_samp({y}), 0), 6)"
 
 

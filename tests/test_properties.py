@@ -89,3 +89,33 @@ def test_entity_spans_match_brute_force(spark, texts):
                   for i, t in enumerate(texts)
                   for p, w in enumerate(re.findall(r"[A-Za-z]+", t)) if w.lower() in lexicon)
     assert got == want
+
+
+money = st.integers(-10**7, 10**7).map(lambda c: c / 100)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.one_of(st.none(), money), money), min_size=3, max_size=40), st.integers(1, 6))
+def test_statistics_match_brute_force(spark, rows, parts):
+    from decimal import Decimal
+
+    import numpy as np
+    import pytest
+
+    from carelake.functions.columns import exact_sum
+    from carelake.operators import stats
+    df = spark.createDataFrame(rows, "x double, y double").repartition(parts)
+    xs = [x for x, _ in rows if x is not None]
+    s = df.agg(exact_sum("x").alias("s")).first().s
+    assert s == (float(sum(Decimal(str(x)) for x in xs)) if xs else None)
+    d = {(r.column, r.stat): r.value for r in stats.describe_long(df, ["x"], digits=None).collect()}
+    assert d[("x", "count")] == len(xs)
+    if len(xs) >= 2:
+        assert d[("x", "mean")] == pytest.approx(np.mean(xs), rel=1e-9, abs=1e-9)
+        assert d[("x", "stddev")] == pytest.approx(np.std(xs, ddof=1), rel=1e-6, abs=1e-6)
+        assert (d[("x", "min")], d[("x", "max")]) == (min(xs), max(xs))
+    pairs = [(x, y) for x, y in rows if x is not None]
+    r = {(a.feature_a, a.feature_b): a.r for a in stats.corr_matrix(df, ["x", "y"], digits=None).collect()}
+    ax, ay = np.array([p[0] for p in pairs]), np.array([p[1] for p in pairs])
+    if len(pairs) >= 2 and ax.std() > 0 and ay.std() > 0:
+        assert r[("x", "y")] == pytest.approx(np.corrcoef(ax, ay)[0, 1], abs=1e-6)

@@ -195,3 +195,9 @@ def test_model_hook_multi_token_terms(spark, scratch):
         (1, "aspirin", "DRUG", 1, 2), (1, "by mouth", "ROUTE", 4, 6), (1, "twice", "DOSAGE", 7, 8),
         (1, "twice daily", "FREQUENCY", 2, 4),
         (2, "by mouth", "ROUTE", 0, 2), (2, "by mouth", "ROUTE", 2, 4), (2, "daily", "FREQUENCY", 4, 5)]
+
+
+def test_correlation_uses_pairwise_complete_rows(spark):
+    df = spark.createDataFrame([(None, 0.0), (0.0, 0.0), (0.01, 0.01)], "x double, y double")
+    r = {(a.feature_a, a.feature_b): a.r for a in stats.corr_matrix(df, ["x", "y"]).collect()}
+    assert r[("x", "y")] == 1.0  # not 1.22: the row with a NULL x is left out on both sides
