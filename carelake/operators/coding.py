@@ -65,7 +65,7 @@ def code_drugs(drugs: DataFrame, concepts: DataFrame, drug: str = "Drug",
 
 
 def _esc(c):
-    c = c.cast("string")
+    c = F.coalesce(c.cast("string"), F.lit(""))  # a NULL value becomes an empty element, not a lost row
     for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
         c = F.regexp_replace(c, a, b)
     return c

@@ -201,3 +201,11 @@ def test_correlation_uses_pairwise_complete_rows(spark):
     df = spark.createDataFrame([(None, 0.0), (0.0, 0.0), (0.01, 0.01)], "x double, y double")
     r = {(a.feature_a, a.feature_b): a.r for a in stats.corr_matrix(df, ["x", "y"]).collect()}
     assert r[("x", "y")] == 1.0  # not 1.22: the row with a NULL x is left out on both sides
+
+
+def test_payloads_keep_concepts_with_null_values(spark):
+    df = spark.createDataFrame([("B1", "T", 1, None), ("B1", None, 2, "n2"), ("B1", "T", 3, "n3")],
+                               "drug string, grp string, key bigint, name string")
+    docs = coding.concept_payloads(df, "drug", "grp", "key", "name", bucket=F.lit(0))
+    got = sorted(tuple(r) for r in coding.flatten_concepts(coding.parse_responses(docs)).collect())
+    assert got == [("B1", "1", ""), ("B1", "2", "n2"), ("B1", "3", "n3")]
