@@ -119,3 +119,18 @@ def test_statistics_match_brute_force(spark, rows, parts):
     ax, ay = np.array([p[0] for p in pairs]), np.array([p[1] for p in pairs])
     if len(pairs) >= 2 and ax.std() > 0 and ay.std() > 0:
         assert r[("x", "y")] == pytest.approx(np.corrcoef(ax, ay)[0, 1], abs=1e-6)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from([2020, 2021]), st.sampled_from(list("ABCDEFGHIJKL")),
+                          st.integers(1, 3)), min_size=1, max_size=40), st.integers(1, 12))
+def test_gold_and_top_k_match_brute_force(spark, rows, k):
+    from carelake.plans import medallion
+    silver = spark.createDataFrame(rows, "Year_Of_Birth int, First_Name string, Count int")
+    totals = Counter()
+    for year, name, count in rows:
+        if year == 2021:
+            totals[name] += count
+    want = sorted(totals.items(), key=lambda kv: (-kv[1], kv[0]))
+    assert [tuple(r) for r in medallion.gold(silver, 2021).collect()] == want
+    assert [tuple(r) for r in medallion.gold_top(silver, 2021, k).collect()] == want[:k]
