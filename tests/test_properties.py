@@ -134,3 +134,17 @@ def test_gold_and_top_k_match_brute_force(spark, rows, k):
     want = sorted(totals.items(), key=lambda kv: (-kv[1], kv[0]))
     assert [tuple(r) for r in medallion.gold(silver, 2021).collect()] == want
     assert [tuple(r) for r in medallion.gold_top(silver, 2021, k).collect()] == want[:k]
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.sampled_from(["a", "b", "c"]), min_size=1, max_size=5),
+       st.lists(st.lists(st.sampled_from(["d", "e"]), min_size=1, max_size=3), max_size=3))
+def test_shallow_clone_keeps_its_snapshot(spark, scratch, first, later):
+    root = scratch("clone-prop")
+    db = tbl.scratch_database(spark, f"{root}/db", prefix="cp")
+    raw = tbl.save_table(spark.createDataFrame([(k,) for k in first], "k string"), f"{db}.raw")
+    tbl.snapshot_clone(spark, raw, f"{root}/clone")
+    for batch in later:
+        tbl.append_by_name(spark.createDataFrame([(k,) for k in batch], "k string"), f"{db}.raw")
+    assert sorted(r.k for r in tbl.read_clone(spark, f"{root}/clone").collect()) == sorted(first)
+    assert spark.table(f"{db}.raw").count() == len(first) + sum(map(len, later))
