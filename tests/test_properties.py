@@ -148,3 +148,23 @@ def test_shallow_clone_keeps_its_snapshot(spark, scratch, first, later):
         tbl.append_by_name(spark.createDataFrame([(k,) for k in batch], "k string"), f"{db}.raw")
     assert sorted(r.k for r in tbl.read_clone(spark, f"{root}/clone").collect()) == sorted(first)
     assert spark.table(f"{db}.raw").count() == len(first) + sum(map(len, later))
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(1, 4), st.integers(0, 2)), min_size=1, max_size=3))
+def test_incremental_load_loads_each_row_once(spark, scratch, batches):
+    import os
+
+    from carelake.streaming.incremental import incremental_load, read_loaded
+    root = scratch("inc-prop").removeprefix("file:")
+    args = (f"{root}/land/*", "k string, v int", f"{root}/t", f"{root}/ck")
+    expected = []
+    for b, (rows, reruns) in enumerate(batches):
+        os.makedirs(f"{root}/land/b{b}")
+        with open(f"{root}/land/b{b}/a.csv", "w") as f:
+            f.write("k,v\n" + "".join(f"b{b}r{i},{i}\n" for i in range(rows)))
+        expected += [(f"b{b}r{i}", i) for i in range(rows)]
+        assert incremental_load(spark, *args) == rows
+        for _ in range(reruns):
+            assert incremental_load(spark, *args) == 0
+    assert sorted(tuple(r) for r in read_loaded(spark, f"{root}/t").collect()) == sorted(expected)
