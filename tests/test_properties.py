@@ -168,3 +168,21 @@ def test_incremental_load_loads_each_row_once(spark, scratch, batches):
         for _ in range(reruns):
             assert incremental_load(spark, *args) == 0
     assert sorted(tuple(r) for r in read_loaded(spark, f"{root}/t").collect()) == sorted(expected)
+
+
+@SETTINGS
+@given(st.lists(st.sampled_from(["daily", "tablet", "tablets", "weekly", "oral", "aspirin", "x"]),
+                min_size=1, max_size=12))
+def test_entity_rules_match_brute_force(spark, words):
+    import re
+    lexicon = {"aspirin": "DRUG", "weekly": "DOSAGE"}
+    rules = {"FREQUENCY": "daily|weekly", "FORM": "tablets?", "ROUTE": "oral|daily"}
+    docs = spark.createDataFrame([(1, " ".join(words))], "doc_id bigint, text string")
+    lex = spark.createDataFrame(list(lexicon.items()), "term string, entity string")
+    got = sorted(tuple(r) for r in notes.entity_spans(docs, lex, rules=rules).collect())
+    want = []
+    for p, w in enumerate(words):
+        label = lexicon.get(w) or next((lab for lab, rx in rules.items() if re.fullmatch(rx, w)), None)
+        if label:
+            want.append((1, w, label, p, p + 1))
+    assert got == sorted(want)
