@@ -186,3 +186,14 @@ def test_entity_rules_match_brute_force(spark, words):
         if label:
             want.append((1, w, label, p, p + 1))
     assert got == sorted(want)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.integers(1, 7), st.integers(0, 10_000), st.floats(0.1, 0.9))
+def test_labelled_split_equals_random_split(spark, parts, seed, ratio):
+    from carelake.operators import treatment
+    df = spark.range(500).selectExpr("id", "id % 7 AS x").repartition(parts).cache()
+    train, _ = treatment.random_split(df, ratio, seed)
+    lab = treatment.labelled_split(df, ratio, seed)
+    assert {r.id for r in lab.where("split = 'train'").collect()} == {r.id for r in train.collect()}
+    df.unpersist()
