@@ -84,3 +84,28 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     or overwrites the files of an earlier run.
     """
     return f"{checkpoint_root(spark)}/carelake/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package's source (once per application).
+
+    Functions that run in Python tasks are pickled by reference, so the workers
+    must be able to import ``carelake``. The source goes out as a zip through
+    Spark's own file distribution; it is written in the driver's temporary
+    folder, which only the driver reads.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_carelake_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    fd, path = tempfile.mkstemp(prefix="carelake-", suffix=".zip")
+    with os.fdopen(fd, "wb") as f, zipfile.ZipFile(f, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    p = os.path.join(folder, n)
+                    z.write(p, os.path.join("carelake", os.path.relpath(p, root)))
+    sc.addPyFile(os.path.realpath(path))
+    sc._carelake_shipped = True
