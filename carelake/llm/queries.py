@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carelake.llm import bpe, token_counts, token_output
+from carelake.llm import bpe, simhash, token_counts, token_output
 from carelake.session import scratch_dir
 
 
@@ -20,6 +20,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), keep=["doc_id"], ids=False)
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, distance=2)
+
+
 def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = token_output.write_token_ids(table(spark, sf_dir, "documents"), scratch_dir(spark, "token-ids"))
     return token_output.digests(spark, folder)
@@ -28,5 +32,6 @@ def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op5_bpe": op5_bpe,
+    "op6_simhash": op6_simhash,
     "op9_token_output": op9_token_output,
 }
