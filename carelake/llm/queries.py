@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carelake.llm import bpe, simhash, token_counts, token_output
+from carelake.llm import bpe, langid, simhash, token_counts, token_output
 from carelake.session import scratch_dir
 
 
@@ -29,9 +29,16 @@ def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.digests(spark, folder)
 
 
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs, langid.fit_on_rest(docs), keep=["doc_id"])
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+
+
 QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op5_bpe": op5_bpe,
     "op6_simhash": op6_simhash,
     "op9_token_output": op9_token_output,
+    "op10_langid": op10_langid,
 }
