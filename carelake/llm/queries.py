@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carelake.llm import bpe, langid, simhash, token_counts, token_output
+from carelake.llm import bpe, langid, quality_rules, simhash, token_counts, token_output
 from carelake.session import scratch_dir
 
 
@@ -24,6 +24,13 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, distance=2)
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rules = quality_rules.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_rules.judge(docs.select("doc_id", "text"), rules).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+
+
 def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = token_output.write_token_ids(table(spark, sf_dir, "documents"), scratch_dir(spark, "token-ids"))
     return token_output.digests(spark, folder)
@@ -39,6 +46,7 @@ QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op5_bpe": op5_bpe,
     "op6_simhash": op6_simhash,
+    "op8_quality_rules": op8_quality_rules,
     "op9_token_output": op9_token_output,
     "op10_langid": op10_langid,
 }
