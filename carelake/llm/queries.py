@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carelake.llm import bpe, langid, quality_rules, simhash, token_counts, token_output
+from carelake.llm import bpe, langid, mixing, quality_rules, sharding, simhash, token_counts, token_output, topk
 from carelake.session import scratch_dir
 
 
@@ -12,10 +12,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, max_copies=2).report()
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), limit=512, keep=["doc_id"])
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"), shards=40)
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), keep=["doc_id"], ids=False)
 
@@ -24,6 +32,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, distance=2)
 
 
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), k=5, every=50, scale=256.0)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rules = quality_rules.fit(docs, table(spark, sf_dir, "labels"))
@@ -43,9 +55,12 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_mixing": op2_mixing,
     "op3_token_counts": op3_token_counts,
+    "op4_sharding": op4_sharding,
     "op5_bpe": op5_bpe,
     "op6_simhash": op6_simhash,
+    "op7_topk": op7_topk,
     "op8_quality_rules": op8_quality_rules,
     "op9_token_output": op9_token_output,
     "op10_langid": op10_langid,
