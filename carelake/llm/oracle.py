@@ -1,3 +1,43 @@
 """DuckDB SQL for the queries of this subpackage that SQL can express."""
 
-ORACLE: dict[str, str] = {}
+from __future__ import annotations
+
+import re
+
+from carelake.llm.license_scan import CONTAINMENT, NOTICES, WIDTH
+
+
+def _quoted(text: str) -> str:
+    return "'" + " ".join(text.split()).replace("'", "''") + "'"
+
+
+#: Exact containment of every template in every window of its grid.
+LICENSES = f"""
+WITH notices(template_id, text) AS (VALUES {', '.join(f"({_quoted(n)}, {_quoted(t)})" for n, t in NOTICES)}),
+texts AS (SELECT doc_id AS id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM documents WHERE text IS NOT NULL),
+placed AS (
+  SELECT id, len(w) AS n, p - 1 AS pos, array_to_string(w[p:p + {WIDTH - 1}], ' ') AS shingle
+  FROM (SELECT id, w, unnest(range(1, greatest(len(w) - {WIDTH - 1}, 1) + 1)) AS p FROM texts WHERE len(w) > 0)),
+named AS (SELECT template_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM notices),
+of AS (
+  SELECT DISTINCT template_id, array_to_string(w[p:p + {WIDTH - 1}], ' ') AS shingle
+  FROM (SELECT template_id, w, unnest(range(1, greatest(len(w) - {WIDTH - 1}, 1) + 1)) AS p FROM named)),
+sized AS (
+  SELECT template_id, m, CASE WHEN m = 1 THEN 1 ELSE CAST(pow(2, ceil(log2(m))) AS BIGINT) // 2 END AS stride,
+         CASE WHEN m = 1 THEN 1 ELSE 3 END AS k
+  FROM (SELECT template_id, count(*) AS m FROM of GROUP BY 1)),
+hits AS (SELECT p.id, p.n, p.pos, p.shingle, s.* FROM placed p JOIN of USING (shingle) JOIN sized s USING (template_id)),
+windows AS (
+  SELECT id, template_id, m, n, win, count(DISTINCT shingle) AS found, min(pos) AS first, max(pos) AS last
+  FROM (SELECT *, pos // stride - unnest(range(0, k)) AS win FROM hits) WHERE win >= 0 GROUP BY ALL),
+good AS (SELECT * FROM windows WHERE found >= {CONTAINMENT} * m - 1e-9),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY id, template_id ORDER BY found DESC, win) AS r,
+                  count(*) OVER (PARTITION BY id, template_id) AS n_windows FROM good)
+SELECT id AS doc_id, template_id, CAST(found AS DOUBLE) / m AS containment, found AS n_found, m AS n_shingles, first AS first_word,
+       least(last - first + {WIDTH}, n) AS n_words, n_windows
+FROM ranked WHERE r = 1
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_license_scan": re.sub(r"\n\s*", "\n", LICENSES).strip(),
+}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carelake.llm import bpe, langid, mixing, quality_rules, sharding, simhash, token_counts, token_output, topk
+from carelake.llm import bpe, langid, license_scan, mixing, quality_rules, sharding, simhash, token_counts, token_output, topk
 from carelake.session import scratch_dir
 
 
@@ -12,6 +12,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, max_copies=2).report()
 
@@ -55,6 +59,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_mixing": op2_mixing,
     "op3_token_counts": op3_token_counts,
     "op4_sharding": op4_sharding,
