@@ -312,6 +312,23 @@ def _scorer(data) -> Scorer:
 
 # --- prediction -------------------------------------------------------------------------
 
+def _judge(scorer: Scorer | None, m: Model, texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(index of the language, score, cross-entropy, rejected) of each text."""
+    n, und = len(texts), len(m.languages)
+    if not und:
+        return np.zeros(n, int), np.zeros(n), np.full(n, np.nan), np.ones(n, bool)
+    total, size = scorer.run(texts)
+    some, length = size > 0, np.maximum(size, 1)
+    cross = -total / length[:, None]
+    pred, low = cross.argmin(1), cross.min(1)
+    z = -m.sharpness * cross
+    score = np.where(some, np.exp(z.max(1) - np.logaddexp.reduce(z, axis=1)), 0.0)
+    mean, any_length, falls, far = m.bound[pred].T
+    reach = np.maximum(far * np.sqrt(any_length + falls / length), MIXED * (np.log(m.alphabet) - mean))
+    rejected = ~some | (low - mean > reach)
+    return np.where(some, pred, und), np.minimum(score, 1.0), np.where(some, low, np.nan), rejected
+
+
 def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns (default: all) plus ``lang_pred``, ``score`` (0 to 1),
     ``cross_entropy`` (per character, null without letters) and ``rejected``.
@@ -328,35 +345,37 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str]
                        + ["lang_pred string", "score double", "cross_entropy double", "rejected boolean"])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer(data)
-        m = data.value
+        scorer, m = _scorer(data), data.value
         names = np.array([*m.languages, "und"], object)
         for batch in parts:
             texts = batch.column(len(keep)).to_pylist()
             for i, j in _batches(texts):
-                n = j - i
-                if not m.languages:
-                    pred, score, low, out = np.zeros(n, int), np.zeros(n), np.full(n, np.nan), np.ones(n, bool)
-                else:
-                    total, size = scorer.run(texts[i:j])
-                    some = size > 0
-                    cross = -total / np.maximum(size, 1)[:, None]
-                    pred, low = cross.argmin(1), cross.min(1)
-                    z = -m.sharpness * cross
-                    score = np.where(some, np.exp(z.max(1) - np.logaddexp.reduce(z, axis=1)), 0.0)
-                    mean, any_length, falls, far = m.bound[pred].T
-                    reach = np.maximum(far * np.sqrt(any_length + falls / np.maximum(size, 1)),
-                                       MIXED * (np.log(m.alphabet) - mean))
-                    out = ~some | (low - mean > reach)
-                    pred, low = np.where(some, pred, len(names) - 1), np.where(some, low, np.nan)
+                pred, score, low, out = _judge(scorer, m, texts[i:j])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(k).slice(i, n) for k in range(len(keep))]
-                    + [pa.array(names[pred], pa.string()), pa.array(np.minimum(score, 1.0)), pa.array(low, from_pandas=True), pa.array(out)],
+                    [batch.column(k).slice(i, j - i) for k in range(len(keep))]
+                    + [pa.array(names[pred], pa.string()), pa.array(score), pa.array(low, from_pandas=True), pa.array(out)],
                     names=keep + new)
 
     return docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("string").alias("__text")).mapInArrow(run, schema)
 
 
+def keep_known(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text is not rejected, with their columns as they are."""
+    ship_package(docs.sparkSession)
+    data = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer, m = _scorer(data), data.value
+        for batch in parts:
+            texts = batch.column(at).to_pylist()
+            for i, j in _batches(texts):
+                out = _judge(scorer, m, texts[i:j])[3]
+                yield batch.slice(i, j - i).filter(pa.array(~out))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(key: str = "doc_id") -> Column:
     """Rows that never train: crc32 of the key as text leaves 2 when divided by 4 (a null key: false)."""
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 4 == 2, F.lit(False))

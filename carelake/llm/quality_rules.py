@@ -241,3 +241,10 @@ def judge(docs: DataFrame, rules: list[Rule], text: str = "text") -> DataFrame:
     s = statistics(docs, text)
     s = s.withColumn("base_failed", base_failed()).withColumn("rule", verdict(rules))
     return s.withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0))
+
+
+def keep_good(docs: DataFrame, rules: list[Rule], text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that pass the base rules and the list, with their columns as they are."""
+    own = "__q_" + "_" * max(map(len, docs.columns))  # no column of docs starts like that
+    s = statistics(docs, text, own).where(~base_failed(own) & (verdict(rules, own) == 0))
+    return s.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -1,26 +1,62 @@
-"""The corpus pipeline: stages over ``documents``, each written as Parquet and
-read again as the next one's input."""
+"""The corpus pipeline: stages over ``documents``.
+
+Each stage works on all rows its predecessor kept. Its result is written as
+Parquet in the session's shared folder and read again as the next one's input, so
+a lost executor costs one stage's tasks and nothing before it. All stages but the last
+return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carelake.llm import bpe
+from carelake.llm import bpe, langid, mixing, quality_rules, simhash
 from carelake.session import scratch_dir
 
 
-def _encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts that the language models reject go (no letters, or unlike every known language)."""
+    return langid.keep_known(docs, langid.fit_on_rest(docs))
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts that fail the base rules or the learned decision list go."""
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return quality_rules.keep_good(docs, quality_rules.fit(docs, labels))
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest id stays."""
+    return simhash.keep_one(docs, width=3, distance=2)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them (not at all, once or twice)."""
+    return mixing.mix(docs, weights=(5, 2, 1), share=1.5, max_copies=2).apply(docs)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document (repeats included), with digests of ids and decoded text."""
     return bpe.encode_decode(docs)
 
 
-STAGES = [("bpe", _encode)]
+STAGES = [
+    ("language ID", known_language),
+    ("quality rules", good_quality),
+    ("SimHash near-dedup", one_of_each),
+    ("mixing", mixed),
+    ("BPE", token_ids),
+]
+
+#: SQL has no Kneser-Ney models, learned lists, graph components or BPE: the
+#: pipeline is tested against brute force instead (tests/llm/test_pipeline.py).
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for name, stage in STAGES:
-        folder = scratch_dir(spark, f"pipeline-{name}")
+        folder = scratch_dir(spark, "pipeline-" + name.replace(" ", "-").lower())
         stage(spark, docs, sf_dir).write.parquet(folder)
         docs = spark.read.parquet(folder)
     return docs
