@@ -207,7 +207,7 @@ def links(fps: DataFrame, distance: int, node_rows: int = NODE_ROWS) -> DataFram
 
     edges, paths = None, [(0,)]
     rows = fps.select("fp", F.lit(0).cast("bigint").alias("mask"))
-    for _ in range(6):
+    while True:  # a node of more than node_rows needs free bits to tell them apart: few levels
         # One row per node below: its mask, and the fingerprint's bits under the mask.
         finer = {}
         for (mask,) in paths:
@@ -228,7 +228,6 @@ def links(fps: DataFrame, distance: int, node_rows: int = NODE_ROWS) -> DataFram
             return edges
         rows = rows.join(full, ["mask", "bits"], "left_semi").select("fp", "mask").checkpoint()
         paths = [(m,) for m in masks]
-    return edges
 
 
 def _nodes(fps: DataFrame, distance: int, node_rows: int) -> DataFrame:

@@ -1,0 +1,116 @@
+import random
+
+import numpy as np
+import pytest
+
+from carelake.llm import langid, quality_rules
+from tests.llm.helpers import ODD_TEXTS, statistics
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_statistics_against_brute_force(spark):
+    random.seed(4)
+    texts = ODD_TEXTS + [" ".join(random.choice("ab") for _ in range(random.randint(0, 60))) for _ in range(150)]
+    texts += ["\n".join(random.choice(["x", "", " ", "y z"]) for _ in range(9)) for _ in range(30)]
+    docs = spark.createDataFrame([(i, t, 7) for i, t in enumerate(texts)], "doc_id bigint, text string, n_words int")
+    got = quality_rules.judge(docs, []).collect()
+    for r in got:
+        want = statistics(texts[r["doc_id"]])
+        assert {k: r[k] for k in want} == want, texts[r["doc_id"]]
+        failed = want["n_words"] < 10 or 100 * want["n_repeat_words"] > 20 * want["n_words"]
+        assert (r["base_failed"], r["kept"]) == (failed, not failed)
+    kept = quality_rules.keep_good(docs, [])
+    assert kept.columns == docs.columns and kept.count() == sum(r["kept"] for r in got)
+    assert quality_rules.judge(docs.limit(0), []).count() == 0
+
+
+def test_learned_list_separates_labels(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    rules = quality_rules.fit(docs, labels)
+    assert rules and rules == quality_rules.fit(docs.repartition(7), labels.repartition(3))
+    got = quality_rules.judge(docs, rules).join(labels, "doc_id").select("quality", "kept", "base_failed").toPandas()
+    rest = got[~got.base_failed]
+    assert rest[rest.quality == 1].kept.mean() == 1.0
+    assert rest[rest.quality == 0].kept.mean() < 0.2
+
+
+def test_two_conditions_are_found(spark):
+    random.seed(1)
+    rows = [(x, y, 0 if x > 0.7 and y < 0.3 else 1, i % 3 < 2) for i in range(3000) for x, y in [(random.random(), random.random())]]
+    df = spark.createDataFrame(rows, "x double, y double, label int, grow boolean")
+    rules = quality_rules.learn(df, "label", ["x", "y"])
+    assert {c.feature for c in rules[0]} == {"x", "y"}
+    hit = [all(({"x": x, "y": y}[c.feature] >= c.threshold) == c.above for c in rules[0]) for x, y, _, _ in rows]
+    bad = [label == 0 for _, _, label, _ in rows]
+    assert sum(h and b for h, b in zip(hit, bad)) > 0.8 * sum(bad)
+    assert sum(h and not b for h, b in zip(hit, bad)) < 0.1 * sum(bad)
+
+
+def test_no_labels_no_rules(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g h i j k")], "doc_id bigint, text string")
+    empty = spark.createDataFrame([(None, 1), (1, None)], "doc_id bigint, quality int")
+    assert quality_rules.fit(docs, empty) == [] and quality_rules.fit(docs, empty.limit(0)) == []
+    one = spark.createDataFrame([(1, 1)], "doc_id bigint, quality int")
+    assert quality_rules.fit(docs, one) == []
+
+
+def test_main_path_has_no_python(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    plan = quality_rules.judge(docs, [(quality_rules.Condition("symbol_share", True, 0.1),)])._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return langid.fit_on_rest(spark.read.parquet(f"{SF}/documents.parquet"))
+
+
+def test_held_out_accuracy(spark, model):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    got = langid.identify(docs, model).where(langid.held_out()).where("lang IS NOT NULL").toPandas()
+    assert len(got) > 100 and (got.lang == got.lang_pred).mean() > 0.97
+    assert got.score.between(0, 1).all() and got.rejected.mean() < 0.01
+
+
+def test_model_does_not_depend_on_partitions(spark, model):
+    other = langid.fit_on_rest(spark.read.parquet(f"{SF}/documents.parquet").repartition(9))
+    assert other.languages == model.languages and other.sharpness == model.sharpness
+    for a, b in zip(model.models, other.models):
+        assert all(np.array_equal(x, y) for x, y in zip(a.grams + a.log_p, b.grams + b.log_p))
+
+
+def test_probabilities_sum_to_one(model):
+    scorer = langid.Scorer(model)
+    letters = sorted({chr(c) for c in range(97, 123)} | set("äöüßéèêçñóí"))
+    n = model.order
+    ctx = np.array([[ord(c) for c in "\x02th"]] * (len(letters) + 1), np.uint32)
+    last = np.array([ord(c) for c in letters] + [3], np.uint32)[:, None]
+    points = np.concatenate([ctx, last], axis=1)
+    h = [langid._fold(points[:, n - k - 1:]) for k in range(n)]
+    c = [langid._fold(points[:, n - k - 1:n - 1]) for k in range(n)]
+    for m in scorer.model.models:
+        total = np.exp(m.log_prob(h, c, model.alphabet)).sum()
+        assert 0.9 < total <= 1.0 + 1e-9
+
+
+def test_odd_texts_are_rejected_and_clean_ones_stay(spark, model):
+    rows = [(1, None, 0.5), (2, "", 1.0), (3, "123 !!", 1.0), (4, "zxqj vkwq pzzx wqqk xxzj jjq vvq zqx " * 20, 1.0), (5, "²²", 1.0),
+            (6, "日本語のテキスト " * 20, 1.0)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, score double")
+    got = {r["doc_id"]: r for r in langid.identify(docs, model).collect()}
+    assert all(got[i]["rejected"] for i in range(1, 7))
+    assert [got[i]["lang_pred"] for i in (1, 2, 3, 5)] == ["und"] * 4 and got[1]["score"] == 0
+    assert langid.keep_known(docs, model).count() == 0
+    clean = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = langid.keep_known(clean, model)
+    assert kept.columns == clean.columns and kept.count() >= 0.998 * clean.count()
+
+
+def test_no_labelled_rows(spark):
+    docs = spark.createDataFrame([(1, "some text", None), (2, None, "en")], "doc_id bigint, text string, lang string")
+    m = langid.fit_on_rest(docs)
+    assert m.languages == []
+    assert [r["lang_pred"] for r in langid.identify(docs, m).collect()] == ["und", "und"]
+    assert langid.identify(docs.limit(0), m).count() == 0
