@@ -3,9 +3,9 @@
 Responses arrive as a payload table ``(drug, xml)``; they are decoded in Spark
 with ``from_xml`` against a declared schema. Both nesting levels are declared as
 arrays, so a group holding one concept and a group holding several decode the
-same way, a group without concepts yields nothing, and a response with no group,
-malformed XML or NULL XML yield no rows and no error. Surrounding whitespace of
-text values is trimmed, as XML-to-dict converters do.
+same way. Responses that yield no concept (NULL or malformed XML, no group, no
+concept in any group) are not lost: ``rejects`` reports them with the reason.
+Surrounding whitespace of text values is trimmed, as XML-to-dict converters do.
 """
 
 from __future__ import annotations
@@ -33,9 +33,24 @@ def lookup_urls(drugs: DataFrame, drug: str = "Drug") -> DataFrame:
 
 
 def parse_responses(payloads: DataFrame, drug: str = "drug", xml: str = "xml") -> DataFrame:
-    """``(drug, drugGroup)`` with the nested response decoded per row."""
-    parsed = F.from_xml(F.col(xml), DRUG_GROUP_SCHEMA, {"rowTag": ROW_TAG, "mode": "PERMISSIVE"})
-    return payloads.select(F.col(drug).alias("drug"), parsed.getField("drugGroup").alias("drugGroup"))
+    """``(drug, drugGroup, corrupt)`` with the nested response decoded per row;
+    ``corrupt`` holds the text of a response that did not parse."""
+    parsed = F.from_xml(F.col(xml), f"{DRUG_GROUP_SCHEMA}, _corrupt STRING",
+                        {"rowTag": ROW_TAG, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    return (payloads.select(F.col(drug).alias("drug"), F.col(xml).alias("__xml"), parsed.alias("__p"))
+            .select("drug", F.col("__p.drugGroup").alias("drugGroup"),
+                    F.when(F.col("__xml").isNotNull(), F.col("__p._corrupt")).alias("corrupt"),
+                    F.col("__xml").isNull().alias("missing")))
+
+
+def rejects(parsed: DataFrame) -> DataFrame:
+    """Responses without a concept: ``(drug, reason)``, reason being ``missing`` (NULL
+    response), ``malformed``, ``no group`` or ``no concept``."""
+    groups = F.coalesce(F.size("drugGroup.conceptGroup"), F.lit(-1))
+    concepts = F.coalesce(F.exists("drugGroup.conceptGroup", lambda g: F.coalesce(F.size(g["conceptProperties"]), F.lit(0)) > 0), F.lit(False))
+    reason = (F.when(F.col("missing"), "missing").when(F.col("corrupt").isNotNull(), "malformed")
+              .when(groups <= 0, "no group").when(~concepts, "no concept"))
+    return parsed.select("drug", reason.alias("reason")).where("reason IS NOT NULL")
 
 
 def flatten_concepts(parsed: DataFrame) -> DataFrame:

@@ -3,17 +3,14 @@
 ``join_small`` broadcasts the small side only after proving its size.
 
 * ``check="count"``: the small side is evaluated once into the shared
-  checkpoint folder, then at most ``max_rows + 1`` of its rows are counted and
-  the join reads the stored rows (nothing is computed twice). When
-  the bound does not hold, the join is a shuffle join in which the large side is
-  salted, so that one hot key (say a third of all rows) is spread over ``salt``
-  tasks instead of landing in one.
+  checkpoint folder; its stored rows are counted and their bytes summed (partial
+  sums per task), and the join reads the stored rows (nothing is computed
+  twice). Within both bounds it is broadcast. Beyond them the join is a shuffle
+  join whose skewed partitions (a hot key with, say, a third of all rows) the
+  adaptive skew-join rule splits over several tasks.
 * ``check="runtime"``: for small sides that are expensive to evaluate (an
-  aggregate over a large table), counting first would run them twice. The join
-  is planned as a shuffle join; adaptive execution measures the materialised
-  small side and turns the join into a broadcast join only when it is under
-  ``spark.sql.adaptive.autoBroadcastJoinThreshold``; otherwise skewed
-  partitions of the large side are split by the adaptive skew-join rule.
+  aggregate over a large table): the join is planned as a shuffle join, and
+  adaptive execution turns it into a broadcast join only after measuring the side.
 """
 
 from __future__ import annotations
@@ -24,33 +21,31 @@ from pyspark.sql import functions as F
 from carelake.session import checkpoint_root
 
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-DEFAULT_SALT = 32
+DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+ROW_OVERHEAD = 32  # bytes a row takes besides its values, about
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def measured(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of ``df``: values by the length of their text, plus an overhead a row."""
+    width = sum((F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{c}`")))), F.lit(0)) for c in df.columns), F.lit(0))
+    n, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return n, size + n * ROW_OVERHEAD
 
 
 def join_small(big: DataFrame, small: DataFrame, on: list[str] | str, how: str = "inner",
-               max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, salt: int = DEFAULT_SALT,
+               max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
                check: str = "count") -> DataFrame:
     """Equi-join ``big`` with ``small`` on column names ``on``.
 
     ``how`` is one of inner, left, left_semi, left_anti (the small side is never
-    the preserved side, so replicating it over salts keeps the result exact).
+    the preserved side).
     """
     on = [on] if isinstance(on, str) else list(on)
     if check == "runtime":
         return big.join(small, on, how)
     checkpoint_root(small.sparkSession)  # make sure a shared checkpoint folder is set
     small = small.checkpoint(eager=True)
-    if fits(small, max_rows):
+    rows, size = measured(small)
+    if rows <= max_rows and size <= max_bytes:
         return big.join(F.broadcast(small), on, how)
-    if salt <= 1:
-        return big.join(small, on, how)
-    # Salted shuffle join: each big row picks one salt from its own content;
-    # each small row is replicated once per salt. Matches are found exactly once.
-    salted_big = big.withColumn("__salt", F.pmod(F.xxhash64(*big.columns), F.lit(salt)))
-    salted_small = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    return salted_big.join(salted_small, on + ["__salt"], how).drop("__salt")
+    return big.join(small.hint("merge"), on, how)

@@ -10,8 +10,9 @@ tables come out of distributed jobs:
                        most frequent first, ties in order of first appearance
 
 The built-in extractor is a lexicon matcher: notes are tokenised by a regular
-expression inside the JVM, tokens are joined to a ``(term, entity)`` lexicon,
-and optional token rules tag what the lexicon does not know.
+expression inside the JVM, runs of tokens are joined to a ``(term, entity)``
+lexicon of terms of any number of tokens, and optional rules tag what the lexicon
+does not know.
 A caller-supplied model runs instead through ``extract_with_model``
 (``mapInPandas``: one model load per task, Arrow batches of notes).
 """
@@ -20,41 +21,55 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import sys
-
 import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from carelake.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, join_small
+from carelake.operators.joins import (DEFAULT_MAX_BROADCAST_BYTES, DEFAULT_MAX_BROADCAST_ROWS, join_small,
+                                      measured)
 from carelake.operators.parallel import spread
+from carelake.session import ship_package
 
 # The seven entity classes of the clinical tagger, in its order.
 ENTITY_CLASSES = ["DRUG", "DOSAGE", "STRENGTH", "ROUTE", "FREQUENCY", "DURATION", "FORM"]
 
-TOKEN_PATTERN = "[A-Za-z]+"
+# Runs of letters and digits; a decimal point may stand between digits ("2.5mg").
+TOKEN_PATTERN = "[A-Za-z0-9]+(?:[.][0-9]+[A-Za-z0-9]*)?"
 
 SPAN_SCHEMA = "chunk string, entity string, start int, end int"
 
 
+def _token_array(text, pattern: str = TOKEN_PATTERN):
+    return F.transform(F.regexp_extract_all(text, F.lit(pattern), 0), F.lower)
+
+
 def tokens(notes: DataFrame, key: str = "doc_id", text: str = "text",
            pattern: str = TOKEN_PATTERN) -> DataFrame:
     """One row per token: ``(key, pos, token)``; ``token`` is lower-cased after
     matching, ``pos`` counts tokens from 0. Whole texts are tokenised."""
-    return (notes.select(key, F.posexplode(F.regexp_extract_all(F.col(text), F.lit(pattern), 0))
-                         .alias("pos", "raw"))
-            .select(key, F.col("pos").cast("int").alias("pos"), F.lower("raw").alias("token")))
+    return (notes.select(key, F.posexplode(_token_array(F.col(text), pattern)).alias("pos", "token"))
+            .select(key, F.col("pos").cast("int").alias("pos"), "token"))
 
 
-def lexicon_from_text(texts: DataFrame, text: str = "text", min_len: int = 6) -> DataFrame:
-    """A ``(term, entity)`` lexicon: the distinct words of ``min_len``+ letters of
-    a text column; the class is picked by word length (length mod 7)."""
+def lexicon_from_text(texts: DataFrame, text: str = "text", min_len: int = 6, pairs: bool = False) -> DataFrame:
+    """A ``(term, entity)`` lexicon: the distinct tokens of ``min_len``+ characters of
+    a text column and, with ``pairs``, the pairs of such tokens that follow each
+    other; the class is picked by the term's length (length mod 7)."""
     classes = F.array(*[F.lit(c) for c in ENTITY_CLASSES])
-    words = (texts.select(F.explode(F.regexp_extract_all(F.col(text), F.lit(TOKEN_PATTERN), 0)).alias("w"))
-             .select(F.lower("w").alias("term")).where(F.length("term") >= min_len).distinct())
-    return words.select("term", F.element_at(classes, (F.length("term") % len(ENTITY_CLASSES) + 1).cast("int"))
-                        .alias("entity"))
+    t = _token_array(F.col(text))
+    words = texts.select(F.explode(t).alias("term")).where(F.length("term") >= min_len)
+    if pairs:
+        both = texts.select(t.alias("t")).select(F.explode(F.transform("t", lambda x, i: F.struct(
+            x.alias("a"), F.get("t", i + 1).alias("b")))).alias("p"))
+        both = both.where((F.length("p.a") >= min_len) & (F.length("p.b") >= min_len))
+        words = words.unionAll(both.select(F.concat_ws(" ", "p.a", "p.b").alias("term")))
+    return words.distinct().select("term", F.element_at(classes, (F.length("term") % len(ENTITY_CLASSES) + 1).cast("int"))
+                                   .alias("entity"))
+
+
+def rule_words(rx: str) -> int:
+    """Number of tokens a rule's expression spans: its spaces plus one."""
+    return rx.count(" ") + 1
 
 
 def entity_spans(notes: DataFrame, lexicon: DataFrame, key: str = "doc_id", text: str = "text",
@@ -62,27 +77,57 @@ def entity_spans(notes: DataFrame, lexicon: DataFrame, key: str = "doc_id", text
                  rules: dict[str, str] | None = None) -> DataFrame:
     """Matches in every note: ``(key, chunk, entity, start, end)``.
 
-    A token is tagged by the lexicon; ``rules`` (``{entity: regex}``, in order)
-    tag tokens the lexicon does not know, a regex matching the whole lower-cased
-    token (e.g. ``{"FREQUENCY": "daily|nightly|weekly"}``). The lexicon is
-    broadcast when its size is proven small; otherwise the join is a salted
-    shuffle join, so a very common term does not end up in one task.
+    Terms of the lexicon may span several tokens (``twice daily``). ``rules``
+    (``{entity: regex}``, in order) tag what the lexicon does not know: a regex
+    matches one lower-cased token as a whole or, with spaces in it, as many tokens
+    (``{"STRENGTH": "[0-9.]+ ?mg", "DURATION": "[0-9]+ days"}``).
+
+    Where matches overlap, the longest wins, then the earliest; equal spans go to the lexicon, then to
+    the first rule. This is settled per run of overlapping matches of a note, so
+    no note is gathered whole. The lexicon is joined on a term's first token, as a
+    broadcast when its size is proven small, else as a shuffle join with skewed
+    partitions split. With single-token terms and no rules nothing can overlap
+    and there is no shuffle (also on a stream of notes).
     """
-    toks = tokens(spread(notes.select(key, text)), key, text)
-    lex = lexicon.select(F.col("term").alias("token"), "entity")
-    if not rules:
-        hits = join_small(toks, lex, "token", "inner", max_rows=max_broadcast_rows)
-    else:
-        tagged = join_small(toks, lex, "token", "left", max_rows=max_broadcast_rows)
-        by_rule = None
-        for label, rx in reversed(list(rules.items())):
-            hit = F.col("token").rlike(f"^(?:{rx})$")
-            by_rule = F.when(hit, F.lit(label)) if by_rule is None else \
-                F.when(hit, F.lit(label)).otherwise(by_rule)
-        hits = (tagged.withColumn("entity", F.coalesce(F.col("entity"), by_rule))
-                .where(F.col("entity").isNotNull()))
-    return hits.select(key, F.col("token").alias("chunk"), "entity",
-                       F.col("pos").alias("start"), (F.col("pos") + 1).alias("end"))
+    lex = (lexicon.select(_token_array(F.col("term")).alias("words"), "entity").where(F.size("words") > 0)
+           .select(F.col("words")[0].alias("first"), "words", "entity"))
+    widest = max([lex.agg(F.max(F.size("words"))).first()[0] or 1, *[rule_words(r) for r in (rules or {}).values()]])
+    t = _token_array(F.col(text))
+    grams = (spread(notes.select(key, text)).select(key, t.alias("t"))
+             .select(key, F.posexplode(F.transform("t", lambda x, i: F.slice("t", i + 1, widest))).alias("start", "gram"))
+             .select(key, "start", F.col("gram")[0].alias("first"), "gram"))
+    hits = join_small(grams, lex, "first", "inner", max_rows=max_broadcast_rows)
+    n = F.size("words")
+    hits = (hits.where(F.slice("gram", 1, n) == F.col("words"))
+            .select(key, F.array_join("words", " ").alias("chunk"), "entity", F.col("start").cast("int").alias("start"),
+                    (F.col("start") + n).cast("int").alias("end"), F.lit(0).alias("prio")))
+    if widest == 1 and not rules:
+        return hits.drop("prio")
+    if rules:
+        found = []
+        for i, (label, rx) in enumerate(rules.items(), 1):
+            k = rule_words(rx)
+            chunk = F.array_join(F.slice("gram", 1, k), " ")
+            ok = (F.size("gram") >= k) & chunk.rlike(f"^(?:{rx})$")
+            found.append(F.when(ok, F.struct(chunk.alias("chunk"), F.lit(label).alias("entity"), F.lit(k).alias("n"), F.lit(i).alias("prio"))))
+        by_rule = (grams.select(key, "start", F.explode(F.array_compact(F.array(*found))).alias("x"))
+                   .select(key, "x.chunk", "x.entity", F.col("start").cast("int").alias("start"),
+                           (F.col("start") + F.col("x.n")).cast("int").alias("end"), "x.prio"))
+        hits = hits.unionByName(by_rule)
+    return _without_overlaps(hits, key)
+
+
+def _without_overlaps(hits: DataFrame, key: str) -> DataFrame:
+    """Longest match first, then the earliest, then the lowest ``prio``; no overlaps."""
+    order = Window.partitionBy(key).orderBy("start", "end")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    runs = (hits.withColumn("new", F.coalesce((F.col("start") >= F.max("end").over(before)).cast("int"), F.lit(1)))
+            .withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+    ranked = F.sort_array(F.collect_list(F.struct((F.col("start") - F.col("end")).alias("size"), "start", "prio", "entity", "end", "chunk")))
+    best = F.aggregate("hits", F.slice("hits", 1, 0), lambda kept, x: F.when(
+        F.exists(kept, lambda k: (k["start"] < x["end"]) & (x["start"] < k["end"])), kept).otherwise(F.concat(kept, F.array(x))))
+    return (runs.groupBy(key, "run").agg(ranked.alias("hits")).select(key, F.explode(best).alias("x"))
+            .select(key, "x.chunk", "x.entity", "x.start", "x.end"))
 
 
 def note_entities(spans: DataFrame, key: str = "doc_id", labels: list[str] | None = ENTITY_CLASSES) -> DataFrame:
@@ -126,11 +171,14 @@ def entity_doc_freq(entities: DataFrame, key: str = "doc_id", entity: str = "DRU
                  F.min_by("first_start", key).alias("__first_start"))
             .where(F.col(count_name) >= min_notes)
             .orderBy(F.desc(count_name), "__first_note", "__first_start")
-            .select(F.col("chunk").alias(name), F.col(count_name)))
+            .select(F.col("chunk").alias(name), F.col(count_name), F.col("__first_note").alias("first_note"),
+                    F.col("__first_start").alias("first_start")))
 
 
 # --- caller-supplied model -------------------------------------------------------------
 
+BATCH_BYTES = str(64 * 1024 * 1024)
+
 Extractor = Callable[[str], list[tuple[str, str, int, int]]]
 
 
@@ -140,14 +188,13 @@ def extract_with_model(notes: DataFrame, load_model: Callable[[], Extractor], ke
 
     ``load_model`` is called once per task (not per note, not on the driver) and
     returns a function from a note's text to its spans. Notes reach Python in
-    Arrow batches capped by ``spark.sql.execution.arrow.maxBytesPerBatch`` (set
-    by ``build_session``), so long notes do not make a batch unbounded.
+    Arrow batches of ``BATCH_BYTES`` at most, so long notes do not make a batch unbounded.
     """
     key_type = key_type or notes.schema[key].dataType.simpleString()
     schema = f"`{key}` {key_type}, {SPAN_SCHEMA}"
-    # Ship this module's code with the task (the closure below and the stand-in
-    # model), so Python workers need no installed copy of the library.
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    ship_package(notes.sparkSession)
+    # Batches are cut by bytes as well as rows, whatever session the caller made.
+    notes.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = load_model()
@@ -164,48 +211,49 @@ def extract_with_model(notes: DataFrame, load_model: Callable[[], Extractor], ke
 
 
 class LexiconModel:
-    """A small stand-in model: lexicon lookup over regex tokens, loaded from a
-    Parquet ``(term, entity)`` file (as a real model would load its weights).
+    """A small stand-in model: lexicon lookup over regex tokens, with the same results
+    as ``entity_spans``.
 
-    Terms may span several tokens (``"twice daily"``, lower-case, one space
-    between tokens). Overlapping matches in a note are resolved longest first,
-    then earliest, keeping non-overlapping spans. Each note is handled within
-    its own row, so no note has to be gathered with others.
+    The lexicon (as a real model its weights) is collected after its size is
+    measured against a bound, and reaches the workers as a broadcast; a larger
+    one belongs in ``entity_spans``. Each note is handled within its own row.
     """
 
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, lexicon: DataFrame, rules: dict[str, str] | None = None, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                 max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES):
+        rows, size = measured(lexicon.select("term", "entity"))
+        if rows > max_rows or size > max_bytes:
+            raise ValueError(f"a lexicon of {rows} rows and {size} bytes is too large for every worker: use entity_spans")
+        terms = sorted((r["term"], r["entity"]) for r in lexicon.select("term", "entity").where("term IS NOT NULL").collect())
+        self.terms = lexicon.sparkSession.sparkContext.broadcast(terms)
+        self.rules = list((rules or {}).items())
 
     def __call__(self) -> Extractor:
         import re
 
-        import pyarrow.parquet as pq
-        t = pq.read_table(self.path.removeprefix("file:"), columns=["term", "entity"]).to_pydict()
-        by_first: dict[str, list[tuple[tuple[str, ...], str]]] = {}
-        for term, entity in zip(t["term"], t["entity"]):
-            words = tuple(term.split())
-            if words:
-                by_first.setdefault(words[0], []).append((words, entity))
-        for cands in by_first.values():
-            cands.sort(key=lambda c: -len(c[0]))
         rx = re.compile(TOKEN_PATTERN)
 
+        def split(text: str) -> list[str]:
+            return [m.group(0).lower() for m in rx.finditer(text)]
+
+        by_first: dict[str, list[tuple[list[str], str]]] = {}
+        for term, entity in self.terms.value:
+            if words := split(term):
+                by_first.setdefault(words[0], []).append((words, entity))
+        rules = [(rule_words(r), re.compile(r), label, i) for i, (label, r) in enumerate(self.rules, 1)]
+
         def extract(text: str) -> list[tuple[str, str, int, int]]:
-            toks = [m.group(0).lower() for m in rx.finditer(text)]
+            toks = split(text)
             found = []
             for i, w in enumerate(toks):
-                for words, entity in by_first.get(w, ()):
-                    n = len(words)
-                    if tuple(toks[i:i + n]) == words:
-                        found.append((i, i + n, entity))
-            if any(e - s > 1 for s, e, _ in found):
-                taken: set[int] = set()
-                keep = []
-                for s_, e_, ent in sorted(found, key=lambda f: (-(f[1] - f[0]), f[0])):
-                    if not taken.intersection(range(s_, e_)):
-                        taken.update(range(s_, e_))
-                        keep.append((s_, e_, ent))
-                found = sorted(keep)
-            return [(" ".join(toks[s_:e_]), ent, s_, e_) for s_, e_, ent in found]
+                found += [(-len(words), i, 0, entity) for words, entity in by_first.get(w, ()) if toks[i:i + len(words)] == words]
+                found += [(-k, i, prio, label) for k, r, label, prio in rules
+                          if i + k <= len(toks) and r.fullmatch(" ".join(toks[i:i + k]))]
+            taken, keep = bytearray(len(toks)), []
+            for size, i, _, entity in sorted(found):
+                if not any(taken[i:i - size]):
+                    taken[i:i - size] = b"\1" * -size
+                    keep.append((" ".join(toks[i:i - size]), entity, i, i - size))
+            return keep
 
         return extract

@@ -9,7 +9,6 @@ extra shuffle is paid only where it is tiny.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 
@@ -17,16 +16,16 @@ MAX_SPREAD = 1024  # enough tasks for a small input on any cluster
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """``df`` over at least ``min_partitions`` tasks (default: the cores), if it is a
+    plain scan with fewer splits. Anything with a shuffle below is left as it is:
+    counting its partitions would run it, and adaptive execution sizes it. Results
+    of per-row work do not depend on this."""
     if df.isStreaming:  # micro-batches are split by the source; nothing to widen up front
         return df
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    if "Exchange" in plan or "Join" in plan or "Aggregate" in plan or "Window" in plan or "Sort" in plan:
+        return df
     target = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, MAX_SPREAD)
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
-
-
-def cache_for_iterations(df: DataFrame) -> DataFrame:
-    """Input of an iterative algorithm (several model fits, evaluations): spread
-    over the cores and kept in memory, spilling to disk. A lost executor only
-    loses cached blocks, which Spark recomputes from the plan."""
-    return spread(df).persist(StorageLevel.MEMORY_AND_DISK)

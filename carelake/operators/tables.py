@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from carelake.operators.joins import measured
 from carelake.sources.files import list_files
 
 
@@ -34,18 +35,25 @@ def save_table(df: DataFrame, name: str, mode: str = "errorifexists",
     """Managed table sink. The default mode refuses to replace an existing table.
 
     ``bucket_by=(n, keys)`` stores the rows hash-bucketed (and sorted) by
-    ``keys``: later joins and merges on those keys read the table already
-    co-partitioned, so only the other side is shuffled. Choose ``n`` from the
-    table size (about one bucket per few hundred MB).
+    ``keys``: later joins on those keys read the table already co-partitioned,
+    so only the other side is shuffled. Choose ``n`` from the table's size
+    (``bucket_count``). Rows are clustered first, so a write makes one file per
+    bucket, not one per task and bucket.
     """
-    w = df.write.format("parquet").mode(mode)
     if bucket_by:
         n, keys = bucket_by
-        w = w.bucketBy(n, *keys).sortBy(*keys)
+        w = df.repartition(n, *keys).write.format("parquet").mode(mode).bucketBy(n, *keys).sortBy(*keys)
+    else:
+        w = df.write.format("parquet").mode(mode)
     w.saveAsTable(name)
     return df.sparkSession.table(name)
 
 
+def bucket_count(df: DataFrame, bytes_per_bucket: int = 256 * 1024 * 1024) -> int:
+    """Buckets for a table of this many bytes (as ``joins.measured`` counts them)."""
+    return max(1, -(-measured(df)[1] // bytes_per_bucket))
+
+
 def scratch_database(spark: SparkSession, location: str, prefix: str = "carelake") -> str:
     """A fresh database whose managed tables live under ``location``."""
     db = f"{prefix}_{uuid.uuid4().hex[:10]}"
@@ -95,38 +103,64 @@ def append_by_name(df: DataFrame, name: str) -> None:
                 for f in target_cols.fields]).write.insertInto(name)
 
 
-# --- snapshot clone -------------------------------------------------------------------
+# --- versioned tables, clones -----------------------------------------------------------
+#
+# A versioned table is a list of segments (folder, highest batch): every write appends
+# a new ``batch=<n>`` folder, and the table's name is a view over the batches up to
+# the highest one, with the list in the view's properties. A write becomes
+# visible in one catalog operation. A shallow clone copies the list (one row of
+# state, whatever the table's size) and adds a folder of its own, which takes
+# what is written to the clone; the source's later batches are beyond its list.
+
+_SEGMENTS = "carelake.segments"
 
-def snapshot_clone(spark: SparkSession, source: DataFrame, clone_path: str, deep: bool = False) -> str:
-    """Freeze the current contents of a file-based table.
 
-    shallow: record the table's current data files and its schema in a manifest
-    (no data copy). Valid while the source only gains new files (appends,
-    inserts, insert-only merges); an overwrite of the source breaks a shallow
-    clone. deep: copy the rows.
+def _segments(spark: SparkSession, name: str) -> list[list]:
+    rows = spark.sql(f"SHOW TBLPROPERTIES {qname(name)}").where(F.col("key") == _SEGMENTS).collect()
+    if not rows:
+        raise ValueError(f"{name} is not a versioned table")
+    return json.loads(rows[0]["value"])
+
+
+def _point_versioned(spark: SparkSession, name: str, segments: list[list], columns: list[str]) -> DataFrame:
+    cols = ", ".join(f"`{c}`" for c in columns)
+    body = " UNION ALL ".join(f"SELECT {cols} FROM parquet.`{path}` WHERE batch <= {last}" for path, last in segments if last >= 0)
+    value = json.dumps(segments).replace("'", "\\'")
+    spark.sql(f"CREATE OR REPLACE VIEW {qname(name)} TBLPROPERTIES ('{_SEGMENTS}' = '{value}') AS {body}")
+    return spark.table(name)
+
+
+def create_versioned(df: DataFrame, name: str, path: str) -> DataFrame:
+    """A table ``name`` whose data lies under ``path``, one folder per write."""
+    if "batch" in df.columns:
+        raise ValueError("batch is the name of the version column")
+    df.write.parquet(f"{path}/batch=0")
+    return _point_versioned(df.sparkSession, name, [[path, 0]], df.columns)
+
+
+def append_versioned(df: DataFrame, name: str) -> DataFrame:
+    """Append rows by column name (missing columns NULL) as the table's next batch."""
+    spark = df.sparkSession
+    segments, target = _segments(spark, name), spark.table(name)
+    path, last = segments[-1]
+    rows = df.select(*[(F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                       for f in target.schema.fields])
+    # A folder left by a write that died is not in the list, and is replaced.
+    rows.write.mode("overwrite").parquet(f"{path}/batch={last + 1}")
+    return _point_versioned(spark, name, segments[:-1] + [[path, last + 1]], target.columns)
+
+
+def snapshot_clone(spark: SparkSession, source: str, name: str, path: str, deep: bool = False) -> DataFrame:
+    """Freeze versioned table ``source`` as table ``name``, which can be written to on its own.
+
+    shallow: the clone reads the source's batches up to now (no data copy; later
+    writes to the source are not seen). deep: the rows are copied under ``path``. A
+    clone of the same name is replaced; ``path`` must be a new folder then.
     """
+    table = spark.table(source)
     if deep:
-        source.write.mode("overwrite").parquet(f"{clone_path}/data")
-        return clone_path
-    # The manifest is metadata (one path per data file, as listed by the driver
-    # for any file scan), written as one small file.
-    files = source.inputFiles()
-    schema = source.schema.json()
-    spark.createDataFrame([(f, schema) for f in files] or [(None, schema)], "file string, schema string") \
-        .coalesce(1).write.mode("overwrite").parquet(f"{clone_path}/_manifest")
-    return clone_path
-
-
-def read_clone(spark: SparkSession, clone_path: str) -> DataFrame:
-    try:
-        rows = spark.read.parquet(f"{clone_path}/_manifest").collect()
-    except AnalysisException:  # no manifest: a deep clone
-        return spark.read.parquet(f"{clone_path}/data")
-    schema = StructType.fromJson(json.loads(rows[0].schema))
-    files = [r.file for r in rows if r.file is not None]
-    if not files:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*files)
+        return create_versioned(table, name, path)
+    return _point_versioned(spark, name, [s for s in _segments(spark, source) if s[1] >= 0] + [[path, -1]], table.columns)
 
 
 # --- merge -------------------------------------------------------------------------------
@@ -134,33 +168,38 @@ def read_clone(spark: SparkSession, clone_path: str) -> DataFrame:
 def new_rows(target: DataFrame, source: DataFrame, on: list[str]) -> DataFrame:
     """Rows of ``source`` whose key has no match in ``target``.
 
-    The target side is reduced to its distinct keys first (a map-side partial
-    aggregate), and that aggregate's hash partitioning is reused by the anti
-    join. NULL keys never match, so they are new; duplicate new keys are all kept.
+    An anti join of two shuffled sides: when one source key holds a large share of
+    the rows, the adaptive skew-join rule splits its partition (nothing may stand
+    between the exchanges and the join for that, so keys are not made distinct
+    first). NULL keys never match, so they are new; duplicate new keys are all kept.
     """
-    keys = target.select(*on).dropna(how="any").distinct()
-    return source.join(keys, on, "left_anti")
+    return source.join(target.select(*on), on, "left_anti")
 
 
 def merge_insert_only(spark: SparkSession, target_name: str, source: DataFrame, on: list[str] | str) -> int:
     """``MERGE INTO t USING s ON key WHEN NOT MATCHED THEN INSERT *``.
 
-    Appends the unmatched rows to the target table. Appending next to files the
-    same plan reads is safe: the input file list is fixed when the plan is made,
-    and the new files are committed at the end of the job. Returns the number of
-    rows inserted (counted while writing, no extra pass). When the target is
-    bucketed by the key (``save_table(bucket_by=...)``), the target is not
-    shuffled at all: only the source is; each merge adds files per bucket, which
-    a periodic rewrite of the table compacts.
+    Appends the unmatched rows to the target: a managed table, or a versioned
+    table (a clone, for example), whose next batch they become. Appending next to
+    files the same plan reads is safe: the input file list is fixed when the plan
+    is made, and the new files are committed at the end of the job. Returns the
+    number of rows inserted (counted while writing, no extra pass).
     """
     on = [on] if isinstance(on, str) else list(on)
     target = spark.table(target_name)
     obs = Observation("merge")
     ins = new_rows(target, source, on).observe(obs, F.count(F.lit(1)).alias("n"))
-    append_by_name(ins, target_name)
+    if _is_versioned(spark, target_name):
+        append_versioned(ins, target_name)
+    else:
+        append_by_name(ins, target_name)
     return int(obs.get["n"])
 
 
+def _is_versioned(spark: SparkSession, name: str) -> bool:
+    return bool(spark.sql(f"SHOW TBLPROPERTIES {qname(name)}").where(F.col("key") == _SEGMENTS).count())
+
+
 # --- schema evolution ----------------------------------------------------------------
 
 def union_evolving(*dfs: DataFrame) -> DataFrame:
@@ -194,6 +233,11 @@ def describe_schema(df: DataFrame) -> DataFrame:
         "col_name string, data_type string")
 
 
+def nothing_there(e: AnalysisException) -> bool:
+    """Whether a read failed only because no data file has been written yet."""
+    return e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA") or str(e).startswith("Unable to infer schema")
+
+
 # --- publish a new version only on success -------------------------------------------
 
 def point_name(spark: SparkSession, name: str, path: str, comment: str | None = None,
@@ -207,8 +251,8 @@ def point_name(spark: SparkSession, name: str, path: str, comment: str | None =
     c = f" COMMENT '{comment.replace(chr(39), chr(39) * 2)}'" if comment else ""
     try:
         spark.sql(f"CREATE OR REPLACE VIEW {qname(name)}{c} AS SELECT * FROM {fmt}.`{path}`")
-    except AnalysisException:
-        if schema is None:
+    except AnalysisException as e:
+        if schema is None or not nothing_there(e):
             raise
         # An empty version has no data file to read a schema from: same columns, no rows.
         cols = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields)
@@ -231,3 +275,17 @@ def publish(df: DataFrame, name: str, base_path: str, comment: str | None = None
     w.parquet(version)
     point_name(spark, name, version, comment, schema=df.schema)
     return spark.table(name)
+
+
+def drop_old_versions(spark: SparkSession, base_path: str, name: str, keep: int = 3) -> int:
+    """Delete all but the newest ``keep`` versions ``publish`` made under ``base_path``,
+    never the one ``name`` shows. Returns how many went."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{base_path}/v-*")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = sorted(fs.globStatus(path) or [], key=lambda f: -f.getModificationTime())
+    text = spark.sql(f"SHOW CREATE TABLE {qname(name)}").first()[0]
+    old = [f.getPath() for f in found[keep:] if f.getPath().getName() not in text]
+    for p in old:
+        fs.delete(p, True)
+    return len(old)

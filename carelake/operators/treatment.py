@@ -15,7 +15,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit, TrainValidationSplitModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
 
 from carelake.functions.columns import flag, lenient_cast
 
@@ -27,6 +26,9 @@ SEED = 100
 MAX_BINS = 64
 TRAIN_RATIO = 0.8
 
+FIT_ROWS = 4000  # bound of the labelled rows the registered search fits on
+FIT_PARTITIONS = 4
+
 
 def cast_columns(df: DataFrame, casts: dict[str, str], to: str = "int") -> DataFrame:
     """Add columns by lenient cast: ``{new_name: source_column}``."""
@@ -78,21 +80,40 @@ def random_split(df: DataFrame, ratio: float = TRAIN_RATIO, seed: int = SEED) ->
     return train, test
 
 
-def labelled_split(df: DataFrame, ratio: float = TRAIN_RATIO, seed: int = SEED) -> DataFrame:
-    """Adds ``split`` = train/test in one pass, row for row the split that
-    ``randomSplit([ratio, 1 - ratio], seed)`` makes (same per-partition sort, same
-    per-partition random sequence), without evaluating the input twice."""
-    u = F.rand(seed)
-    orderable = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
-    return (df.sortWithinPartitions(*orderable)
-            .withColumn("split", F.when(u < F.lit(ratio), F.lit("train")).otherwise(F.lit("test"))))
+def _uniform(key: list[str], seed: int):
+    """A number in [0, 1) from the row key: the first 8 hex digits of the md5 of seed
+    and key, joined by ``|`` (any SQL engine can compute it)."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") / F.lit(float(1 << 32))
 
 
 def hash_split(df: DataFrame, key: list[str], ratio: float = TRAIN_RATIO, seed: int = SEED) -> DataFrame:
     """Adds ``split`` = train/test from a hash of the row key: the same row lands
     in the same split however the data is partitioned or re-read."""
-    u = F.pmod(F.xxhash64(F.lit(seed), *[F.col(k) for k in key]), F.lit(10_000)) / 10_000.0
-    return df.withColumn("split", F.when(u < ratio, F.lit("train")).otherwise(F.lit("test")))
+    return df.withColumn("split", F.when(_uniform(key, seed) < ratio, F.lit("train")).otherwise(F.lit("test")))
+
+
+def fit_sample(train: DataFrame, key: list[str], rows: int = FIT_ROWS, seed: int = SEED) -> DataFrame:
+    """About ``rows`` training rows to fit on (all, if fewer), chosen by a hash of the key.
+
+    They lie in ``FIT_PARTITIONS`` hash partitions, each in key order, so a fit (which
+    draws its bags per partition) is the same on any cluster. This bounds the labelled rows
+    used to fit; predictions cover every row.
+    """
+    share = min(1.0, rows / max(train.count(), 1))
+    return (train.where(_uniform(key, seed + 1) < share).repartition(FIT_PARTITIONS, *key).sortWithinPartitions(*key))
+
+
+def scale_columns(df: DataFrame, features: list[str], prefix: str = "scaled_", digits: int | None = 6) -> DataFrame:
+    """``features`` scaled to [0, 1] as columns (no vectors): one aggregation for all
+    minima and maxima, then built-in expressions. A constant feature scales to 0.5."""
+    got = df.agg(*[f(c).cast("double").alias(f"{n}{i}") for i, c in enumerate(features) for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    out = {}
+    for i, c in enumerate(features):
+        lo, hi = got[f"lo{i}"], got[f"hi{i}"]
+        x = F.lit(0.5) if lo is None or lo == hi else (F.col(c).cast("double") - F.lit(lo)) / F.lit(hi - lo)
+        out[prefix + c] = F.round(x, digits) if digits is not None else x
+    return df.withColumns(out)
 
 
 def forest(label: str, features: str = "all_features") -> RandomForestClassifier:

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from carelake.functions.columns import exact_sum, lenient_cast, month_of, rounded
 from carelake.operators import coding, notes, quality, stats, tables as tbl, treatment
-from carelake.operators.parallel import cache_for_iterations
 from carelake.plans import medallion
 from carelake.plans.tables import (CONCEPTS_PER_RESPONSE, GOLD_YEAR, LAB_FEATURES,
                                    MIN_NOTES, ORDERS_SCHEMA, TOP_K, brand_frequency, concept_table,
@@ -38,12 +39,51 @@ def _silver(spark, sf_dir):
     return medallion.silver(medallion.bronze_rename(name_counts(spark, sf_dir)))
 
 
+def _stored_silver(spark, sf_dir):
+    bronze = medallion.bronze_rename(name_counts(spark, sf_dir))
+    return medallion.store_silver(bronze, scratch_dir(spark, "silver"))
+
+
 def q_gold_top10(spark, sf_dir):
-    return medallion.gold_top(_silver(spark, sf_dir), GOLD_YEAR, TOP_K)
+    return medallion.gold_top(_stored_silver(spark, sf_dir), GOLD_YEAR, TOP_K)
 
 
 def q_gold(spark, sf_dir):
-    return medallion.gold(_silver(spark, sf_dir), GOLD_YEAR)
+    return medallion.gold(_stored_silver(spark, sf_dir), GOLD_YEAR)
+
+
+def q_failed_update(spark, sf_dir):
+    """Silver is published; an update with a row that breaks a ``fail`` rule is
+    refused, and the table shows the rows it had."""
+    root, db = _db(spark, "failed-update")
+    bronze = medallion.bronze_rename(name_counts(spark, sf_dir))
+    tbl.publish(medallion.silver(bronze), f"{db}.silver", f"{root}/silver")
+    bad = bronze.where(F.col("Year") < GOLD_YEAR).limit(1).withColumn("Count", F.lit(0))
+    _must_fail(lambda: tbl.publish(medallion.silver(bronze.unionAll(bad)), f"{db}.silver", f"{root}/silver"),
+               "valid_count")
+    return spark.table(f"{db}.silver")
+
+
+def q_malformed_file(spark, sf_dir):
+    """A fail-fast load meets a malformed record: refused, and the table shows the rows it had."""
+    root, db = _db(spark, "malformed")
+    path = f"{root}/landing"
+    files.write_csv(name_counts(spark, sf_dir), path)
+    tbl.publish(medallion.bronze_sql(spark, path), f"{db}.bronze", f"{root}/bronze")
+    bad = name_counts(spark, sf_dir).limit(3).withColumn("Count", F.lit("not a number"))
+    files.write_csv(bad, path, mode="append")
+    _must_fail(lambda: tbl.publish(medallion.bronze_sql(spark, path), f"{db}.bronze", f"{root}/bronze"), "FAILED_READ_FILE")
+    return spark.table(f"{db}.bronze")
+
+
+def _must_fail(update, reason: str) -> None:
+    try:
+        update()
+    except (PySparkException, Py4JJavaError) as e:  # a failed write may come as the plain JVM error
+        if reason not in str(e):
+            raise
+        return
+    raise AssertionError("the update was not refused")
 
 
 def q_silver(spark, sf_dir):
@@ -137,7 +177,7 @@ def q_describe_stats(spark, sf_dir):
 
 
 def q_describe_summary(spark, sf_dir):
-    return stats.describe_table(table(spark, sf_dir, "customer"), ["c_custkey", "c_nationkey", "c_acctbal"])
+    return stats.describe_table(table(spark, sf_dir, "customer"))
 
 
 def q_row_count(spark, sf_dir):
@@ -166,67 +206,85 @@ def q_corr_matrix(spark, sf_dir):
 
 
 def q_corr_target(spark, sf_dir):
-    return stats.corr_with_target(lab_frame(spark, sf_dir), LAB_FEATURES + ["SEX"], "TREATMENT")
-
-
-def _scaled(spark, sf_dir):
-    return treatment.scale_features(lab_frame(spark, sf_dir), LAB_FEATURES, ["SEX"])
+    out = stats.corr_with_target(lab_frame(spark, sf_dir), LAB_FEATURES + ["SEX"], "TREATMENT")
+    return out.withColumn("place", F.row_number().over(Window.orderBy(F.desc_nulls_last("r"), "feature")))  # a row per column
 
 
 def q_scaled_features(spark, sf_dir):
-    s = _scaled(spark, sf_dir)
-    return s.select("l_orderkey", "l_linenumber",
-                    *treatment.vector_columns("all_features", [f"scaled_{c}" for c in LAB_FEATURES] + ["SEX"]),
+    s = treatment.scale_columns(lab_frame(spark, sf_dir), LAB_FEATURES)
+    return s.select("l_orderkey", "l_linenumber", *[f"scaled_{c}" for c in LAB_FEATURES], F.col("SEX").cast("double").alias("SEX"),
                     "TREATMENT")
 
 
+LAB_KEY = ["l_orderkey", "l_linenumber"]
+
+
+def _split(spark, sf_dir):
+    data = treatment.scale_features(lab_frame(spark, sf_dir), LAB_FEATURES, ["SEX"])
+    return treatment.hash_split(data.select(*LAB_KEY, "all_features", "TREATMENT"), LAB_KEY)
+
+
 def q_train_split(spark, sf_dir):
-    data = _scaled(spark, sf_dir).select("l_orderkey", "l_linenumber", "all_features", "TREATMENT")
-    return treatment.labelled_split(data).select("l_orderkey", "l_linenumber", "TREATMENT", "split")
+    return treatment.hash_split(lab_frame(spark, sf_dir), LAB_KEY).select(*LAB_KEY, "TREATMENT", "split")
 
 
-# Small search for the registered queries; the full 24-set grid is the API default.
-QUERY_GRID = {"bootstrap": [True], "max_depth": [2, 5], "num_trees": [10]}
 _models: dict = {}
 
 
 def _fitted(spark, sf_dir):
-    k = (id(spark), sf_dir)
+    """The full search of 24 parameter sets, shared by the rf_* queries of one
+    application: fitted on a bounded sample of the training rows (``FIT_ROWS``)."""
+    k = (spark.sparkContext.applicationId, sf_dir)
     if k not in _models:
-        data = _scaled(spark, sf_dir).select("l_orderkey", "l_linenumber", "all_features", "TREATMENT")
-        data = cache_for_iterations(data)
-        train, test = treatment.random_split(data)
-        model = treatment.tune_forest(train, "TREATMENT", grid_kwargs=QUERY_GRID)
-        reset_model_cache()
-        _models[k] = (model, train, test, data)
-    return _models[k][:3]
+        train = treatment.fit_sample(_split(spark, sf_dir).where("split = 'train'"), LAB_KEY).persist()
+        try:
+            model = treatment.tune_forest(train, "TREATMENT", parallelism=8)
+        finally:
+            train.unpersist()
+        _models.clear()
+        _models[k] = model
+    return _models[k]
 
 
 def reset_model_cache() -> None:
-    """Forget the fitted model shared by the rf_* queries (and uncache its input)."""
-    for *_, cached in _models.values():
-        cached.unpersist()
+    """Forget the fitted model shared by the rf_* queries."""
     _models.clear()
 
 
 def q_rf_grid(spark, sf_dir):
-    return treatment.grid_table(spark, _fitted(spark, sf_dir)[0])
+    """One row per parameter set; the scores' values depend on the learner, so they are
+    reported as being areas (within 0 and 1) and as the number of sets marked best."""
+    grid = treatment.grid_table(spark, _fitted(spark, sf_dir))
+    best = Window.partitionBy(F.lit(0))  # 24 rows
+    return grid.select("bootstrap", "max_depth", "num_trees", "metric", F.col("score").between(0, 1).alias("is_area"),
+                       F.sum(F.col("is_best").cast("int")).over(best).cast("int").alias("n_best"))
 
 
 def q_rf_predictions(spark, sf_dir):
-    model, _, test = _fitted(spark, sf_dir)
-    return treatment.predictions_table(model, test, ["l_orderkey", "l_linenumber"], "TREATMENT")
+    """Predictions for every row, training and test, with checks of their values."""
+    pred = treatment.predictions_table(_fitted(spark, sf_dir), _split(spark, sf_dir), LAB_KEY + ["split"], "TREATMENT")
+    return pred.select(*LAB_KEY, "TREATMENT", "split", F.col("prediction").isin(0.0, 1.0).alias("is_class"),
+                       F.col("probability_1").between(0, 1).alias("is_probability"),
+                       ((F.col("probability_1") > 0.5) == (F.col("prediction") == 1.0)).alias("agrees"))
 
 
 def q_rf_metrics(spark, sf_dir):
-    model, train, test = _fitted(spark, sf_dir)
-    return treatment.metrics_table(spark, model, "TREATMENT", train=train, test=test)
+    data = _split(spark, sf_dir)
+    parts = {name: data.where(F.col("split") == name) for name in ("train", "test")}
+    got = treatment.metrics_table(spark, _fitted(spark, sf_dir), "TREATMENT", **parts)
+    rows = data.groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
+    return got.join(rows, "split").select("split", "rows", F.col("auc").between(0, 1).alias("is_area"),
+                                          (F.abs(F.col("auc") + F.col("error") - 1) < 1e-9).alias("adds_up"))
 
 
 # --- clinical notes ----------------------------------------------------------------------
 
+#: Rules of the registered queries: numbers, and pairs of numbers.
+NOTE_RULES = {"DURATION": "[0-9]+ [0-9]+", "STRENGTH": "[0-9]+([.][0-9]+)?[a-z]*"}
+
+
 def _lexicon(spark, sf_dir):
-    return notes.lexicon_from_text(table(spark, sf_dir, "benchmark"))
+    return notes.lexicon_from_text(table(spark, sf_dir, "benchmark"), pairs=True)
 
 
 def _documents(spark, sf_dir):
@@ -236,29 +294,29 @@ def _documents(spark, sf_dir):
 def q_scan_notes(spark, sf_dir):
     path = scratch_dir(spark, "notes")
     files.write_notes(_documents(spark, sf_dir), path, "doc_id")
-    return files.read_written_notes(spark, path, "doc_id").select(F.col("doc_id").cast("bigint"), "text")
+    return files.read_notes(spark, path, "doc_id", "bigint")
 
 
-def q_entity_spans(spark, sf_dir):
-    return notes.entity_spans(_documents(spark, sf_dir), _lexicon(spark, sf_dir))
+def _spans(spark, sf_dir):
+    return notes.entity_spans(_documents(spark, sf_dir), _lexicon(spark, sf_dir), rules=NOTE_RULES)
 
 
-def _note_entities(spark, sf_dir):
-    return notes.note_entities(notes.entity_spans(_documents(spark, sf_dir), _lexicon(spark, sf_dir)))
+def q_entity_spans(spark, sf_dir):
+    return _spans(spark, sf_dir)
 
 
 def q_note_entities(spark, sf_dir):
-    return _note_entities(spark, sf_dir)
+    return notes.note_entities(_spans(spark, sf_dir))
 
 
 def q_entity_doc_freq(spark, sf_dir):
-    return notes.entity_doc_freq(_note_entities(spark, sf_dir), min_notes=MIN_NOTES)
+    out = notes.entity_doc_freq(q_note_entities(spark, sf_dir), min_notes=MIN_NOTES)
+    place = Window.orderBy(F.desc("Frequency"), "first_note", "first_start")  # one row per frequent drug
+    return out.select("Drug", "Frequency", F.row_number().over(place).alias("place"))
 
 
 def q_entity_udf(spark, sf_dir):
-    path = scratch_dir(spark, "lexicon-model")
-    _lexicon(spark, sf_dir).write.parquet(path)  # the "model file": one part per task
-    return notes.extract_with_model(_documents(spark, sf_dir), notes.LexiconModel(path))
+    return notes.extract_with_model(_documents(spark, sf_dir), notes.LexiconModel(_lexicon(spark, sf_dir), NOTE_RULES))
 
 
 # --- drug coding ---------------------------------------------------------------------------
@@ -287,6 +345,19 @@ def q_rxnorm_code(spark, sf_dir):
         .select("Drug", "Frequency", "RxCUI", "Concept")
 
 
+def q_rxnorm_rejects(spark, sf_dir):
+    """Responses that carry no concept, planted beside good ones: cut off, empty, without
+    a group, or with an empty group."""
+    good = _payloads(spark, sf_dir).select("drug", "xml")
+    part = table(spark, sf_dir, "part").select("p_partkey").where(F.col("p_partkey") % 7 < 4)
+    kind = F.col("p_partkey") % 7
+    head, tail = f"<{coding.ROW_TAG}><drugGroup><name>x</name>", f"</drugGroup></{coding.ROW_TAG}>"
+    bad = part.select(F.concat(F.lit("part "), F.col("p_partkey")).alias("drug"),
+                      F.when(kind == 0, F.lit(head + "<conceptGroup><tty>")).when(kind == 1, F.lit(head + tail))
+                      .when(kind == 2, F.lit(head + "<conceptGroup><tty>IN</tty></conceptGroup>" + tail)).alias("xml"))
+    return coding.rejects(coding.parse_responses(good.unionByName(bad)))
+
+
 # --- table operations ----------------------------------------------------------------------
 
 def _db(spark, name):
@@ -297,12 +368,20 @@ def _db(spark, name):
 def q_merge_insert_only(spark, sf_dir):
     root, db = _db(spark, "merge")
     c = table(spark, sf_dir, "customer")
-    buckets = min(spark.sparkContext.defaultParallelism, 1024)  # one bucket per core, bounded
-    tbl.save_table(c.where(F.col("c_nationkey") < 15), f"{db}.target", bucket_by=(buckets, ["c_custkey"]))
+    tbl.save_table(c.where(F.col("c_nationkey") < 15), f"{db}.target")
     tbl.merge_insert_only(spark, f"{db}.target", c.where(F.col("c_nationkey") >= 10), "c_custkey")
     return spark.table(f"{db}.target")
 
 
+def q_bucketed_join(spark, sf_dir):
+    """Orders of a bucketed customer table: the bucketed side is not shuffled."""
+    root, db = _db(spark, "bucketed")
+    c = table(spark, sf_dir, "customer")
+    stored = tbl.save_table(c, f"{db}.customer", bucket_by=(tbl.bucket_count(c), ["c_custkey"]))
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
+    return o.join(stored, "c_custkey").select("o_orderkey", "c_custkey", "c_name")
+
+
 def q_insert_partial(spark, sf_dir):
     root, db = _db(spark, "insert")
     tbl.save_table(table(spark, sf_dir, "customer"), f"{db}.t")
@@ -312,10 +391,43 @@ def q_insert_partial(spark, sf_dir):
 
 def q_snapshot_clone(spark, sf_dir):
     root, db = _db(spark, "clone")
-    src = tbl.save_table(table(spark, sf_dir, "customer"), f"{db}.raw")
-    tbl.snapshot_clone(spark, src, f"{root}/clean")
-    tbl.insert_partial(spark, f"{db}.raw", {"c_custkey": -1})
-    return tbl.read_clone(spark, f"{root}/clean")
+    tbl.create_versioned(table(spark, sf_dir, "customer"), f"{db}.raw", f"{root}/raw")
+    tbl.snapshot_clone(spark, f"{db}.raw", f"{db}.clean", f"{root}/clean")
+    tbl.append_versioned(spark.sql("SELECT CAST(-1 AS BIGINT) AS c_custkey"), f"{db}.raw")
+    return spark.table(f"{db}.clean")
+
+
+def q_clone_then_merge(spark, sf_dir):
+    """Clone, a row into the source, the source merged into the clone: the clone gains that row."""
+    root, db = _db(spark, "clone-merge")
+    tbl.create_versioned(table(spark, sf_dir, "customer"), f"{db}.raw", f"{root}/raw")
+    tbl.snapshot_clone(spark, f"{db}.raw", f"{db}.clean", f"{root}/clean")
+    tbl.append_versioned(spark.sql("SELECT CAST(-1 AS BIGINT) AS c_custkey"), f"{db}.raw")
+    tbl.merge_insert_only(spark, f"{db}.clean", spark.table(f"{db}.raw"), "c_custkey")
+    return spark.table(f"{db}.clean")
+
+
+def q_recreate_database(spark, sf_dir):
+    """A database dropped with its tables, made again and filled."""
+    root = scratch_dir(spark, "recreate")
+    db = f"carelake_{root[-12:]}"
+    before = spark.catalog.currentDatabase()
+    try:
+        tbl.recreate_database(spark, db, f"{root}/a")
+        tbl.save_table(table(spark, sf_dir, "customer").limit(3), f"{db}.customer")
+        tbl.recreate_database(spark, db, f"{root}/b")
+        return tbl.save_table(table(spark, sf_dir, "customer"), "customer")
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+
+
+def q_empty_table(spark, sf_dir):
+    """A table declared with a schema, then filled by column name."""
+    root, db = _db(spark, "empty")
+    o = table(spark, sf_dir, "orders")
+    tbl.create_empty(spark, f"{db}.orders", o.schema)
+    tbl.append_by_name(o.select(*reversed(o.columns)), f"{db}.orders")
+    return spark.table(f"{db}.orders")
 
 
 def q_schema_evolution(spark, sf_dir):
@@ -400,14 +512,21 @@ def q_describe_schema(spark, sf_dir):
 
 
 def q_table_detail(spark, sf_dir):
+    """Storage detail of a written table, held against what scanning it shows."""
     path = scratch_dir(spark, "detail")
-    tbl.write_overwrite(table(spark, sf_dir, "orders").repartition(4), path)
-    return tbl.table_detail(spark, path).select("num_files", "size_in_bytes")
+    tbl.write_overwrite(table(spark, sf_dir, "orders"), path)
+    scan = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("f")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("f").alias("files"))
+    detail = tbl.table_detail(spark, path)
+    return detail.join(scan).select("n_rows", (F.col("num_files") == F.col("files")).alias("all_files_listed"),  # one row each
+                                    (F.col("size_in_bytes") > 0).alias("has_size"), F.col("last_modified").isNotNull().alias("has_time"))
 
 
 QUERIES: dict[str, Query] = {
     "gold_top10": q_gold_top10,
     "gold": q_gold,
+    "failed_update": q_failed_update,
+    "malformed_file": q_malformed_file,
     "silver": q_silver,
     "bronze_py": q_bronze_py,
     "bronze_sql": q_bronze_sql,
@@ -444,9 +563,14 @@ QUERIES: dict[str, Query] = {
     "json_roundtrip": q_json_roundtrip,
     "request_url": q_request_url,
     "rxnorm_code": q_rxnorm_code,
+    "rxnorm_rejects": q_rxnorm_rejects,
     "merge_insert_only": q_merge_insert_only,
+    "bucketed_join": q_bucketed_join,
     "insert_partial": q_insert_partial,
     "snapshot_clone": q_snapshot_clone,
+    "clone_then_merge": q_clone_then_merge,
+    "recreate_database": q_recreate_database,
+    "empty_table": q_empty_table,
     "schema_evolution": q_schema_evolution,
     "union_all": q_union_all,
     "incremental_load": q_incremental_load,

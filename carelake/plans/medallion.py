@@ -16,14 +16,12 @@ succeeds.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.operators.quality import Rule, enforce
-from carelake.operators.tables import point_name, publish
+from carelake.operators.tables import nothing_there, point_name, publish
 from carelake.sources.files import scan_csv
 from carelake.streaming.incremental import incremental_load, run_available_now
 
@@ -39,7 +37,7 @@ SILVER_RULES = [
 # The table comments of the three layers.
 BRONZE_COMMENT = "Data ingested from NY State Department of Health"
 SILVER_COMMENT = "Data cleaned and prepared for analysis"
-GOLD_COMMENT = "A table summarizing counts of the top names for NY in 2021."
+GOLD_COMMENT = "A table summarizing counts of the top names for NY in {year}."
 
 
 def bronze_py(spark: SparkSession, path: str) -> DataFrame:
@@ -47,12 +45,10 @@ def bronze_py(spark: SparkSession, path: str) -> DataFrame:
     return scan_csv(spark, path).withColumnRenamed("First Name", "First_Name")
 
 
-def bronze_sql(spark: SparkSession, path: str, view: str | None = None) -> DataFrame:
+def bronze_sql(spark: SparkSession, path: str) -> DataFrame:
     """Declared schema, fail-fast parsing, projection written in SQL."""
     raw = scan_csv(spark, path, schema=BRONZE_SCHEMA, mode="FAILFAST")
-    view = view or f"bronze_raw_{uuid.uuid4().hex[:8]}"
-    raw.createOrReplaceTempView(view)
-    return spark.sql(f"SELECT Year, `First Name` AS First_Name, County, Sex, Count FROM {view}")
+    return spark.sql("SELECT Year, `First Name` AS First_Name, County, Sex, Count FROM {raw}", raw=raw)
 
 
 def bronze_rename(df: DataFrame) -> DataFrame:
@@ -65,8 +61,20 @@ def silver(bronze: DataFrame, rules: list[Rule] = SILVER_RULES) -> DataFrame:
     return enforce(df, rules)
 
 
+def store_silver(bronze: DataFrame, path: str, rules: list[Rule] = SILVER_RULES) -> DataFrame:
+    """Silver as a checked table, partitioned by year.
+
+    Every row passes the rules while it is written, whatever is read later: a
+    filter on a lazily checked frame would be pushed below the check, and rows it
+    prunes would never be checked. A failing rule leaves nothing at ``path``.
+    """
+    silver(bronze, rules).write.partitionBy("Year_Of_Birth").parquet(path)
+    return bronze.sparkSession.read.schema(SILVER_TABLE_SCHEMA).parquet(path)
+
+
 def gold(silver_df: DataFrame, year: int) -> DataFrame:
-    """Total count per name in ``year``, largest first (ties by name)."""
+    """Total count per name in ``year``, largest first (ties by name). ``silver_df``
+    is a stored, checked table (``store_silver``)."""
     return (silver_df.filter(F.expr(f"Year_Of_Birth == {int(year)}"))
             .groupBy("First_Name").agg(F.sum("Count").alias("Total_Count"))
             .sort(F.desc("Total_Count"), F.asc("First_Name")))
@@ -121,12 +129,13 @@ def run_medallion(spark: SparkSession, landing_dir: str, out_dir: str, year: int
                                 (f"{db}.silver", silver_dir, SILVER_COMMENT)):
         try:
             point_name(spark, name, path, comment)
-        except AnalysisException:  # nothing has landed yet; the name appears with the first file
-            pass
+        except AnalysisException as e:  # nothing has landed yet; the name appears with the first file
+            if not nothing_there(e):
+                raise
     # Declared schema: also reads a sink that has not committed any file yet;
     # the year filter prunes silver to one partition.
     silver_tbl = spark.read.schema(SILVER_TABLE_SCHEMA).parquet(silver_dir)
-    gold_tbl = publish(gold(silver_tbl, year), f"{db}.gold", f"{out_dir}/gold", GOLD_COMMENT)
+    gold_tbl = publish(gold(silver_tbl, year), f"{db}.gold", f"{out_dir}/gold", GOLD_COMMENT.format(year=year))
     # Row order of stored files is not kept on read: sort again.
     gold_sorted = gold_tbl.sort(F.desc("Total_Count"), F.asc("First_Name"))
     return {"bronze_rows_added": added, "report": report, "gold": gold_sorted}
@@ -134,14 +143,20 @@ def run_medallion(spark: SparkSession, landing_dir: str, out_dir: str, year: int
 
 def _generation(spark: SparkSession, out_dir: str, new: bool) -> str:
     """Name of the bronze generation; a full refresh starts a new one (new data
-    folder and new stream checkpoint), leaving the old files untouched. Until
-    the first full refresh the generation is ``g-0`` and no marker is needed."""
-    marker = f"{out_dir}/_generation"
-    if new:
-        gen = f"g-{uuid.uuid4().hex[:10]}"
-        spark.createDataFrame([(gen,)], "value string").coalesce(1).write.mode("overwrite").text(marker)
-        return gen
+    folder and new stream checkpoint), leaving the old files untouched.
+
+    Generations are counted. Each refresh appends one marker row and none is ever
+    rewritten, so a refresh that dies before its marker is committed leaves the last
+    one in force. No marker yet: ``g-0``.
+    """
+    markers = f"{out_dir}/_generations"
     try:
-        return spark.read.text(marker).first()[0]
-    except AnalysisException:  # no full refresh yet
-        return "g-0"
+        last = spark.read.schema("generation int").parquet(markers).agg(F.max("generation")).first()[0] or 0
+    except AnalysisException as e:
+        if not nothing_there(e):
+            raise
+        last = 0
+    if new:
+        last += 1
+        spark.createDataFrame([(last,)], "generation int").coalesce(1).write.mode("append").parquet(markers)
+    return f"g-{last}"

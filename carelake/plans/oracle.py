@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from carelake.operators.coding import DRUGS_PATH, SERVICE_BASE
 from carelake.operators.notes import ENTITY_CLASSES
+from carelake.operators.treatment import (GRID_BOOTSTRAP, GRID_MAX_DEPTH, GRID_NUM_TREES, SEED,
+                                          TRAIN_RATIO)
 from carelake.plans.tables import GOLD_YEAR, LAB_FEATURES, MIN_NOTES, TOP_K
 
 _NAMES = """(SELECT CAST(year(l_shipdate) AS INTEGER) AS Year,
@@ -34,11 +36,15 @@ def _describe(table: str, cols: list[str]) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-def _describe_wide(table: str, cols: list[str]) -> str:
+def _describe_wide(table: str, numbers: list[str], texts: list[str]) -> str:
     stats = (("count", "count({})"), ("mean", "avg({})"), ("stddev", "stddev_samp({})"),
              ("min", "min({})"), ("max", "max({})"))
+
+    def of(stat: str, agg: str, c: str) -> str:
+        return "CAST(NULL AS VARCHAR)" if c in texts and stat in ("mean", "stddev") else f"CAST({agg.format(c)} AS VARCHAR)"
+
     return "\nUNION ALL\n".join(
-        f"SELECT '{stat}' AS summary, " + ", ".join(f"CAST({agg.format(c)} AS VARCHAR) AS {c}" for c in cols)
+        f"SELECT '{stat}' AS summary, " + ", ".join(f"{of(stat, agg, c)} AS {c}" for c in numbers + texts)
         + f" FROM {table}" for stat, agg in stats)
 
 
@@ -61,7 +67,7 @@ def _corr_matrix() -> str:
 
 def _corr_target() -> str:
     cols = LAB_FEATURES + ["SEX", "TREATMENT"]
-    return "\nUNION ALL\n".join(f"SELECT '{c}' AS feature, {_r(c, 'TREATMENT')} AS r FROM {_LAB} t" for c in cols)
+    return "SELECT *, CAST(row_number() OVER (ORDER BY r DESC NULLS LAST, feature) AS INTEGER) AS place FROM (" + "\nUNION ALL\n".join(f"SELECT '{c}' AS feature, {_r(c, 'TREATMENT')} AS r FROM {_LAB} t" for c in cols) + ") u"
 
 
 def _scaled() -> str:
@@ -74,23 +80,47 @@ def _scaled() -> str:
 
 _CLASSES = "[" + ", ".join(f"'{c}'" for c in ENTITY_CLASSES) + "]"
 
-_SPANS = f"""WITH words AS (
-  SELECT DISTINCT lower(w) AS term
-  FROM (SELECT unnest(regexp_extract_all(text, '[A-Za-z]+')) AS w FROM benchmark) b
-  WHERE length(w) >= 6),
-lexicon AS (SELECT term, ({_CLASSES})[length(term) % 7 + 1] AS entity FROM words),
+_TOKEN = "[A-Za-z0-9]+(?:[.][0-9]+[A-Za-z0-9]*)?"
+
+#: Terms and rules span one or two tokens. Pairs win over single tokens; of a run of
+#: pairs that overlap in a chain, every second one stays, beginning with the first.
+_SPANS = f"""WITH lists AS (
+  SELECT [lower(x) FOR x IN regexp_extract_all(text, '{_TOKEN}')] AS t FROM benchmark WHERE text IS NOT NULL),
+words AS (
+  SELECT unnest(t) AS term FROM lists
+  UNION ALL
+  SELECT a || ' ' || b FROM (SELECT unnest(t[:-2]) AS a, unnest(t[2:]) AS b FROM lists)
+  WHERE length(a) >= 6 AND length(b) >= 6),
+lexicon AS (
+  SELECT DISTINCT term, ({_CLASSES})[length(term) % 7 + 1] AS entity FROM words WHERE length(term) >= 6),
 toks AS (
-  SELECT doc_id, unnest(t) AS raw, generate_subscripts(t, 1) - 1 AS pos
-  FROM (SELECT doc_id, regexp_extract_all(text, '[A-Za-z]+') AS t FROM documents) d),
+  SELECT doc_id, unnest(t) AS a, unnest(t[2:]) AS b, generate_subscripts(t, 1) - 1 AS pos
+  FROM (SELECT doc_id, [lower(x) FOR x IN regexp_extract_all(text, '{_TOKEN}')] AS t FROM documents WHERE text IS NOT NULL) d),
+two AS (
+  SELECT doc_id, pos, a || ' ' || b AS chunk, coalesce(entity, 'DURATION') AS entity
+  FROM toks LEFT JOIN lexicon ON a || ' ' || b = term
+  WHERE b IS NOT NULL AND (entity IS NOT NULL OR regexp_full_match(a || ' ' || b, '[0-9]+ [0-9]+'))),
+chains AS (SELECT *, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS chain FROM two),
+pairs AS (
+  SELECT doc_id, pos, chunk, entity FROM (
+    SELECT *, row_number() OVER (PARTITION BY doc_id, chain ORDER BY pos) AS r FROM chains) WHERE r % 2 = 1),
+one AS (
+  SELECT doc_id, pos, a AS chunk, coalesce(entity, 'STRENGTH') AS entity FROM toks LEFT JOIN lexicon ON a = term
+  WHERE entity IS NOT NULL OR regexp_full_match(a, '[0-9]+([.][0-9]+)?[a-z]*')),
+taken AS (SELECT doc_id, pos FROM pairs UNION ALL SELECT doc_id, pos + 1 FROM pairs),
 spans AS (
-  SELECT doc_id, lower(raw) AS chunk, entity, CAST(pos AS INTEGER) AS start,
-         CAST(pos + 1 AS INTEGER) AS "end"
-  FROM toks JOIN lexicon ON lower(raw) = lexicon.term),
+  SELECT doc_id, chunk, entity, CAST(pos AS INTEGER) AS start, CAST(pos + 2 AS INTEGER) AS "end" FROM pairs
+  UNION ALL
+  SELECT doc_id, chunk, entity, CAST(pos AS INTEGER), CAST(pos + 1 AS INTEGER) FROM one ANTI JOIN taken USING (doc_id, pos)),
 note_entities AS (
   SELECT doc_id, chunk, max_by(entity, start) AS entity, min(start) AS first_start
   FROM spans GROUP BY doc_id, chunk)
 """
 
+#: train / test by the md5 of seed and key.
+_SPLIT = f"""CASE WHEN ('0x' || substr(md5('{SEED}|' || l_orderkey || '|' || l_linenumber), 1, 8))::BIGINT / 4294967296.0
+  < {TRAIN_RATIO} THEN 'train' ELSE 'test' END"""
+
 _CONCEPTS = "SELECT p_brand AS Drug, CAST(p_partkey AS VARCHAR) AS RxCUI, p_name AS Concept FROM part"
 
 _BRANDS = f"""(SELECT p_brand AS Drug, CAST(count(*) AS BIGINT) AS Frequency
@@ -125,7 +155,7 @@ ORACLE: dict[str, str] = {
     "mean_min_max": """SELECT round(avg(c_acctbal), 6) AS mean_c_acctbal, min(c_acctbal) AS min_c_acctbal,
   max(c_acctbal) AS max_c_acctbal FROM customer""",
     "describe_stats": _describe("customer", ["c_custkey", "c_nationkey", "c_acctbal"]),
-    "describe_summary": _describe_wide("customer", ["c_custkey", "c_nationkey", "c_acctbal"]),
+    "describe_summary": _describe_wide("customer", ["c_custkey", "c_nationkey", "c_acctbal"], ["c_name", "c_mktsegment"]),
     "row_count": "SELECT count(*) AS n FROM customer LIMIT 5",
     "limit_n": "SELECT * FROM customer ORDER BY c_custkey LIMIT 10",
     "encode_flags": """SELECT c_custkey, c_name, c_acctbal,
@@ -140,8 +170,28 @@ ORACLE: dict[str, str] = {
     "entity_spans": _SPANS + "SELECT * FROM spans",
     "entity_udf": _SPANS + "SELECT * FROM spans",
     "note_entities": _SPANS + "SELECT * FROM note_entities",
-    "entity_doc_freq": _SPANS + f"""SELECT chunk AS Drug, count(*) AS Frequency FROM note_entities
-  WHERE entity = 'DRUG' GROUP BY chunk HAVING count(*) >= {MIN_NOTES}""",
+    "entity_doc_freq": _SPANS + f"""SELECT Drug, Frequency,
+  CAST(row_number() OVER (ORDER BY Frequency DESC, first_note, first_start) AS INTEGER) AS place
+  FROM (SELECT chunk AS Drug, count(*) AS Frequency, min(doc_id) AS first_note, min_by(first_start, doc_id) AS first_start
+        FROM note_entities WHERE entity = 'DRUG' GROUP BY chunk HAVING count(*) >= {MIN_NOTES})""",
+    "rxnorm_rejects": """SELECT 'part ' || p_partkey AS drug, CASE p_partkey % 7 WHEN 0 THEN 'malformed' WHEN 1 THEN 'no group'
+  WHEN 2 THEN 'no concept' ELSE 'missing' END AS reason FROM part WHERE p_partkey % 7 < 4""",
+    "failed_update": f"SELECT Year AS Year_Of_Birth, First_Name, Count FROM {_NAMES} n",
+    "malformed_file": f"SELECT * FROM {_NAMES} n",
+    "bucketed_join": "SELECT o_orderkey, c_custkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey",
+    "clone_then_merge": _CUSTOMER_PLUS_PARTIAL,
+    "recreate_database": "SELECT * FROM customer",
+    "empty_table": "SELECT * FROM orders",
+    "table_detail": """SELECT count(*) AS n_rows, true AS all_files_listed, true AS has_size, true AS has_time FROM orders""",
+    "train_split": f"SELECT l_orderkey, l_linenumber, TREATMENT, {_SPLIT} AS split FROM {_LAB} t",
+    "rf_grid": f"""SELECT b AS bootstrap, CAST(d AS INTEGER) AS max_depth, CAST(n AS INTEGER) AS num_trees, 'areaUnderROC' AS metric,
+  true AS is_area, CAST(1 AS INTEGER) AS n_best
+  FROM (SELECT unnest({str(GRID_BOOTSTRAP).lower()}) AS b) CROSS JOIN (SELECT unnest({GRID_MAX_DEPTH}) AS d)
+  CROSS JOIN (SELECT unnest({GRID_NUM_TREES}) AS n)""",
+    "rf_predictions": f"""SELECT l_orderkey, l_linenumber, TREATMENT, {_SPLIT} AS split, true AS is_class, true AS is_probability,
+  true AS agrees FROM {_LAB} t""",
+    "rf_metrics": f"""SELECT split, count(*) AS rows, true AS is_area, true AS adds_up
+  FROM (SELECT {_SPLIT} AS split FROM {_LAB} t) GROUP BY split""",
     "rxnorm_parse": _CONCEPTS,
     "json_roundtrip": _CONCEPTS,
     "request_url": f"SELECT Drug, '{SERVICE_BASE}{DRUGS_PATH}' || url_encode(Drug) AS request_url FROM {_BRANDS} b",

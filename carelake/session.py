@@ -1,9 +1,10 @@
 """Session construction and shared scratch space.
 
 Jobs that materialise intermediate tables (CSV landing zones, stream checkpoints,
-table versions) write them under the cluster's shared checkpoint folder, which
-is read from ``spark.checkpoint.dir``. Only when the session has none (a bare
-local test session) is a fresh temporary folder set as the checkpoint dir.
+table versions) write them under the cluster's shared checkpoint folder: the
+session's ``spark.checkpoint.dir``, or the folder its caller set as checkpoint
+directory. Only a local session that has neither gets a fresh temporary folder; on a
+cluster a missing folder is an error, as executors could not read the driver's disk.
 """
 
 from __future__ import annotations
@@ -20,22 +21,17 @@ def build_session(master: str | None = None, app: str = "carelake",
                   extra: dict[str, str] | None = None) -> SparkSession:
     """A session tuned for the jobs in this library.
 
-    AQE stays on: it coalesces small shuffle partitions, splits skewed join
-    partitions and turns sort-merge joins into broadcast joins when the runtime
-    size of a side is measured to be small.
+    The master is set only when it is given here or in ``CARELAKE_MASTER`` (a master
+    set in code wins over ``spark-submit --master``); shuffle partitions and
+    memory likewise stay as submitted unless asked for. AQE stays on: it coalesces
+    small shuffle partitions, splits skewed join partitions and turns
+    sort-merge joins into broadcast joins when the runtime size of a side is
+    measured to be small.
     """
-    master = master or os.environ.get("CARELAKE_MASTER", "local[8]")
-    if shuffle_partitions is None:
-        # On a cluster start wide: a shuffle of a large input needs about
-        # size / 128 MB partitions (a 2 TB shuffle: ~16k). Most shuffles here
-        # follow a map-side partial aggregate and are small; adaptive execution
-        # coalesces those towards the advisory size below.
-        default = "8" if master.startswith("local") else "16384"
-        shuffle_partitions = int(os.environ.get("CARELAKE_SHUFFLE_PARTITIONS", default))
-    b = (SparkSession.builder.master(master).appName(app)
+    master = master or os.environ.get("CARELAKE_MASTER")
+    b = (SparkSession.builder.appName(app)
          .config("spark.ui.enabled", "false")
          .config("spark.sql.session.timeZone", "UTC")
-         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          # Post-shuffle partitions of about 128 MB and scan splits of 128 MB keep
@@ -45,8 +41,8 @@ def build_session(master: str | None = None, app: str = "carelake",
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          # No broadcast from planner estimates (compressed file sizes can be far
          # below in-memory sizes). A side is broadcast only when its size is
-         # proven: counted against a bound (operators.joins.join_small), or
-         # measured after it materialised (adaptive threshold below).
+         # proven: counted and measured against a bound (operators.joins.join_small),
+         # or measured after it materialised (adaptive threshold below).
          .config("spark.sql.autoBroadcastJoinThreshold", "-1")
          .config("spark.sql.adaptive.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
@@ -54,8 +50,12 @@ def build_session(master: str | None = None, app: str = "carelake",
          # rows, so a batch of very long notes stays bounded in worker memory.
          .config("spark.sql.execution.arrow.maxBytesPerBatch", str(64 * 1024 * 1024))
          .config("spark.sql.parquet.filterPushdown", "true"))
-    if master.startswith("local"):
-        b = b.config("spark.driver.memory", os.environ.get("CARELAKE_DRIVER_MEM", "16g"))
+    if master:
+        b = b.master(master)
+    if shuffle_partitions or (shuffle_partitions := os.environ.get("CARELAKE_SHUFFLE_PARTITIONS")):
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if memory := os.environ.get("CARELAKE_DRIVER_MEM"):
+        b = b.config("spark.driver.memory", memory)
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -64,16 +64,22 @@ def build_session(master: str | None = None, app: str = "carelake",
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    """The shared folder for checkpoints and scratch tables: what the caller set as
+    checkpoint directory, else the session's ``spark.checkpoint.dir``."""
+    def plain(path: str) -> str:
+        return path.removeprefix("file://").removeprefix("file:").rstrip("/")
+
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    now = sc.getCheckpointDir()  # under root (Spark starts with that), or set by the caller or here before
+    if now and not (root and plain(now).startswith(plain(root))):
+        return now.rstrip("/")
     if not root:
-        # Unset only in bare test sessions: pick a private folder and register it,
-        # so that DataFrame.checkpoint() works there too.
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="carelake-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if now is None:
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
@@ -86,6 +92,20 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/carelake/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def clean_scratch(spark: SparkSession, name: str | None = None) -> bool:
+    """Delete the scratch folders under the checkpoint root (those of ``name``, or all).
+
+    For the end of a job: results read from scratch folders are gone afterwards.
+    """
+    jvm, root = spark._jvm, f"{checkpoint_root(spark)}/carelake"
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if name is None:
+        return fs.delete(path, True)
+    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{root}/{name}-*")) or []
+    return any([fs.delete(f.getPath(), True) for f in found])
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give the executors this package's source (once per application).
 

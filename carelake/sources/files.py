@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -47,33 +47,52 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite")
 
 
 def scan_notes(spark: SparkSession, path: str) -> DataFrame:
-    """One row per file: ``(path, text)``, the whole file as one value.
+    """One row per file: ``(path, note_id, text)``, the whole file as one value.
 
-    Each file is one task input, so notes are read in parallel; no driver-side
-    pair RDD is needed. Partition folders in the path (``note_id=3/``) come back
-    as columns. Zero-length files are skipped by the file scan, so an empty note
-    has no row (it has no entities either).
+    Files are found at any depth; ``note_id`` is the file's name without its last
+    extension, as text (``007.txt`` is note ``007``). No folder names are read as
+    columns, so nothing is inferred from them. Each file is one task input. Spark's
+    file scan skips zero-length files; notes stored in packs keep empty texts.
     """
-    return (spark.read.text(path, wholetext=True)
-            .select(F.col("_metadata.file_path").alias("path"), F.col("*"))
-            .withColumnRenamed("value", "text"))
+    name = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
+    return (spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
+            .select(F.col("_metadata.file_path").alias("path"), name.alias("note_id"), F.col("value").alias("text")))
+
+
+# Many small notes are kept in packs: text files, one per task, in which a note is a
+# record of its key and text. The two separators are control characters; where a
+# text holds one (or the escape itself), it is written as an escape and two digits.
+_RECORD, _UNIT, _ESCAPE = "\x1e", "\x1f", "\x1b"
+_CODES = [(_ESCAPE, "00"), (_RECORD, "01"), (_UNIT, "02")]
 
 
 def write_notes(df: DataFrame, path: str, key: str, text: str = "text") -> str:
-    """Write one text file per note, in a ``key=<value>`` folder each.
+    """Write notes as packs: as many files as ``df`` has tasks, whatever the number of notes.
 
-    The text writer ends each record with a newline; ``read_written_notes``
-    strips exactly that one character again.
+    Keys are stored as text. NULL texts are stored as missing, empty ones as empty.
     """
-    (df.select(key, text).repartition(key).write.mode("overwrite")
-       .partitionBy(key).text(path))
+    def escaped(c: Column) -> Column:
+        for ch, code in _CODES:
+            c = F.replace(c, F.lit(ch), F.lit(_ESCAPE + code))
+        return c
+
+    record = F.concat(escaped(F.col(key).cast("string")),
+                      F.coalesce(F.concat(F.lit(_UNIT), escaped(F.col(text))), F.lit("")))
+    df.select(record.alias("value")).write.mode("overwrite").option("lineSep", _RECORD).text(path)
     return path
 
 
-def read_written_notes(spark: SparkSession, path: str, key: str) -> DataFrame:
-    df = scan_notes(spark, path)
-    return df.select(key, "path",
-                     F.expr("substring(text, 1, length(text) - 1)").alias("text"))
+def read_notes(spark: SparkSession, path: str, key: str, key_type: str = "string") -> DataFrame:
+    """``(key, text)`` of the notes ``write_notes`` stored; keys are text unless a type is declared."""
+    def plain(c: Column) -> Column:
+        for ch, code in reversed(_CODES):
+            c = F.replace(c, F.lit(_ESCAPE + code), F.lit(ch))
+        return c
+
+    at = F.instr("value", _UNIT)
+    df = spark.read.option("lineSep", _RECORD).text(path)
+    return df.select(plain(F.when(at > 0, F.substring_index("value", _UNIT, 1)).otherwise(F.col("value"))).cast(key_type).alias(key),
+                     plain(F.when(at > 0, F.col("value").substr(at + 1, F.length("value")))).alias("text"))
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:

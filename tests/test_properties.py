@@ -142,11 +142,11 @@ def test_gold_and_top_k_match_brute_force(spark, rows, k):
 def test_shallow_clone_keeps_its_snapshot(spark, scratch, first, later):
     root = scratch("clone-prop")
     db = tbl.scratch_database(spark, f"{root}/db", prefix="cp")
-    raw = tbl.save_table(spark.createDataFrame([(k,) for k in first], "k string"), f"{db}.raw")
-    tbl.snapshot_clone(spark, raw, f"{root}/clone")
+    tbl.create_versioned(spark.createDataFrame([(k,) for k in first], "k string"), f"{db}.raw", f"{root}/raw")
+    tbl.snapshot_clone(spark, f"{db}.raw", f"{db}.clone", f"{root}/clone")
     for batch in later:
-        tbl.append_by_name(spark.createDataFrame([(k,) for k in batch], "k string"), f"{db}.raw")
-    assert sorted(r.k for r in tbl.read_clone(spark, f"{root}/clone").collect()) == sorted(first)
+        tbl.append_versioned(spark.createDataFrame([(k,) for k in batch], "k string"), f"{db}.raw")
+    assert sorted(r.k for r in spark.table(f"{db}.clone").collect()) == sorted(first)
     assert spark.table(f"{db}.raw").count() == len(first) + sum(map(len, later))
 
 
@@ -188,12 +188,25 @@ def test_entity_rules_match_brute_force(spark, words):
     assert got == sorted(want)
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.integers(1, 7), st.integers(0, 10_000), st.floats(0.1, 0.9))
-def test_labelled_split_equals_random_split(spark, parts, seed, ratio):
-    from carelake.operators import treatment
-    df = spark.range(500).selectExpr("id", "id % 7 AS x").repartition(parts).cache()
-    train, _ = treatment.random_split(df, ratio, seed)
-    lab = treatment.labelled_split(df, ratio, seed)
-    assert {r.id for r in lab.where("split = 'train'").collect()} == {r.id for r in train.collect()}
-    df.unpersist()
+words = st.lists(st.sampled_from(["a", "b", "c", "7"]), max_size=12)
+
+
+@SETTINGS
+@given(texts=st.lists(words, min_size=1, max_size=4), terms=st.lists(words.filter(bool).map(lambda w: " ".join(w[:3])), max_size=5, unique=True))
+def test_spans_match_a_greedy_matcher(spark, texts, terms):
+    """Longest first, then earliest, no overlaps; the lexicon before the rules."""
+    rules = {"STRENGTH": "[0-9]", "DURATION": "[0-9] b"}
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    lex = spark.createDataFrame([(t, "DRUG") for t in terms], "term string, entity string")
+    want = []
+    for i, t in enumerate(texts):
+        found = [(-len(w), s, 0, "DRUG") for w in map(str.split, terms) for s in range(len(t)) if t[s:s + len(w)] == w]
+        found += [(-1, s, 1, "STRENGTH") for s in range(len(t)) if t[s] == "7"]
+        found += [(-2, s, 2, "DURATION") for s in range(len(t) - 1) if t[s:s + 2] == ["7", "b"]]
+        taken: set = set()
+        for size, s, _, entity in sorted(found):
+            if not taken & set(range(s, s - size)):
+                taken |= set(range(s, s - size))
+                want.append((i, " ".join(t[s:s - size]), entity, s, s - size))
+    assert sorted(map(tuple, notes.entity_spans(docs, lex, rules=rules).collect())) == sorted(want)
+    assert sorted(map(tuple, notes.extract_with_model(docs, notes.LexiconModel(lex, rules)).collect())) == sorted(want)

@@ -88,11 +88,56 @@ def test_whole_text_notes_scan(spark, scratch):
 
 
 def test_notes_written_and_read_back(spark, scratch):
-    df = spark.createDataFrame([(1, "a\nb"), (2, "ends with newline\n"), (3, "")], "doc_id bigint, text string")
+    rows = [("007", "a\nb"), ("7", "ends with newline\n"), ("e", ""), ("n", None), ("s", "x\x1ey\x1fz\x1b01 \r\n")]
+    df = spark.createDataFrame(rows, "note string, text string")
     p = scratch("notes")
-    files.write_notes(df, p, "doc_id")
-    got = {int(r.doc_id): r.text for r in files.read_written_notes(spark, p, "doc_id").collect()}
-    assert got == {1: "a\nb", 2: "ends with newline\n", 3: ""}  # "" is written as "\n": kept
+    files.write_notes(df.coalesce(1), p, "note")
+    assert sorted(map(tuple, files.read_notes(spark, p, "note").collect())) == sorted(rows)
+    parts = [f for f in os.listdir(p.removeprefix("file:")) if f.startswith("part-")]
+    assert len(parts) == 1  # a pack, not a folder or file per note
+    files.write_notes(df.where("note LIKE '%7'"), p, "note")
+    assert sorted(r.note for r in files.read_notes(spark, p, "note", "int").collect()) == [7, 7]
+
+
+def test_scan_notes_takes_the_id_from_the_file_name(spark, scratch):
+    root = scratch("note-files").removeprefix("file:")
+    for name, text in (("a/007.txt", "one\n"), ("b=3/7.txt", "two"), ("note.v1.txt", "three")):
+        os.makedirs(os.path.dirname(f"{root}/{name}"), exist_ok=True)
+        with open(f"{root}/{name}", "w") as f:
+            f.write(text)
+    got = {(r.note_id, r.text) for r in files.scan_notes(spark, root).collect()}
+    assert got == {("007", "one\n"), ("7", "two"), ("note.v1", "three")}
+
+
+def test_gold_reads_a_checked_silver(spark, scratch):
+    """A bad row of another year stops the update, wherever it is stored."""
+    root = scratch("checked")
+    schema = "Year int, First_Name string, County string, Sex string, Count int"
+    for i, row in enumerate([(1998, "A", "x", "F", 3), (1997, "B", "x", "F", 0)]):
+        spark.createDataFrame([row], schema).write.parquet(f"{root}/in/{i}")
+    bronze = spark.read.parquet(f"{root}/in/0", f"{root}/in/1")
+    with pytest.raises(Exception, match="valid_count"):
+        medallion.gold(medallion.store_silver(bronze, f"{root}/silver"), 1998).collect()
+    good = medallion.store_silver(bronze.where("Count > 0"), f"{root}/silver2")
+    assert [tuple(r) for r in medallion.gold(good, 1998).collect()] == [("A", 3)]
+
+
+def test_a_given_master_and_checkpoint_folder_survive(tmp_path):
+    import subprocess
+    import sys
+    code = ("import sys; sys.path.insert(0, '.')\n"
+            "from pyspark.sql import SparkSession\n"
+            "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+            f"s.sparkContext.setCheckpointDir('{tmp_path}')\n"
+            "from carelake.session import build_session, checkpoint_root, clean_scratch, scratch_dir\n"
+            "spark = build_session()\n"
+            "assert spark.sparkContext.master == 'local[2]'\n"
+            f"assert checkpoint_root(spark).startswith('file:{tmp_path}'), checkpoint_root(spark)\n"
+            "a, b = scratch_dir(spark, 'x'), scratch_dir(spark, 'x')\n"
+            "assert a != b and a.startswith(checkpoint_root(spark))\n"
+            "spark.range(3).write.parquet(a)\n"
+            "assert clean_scratch(spark, 'x') and not clean_scratch(spark, 'x')\n")
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def test_incremental_load_is_idempotent(spark, scratch):

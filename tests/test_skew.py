@@ -18,16 +18,46 @@ def test_merge_with_a_hot_new_key(spark, scratch):
     assert spark.table(f"{db}.t").count() == 2000 + 3500
 
 
-def test_salted_join_with_a_hot_token(spark):
-    big = spark.range(0, 3000).select((F.col("id") % 3 == 0).cast("int").alias("hot"), "id") \
-        .select(F.when(F.col("hot") == 1, F.lit("common")).otherwise(F.concat(F.lit("w"), F.col("id"))).alias("token"),
-                "id")
-    small = spark.createDataFrame([("common", "DRUG"), ("w1", "FORM")], "token string, entity string")
-    salted = join_small(big, small, "token", "inner", max_rows=0, salt=16)
-    assert salted.count() == 1000 + 1
-    by_salt = big.withColumn("s", F.pmod(F.xxhash64(*big.columns), F.lit(16))).where("token = 'common'") \
-        .groupBy("s").count().agg(F.max("count")).first()[0]
-    assert by_salt < 200  # the hot token's 1000 rows are spread over the salts
+def _skew_split(spark, df):
+    """Runs ``df`` with small limits; the number of skewed joins in the final plan."""
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k", "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = len(df.collect())
+        return n, df._jdf.queryExecution().executedPlan().toString().count("skew=true")
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _hot(spark, n=6000):
+    return spark.range(n).repartition(8).select(
+        F.when(F.col("id") % 2 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("w"), F.col("id"))).alias("k"),
+        F.concat(F.lit("some longer value "), F.col("id")).alias("v"))
+
+
+def test_a_hot_source_key_of_a_merge_is_split(spark):
+    target = spark.range(500).select(F.concat(F.lit("w"), F.col("id")).alias("k"))
+    n, splits = _skew_split(spark, tbl.new_rows(target, _hot(spark), ["k"]))
+    assert n == 6000 - 250 and splits >= 1
+
+
+def test_a_hot_token_of_a_shuffle_join_is_split(spark):
+    small = spark.createDataFrame([("HOT", "DRUG"), ("w1", "FORM")], "k string, entity string")
+    n, splits = _skew_split(spark, join_small(_hot(spark), small, "k", max_rows=0))
+    assert n == 3001 and splits >= 1
+
+
+def test_broadcast_is_bounded_in_bytes_as_well(spark):
+    small = spark.range(10).select(F.concat(F.lit("w"), F.col("id")).alias("k"), F.repeat(F.lit("x"), 1000).alias("text"))
+    plan = join_small(_hot(spark), small, "k", max_bytes=5000)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan
+    plan = join_small(_hot(spark), small, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" in plan
 
 
 def test_note_and_frequency_aggregates_with_a_hot_chunk(spark):

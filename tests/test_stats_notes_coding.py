@@ -104,12 +104,10 @@ def test_entity_spans_lexicon_and_model_agree(spark, scratch):
     assert spans == [(1, "daily", "FREQUENCY", 2, 3), (1, "warfarin", "DRUG", 1, 2), (1, "warfarin", "DRUG", 3, 4)]
     salted = sorted(tuple(r) for r in notes.entity_spans(docs, lex, max_broadcast_rows=0).collect())
     assert salted == spans
-    p = scratch("lex")
-    lex.coalesce(1).write.parquet(p)
-    model = sorted(tuple(r) for r in notes.extract_with_model(docs, notes.LexiconModel(p)).collect())
+    model = sorted(tuple(r) for r in notes.extract_with_model(docs, notes.LexiconModel(lex)).collect())
     assert model == spans
     by_path = docs.selectExpr("concat('note_', doc_id) AS path", "text")
-    keyed = sorted(tuple(r) for r in notes.extract_with_model(by_path, notes.LexiconModel(p), key="path").collect())
+    keyed = sorted(tuple(r) for r in notes.extract_with_model(by_path, notes.LexiconModel(lex), key="path").collect())
     assert keyed == [("note_" + str(k), *rest) for k, *rest in spans]
 
 
@@ -188,9 +186,10 @@ def test_model_hook_multi_token_terms(spark, scratch):
     lex = spark.createDataFrame([("aspirin", "DRUG"), ("twice daily", "FREQUENCY"), ("daily", "FREQUENCY"),
                                  ("by mouth", "ROUTE"), ("mouth", "FORM"), ("twice", "DOSAGE")],
                                 "term string, entity string")
-    p = scratch("phrases")
-    lex.write.parquet(p)
-    got = sorted(tuple(r) for r in notes.extract_with_model(docs, notes.LexiconModel(p)).collect())
+    got = sorted(tuple(r) for r in notes.extract_with_model(docs, notes.LexiconModel(lex)).collect())
+    assert sorted(tuple(r) for r in notes.entity_spans(docs, lex).collect()) == got
+    with pytest.raises(ValueError):
+        notes.LexiconModel(lex, max_rows=3)
     assert got == [
         (1, "aspirin", "DRUG", 1, 2), (1, "by mouth", "ROUTE", 4, 6), (1, "twice", "DOSAGE", 7, 8),
         (1, "twice daily", "FREQUENCY", 2, 4),
@@ -209,3 +208,24 @@ def test_payloads_keep_concepts_with_null_values(spark):
     docs = coding.concept_payloads(df, "drug", "grp", "key", "name", bucket=F.lit(0))
     got = sorted(tuple(r) for r in coding.flatten_concepts(coding.parse_responses(docs)).collect())
     assert got == [("B1", "1", ""), ("B1", "2", "n2"), ("B1", "3", "n3")]
+
+
+def test_numbers_units_and_phrases(spark):
+    docs = spark.createDataFrame([(1, "Aspirin 81 mg twice daily for 7 days 50mg")], NOTES)
+    lex = spark.createDataFrame([("aspirin", "DRUG"), ("Twice Daily", "FREQUENCY"), ("daily", "FREQUENCY")], "term string, entity string")
+    rules = {"STRENGTH": "[0-9.]+ mg", "DURATION": "[0-9]+ days", "DOSAGE": "[0-9]+mg"}
+    got = sorted(tuple(r)[1:] for r in notes.entity_spans(docs, lex, rules=rules).collect())
+    assert got == [("50mg", "DOSAGE", 8, 9), ("7 days", "DURATION", 6, 8), ("81 mg", "STRENGTH", 1, 3), ("aspirin", "DRUG", 0, 1),
+                   ("twice daily", "FREQUENCY", 3, 5)]
+
+
+def test_rejected_responses_are_reported(spark):
+    tag = coding.ROW_TAG
+    one = "<conceptGroup><conceptProperties><rxcui>1</rxcui><name>n</name></conceptProperties></conceptGroup>"
+    rows = [("good", f"<{tag}><drugGroup><name>g</name>{one}</drugGroup></{tag}>"), ("cut", f"<{tag}><drugGroup><name>g</na"),
+            ("null", None), ("none", f"<{tag}><drugGroup><name>g</name></drugGroup></{tag}>"), ("text", "not xml"),
+            ("empty group", f"<{tag}><drugGroup><conceptGroup><tty>x</tty></conceptGroup></drugGroup></{tag}>")]
+    parsed = coding.parse_responses(spark.createDataFrame(rows, "drug string, xml string"))
+    got = {r.drug: r.reason for r in coding.rejects(parsed).collect()}
+    assert got == {"cut": "malformed", "null": "missing", "none": "no group", "text": "malformed", "empty group": "no concept"}
+    assert [r.Drug for r in coding.flatten_concepts(parsed).collect()] == ["good"]

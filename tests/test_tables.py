@@ -49,40 +49,59 @@ def test_merge_twice_equals_once_for_non_null_keys(spark, scratch):
     assert sorted(spark.table(t).collect()) == once
 
 
-def test_snapshot_clone_is_isolated(spark, scratch):
+def _versioned(spark, scratch, rows):
     root, db = _db(spark, scratch)
-    raw = tbl.save_table(spark.createDataFrame([("a", "A", "1"), ("b", "B", "2"), ("c", "C", "3")], CORD),
-                         f"{db}.raw")
-    tbl.snapshot_clone(spark, raw, f"{root}/clean")
-    tbl.insert_partial(spark, f"{db}.raw", {"cord_uid": "xxxxxxx"})
-    tbl.append_by_name(spark.createDataFrame([("e", "E", "5")], CORD), f"{db}.raw")
-    assert spark.table(f"{db}.raw").count() == 5
-    clone = tbl.read_clone(spark, f"{root}/clean")
-    assert clone.count() == 3
-    # deep clone copies rows
-    tbl.snapshot_clone(spark, spark.table(f"{db}.raw"), f"{root}/deep", deep=True)
-    assert tbl.read_clone(spark, f"{root}/deep").count() == 5
+    tbl.create_versioned(spark.createDataFrame(rows, CORD), f"{db}.raw", f"{root}/raw")
+    return root, db
+
+
+def test_snapshot_clone_is_isolated(spark, scratch):
+    root, db = _versioned(spark, scratch, [("a", "A", "1"), ("b", "B", "2"), ("c", "C", "3")])
+    tbl.snapshot_clone(spark, f"{db}.raw", f"{db}.clean", f"{root}/clean")
+    tbl.append_versioned(spark.createDataFrame([("xxxxxxx",)], "cord_uid string"), f"{db}.raw")
+    tbl.append_versioned(spark.createDataFrame([("e", "E", "5")], CORD), f"{db}.raw")
+    assert spark.table(f"{db}.raw").count() == 5 and spark.table(f"{db}.clean").count() == 3
+    tbl.snapshot_clone(spark, f"{db}.raw", f"{db}.deep", f"{root}/deep", deep=True)
+    assert spark.table(f"{db}.deep").count() == 5
+
+
+def test_a_clone_made_again_shows_the_new_state(spark, scratch):
+    root, db = _versioned(spark, scratch, [("a", "A", "1")])
+    for i, deep in enumerate((False, True, False)):
+        tbl.append_versioned(spark.createDataFrame([(str(i), "x", "1")], CORD), f"{db}.raw")
+        tbl.snapshot_clone(spark, f"{db}.raw", f"{db}.clean", f"{root}/clean{i}", deep=deep)
+        assert spark.table(f"{db}.clean").count() == 2 + i
+    tbl.append_versioned(spark.createDataFrame([("own", "x", "1")], CORD), f"{db}.clean")
+    tbl.snapshot_clone(spark, f"{db}.clean", f"{db}.second", f"{root}/second")  # a clone of a clone
+    tbl.append_versioned(spark.createDataFrame([("own2", "x", "1")], CORD), f"{db}.second")
+    assert [spark.table(f"{db}.{t}").count() for t in ("raw", "clean", "second")] == [4, 5, 6]
 
 
 def test_clone_of_an_empty_table(spark, scratch):
-    root, db = _db(spark, scratch)
-    empty = tbl.create_empty(spark, f"{db}.e", CORD)
-    tbl.snapshot_clone(spark, empty, f"{root}/c")
-    tbl.insert_partial(spark, f"{db}.e", {"cord_uid": "x"})
-    clone = tbl.read_clone(spark, f"{root}/c")
+    root, db = _versioned(spark, scratch, [])
+    tbl.snapshot_clone(spark, f"{db}.raw", f"{db}.c", f"{root}/c")
+    tbl.append_versioned(spark.createDataFrame([("x", "X", "1")], CORD), f"{db}.raw")
+    clone = spark.table(f"{db}.c")
     assert clone.count() == 0 and clone.columns == ["cord_uid", "title", "publish_time"]
 
 
 def test_clone_then_merge_brings_new_rows(spark, scratch):
     """Clone, insert into the source, merge the source into the clone."""
-    root, db = _db(spark, scratch)
-    raw = tbl.save_table(spark.createDataFrame([("a", "A", "1")], CORD), f"{db}.raw")
-    tbl.snapshot_clone(spark, raw, f"{root}/clean", deep=True)
-    tbl.create_external(spark, f"{db}.clean", f"{root}/clean/data")
-    tbl.insert_partial(spark, f"{db}.raw", {"cord_uid": "xxxxxxx"})
+    root, db = _versioned(spark, scratch, [("a", "A", "1")])
+    tbl.snapshot_clone(spark, f"{db}.raw", f"{db}.clean", f"{root}/clean")
+    tbl.append_versioned(spark.createDataFrame([("xxxxxxx",)], "cord_uid string"), f"{db}.raw")
     assert tbl.merge_insert_only(spark, f"{db}.clean", spark.table(f"{db}.raw"), "cord_uid") == 1
     got = {(r.cord_uid, r.title) for r in spark.table(f"{db}.clean").collect()}
     assert got == {("a", "A"), ("xxxxxxx", None)}
+    assert tbl.merge_insert_only(spark, f"{db}.clean", spark.table(f"{db}.raw"), "cord_uid") == 0
+
+
+def test_old_versions_are_dropped(spark, scratch):
+    root, db = _db(spark, scratch)
+    for i in range(4):
+        tbl.publish(spark.range(i + 1), f"{db}.v", f"{root}/v")
+    assert tbl.drop_old_versions(spark, f"{root}/v", f"{db}.v", keep=2) == 2
+    assert spark.table(f"{db}.v").count() == 4
 
 
 def test_insert_partial_sets_other_columns_null(spark, scratch):

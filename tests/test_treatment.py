@@ -82,10 +82,20 @@ def test_default_grid_is_the_full_search(spark):
     assert len(treatment.param_grid(rf)) == 24
 
 
-def test_labelled_split_equals_random_split(spark):
-    df = spark.createDataFrame([(i, float(i % 17)) for i in range(3000)], "k bigint, x double").repartition(4)
-    df = df.cache()
-    train, test = treatment.random_split(df)
-    lab = treatment.labelled_split(df)
-    assert {r.k for r in lab.where("split = 'train'").collect()} == {r.k for r in train.collect()}
-    assert {r.k for r in lab.where("split = 'test'").collect()} == {r.k for r in test.collect()}
+def test_fit_is_the_same_on_any_partitioning(spark):
+    df = spark.range(3000).selectExpr("id", "CAST(id % 17 AS double) AS x1", "CAST(id * 7 % 13 AS double) AS x2", "CAST(id % 17 > 8 AS int) AS y")
+    got = []
+    for parts in (4, 16):
+        data = treatment.hash_split(treatment.scale_features(df.repartition(parts), ["x1", "x2"]), ["id"])
+        train = treatment.fit_sample(data.where("split = 'train'"), ["id"], rows=1000)
+        model = treatment.tune_forest(train, "y", grid_kwargs={"bootstrap": [True], "max_depth": [3], "num_trees": [5]})
+        pred = treatment.predictions_table(model, data, ["id", "split"], "y").select("id", "split", "y", "prediction", "probability_1")
+        got.append((sorted(train.select("id").collect()), sorted(map(tuple, pred.collect()))))
+    assert got[0] == got[1] and len(got[0][1]) == 3000 and 800 < len(got[0][0]) < 1200
+
+
+def test_scaled_columns_equal_the_scaler(spark):
+    df = spark.createDataFrame([(1.0, 5), (3.0, 5), (2.5, 5)], "a double, b int")
+    got = treatment.scale_columns(df, ["a", "b"]).select("scaled_a", "scaled_b").collect()
+    want = [tuple(r.v) for r in treatment.scale_features(df, ["a", "b"]).select(vector_to_array("scaled_features").alias("v")).collect()]
+    assert [tuple(r) for r in got] == want
