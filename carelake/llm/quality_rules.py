@@ -81,12 +81,14 @@ def statistics(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFra
         return (F.length(t) - F.length(F.translate(t, chars, ""))).cast("bigint")
 
     own = "__s" + "_" * max(map(len, docs.columns))  # no column of docs is called that
-    of = docs.withColumn(own, F.struct(
+    # A generated row, not a projected one: filters on it are not pushed below, and no
+    # optimizer rule computes the statistics again per use.
+    of = docs.withColumn(own, F.explode(F.array(F.struct(
         let(F.transform(words, lambda w: F.xxhash64(w)), of_words).alias("w"),
         (F.length(t).cast("bigint") - removed(" \t\n\x0b\x0c\r")).alias("c"),
         removed(SYMBOLS).alias("s"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("d"),
-        F.length(F.regexp_replace(t, r"\P{Lu}+", "")).cast("bigint").alias("u")))
+        F.length(F.regexp_replace(t, r"\P{Lu}+", "")).cast("bigint").alias("u")))))
     keep = [F.col(f"`{c}`") for c in docs.columns if c not in [prefix + n for n in names]]
     field = {"n_words": "w.n", "word_chars": "c", "n_symbols": "s", "n_dup_lines": "d", "n_repeat_words": "w.r",
              "n_adjacent": "w.a", "n_upper": "u"}
