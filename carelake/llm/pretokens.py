@@ -26,6 +26,8 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 
 END, SP, WS, LETTER, NUMBER, APOS, C_STMD, C_RV, C_L, C_E, OTHER = range(11)
 N_CLASSES = 11
@@ -204,7 +206,7 @@ class WordMemo:
     """
 
     def __init__(self, encode: Callable[[list[str]], list[list[int]]], added: dict[str, int] | None = None,
-                 added_value: Callable[[int], list[int]] = lambda i: [i], limit: int = 600_000):
+                 added_value: Callable[[int], list[int]] = lambda i: [i], limit: int = 400_000):
         self.encode, self.limit = encode, limit
         self.added = added or {}
         self.added_value = added_value
@@ -311,6 +313,22 @@ def batches(texts: list[str], size: int = PIECE) -> Iterator[tuple[int, int]]:
         yield i, len(texts)
 
 
+def unused(docs) -> str:
+    """A column name that ``docs`` does not have."""
+    return "_" * (1 + max(map(len, docs.columns)))
+
+
+def slices(column: pa.Array, size: int = PIECE) -> Iterator[tuple[int, int, list[str]]]:
+    """Ranges (i, j) of a column of texts of about ``size`` bytes together, with the
+    texts (null: empty): a batch's texts are never all Python strings at once."""
+    n = np.asarray(pc.fill_null(pc.binary_length(column), 0))
+    upto, i = np.cumsum(n, dtype=np.int64), 0
+    while i < len(n):
+        j = max(i + 1, int(np.searchsorted(upto, (upto[i - 1] if i else 0) + size)))
+        yield i, j, [t or "" for t in column.slice(i, j - i).to_pylist()]
+        i = j
+
+
 def encoded(memo: WordMemo, texts: list[str]) -> Iterator[np.ndarray]:
     """The values of each text in order; long texts go in pieces, so that memory
     is bounded by their own values."""

@@ -19,20 +19,19 @@ transition.
 
 from __future__ import annotations
 
-import hashlib
 from collections import deque
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelake.llm import pretokens, vocab
 
-STATES = 400_000
-PAIRS = 2_000_000
+STATES = 300_000
+PAIRS = 400_000
 
 
 class CountTransducer:
@@ -65,28 +64,36 @@ class CountTransducer:
                     f = self.fail[f]
                 self.fail[c] = self.child[f].get(x, 0)
                 todo.append(c)
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self._reset()
 
     def _reset(self) -> None:
-        self.next: list[dict[int, tuple[int, int]]] = [{}]
-        self.states = [(0, {0: (-1, 0)})]
-        self.index: dict = {(0, ((0, (-1, 0)),)): 0}
+        #: state * 256 + byte -> next state * 1024 + change of the count + 512
+        self.next: dict[int, int] = {}
+        self.states = [(0, ((0, (-1, 0)),))]
+        self.index: dict = {self.states[0]: 0}
+
+    def _state(self, key: tuple) -> int:
+        at = self.index.get(key)
+        if at is None:
+            at = self.index[key] = len(self.states)
+            self.states.append(key)
+        return at
 
     def _fits(self, before: int, token: int) -> bool:
         if before < 0:
             return True
-        pair = (before, token)
+        pair = before << 32 | token
         ok = self.pairs.get(pair)
         if ok is None:
             if len(self.pairs) > PAIRS:
                 self.pairs.clear()
-            ok = self.pairs[pair] = self.vocab.compatible(*pair)
+            ok = self.pairs[pair] = self.vocab.compatible(before, token)
         return ok
 
-    def _make(self, state: int, x: int) -> tuple[int, int]:
-        """The transition of ``state`` on byte ``x``: (next state, change of the count)."""
-        node, seen = self.states[state]
+    def _make(self, state: int, x: int) -> int:
+        """The transition of ``state`` on byte ``x``."""
+        node, seen = self.states[state][0], dict(self.states[state][1])
         deepest, found, w = 0, None, node
         while True:
             c = self.child[w].get(x)
@@ -102,54 +109,42 @@ class CountTransducer:
         token, delta = found
         while deepest and not self.child[deepest]:  # nothing longer starts like this
             deepest = self.fail[deepest]
-        now = {}
+        now = []
         y = deepest
         while y:
             before, rel = seen[self.parent[y]]
-            now[y] = (before, rel - delta)
+            now.append((y, (before, rel - delta)))
             y = self.fail[y]
-        now[0] = (token, 0)
-        key = (deepest, tuple(now.items()))
-        nxt = self.index.get(key)
-        if nxt is None:
-            nxt = self.index[key] = len(self.states)
-            self.states.append((deepest, now))
-            self.next.append({})
-        self.next[state][x] = (nxt, delta)
-        return nxt, delta
+        now.append((0, (token, 0)))
+        step = self.next[state << 8 | x] = self._state((deepest, tuple(now))) << 10 | delta + 512
+        return step
 
     def count(self, word: bytes) -> int:
         if len(self.states) > STATES:
             self._reset()
-        nxt, state, n = self.next, 0, 0
-        for k, x in enumerate(word):
-            step = nxt[state].get(x)
+        state, n = 0, 0
+        for x in word:
+            step = self.next.get(state << 8 | x)
             if step is None:
-                if k % 65_536 == 65_535 and len(self.states) > 2 * STATES:
-                    node, seen = self.states[state]  # a very long word: keep only the current state
+                if len(self.states) > 2 * STATES:  # a very long word: keep its state only
+                    here = self.states[state]
                     self._reset()
-                    nxt, state = self.next, 0
-                    if (key := (node, tuple(seen.items()))) not in self.index:
-                        state = self.index[key] = len(self.states)
-                        self.states.append((node, seen))
-                        self.next.append({})
+                    state = self._state(here)
                 step = self._make(state, x)
-            state, d = step
-            n += d
+            state = step >> 10
+            n += (step & 1023) - 512
         return n
 
     def words(self, words: list[str]) -> list[list[int]]:
         return [[self.count(w.encode())] for w in words]
 
 
-@lru_cache(maxsize=2)
-def _memo(digest: bytes, ref) -> pretokens.WordMemo:
-    t = CountTransducer(ref.data)
-    return pretokens.WordMemo(t.words, t.vocab.added, added_value=lambda i: [1])
-
-
 def memo(data: bytes) -> pretokens.WordMemo:
-    return _memo(hashlib.sha256(data).digest(), vocab._Ref(data))
+    def build():
+        t = CountTransducer(data)
+        return pretokens.WordMemo(t.words, t.vocab.added, added_value=lambda i: [1])
+
+    return vocab.held(("counts", vocab.digest(data)), build)
 
 
 def token_counts(docs: DataFrame, path: str | None = None, limit: int = 512, text: str = "text",
@@ -170,11 +165,11 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = 512, tex
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = memo(data.value)
         for batch in parts:
-            texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
-            n = np.fromiter((int(x.sum()) for x in pretokens.encoded(counts, texts)), np.int64, len(texts))
-            size = np.fromiter((len(t.encode()) for t in texts), np.int64, len(texts))
+            column = batch.column(batch.num_columns - 1)
+            n = np.array([int(x.sum()) for _, _, texts in pretokens.slices(column) for x in pretokens.encoded(counts, texts)], np.int64)
+            size = np.asarray(pc.fill_null(pc.binary_length(column), 0)).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(k) for k in range(len(keep))] + [pa.array(size), pa.array(n), pa.array(n > limit)],
                 names=keep + new)
 
-    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("string").alias("__text")).mapInArrow(run, schema)
+    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("string").alias(pretokens.unused(docs))).mapInArrow(run, schema)

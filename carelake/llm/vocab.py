@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-from functools import lru_cache
 
 from pyspark import Broadcast
 from pyspark.sql import SparkSession
@@ -123,24 +122,24 @@ class Vocabulary:
                 and self.merged(b) == [i]]
 
 
-@lru_cache(maxsize=4)
-def _by_digest(digest: bytes, data_ref) -> Vocabulary:
-    return Vocabulary(data_ref.data)
+_HELD: list = [None, None]
 
 
-class _Ref:
-    """Keeps large bytes out of the cache key."""
+def held(key: tuple, build):
+    """What a worker process keeps between tasks: one tool at a time.
 
-    def __init__(self, data: bytes):
-        self.data = data
+    Workers are reused by later stages; a stage's tool (tables and memo) replaces the
+    one of the stage before, so their memory does not add up.
+    """
+    if _HELD[0] != key:
+        _HELD[:] = [None, None]  # let go before building
+        _HELD[:] = [key, build()]
+    return _HELD[1]
 
-    def __hash__(self):
-        return 0
 
-    def __eq__(self, other):
-        return True
+def digest(data: bytes) -> bytes:
+    return hashlib.sha256(data).digest()
 
 
 def vocabulary(data: bytes) -> Vocabulary:
-    """The vocabulary of a file's bytes, parsed once per worker process."""
-    return _by_digest(hashlib.sha256(data).digest(), _Ref(data))
+    return Vocabulary(data)
