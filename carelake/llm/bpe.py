@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -28,7 +27,7 @@ from pyspark.sql import functions as F
 
 from carelake.llm import pretokens, vocab
 
-PAIRS = 2_000_000  # entries of the compatibility table before it is emptied
+PAIRS = 400_000  # entries of the compatibility table before it is emptied
 
 
 class Encoder:
@@ -46,7 +45,7 @@ class Encoder:
         for b, i in by_bytes.items():
             self.shorter[i] = next((by_bytes[b[:k]] for k in range(len(b) - 1, 0, -1) if b[:k] in by_bytes), -1)
         self.length = {i: len(b) for b, i in by_bytes.items()}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}  # previous token << 32 | token
         self.whole = {b: [i] for b, i in by_bytes.items()}
 
     def word(self, b: bytes) -> list[int]:
@@ -69,10 +68,10 @@ class Encoder:
                 if not dead[pos + length[token]]:
                     if not out:
                         break
-                    pair = (out[-1], token)
+                    pair = out[-1] << 32 | token
                     ok = pairs.get(pair)
                     if ok is None:
-                        ok = pairs[pair] = compatible(*pair)
+                        ok = pairs[pair] = compatible(out[-1], token)
                     if ok:
                         break
                 token = shorter[token]
@@ -112,18 +111,12 @@ class Decoder:
         return self.decode(ids).decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=2)
-def _tools(digest: bytes, ref) -> tuple[pretokens.WordMemo, Decoder]:
-    e = Encoder(ref.data)
-    return pretokens.WordMemo(e.words, e.vocab.added), Decoder(e.vocab)
-
-
 def tools(data: bytes) -> tuple[pretokens.WordMemo, Decoder]:
-    return _tools(hashlib.sha256(data).digest(), vocab._Ref(data))
-
+    def build():
+        e = Encoder(data)
+        return pretokens.WordMemo(e.words, e.vocab.added), Decoder(e.vocab)
 
-def _texts(column: pa.Array) -> list[str]:
-    return [t or "" for t in column.to_pylist()]
+    return vocab.held(("bpe", vocab.digest(data)), build)
 
 
 def encode_decode(docs: DataFrame, path: str | None = None, text: str = "text", keep: list[str] | None = None,
@@ -145,10 +138,9 @@ def encode_decode(docs: DataFrame, path: str | None = None, text: str = "text",
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo, decoder = tools(data.value)
         for batch in parts:
-            texts = _texts(batch.column(batch.num_columns - 1))
-            for i, j in pretokens.batches(texts, 4 * pretokens.PIECE):
+            for i, j, texts in pretokens.slices(batch.column(batch.num_columns - 1)):
                 flat, sizes, sha, back = [], [], [], []
-                for x in pretokens.encoded(memo, texts[i:j]):
+                for x in pretokens.encoded(memo, texts):
                     sizes.append(len(x))
                     sha.append(hashlib.sha256(x.astype("<u4").tobytes()).hexdigest())
                     back.append(hashlib.sha256(decoder.text(x).encode()).hexdigest())
@@ -163,4 +155,4 @@ def encode_decode(docs: DataFrame, path: str | None = None, text: str = "text",
                 names = keep + ["ids"] * ids + new[1:]
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("string").alias("__text")).mapInArrow(run, schema)
+    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("string").alias(pretokens.unused(docs))).mapInArrow(run, schema)

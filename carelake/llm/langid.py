@@ -27,14 +27,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from carelake.llm.pretokens import slices, unused
+from carelake.llm.vocab import held
 from carelake.session import checkpoint_root, ship_package
 
 ORDER = 4
 PER_LANGUAGE = 1500  # bound of the labelled sample, documents of each language
 LEFT, RIGHT = "\x02", "\x03"
 MAX_MODEL_BYTES = 512 * 1024 * 1024
-WORDS = 300_000  # words in a worker's memo
-BATCH_CHARS = 1 << 20
+WORDS = 200_000  # words in a worker's memo
 SLACK = 1.5  # the rejection bound lies this much beyond the farthest calibration text
 #: and at least this far on the way from the language's mean to a uniform draw of letters, so
 #: that texts that mix known languages stay.
@@ -187,17 +188,6 @@ class Scorer:
         return total, np.bincount(owner, self.size[at], len(texts)).astype(np.int64)
 
 
-def _batches(texts: list, size: int = BATCH_CHARS) -> Iterator[tuple[int, int]]:
-    i, n = 0, 0
-    for j, t in enumerate(texts):
-        n += len(t or "")
-        if n >= size:
-            yield i, j + 1
-            i, n = j + 1, 0
-    if i < len(texts):
-        yield i, len(texts)
-
-
 # --- fitting ----------------------------------------------------------------------------
 
 def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", order: int = ORDER,
@@ -266,9 +256,8 @@ def _calibrate(model: Model, rows: DataFrame) -> None:
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(data)
         for batch in parts:
-            texts = batch.column(1).to_pylist()
-            for i, j in _batches(texts):
-                total, size = scorer.run(texts[i:j])
+            for i, j, texts in slices(batch.column(1)):
+                total, size = scorer.run(texts)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(size),
                                                   pa.array(list(total), pa.list_(pa.float64()))], names=["lang", "size", "total"])
 
@@ -299,15 +288,10 @@ def _calibrate(model: Model, rows: DataFrame) -> None:
     model.bound = bound
 
 
-_LAST: list[Scorer] = []
-
-
 def _scorer(data) -> Scorer:
-    """One scorer per worker process; another model's replaces it."""
+    """One scorer per worker process, for as long as its model is in use."""
     model = data.value
-    if not _LAST or _LAST[0].model is not model:
-        _LAST[:] = [Scorer(model)]
-    return _LAST[0]
+    return held(("langid", id(model)), lambda: Scorer(model))
 
 
 # --- prediction -------------------------------------------------------------------------
@@ -348,15 +332,14 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str]
         scorer, m = _scorer(data), data.value
         names = np.array([*m.languages, "und"], object)
         for batch in parts:
-            texts = batch.column(len(keep)).to_pylist()
-            for i, j in _batches(texts):
-                pred, score, low, out = _judge(scorer, m, texts[i:j])
+            for i, j, texts in slices(batch.column(len(keep))):
+                pred, score, low, out = _judge(scorer, m, texts)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(k).slice(i, j - i) for k in range(len(keep))]
                     + [pa.array(names[pred], pa.string()), pa.array(score), pa.array(low, from_pandas=True), pa.array(out)],
                     names=keep + new)
 
-    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("string").alias("__text")).mapInArrow(run, schema)
+    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("string").alias(unused(docs))).mapInArrow(run, schema)
 
 
 def keep_known(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -368,9 +351,8 @@ def keep_known(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer, m = _scorer(data), data.value
         for batch in parts:
-            texts = batch.column(at).to_pylist()
-            for i, j in _batches(texts):
-                out = _judge(scorer, m, texts[i:j])[3]
+            for i, j, texts in slices(batch.column(at)):
+                out = _judge(scorer, m, texts)[3]
                 yield batch.slice(i, j - i).filter(pa.array(~out))
 
     return docs.mapInArrow(run, docs.schema)

@@ -29,6 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carelake.llm.vocab import held
 from carelake.session import ship_package
 
 WIDTH = 5
@@ -185,14 +186,9 @@ def notices(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(n, " ".join(t.split())) for n, t in NOTICES], "template_id string, text string")
 
 
-_LAST: list = []
-
-
 def _compiled(data) -> Templates:
     rows = data.value
-    if not _LAST or _LAST[0] is not rows:
-        _LAST[:] = [rows, Templates(rows)]
-    return _LAST[1]
+    return held(("licenses", id(rows)), lambda: Templates(rows))
 
 
 def scan(docs: DataFrame, templates: DataFrame | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -12,11 +12,9 @@ the files before, one row per writer task.
 
 from __future__ import annotations
 
-import hashlib
 import os
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,20 +27,18 @@ from carelake.llm import pretokens, vocab
 BLOOM_FPP = 0.01
 
 
-@lru_cache(maxsize=2)
-def _memo(digest: bytes, ref) -> pretokens.WordMemo:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-    t = Tokenizer.from_str(ref.data.decode())
-
-    def encode(words: list[str]) -> list[list[int]]:
-        return [e.ids for e in t.encode_batch_fast(words, add_special_tokens=False)]
+def _encoder(data: bytes) -> pretokens.WordMemo:
+    def build():
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+        t = Tokenizer.from_str(data.decode())
 
-    return pretokens.WordMemo(encode, vocab.vocabulary(ref.data).added)
+        def encode(words: list[str]) -> list[list[int]]:
+            return [e.ids for e in t.encode_batch_fast(words, add_special_tokens=False)]
 
+        return pretokens.WordMemo(encode, vocab.vocabulary(data).added)
 
-def _encoder(data: bytes) -> pretokens.WordMemo:
-    return _memo(hashlib.sha256(data).digest(), vocab._Ref(data))
+    return vocab.held(("library", vocab.digest(data)), build)
 
 
 def write_token_ids(docs: DataFrame, folder: str, path: str | None = None, end_id: int = 0, key: str = "doc_id",
@@ -63,10 +59,9 @@ def write_token_ids(docs: DataFrame, folder: str, path: str | None = None, end_i
         memo, part, start = _encoder(data.value), TaskContext.get().partitionId(), 0
         end = np.array([end_id], np.int32)
         for batch in parts:
-            texts = batch.column(1).to_pylist()
-            for i, j in pretokens.batches(texts, 2 * pretokens.PIECE):
+            for i, j, texts in pretokens.slices(batch.column(1)):
                 flat, sizes = [], []
-                for x in pretokens.encoded(memo, texts[i:j]):
+                for x in pretokens.encoded(memo, texts):
                     flat += [x, end]
                     sizes.append(len(x) + 1)
                 at = np.concatenate(([0], np.cumsum(sizes)))

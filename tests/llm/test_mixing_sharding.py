@@ -28,7 +28,8 @@ def docs(spark):
     rows += [(5000 + i, " ".join(["hot"] * (1 + i % 40)), "s1", 1) for i in range(2000)]
     rows += [(9000, None, "s2", 1), (9001, "", "s3", 1), (9002, "only", "empty-later", 1), (9003, None, "nothing", 1), (9004, "w " * 5000, "s4", 1)]
     rows += [(7, rows[7][1], rows[7][2], 1)]  # a repeated row
-    return spark.createDataFrame(rows, "doc_id bigint, text string, source string, size int")
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, size int")
+    return docs.selectExpr("*", "1 AS `__e`", "2 AS __copies", "3 AS s")  # names the operators use themselves
 
 
 def test_mix_meets_targets(docs):

@@ -5,7 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
-from hypothesis import given, settings
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from carelake.llm import bpe, pretokens, token_counts, token_output, vocab
@@ -26,6 +26,11 @@ def data():
         return f.read()
 
 
+@pytest.fixture(scope="module")
+def memos(data):
+    return bpe.tools(data), token_counts.memo(data)  # each replaces the other in a worker, not here
+
+
 @pytest.fixture(scope="module")
 def docs(spark):
     rows = [(i, t, i, "x", None) for i, t in enumerate(ODD_TEXTS)]
@@ -41,11 +46,10 @@ def test_every_token_encodes_to_itself(data):
     assert len(v.self_encoding()) == len(v.id_of)
 
 
-@settings(max_examples=300, deadline=None)
+@settings(max_examples=300, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.text(alphabet=" \n\t'strvemldaZ9!é²　\x85,<|>", max_size=30) | st.text(max_size=40), max_size=4))
-def test_ids_and_counts_equal_the_library(library, data, texts):
-    memo, decoder = bpe.tools(data)
-    counts = token_counts.memo(data)
+def test_ids_and_counts_equal_the_library(library, memos, texts):
+    (memo, decoder), counts = memos
     for t, x, n in zip(texts, pretokens.encoded(memo, texts), pretokens.encoded(counts, texts)):
         want = ids_of(library, t)
         assert x.tolist() == want
