@@ -134,7 +134,7 @@ class Mix:
             p.update(rank=1 << RANK_BITS, tie=0, close_rank=-1, close_tie=0)
         cell = {s: 0 for s in room}  # leading bits of the ranks the line lies in
         bits = 0
-        for step in (12, 12):
+        for step in (8, 8, 8):
             x = self._beside(drawn, "s", "cell bigint, room double", [(s, c, room[s]) for s, c in cell.items()])
             x = x.where(F.shiftright("rank", RANK_BITS - bits) == F.col("cell"))
             bits += step
@@ -188,14 +188,15 @@ class Mix:
     def apply(self, docs: DataFrame) -> DataFrame:
         """The documents the mix takes, each as often as it is taken; columns as in ``docs``."""
         e = self._expressions()
-        x = self._copies(docs.withColumn("__e", F.struct(*[e[n].alias(n) for n in ("w", "u", "tie")])), self.source)
-        x = x.where("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-        return x.select(*[F.col(f"`{c}`") for c in docs.columns])
+        x = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(self.source).cast("string").alias("s"),
+                        F.struct(*[e[n].alias(n) for n in ("w", "u", "tie")]).alias("__e"))
+        x = self._copies(x, "s").where("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+        return x.select(*[F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def mix(docs: DataFrame, **options) -> Mix:
     """A mix of ``docs``. Defined results: a null or empty text has size 0 and takes
     no words; a null source is a source of its own, after all others; rows equal in key, source
     and text share their rank, and are taken or left together; an empty table gives an
-    empty report. Internal columns start with two underscores."""
+    empty report; other columns are carried along, whatever their names."""
     return Mix(docs, **options)
