@@ -23,6 +23,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -234,6 +235,21 @@ class WordMemo:
         self.used += len(ids)
         return self.n - 1
 
+    def _put_all(self, keys: list, lists: list[list[int]]) -> None:
+        size = np.fromiter(map(len, lists), np.int64, len(lists))
+        total, n = int(size.sum()), len(lists)
+        while self.n + n > len(self.lengths):
+            self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
+            self.offsets = np.concatenate([self.offsets, np.zeros_like(self.offsets)])
+        while self.used + total > len(self.values):
+            self.values = np.concatenate([self.values, np.zeros_like(self.values)])
+        self.values[self.used:self.used + total] = np.fromiter(chain.from_iterable(lists), np.int32, total)
+        self.lengths[self.n:self.n + n] = size
+        self.offsets[self.n:self.n + n] = self.used + np.cumsum(size) - size
+        self.slot.update(zip(keys, range(self.n, self.n + n)))
+        self.n += n
+        self.used += total
+
     def run(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(all values of all texts in order, number of values per text)."""
         # Sections between added tokens are pre-tokenized on their own.
@@ -279,8 +295,7 @@ class WordMemo:
         if len(miss):
             a, b = at_w[first[miss]].tolist(), end_w[first[miss]].tolist()
             slots[miss] = np.arange(self.n, self.n + len(miss))
-            for k, ids in zip(distinct[miss].tolist(), self.encode([stream[i:j] for i, j in zip(a, b)])):
-                self._put(k, ids)
+            self._put_all(distinct[miss].tolist(), self.encode([stream[i:j] for i, j in zip(a, b)]))
         of = slots[codes]
         for w in np.flatnonzero(of == -2).tolist():  # long words: by their text
             s = stream[at_w[w]:end_w[w]]

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from carelake.llm import pretokens, vocab
 
 BLOOM_FPP = 0.01
+MEMO_WORDS = 600_000  # a miss costs a call of the library: more than the default
 
 
 def _encoder(data: bytes) -> pretokens.WordMemo:
@@ -36,13 +37,13 @@ def _encoder(data: bytes) -> pretokens.WordMemo:
         def encode(words: list[str]) -> list[list[int]]:
             return [e.ids for e in t.encode_batch_fast(words, add_special_tokens=False)]
 
-        return pretokens.WordMemo(encode, vocab.vocabulary(data).added)
+        return pretokens.WordMemo(encode, vocab.vocabulary(data).added, limit=MEMO_WORDS)
 
     return vocab.held(("library", vocab.digest(data)), build)
 
 
 def write_token_ids(docs: DataFrame, folder: str, path: str | None = None, end_id: int = 0, key: str = "doc_id",
-                    text: str = "text", stripe_bytes: int = 64 << 20, compression: str = "zstd") -> str:
+                    text: str = "text", stripe_bytes: int = 64 << 20, compression: str = "snappy") -> str:
     """Write ``(part, <key>, local_start, n_tokens, ids)`` as ORC under ``folder``.
 
     Every text is encoded as the tokenizers library does without special tokens
