@@ -6,13 +6,15 @@ A document's expected copies e follow from its source's target (and its own
 importance, if a column gives one). The whole part of e is certain. What is left
 is drawn as a sample of fixed size (in words): documents are ranked by their random odds
 u / (1 - u) divided by the odds of their inclusion probability, and taken in this
-order until the source's remaining words are used up; the document that would cross the
-line is replaced by the one left out whose size fits the rest best.
+order until the source's remaining words are used up. A document larger than what is left
+is passed over and the draw goes on behind it, as long as any document left out still fits;
+then one more is taken if it brings the words nearer to the target.
 
 The order is never made by sorting a source: its ranks are cut into buckets, the
 buckets' words are summed (map-side first, so a source with a third of all rows
 is no larger than another), and the bucket that holds the line is cut again; only
-the few rows of the last bucket are ordered. Ranks come from a hash of key, source and text: no
+the few rows of the last bucket are ordered. Behind a document that does not fit, the next
+line is looked for in the same way. Ranks come from a hash of key, source and text: no
 state, the same on every run. One row per source goes to the driver
 (``MAX_SOURCES`` bounds them) and comes back as a broadcast of that size.
 """
@@ -54,10 +56,18 @@ def targets(sizes: Sequence[float], weights: Sequence[float], budget: float, cap
 
 
 RANK_BITS = 48  # ranks as integers: cut into buckets by their leading bits
+END = 2 << RANK_BITS  # after all ranks
+LINES = "array<struct<rank: bigint, tie: bigint, room: double>>"
+
+
+def _taken(size: Column | str, rank: Column | str, tie: Column | str, lines: str) -> Column:
+    """Whether one of the lines takes a document."""
+    size, rank, tie = (F.col(c) if isinstance(c, str) else c for c in (size, rank, tie))
+    return F.exists(lines, lambda x: (size <= x["room"]) & ((rank < x["rank"]) | ((rank == x["rank"]) & (tie <= x["tie"]))))
 
 
 class Mix:
-    """The plan of a mix: per source its target and the last rank taken. ``apply``
+    """The plan of a mix: per source its target and the lines of its draw. ``apply``
     gives every document its number of copies, without a shuffle."""
 
     def __init__(self, docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, max_copies: int = 2,
@@ -124,64 +134,97 @@ class Mix:
                 return
 
     def _lines(self) -> None:
-        """Per source the last (rank, tie) taken, and the document that closes the gap."""
+        """Per source the lines of the draw, and the document that closes the gap.
+
+        A line ``(rank, tie, room)``: of the documents up to (rank, tie) those of at most
+        ``room`` words are taken. Both the position and the room of the lines of a source run one way, so a
+        document is taken if any line takes it.
+        """
         rows = self._with_rank(self.rows.withColumn("__e", F.struct("w", "u")), "s") \
             .select("s", "size", "tie", F.col("__whole").alias("whole"), F.col("__rank").alias("rank")).checkpoint()
         certain = {r["s"]: r["n"] for r in rows.groupBy("s").agg(F.sum(F.col("whole") * F.col("size")).alias("n")).collect()}
-        drawn = rows.where("rank is not null")
-        room = {s: max(0.0, p["target"] - certain.get(s, 0)) for s, p in self.plan.items()}
-        for p in self.plan.values():  # all of a source, unless a line is found
-            p.update(rank=1 << RANK_BITS, tie=0, close_rank=-1, close_tie=0)
+        # Repeated rows are taken together: one document of all their words.
+        drawn = rows.where("rank is not null").groupBy("s", "rank", "tie").agg(F.sum("size").alias("size"), F.max("size").alias("one")).checkpoint()
+        gap = {s: max(0.0, p["target"] - certain.get(s, 0)) for s, p in self.plan.items()}
+        for p in self.plan.values():
+            p.update(lines=[], close_rank=-1, close_tie=0)
+        going = dict(gap)
+        while going:  # each round takes a document at least, of a source that goes on
+            lines = self._line(drawn, going)
+            going = {}
+            for s, (rank, tie, used, ended) in lines.items():
+                self.plan[s]["lines"].append((rank, tie, gap[s]))
+                gap[s] -= used
+                if not ended and gap[s] >= 1:
+                    going[s] = gap[s]
+        gap = {s: g for s, g in gap.items() if g > 0}
+        if gap:
+            x = self._beside(drawn, "s", f"gap double, lines {LINES}", [(s, g, self.plan[s]["lines"]) for s, g in gap.items()])
+            off = F.abs(F.col("size") - F.col("gap"))
+            x = (x.where((off < F.col("gap")) & ~_taken("size", "rank", "tie", "lines"))
+                 .groupBy("s").agg(F.min(F.struct(off.alias("off"), "rank", "tie")).alias("x")).collect())
+            for r in x:
+                self.plan[r["s"]].update(close_rank=r["x"]["rank"], close_tie=r["x"]["tie"])
+        #: Repeated rows of which one would fit, but not all.
+        self.skipped = None
+        repeated = drawn.where("one < size")
+        if repeated.limit(1).count():
+            x = self._beside(repeated, "s", f"lines {LINES}", [(s, p["lines"]) for s, p in self.plan.items()])
+            x = x.where(_taken("one", "rank", "tie", "lines") & ~_taken("size", "rank", "tie", "lines"))
+            self.skipped = x.select(F.col("s").alias("__skip_s"), F.col("rank").alias("__skip_rank"), F.col("tie").alias("__skip_tie")).checkpoint()
+
+    def _line(self, drawn: DataFrame, room: dict) -> dict:
+        """Per source of ``room`` the next line among the documents after its last one that fit
+        by themselves: (rank, tie, words taken up to it, none left after it). Sources without such documents are left out."""
+        after = [(s, *(self.plan[s]["lines"] or [(-1, 0, 0)])[-1][:2], x) for s, x in room.items()]
+        x = self._beside(drawn, "s", "last bigint, last_tie bigint, room double", after)
+        later = (F.col("rank") > F.col("last")) | ((F.col("rank") == F.col("last")) & (F.col("tie") > F.col("last_tie")))
+        # After the first line only documents with words: an empty one would come in at any gap.
+        fit = x.where(later & (F.col("size") <= F.col("room")) & ((F.col("size") > 0) | (F.col("last") < 0))).select("s", "size", "rank", "tie")
+        room, out = dict(room), {}
+        start = dict(room)
         cell = {s: 0 for s in room}  # leading bits of the ranks the line lies in
         bits = 0
         for step in (8, 8, 8):
-            x = self._beside(drawn, "s", "cell bigint, room double", [(s, c, room[s]) for s, c in cell.items()])
-            x = x.where(F.shiftright("rank", RANK_BITS - bits) == F.col("cell"))
+            x = self._beside(fit, "s", "cell bigint, room double", [(s, c, room[s]) for s, c in cell.items()])
+            x = x.where(F.shiftright("rank", RANK_BITS - bits) == F.col("cell")) if bits else x
             bits += step
             sums = x.groupBy("s", "room", F.shiftright("rank", RANK_BITS - bits).alias("at")).agg(F.sum("size").alias("n"))
-            sums = sums.withColumn("upto", F.sum("n").over(Window.partitionBy("s").orderBy("at")))  # at most 2**step rows a source
-            line = sums.where("upto > room").groupBy("s").agg(F.min(F.struct("at", "n", "upto")).alias("x")).collect()
-            cell = {r["s"]: r["x"]["at"] for r in line}
-            room.update({r["s"]: room[r["s"]] - (r["x"]["upto"] - r["x"]["n"]) for r in line})
+            sums = sums.withColumn("upto", F.sum("n").over(Window.partitionBy("s").orderBy("at")))  # at most 2**step + 1 rows a source
+            got = sums.groupBy("s").agg(F.min(F.when(F.col("upto") > F.col("room"), F.struct("at", "n", "upto"))).alias("x"),
+                                        F.sum("n").alias("n")).collect()
+            out.update({r["s"]: (END, 0, r["n"], True) for r in got if r["x"] is None})  # all fit
+            cell = {r["s"]: r["x"]["at"] for r in got if r["x"] is not None}
+            room.update({r["s"]: room[r["s"]] - (r["x"]["upto"] - r["x"]["n"]) for r in got if r["x"] is not None})
             if not cell:
-                break
-        gap = {}
-        if cell:
-            order = Window.partitionBy("s").orderBy("rank", "tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            x = self._beside(drawn, "s", "cell bigint, room double", [(s, c, room[s]) for s, c in cell.items()])
-            x = (x.where(F.shiftright("rank", RANK_BITS - bits) == F.col("cell")).withColumn("upto", F.sum("size").over(order))
-                 .where("upto <= room").groupBy("s").agg(F.max(F.struct("rank", "tie", "upto")).alias("x")).collect())
-            found = {r["s"]: r["x"] for r in x}
-            for s, c in cell.items():
-                p = self.plan[s]
-                if s in found:
-                    p["rank"], p["tie"], used = found[s]["rank"], found[s]["tie"], found[s]["upto"]
-                else:
-                    p["rank"], p["tie"], used = (c << (RANK_BITS - bits)) - 1, 0, 0
-                gap[s] = room[s] - used
-        if gap:
-            x = self._beside(drawn, "s", "gap double, last bigint, last_tie bigint",
-                             [(s, g, self.plan[s]["rank"], self.plan[s]["tie"]) for s, g in gap.items()])
-            off = F.abs(F.col("size") - F.col("gap"))
-            x = (x.where((F.struct("rank", "tie") > F.struct(F.col("last").alias("rank"), F.col("last_tie").alias("tie"))) & (off < F.col("gap")))
-                 .groupBy("s").agg(F.min(F.struct(off.alias("off"), "rank", "tie")).alias("x")).collect())
-            for r in x:
-                self.plan[r["s"]].update(close_rank=r["x"]["rank"], close_tie=r["x"]["tie"])
+                return out
+        order = Window.partitionBy("s").orderBy("rank", "tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        x = self._beside(fit, "s", "cell bigint, room double", [(s, c, room[s]) for s, c in cell.items()])
+        x = (x.where(F.shiftright("rank", RANK_BITS - bits) == F.col("cell")).withColumn("upto", F.sum("size").over(order))
+             .where("upto <= room").groupBy("s").agg(F.max(F.struct("rank", "tie", "upto")).alias("x")).collect())
+        found = {r["s"]: r["x"] for r in x}
+        for s, c in cell.items():
+            rank, tie, used = found.get(s) or (c << (RANK_BITS - bits), -1 << 63, 0)  # nothing of the cell
+            out[s] = rank, tie, start[s] - room[s] + used, False
+        return out
 
     def _copies(self, rows: DataFrame, on: str) -> DataFrame:
-        """``rows`` with a struct ``__e`` (w, u, tie) -> adds ``__copies, __size_of_source, __target``."""
+        """``rows`` with a struct ``__e`` (size, w, u, tie) -> adds ``__copies, __source_size, __target``."""
         rows = self._with_rank(rows, on)
-        rows = self._beside(rows, on, "__source_size bigint, __target double, __last bigint, __last_tie bigint, __close bigint, __close_tie bigint",
-                            [(s, p["size"], p["target"], p["rank"], p["tie"], p["close_rank"], p["close_tie"]) for s, p in self.plan.items()])
+        rows = self._beside(rows, on, f"__source_size bigint, __target double, __lines {LINES}, __close bigint, __close_tie bigint",
+                            [(s, p["size"], p["target"], p["lines"], p["close_rank"], p["close_tie"]) for s, p in self.plan.items()])
         tie, rank = F.col("__e.tie"), F.col("__rank")
-        more = (rank < F.col("__last")) | ((rank == F.col("__last")) & (tie <= F.col("__last_tie"))) \
-            | ((rank == F.col("__close")) & (tie == F.col("__close_tie")))
+        more = _taken(F.col("__e.size"), rank, tie, "__lines")
+        if self.skipped is not None:
+            rows = rows.join(self.skipped, F.col(on).eqNullSafe(F.col("__skip_s")) & (rank == F.col("__skip_rank")) & (tie == F.col("__skip_tie")), "left")
+            more &= F.col("__skip_rank").isNull()
+        more |= (rank == F.col("__close")) & (tie == F.col("__close_tie"))
         return rows.withColumn("__copies", F.col("__whole") + F.coalesce(more, F.lit(False)).cast("int"))
 
     def report(self) -> DataFrame:
         """Per document: ``<key>, size, source_size, target`` (its source's), ``taken`` (words,
         repeats counted), ``copies``."""
-        x = self._copies(self.rows.withColumn("__e", F.struct("w", "u", "tie")), "s")
+        x = self._copies(self.rows.withColumn("__e", F.struct("size", "w", "u", "tie")), "s")
         return x.select(F.col("key").alias(self.key), "size", F.col("__source_size").alias("source_size"), F.col("__target").alias("target"),
                         (F.col("size") * F.col("__copies")).alias("taken"), F.col("__copies").alias("copies"))
 
@@ -189,7 +232,7 @@ class Mix:
         """The documents the mix takes, each as often as it is taken; columns as in ``docs``."""
         e = self._expressions()
         x = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(self.source).cast("string").alias("s"),
-                        F.struct(*[e[n].alias(n) for n in ("w", "u", "tie")]).alias("__e"))
+                        F.struct(*[e[n].alias(n) for n in ("size", "w", "u", "tie")]).alias("__e"))
         x = self._copies(x, "s").where("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
         return x.select(*[F.col(f"row.`{c}`") for c in docs.columns])
 

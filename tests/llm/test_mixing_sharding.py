@@ -51,6 +51,50 @@ def test_mix_meets_targets(docs):
     assert all(n.get(i, 0) == c * (2 if i == 7 else 1) for i, c in taken.items())
 
 
+def greedy(rows, target):
+    """Words taken by the draw, document by document in the order of their ranks."""
+    left, rest = target, []
+    for size in rows:
+        if size <= left:
+            left -= size
+        else:
+            rest.append(size)
+    near = min((abs(x - left) for x in rest), default=left)
+    return target - left if near >= left else target - left + min((x for x in rest if abs(x - left) == near))
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3, 4])
+def test_a_giant_document_does_not_end_the_draw(spark, seed):
+    d = spark.range(3001).selectExpr("id AS doc_id", "repeat('w ', IF(id = 0, 60000, 50)) AS text", "'s' AS source")
+    plan = mixing.mix(d, weights=(1,), share=0.45, seed=seed)
+    got = plan.report().toPandas()
+    target = got.target.iloc[0]
+    assert abs(got.taken.sum() - target) <= 50  # 94,500 of 210,000 words, with the giant or without
+    assert plan.apply(d).count() == got.copies.sum()
+
+
+def test_the_draw_goes_on_behind_every_document_that_does_not_fit(spark):
+    sizes = [(1, 3, 20, 400, 9000)[i % 5] + i % 7 for i in range(600)]
+    d = spark.createDataFrame([(i, "w " * n, f"s{i % 2}") for i, n in enumerate(sizes)], "doc_id bigint, text string, source string")
+    plan = mixing.mix(d, weights=(3, 2), share=0.3)
+    got = plan.report().toPandas()
+    ranked = plan._with_rank(plan.rows.selectExpr("*", "struct(w, u) AS __e"), "s").toPandas()
+    for s, g in ranked.groupby("s"):
+        mine = got[got.doc_id.isin(g.key)]
+        want = greedy(g.sort_values(["__rank", "tie"])["size"], mine.target.iloc[0])
+        assert mine.taken.sum() == want and abs(want - mine.target.iloc[0]) <= 3
+
+
+def test_repeated_rows_are_taken_together_if_all_fit(spark):
+    rows = [(i, "w " * 50, "s") for i in range(40) for _ in range(1 + 19 * (i % 2))]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    plan = mixing.mix(d, weights=(1,), share=0.3)
+    got = plan.report().toPandas()
+    assert got.groupby("doc_id").copies.nunique().max() == 1
+    assert abs(got.taken.sum() - got.target.iloc[0]) <= 50
+    assert plan.apply(d).count() == got.copies.sum()
+
+
 def test_reruns_and_partitions_agree(docs):
     a = sorted(map(tuple, mixing.mix(docs).report().collect()), key=str)
     b = sorted(map(tuple, mixing.mix(docs.repartition(5)).report().collect()), key=str)
