@@ -8,7 +8,8 @@ sorted 64-bit hash arrays per order (n-grams with log probabilities, contexts wi
 log back-off weights), searched by bisection. The language with the lowest cross-entropy per
 character wins; a calibration part of the training rows gives the rejection bound (how
 far a text's cross-entropy may exceed what the language's own texts of that length
-show) and the sharpness of the score.
+show, or what calibration texts of two known languages show when joined) and the
+sharpness of the score.
 
 Fitting uses a bounded sample of the labelled rows: about ``PER_LANGUAGE`` documents of each
 language, taken by a hash of the key, whole texts; three quarters count, one quarter
@@ -37,9 +38,8 @@ LEFT, RIGHT = "\x02", "\x03"
 MAX_MODEL_BYTES = 512 * 1024 * 1024
 WORDS = 200_000  # words in a worker's memo
 SLACK = 1.5  # the rejection bound lies this much beyond the farthest calibration text
-#: and at least this far on the way from the language's mean to a uniform draw of letters, so
-#: that texts that mix known languages stay.
-MIXED = 0.75
+TRIM = 0.01  # of a language's calibration texts, the farthest: labelled texts that are mixed themselves
+SHARES = tuple(k / 16 for k in range(1, 16))  # of one language in a calibration text of two
 SHARPNESS = (1.0, 2.0, 5.0, 10.0, 20.0, 50.0, 100.0)
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -131,7 +131,8 @@ class Model:
     models: list[LanguageModel]
     alphabet: int
     order: int
-    #: Per language: mean cross-entropy, its variance at any length, variance times length, bound in deviations.
+    #: Per language: mean cross-entropy, its variance at any length, variance times length, bound in
+    #: deviations, how far a text may lie beyond the mean that mixes two known languages.
     bound: np.ndarray | None = None
     sharpness: float = 10.0
 
@@ -263,7 +264,7 @@ def _calibrate(model: Model, rows: DataFrame) -> None:
 
     got = rows.select("lang", "text").mapInArrow(run, "lang string, size bigint, total array<double>").toPandas()
     got = got[(got["size"] > 0) & got["lang"].isin(model.languages)].sort_values(["lang", "size"]).reset_index(drop=True)
-    bound = np.tile(np.array([np.inf, 0.0, 0.0, 0.0]), (len(names), 1))  # no calibration: nothing is rejected
+    bound = np.tile(np.array([np.inf, 0.0, 0.0, 0.0, 0.0]), (len(names), 1))  # no calibration: nothing is rejected
     if len(got):
         size = got["size"].to_numpy(np.float64)
         cross = -np.stack(got["total"].to_numpy()) / size[:, None]
@@ -274,20 +275,41 @@ def _calibrate(model: Model, rows: DataFrame) -> None:
             z = -t * cross
             best.append(np.mean(z[np.arange(len(got)), true] - np.logaddexp.reduce(z, axis=1)))
         model.sharpness = SHARPNESS[int(np.argmax(best))]
+        clean = np.zeros(len(got), bool)
         for k in range(len(names)):
             mine = (true == k) & (cross.argmin(1) == k)
             if mine.sum() < 10:
                 continue
+            mine &= own <= np.quantile(own[mine], 1 - TRIM)
+            clean |= mine
             mean = float(np.average(own[mine], weights=size[mine]))
             sq, inv = (own[mine] - mean) ** 2, 1 / size[mine]
             # Variance of a text's cross-entropy: a part at any length and a part that falls with it.
             falls = max(0.0, float(np.cov(sq, inv, bias=True)[0, 1] / max(np.var(inv), 1e-12)))
             any_length = max(1e-4, float(np.mean(sq) - falls * np.mean(inv)))
             far = float(np.max((own[mine] - mean) / np.sqrt(any_length + falls * inv)))
-            bound[k] = mean, any_length, falls, max(6.0, SLACK * far)
+            bound[k] = mean, any_length, falls, max(6.0, SLACK * far), 0.0
+        _allow_mixed(bound, -cross[clean], size[clean], true[clean])
     model.bound = bound
 
 
+def _allow_mixed(bound: np.ndarray, log_p: np.ndarray, size: np.ndarray, true: np.ndarray) -> None:
+    """Set the allowance for mixed texts: the farthest that calibration texts of two known
+    languages, joined in ``SHARES``, lie beyond the mean of the language they are taken for.
+    ``log_p`` per character; each language's texts ordered by ``size``."""
+    own = [np.flatnonzero(true == k) for k in range(len(bound))]
+    for a in range(len(bound)):
+        for b, w in ((b, w) for b in range(a) for w in SHARES):
+            n = max(len(own[a]), len(own[b])) if len(own[a]) and len(own[b]) else 0
+            i, j = (x[np.arange(n) * len(x) // max(n, 1)] for x in (own[a], own[b]))  # of similar size
+            cross = -(w * log_p[i] + (1 - w) * log_p[j])
+            taken, length = cross.argmin(1), np.minimum(size[i] / w, size[j] / (1 - w))
+            mean, any_length, falls, far, _ = bound[taken].T
+            beyond = cross.min(1) - mean
+            short = beyond <= far * np.sqrt(any_length + falls / length)  # stays by the bound of its length
+            np.maximum.at(bound[:, 4], taken[~short], beyond[~short])
+
+
 def _scorer(data) -> Scorer:
     """One scorer per worker process, for as long as its model is in use."""
     model = data.value
@@ -307,8 +329,8 @@ def _judge(scorer: Scorer | None, m: Model, texts: list) -> tuple[np.ndarray, np
     pred, low = cross.argmin(1), cross.min(1)
     z = -m.sharpness * cross
     score = np.where(some, np.exp(z.max(1) - np.logaddexp.reduce(z, axis=1)), 0.0)
-    mean, any_length, falls, far = m.bound[pred].T
-    reach = np.maximum(far * np.sqrt(any_length + falls / length), MIXED * (np.log(m.alphabet) - mean))
+    mean, any_length, falls, far, mixed = m.bound[pred].T
+    reach = np.maximum(far * np.sqrt(any_length + falls / length), mixed)
     rejected = ~some | (low - mean > reach)
     return np.where(some, pred, und), np.minimum(score, 1.0), np.where(some, low, np.nan), rejected
 

@@ -108,6 +108,18 @@ def test_odd_texts_are_rejected_and_clean_ones_stay(spark, model):
     assert kept.columns == clean.columns and kept.count() >= 0.998 * clean.count()
 
 
+def test_an_unknown_language_goes_and_mixed_texts_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("lang IS NOT NULL")
+    m = langid.fit_on_rest(docs.where("lang <> 'en'"))
+    got = langid.identify(docs, m, keep=["lang", "text"]).toPandas()
+    assert got[got.lang == "en"].rejected.mean() > 0.9
+    assert got[got.lang != "en"].rejected.mean() < 0.005
+    rest = [g.text[g.text.str.len() > 300].str[:300].tolist() for _, g in got[got.lang != "en"].groupby("lang")]
+    mixed = [a + " " + b for x in range(3) for a, b in zip(rest[x][:100], rest[x - 1][:100])]
+    kept = langid.keep_known(spark.createDataFrame([(t,) for t in mixed], "text string"), m)
+    assert kept.count() >= 0.98 * len(mixed)
+
+
 def test_no_labelled_rows(spark):
     docs = spark.createDataFrame([(1, "some text", None), (2, None, "en")], "doc_id bigint, text string, lang string")
     m = langid.fit_on_rest(docs)
