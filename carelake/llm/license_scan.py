@@ -66,6 +66,50 @@ NOTICES = [
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0 header", """This program is free software; you can redistribute it and/or modify it under the terms of the GNU
+        General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your
+        option) any later version."""),
+    ("LGPL-2.1 header", """This library is free software; you can redistribute it and/or modify it under the terms of the GNU
+        Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or
+        (at your option) any later version."""),
+    ("LGPL-3.0 header", """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
+        Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at
+        your option) any later version."""),
+    ("AGPL-3.0 header", """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
+        Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at
+        your option) any later version."""),
+    ("BSD-2-Clause", """Redistribution and use in source and binary forms, with or without modification, are permitted
+        provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright
+        notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the
+        above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other
+        materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY"""),
+    ("BSD-3-Clause", """Redistribution and use in source and binary forms, with or without modification, are permitted
+        provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright
+        notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the
+        above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other
+        materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its
+        contributors may be used to endorse or promote products derived from this software without specific prior written
+        permission. THIS SOFTWARE IS PROVIDED BY"""),
+    ("BSD-2-Clause bulleted", """Redistribution and use in source and binary forms, with or without modification, are permitted
+        provided that the following conditions are met: Redistributions of source code must retain the above copyright
+        notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the
+        above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other
+        materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY"""),
+    ("BSD-3-Clause bulleted", """Redistribution and use in source and binary forms, with or without modification, are permitted
+        provided that the following conditions are met: Redistributions of source code must retain the above copyright
+        notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the
+        above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other
+        materials provided with the distribution. Neither the name of the copyright holder nor the names of its
+        contributors may be used to endorse or promote products derived from this software without specific prior written
+        permission. THIS SOFTWARE IS PROVIDED BY"""),
+    ("MIT disclaimer", """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT
+        LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL
+        THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF
+        CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN
+        THE SOFTWARE."""),
+    ("EPL-2.0", """This program and the accompanying materials are made available under the terms of the Eclipse Public
+        License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0"""),
 ]
 
 _WORD = re.compile(rb"[a-z0-9]+")
@@ -181,6 +225,15 @@ class Templates:
         return sorted(out)
 
 
+def best_of_place(found: list[tuple]) -> list[tuple]:
+    """Of the rows of ``Templates.scan`` for one text those without a better one at the same
+    place: an overlapping row of higher containment or, at equal containment, of more shingles."""
+    def rank(r: tuple) -> tuple:
+        return r[1] / r[2], r[2]
+
+    return [r for r in found if not any(rank(q) > rank(r) and q[3] < r[3] + r[4] and r[3] < q[3] + q[4] for q in found)]
+
+
 def notices(spark: SparkSession) -> DataFrame:
     """The built-in templates ``(template_id, text)``."""
     return spark.createDataFrame([(n, " ".join(t.split())) for n, t in NOTICES], "template_id string, text string")

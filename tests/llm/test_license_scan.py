@@ -63,3 +63,27 @@ def test_templates_in_slices(spark, monkeypatch):
     want = sorted(map(tuple, L.scan(docs).collect()))
     monkeypatch.setattr(L, "SLICE_BYTES", 700)
     assert sorted(map(tuple, L.scan(docs).collect())) == want and len(want) == 2
+
+
+GNU = "This {} is free software{} you can redistribute it and/or modify it under the terms of the GNU {}General Public License as " \
+    "published by the Free Software Foundation{} either version {} of the License, or (at your option) any later version."
+BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following " \
+    "conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the " \
+    "following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and " \
+    "the following disclaimer in the documentation and/or other materials provided with the distribution. {}THIS SOFTWARE IS PROVIDED BY THE"
+NEITHER = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products " \
+    "derived from this software without specific prior written permission. "
+
+
+def test_neighbouring_licences_are_told_apart():
+    t = L.Templates([(n, x) for n, x in L.NOTICES])
+    texts = {"GPL-2.0 header": GNU.format("program", ";", "", ";", "2"), "GPL-3.0 header": GNU.format("program", ":", "", ",", "3"),
+             "LGPL-2.1 header": GNU.format("library", ";", "Lesser ", ";", "2.1"), "LGPL-3.0 header": GNU.format("program", ":", "Lesser ", ",", "3"),
+             "AGPL-3.0 header": GNU.format("program", ":", "Affero ", ",", "3"), "BSD-2-Clause": BSD.format(""), "BSD-3-Clause": BSD.format(NEITHER),
+             **{f"BSD-{n}-Clause bulleted": BSD.format(x).replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* ") for n, x in ((2, ""), (3, NEITHER))},
+             "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
+             "GPL-3.0": "This work is licensed under the GNU General Public License, version 3."}
+    for name, text in texts.items():
+        found = t.scan("some words before " + text + " and some after")
+        assert name in [r[0] for r in found], name
+        assert [r[0] for r in L.best_of_place(found)] == [name], (name, found)
