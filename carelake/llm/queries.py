@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carelake.llm import bpe, langid, license_scan, mixing, quality_rules, sharding, simhash, token_counts, token_output, topk
+from carelake.llm import (bpe, langid, license_scan, mixing, periodic, quality_rules, sharding, simhash, token_counts,
+                          token_output, topk)
 from carelake.session import scratch_dir
 
 
@@ -58,6 +59,11 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return periodic.digests(periodic.periodic_runs(periodic.with_repeated_tails(docs), shortest=24, repeats=3))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_mixing": op2_mixing,
@@ -69,4 +75,5 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_token_output": op9_token_output,
     "op10_langid": op10_langid,
+    "op12_periodic_runs": op12_periodic_runs,
 }
