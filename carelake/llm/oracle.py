@@ -38,6 +38,43 @@ SELECT id AS doc_id, template_id, CAST(found AS DOUBLE) / m AS containment, foun
 FROM ranked WHERE r = 1
 """
 
+#: Hashed unigrams of both tables, gains per bucket, scores and places; crc32 byte by byte over distinct words.
+IMPORTANCE = r"""
+WITH polynomial AS (
+  SELECT list(list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+              ORDER BY n) AS t FROM (SELECT unnest(range(256)) AS n)),
+texts AS (SELECT 0 AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
+numbered AS (SELECT row_number() OVER () AS r, * FROM texts),
+split AS (
+  SELECT r, kind, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM numbered),
+counted AS (SELECT r, kind, w, count(*) AS n FROM split GROUP BY ALL),
+hashed AS (
+  SELECT w, xor(list_reduce(list_prepend(4294967295, [('0x' || h[2 * i + 1:2 * i + 2])::BIGINT for i in range(len(h) // 2)]),
+                            lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT w, hex(encode(w)) AS h FROM (SELECT DISTINCT w FROM counted)), polynomial),
+buckets AS (
+  SELECT bucket, sum(CASE WHEN kind = 0 THEN n ELSE 0 END)::DOUBLE AS s, sum(CASE WHEN kind = 1 THEN n ELSE 0 END)::DOUBLE AS t
+  FROM counted JOIN hashed USING (w) GROUP BY bucket),
+totals AS (SELECT coalesce(sum(s), 0) AS s, coalesce(sum(t), 0) AS t FROM buckets),
+gain AS (
+  SELECT bucket, floor(1000.0::DOUBLE * ln(((b.t + 1) * (a.s + 10000)) / ((b.s + 1) * (a.t + 10000))))::BIGINT AS g
+  FROM buckets b, totals a),
+weighed AS (
+  SELECT r, sum(n)::BIGINT AS n_features, sum(n * g)::BIGINT AS weight
+  FROM counted JOIN hashed USING (w) JOIN gain USING (bucket) WHERE kind = 0 GROUP BY r),
+scored AS (
+  SELECT id AS doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000.0::DOUBLE * ln(-ln((('0x' || sha256('2024:' || coalesce(id::VARCHAR, ''))[1:8])::BIGINT + 0.5::DOUBLE)
+                                                              / 4294967296.0::DOUBLE)))::BIGINT AS score
+  FROM numbered LEFT JOIN weighed USING (r) WHERE kind = 0),
+placed AS (SELECT *, row_number() OVER (ORDER BY score DESC, doc_id) AS place FROM scored WHERE n_features >= 20)
+SELECT s.doc_id, s.n_features, s.weight, s.score,
+       CASE WHEN place <= 10 * (SELECT count(*) FROM placed) // 100 THEN place END AS rank
+FROM scored s LEFT JOIN placed USING (doc_id)
+"""
+
 ORACLE: dict[str, str] = {
     "op1_license_scan": re.sub(r"\n\s*", "\n", LICENSES).strip(),
+    "op13_importance": IMPORTANCE.strip(),
 }

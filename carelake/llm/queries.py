@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carelake.llm import (bpe, langid, license_scan, mixing, periodic, quality_rules, sharding, simhash, token_counts,
-                          token_output, topk)
+from carelake.llm import (bpe, importance, langid, license_scan, mixing, periodic, quality_rules, sharding, simhash,
+                          token_counts, token_output, topk)
 from carelake.session import scratch_dir
 
 
@@ -64,6 +64,11 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.digests(periodic.periodic_runs(periodic.with_repeated_tails(docs), shortest=24, repeats=3))
 
 
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), grams=1, buckets=10_000,
+                               percent=10, min_words=20, seed=2024).select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_mixing": op2_mixing,
@@ -76,4 +81,5 @@ QUERIES = {
     "op9_token_output": op9_token_output,
     "op10_langid": op10_langid,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_importance": op13_importance,
 }
