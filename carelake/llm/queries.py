@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from carelake.llm import (bpe, importance, langid, license_scan, mixing, periodic, quality_rules, sharding, simhash,
-                          token_counts, token_output, topk)
+                          token_counts, token_output, topk, toxicity)
 from carelake.session import scratch_dir
 
 
@@ -59,6 +60,13 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit_on_rest(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, keep=["doc_id"]).select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return periodic.digests(periodic.periodic_runs(periodic.with_repeated_tails(docs), shortest=24, repeats=3))
@@ -80,6 +88,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_token_output": op9_token_output,
     "op10_langid": op10_langid,
+    "op11_toxicity": op11_toxicity,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_importance": op13_importance,
 }

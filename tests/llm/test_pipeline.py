@@ -18,7 +18,7 @@ from tests.oracle_check import compare, duck
 
 def test_registered():
     names = [n.split("_")[0] for n in QUERIES]
-    assert sorted(names, key=lambda n: int(n[2:])) == [f"op{i}" for i in range(1, 11)]
+    assert sorted(names, key=lambda n: int(n[2:])) == [f"op{i}" for i in range(1, 14)]
     assert set(QUERIES) | {"pipeline"} <= set(E.queries())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language ID", "quality rules", "SimHash near-dedup", "mixing", "BPE"]
 
