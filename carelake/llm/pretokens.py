@@ -13,9 +13,9 @@ entry states at once, the maps are composed by a parallel prefix scan
 (log2(chunks) rounds), and with every chunk's entry state known the starts are
 emitted in one more pass over all chunks together.
 
-Words are then deduplicated by a 64-bit hash (words of up to ``HASHED``
-characters; longer ones by their text), so that an encoder runs once per
-distinct word of a worker's bounded memo.
+Words are then put into a dictionary by their bytes, and looked up by their bytes in a worker's
+memo, so that an encoder runs once per distinct word of the memo; the memo is
+bounded by the bytes it holds.
 """
 
 from __future__ import annotations
@@ -23,10 +23,8 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 
@@ -36,10 +34,10 @@ START, W1S, W1O, WNS, WNO, LET, NUM, OTH, AP, APR, APL = range(11)
 N_STATES = 11
 HERE, BEFORE = 1, 2  # emitted: a pre-token starts at this character / at the one before
 
-SEP = "\ud800"  # a lone surrogate cannot occur in a valid text
-HASHED = 24
-PIECE = 1 << 20  # characters joined into one stream, about
+PIECE = 1 << 20  # bytes of text joined into one stream, about
 CHUNK = 256
+MEMO_BYTES = 64 << 20  # of a memo's words and values, about
+BLOCKS = 4  # words of up to 8 * BLOCKS bytes are kept in rows of 8-byte blocks, longer ones as objects
 
 
 def _begin(c: int) -> int:
@@ -101,7 +99,6 @@ def _classes() -> np.ndarray:
             a, b = ord(points[m.start()]), ord(points[m.end() - 1])
             cls[a:b + 1] = c
     cls[0xD800:0xE000] = OTHER
-    cls[0xD800] = END
     for chars, c in ((" ", SP), ("'", APOS), ("stmd", C_STMD), ("rv", C_RV), ("l", C_L), ("e", C_E)):
         for ch in chars:
             cls[ord(ch)] = c
@@ -113,23 +110,17 @@ def entry_states(cls: np.ndarray, chunk: int = CHUNK) -> np.ndarray:
     _, nxt, _ = tables()
     rows = cls.reshape(-1, chunk).T.astype(np.int32) * N_STATES  # position-major
     maps = np.broadcast_to(np.arange(N_STATES, dtype=np.uint8), (rows.shape[1], N_STATES)).copy()
-    live = None
-    for j in range(chunk):
+    settle = min(16, chunk)
+    for j in range(settle):
         maps = nxt[rows[j][:, None] + maps]
-        if j == 15:  # maps soon have few distinct exits: go on with those
-            live = np.unique(maps)
-            if len(live) <= 6:
-                break
-    else:
-        j = chunk - 1
-    if j < chunk - 1:
-        # Follow only the states still possible, then put the maps together.
-        slot = np.zeros(N_STATES, np.uint8)
-        slot[live] = np.arange(len(live), dtype=np.uint8)
-        cur = np.broadcast_to(live.astype(np.uint8), (rows.shape[1], len(live))).copy()
-        for k in range(j + 1, chunk):
-            cur = nxt[rows[k][:, None] + cur]
-        maps = np.take_along_axis(cur, slot[maps].astype(np.intp), axis=1)
+    # By now nearly all chunks lead every entry state to the same one: go on with that.
+    one = (maps == maps[:, :1]).all(1)
+    for which, cur in ((one, maps[one, 0]), (~one, maps[~one])):
+        if len(cur):
+            rest = rows[settle:, which]
+            for j in range(chunk - settle):
+                cur = nxt[(rest[j] if cur.ndim == 1 else rest[j][:, None]) + cur]
+            maps[which] = cur[:, None] if cur.ndim == 1 else cur
     # Inclusive scan: after it, maps[i] leads from the stream's start to chunk i's end.
     d = 1
     while d < len(maps):
@@ -174,158 +165,201 @@ def pieces(text: str, size: int = PIECE) -> Iterator[str]:
     yield text[i:] if i else text
 
 
-@lru_cache(maxsize=1)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    base = 0x9E3779B97F4A7C15 | 1
-    inv = pow(base, -1, 1 << 64)
-    out = []
-    for b in (base, inv):
-        p = np.full(n, b, np.uint64)
-        p[0] = 1
-        out.append(np.multiply.accumulate(p))
-    return out[0], out[1]
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = x.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+def split(column: pa.Array, classes: np.ndarray | None = None) -> tuple[np.ndarray, pa.BinaryArray]:
+    """(pre-tokens per text, all pre-tokens as bytes) of a column of texts without nulls.
 
-
-@lru_cache(maxsize=1)
-def _char_values() -> np.ndarray:
-    return _mix(np.arange(0x110000))
+    Pre-tokens tile their text, so they share the column's bytes: only offsets are made.
+    """
+    texts = len(column)
+    at = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + texts + 1].astype(np.int64)
+    data = column.buffers()[2]
+    raw = np.frombuffer(data, np.uint8)[at[0]:at[-1]] if data is not None and at[-1] > at[0] else np.zeros(0, np.uint8)
+    at -= at[0]
+    code = np.frombuffer(raw.tobytes().decode().encode("utf-32-le"), np.uint32)
+    # Where each character starts in the bytes (none needed if all are one byte long).
+    place = None if len(code) == len(raw) else np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw)).astype(np.int32)
+    ends = at[1:] if place is None else np.searchsorted(place, at[1:])
+    cls = np.insert((tables()[0] if classes is None else classes)[code], ends, END)
+    here = np.flatnonzero(starts(cls))
+    is_end = cls[here] == END
+    text = np.cumsum(is_end) - is_end  # the text that each start belongs to
+    word = here[~is_end] - text[~is_end]  # as a character of the stream without END
+    offsets = np.append(word if place is None else place[word], len(raw)).astype(np.int32)
+    n = np.bincount(text[~is_end], minlength=texts)
+    return n, pa.BinaryArray.from_buffers(pa.binary(), len(word), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
+
+
+def blocks_of(words: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """(rows of 8-byte blocks, padded with zeros, of the words that fit into one; length of each word)."""
+    at = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1]
+    data = words.buffers()[2]
+    raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(1, np.uint8)
+    size, step = np.diff(at), np.arange(8 * BLOCKS, dtype=np.int32)
+    rows = raw[np.minimum(at[:-1, None] + step, len(raw) - 1)]
+    rows[step >= size[:, None]] = 0
+    return rows.view(np.uint64), size
+
+
+class WordTable:
+    """Slots of distinct words, found by a hash and told apart by all of their bytes."""
+
+    def __init__(self):
+        self.rows = np.zeros((1 << 12, BLOCKS), np.uint64)
+        self.size = np.zeros(1 << 12, np.int32)
+        self.table = np.full(1 << 13, -1, np.int32)
+        self.long: dict[bytes, int] = {}
+        self.n = 0  # slots given out
+
+    def _place(self, rows: np.ndarray, size: np.ndarray) -> np.ndarray:
+        h = size.astype(np.uint64)
+        for k in range(BLOCKS):
+            h = (h ^ rows[:, k]) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+        return (h * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(65 - len(self.table).bit_length())).astype(np.int64)
+
+    def _walk(self, rows: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(slot of each word or -1, its place or the free place where the search ended)."""
+        at, mask = self._place(rows, size), len(self.table) - 1
+        out, todo = np.full(len(rows), -1, np.int64), np.arange(len(rows))
+        while len(todo):
+            there = self.table[at[todo]]
+            todo, there = todo[there >= 0], there[there >= 0]
+            same = (self.rows[there] == rows[todo]).all(1) & (self.size[there] == size[todo])
+            out[todo[same]] = there[same]
+            todo = todo[~same]
+            at[todo] = (at[todo] + 1) & mask
+        return out, at
+
+    def find(self, words: pa.BinaryArray, rows: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The slot of each word, -1 if it has none."""
+        long = np.flatnonzero(size > 8 * BLOCKS)
+        out, _ = self._walk(rows, size)
+        if len(long):
+            out[long] = [self.long.get(w, -1) for w in words.take(pa.array(long)).to_pylist()]
+        return out
+
+    def add(self, words: pa.BinaryArray, rows: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """New slots, in order, for words that have none and are all different."""
+        slots = np.arange(self.n, self.n + len(rows))
+        self.n += len(rows)
+        while self.n > len(self.rows):
+            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+            self.size = np.concatenate([self.size, np.zeros_like(self.size)])
+        self.rows[slots], self.size[slots] = rows, size
+        long = size > 8 * BLOCKS
+        if long.any():
+            at = np.flatnonzero(long)
+            self.long.update(zip(words.take(pa.array(at)).to_pylist(), slots[at].tolist()))
+        if 2 * self.n > len(self.table):
+            while 2 * self.n > len(self.table):
+                self.table = np.full(2 * len(self.table), -1, np.int32)
+            kept = np.flatnonzero(self.size[:self.n] <= 8 * BLOCKS)
+            self._enter(kept)
+        else:
+            self._enter(slots[~long])
+        return slots
+
+    def _enter(self, slots: np.ndarray) -> None:
+        mask = len(self.table) - 1
+        at = self._place(self.rows[slots], self.size[slots])
+        while len(slots):
+            free = self.table[at] < 0
+            self.table[at[free]] = slots[free]  # of several words at one free place one stays
+            on = self.table[at] != slots
+            slots, at = slots[on], (at[on] + 1) & mask
+
+    def nbytes(self) -> int:
+        return self.rows.nbytes + self.size.nbytes + self.table.nbytes + sum(map(len, self.long)) + 150 * len(self.long)
 
 
 class WordMemo:
-    """Values of distinct words, flat: word ``i`` has ``values[offsets[i]:offsets[i + 1]]``.
+    """Values of distinct words, flat: word ``i`` has ``values[offsets[i]:offsets[i] + lengths[i]]``.
 
-    ``encode(words)`` gives one list of integers per word. The memo is emptied
-    when it holds more than ``limit`` words: memory stays bounded, results do not
-    depend on it.
+    ``encode(words)`` takes an array of words as bytes and gives their values laid end to end and the
+    number of values of each. The memo is emptied when it holds more than ``limit`` bytes: memory
+    stays bounded, results do not depend on it.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], added: dict[str, int] | None = None,
-                 added_value: Callable[[int], list[int]] = lambda i: [i], limit: int = 400_000):
-        self.encode, self.limit = encode, limit
-        self.added = added or {}
-        self.added_value = added_value
+    def __init__(self, encode: Callable[[pa.BinaryArray], tuple[np.ndarray, np.ndarray]], added: dict[str, int] | None = None,
+                 added_value: Callable[[int], int] = lambda i: i, limit: int = MEMO_BYTES, classes: np.ndarray | None = None):
+        self.encode, self.limit, self.classes = encode, limit, classes
+        self.added, self.added_value = added or {}, added_value
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") \
             if self.added else None
         self._clear()
 
     def _clear(self) -> None:
-        self.slot: dict = {}
-        self.lengths = np.zeros(1024, np.int64)
-        self.offsets = np.zeros(1024, np.int64)
-        self.values = np.zeros(4096, np.int32)
-        self.n = self.used = 0
-
-    def _put(self, key, ids: list[int]) -> int:
-        if self.n == len(self.lengths):
-            self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
-            self.offsets = np.concatenate([self.offsets, np.zeros_like(self.offsets)])
-        while self.used + len(ids) > len(self.values):
-            self.values = np.concatenate([self.values, np.zeros_like(self.values)])
-        self.values[self.used:self.used + len(ids)] = ids
-        self.offsets[self.n], self.lengths[self.n] = self.used, len(ids)
-        self.slot[key] = self.n
-        self.n += 1
-        self.used += len(ids)
-        return self.n - 1
-
-    def _put_all(self, keys: list, lists: list[list[int]]) -> None:
-        size = np.fromiter(map(len, lists), np.int64, len(lists))
-        total, n = int(size.sum()), len(lists)
-        while self.n + n > len(self.lengths):
+        self.table = WordTable()
+        self.lengths = np.zeros(1 << 12, np.int32)
+        self.offsets = np.zeros(1 << 12, np.int32)
+        self.values = np.zeros(1 << 13, np.int32)
+        self.used = 0
+
+    def _put(self, slots: np.ndarray, values: np.ndarray, size: np.ndarray) -> None:
+        n, total = self.table.n, len(values)
+        while n > len(self.lengths):
             self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
             self.offsets = np.concatenate([self.offsets, np.zeros_like(self.offsets)])
         while self.used + total > len(self.values):
             self.values = np.concatenate([self.values, np.zeros_like(self.values)])
-        self.values[self.used:self.used + total] = np.fromiter(chain.from_iterable(lists), np.int32, total)
-        self.lengths[self.n:self.n + n] = size
-        self.offsets[self.n:self.n + n] = self.used + np.cumsum(size) - size
-        self.slot.update(zip(keys, range(self.n, self.n + n)))
-        self.n += n
+        self.values[self.used:self.used + total] = values
+        self.lengths[slots] = size
+        self.offsets[slots] = self.used + np.cumsum(size) - size
         self.used += total
 
-    def run(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(all values of all texts in order, number of values per text)."""
-        # Sections between added tokens are pre-tokenized on their own.
-        parts: list[str] = []
-        owner: list[int] = []
-        marks: list[tuple[int, int]] = []  # (after this many parts, added id)
-        for k, t in enumerate(texts):
-            if self.split is not None and any(a in t for a in self.added):
-                for piece in self.split.split(t):
-                    if piece in self.added:
-                        marks.append((len(parts), self.added[piece]))
-                        parts.append("")
-                        owner.append(k)
-                    elif piece:
-                        parts.append(piece)
-                        owner.append(k)
-            else:
-                parts.append(t)
-                owner.append(k)
-        stream = SEP.join(parts) + SEP
-        code = np.frombuffer(stream.encode("utf-32-le", "surrogatepass"), np.uint32)
-        cls = tables()[0][code]
-        at = np.flatnonzero(starts(cls))
-        ends = np.append(at[1:], len(code))
-        is_end = cls[at] == END
-        part = np.cumsum(is_end) - is_end  # part each start belongs to
-        word = ~is_end
-        at_w, end_w, part_w = at[word], ends[word], part[word]
-        size = end_w - at_w
-        power, inverse = _powers(max(len(code), 2 * PIECE) if len(code) <= 2 * PIECE else len(code))
-        sums = np.concatenate(([np.uint64(0)], np.cumsum(_char_values()[code] * power[:len(code)], dtype=np.uint64)))
-        key = _mix((sums[end_w] - sums[at_w]) * inverse[at_w]) ^ size.astype(np.uint64)
-        codes, distinct = pd.factorize(key)
-        first = np.empty(len(distinct), np.int64)
-        first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
-        if self.n > self.limit:
+    def nbytes(self) -> int:
+        return self.table.nbytes() + self.lengths.nbytes + self.offsets.nbytes + self.values.nbytes
+
+    def _slots(self, words: pa.BinaryArray) -> np.ndarray:
+        """The slot of each of these distinct words; new ones are encoded."""
+        if self.nbytes() > self.limit:
             self._clear()
-        get = self.slot.get
-        slots = np.fromiter((get(k, -1) for k in distinct.tolist()), np.int64, len(distinct))
-        long = size[first] > HASHED
-        slots[long] = -2
-        miss = np.flatnonzero(slots == -1)
+        rows, size = blocks_of(words)
+        slots = self.table.find(words, rows, size)
+        miss = np.flatnonzero(slots < 0)
         if len(miss):
-            a, b = at_w[first[miss]].tolist(), end_w[first[miss]].tolist()
-            slots[miss] = np.arange(self.n, self.n + len(miss))
-            self._put_all(distinct[miss].tolist(), self.encode([stream[i:j] for i, j in zip(a, b)]))
-        of = slots[codes]
-        for w in np.flatnonzero(of == -2).tolist():  # long words: by their text
-            s = stream[at_w[w]:end_w[w]]
-            i = get(s)
-            of[w] = self._put(s, self.encode([s])[0]) if i is None else i
-        if marks:  # added tokens take their place among the words
-            where = np.searchsorted(part_w, [p for p, _ in marks])
-            ids = [self.slot[k] if (k := ("added", i)) in self.slot else self._put(k, self.added_value(i))
-                   for _, i in marks]
-            of = np.insert(of, where, ids)
-            part_w = np.insert(part_w, where, [p for p, _ in marks])
+            new = words.take(pa.array(miss))
+            values, n = self.encode(new)
+            slots[miss] = mine = self.table.add(new, rows[miss], size[miss])
+            self._put(mine, values, n)
+        return slots
+
+    def _plain(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(values of all texts laid end to end, number of values per text)."""
+        per_text, words = split(column, self.classes)
+        if not len(words):
+            return np.zeros(0, np.int32), np.zeros(len(column), np.int64)
+        d = words.dictionary_encode()
+        of = self._slots(d.dictionary)[d.indices.to_numpy()]
         n = self.lengths[of]
-        total = np.cumsum(n)
-        values = self.values[np.repeat(self.offsets[of] - (total - n), n) + np.arange(total[-1] if len(n) else 0)] \
-            if len(n) else np.zeros(0, np.int32)
-        per = np.bincount(np.asarray(owner)[part_w], weights=n, minlength=len(texts)).astype(np.int64) \
-            if len(n) else np.zeros(len(texts), np.int64)
-        return values, per
-
-
-def batches(texts: list[str], size: int = PIECE) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about ``size`` characters together."""
-    i, n = 0, 0
-    for j, t in enumerate(texts):
-        n += len(t) + 1
-        if n >= size:
-            yield i, j + 1
-            i, n = j + 1, 0
-    if i < len(texts):
-        yield i, len(texts)
+        upto = np.cumsum(n, dtype=np.int64)
+        shift = (self.offsets[of] - (upto - n)).astype(np.int32 if upto[-1] < 1 << 31 else np.int64)
+        at = np.repeat(shift, n)
+        at += np.arange(len(at), dtype=at.dtype)
+        bounds = np.concatenate(([0], np.cumsum(per_text)))
+        per = np.diff(np.concatenate(([0], upto))[bounds])
+        return self.values[at], per
+
+    def run(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(values of all texts laid end to end, number of values per text); a null text has none."""
+        column = pc.fill_null(column, "")
+        if self.split is None or not any(pc.any(pc.match_substring(column, a)).as_py() for a in self.added):
+            return self._plain(column)
+        # Sections between added tokens are pre-tokenized on their own.
+        parts, owner, marks = [], [], []
+        for k, t in enumerate(column.to_pylist()):
+            for piece in self.split.split(t):
+                if piece in self.added:
+                    marks.append((len(parts), self.added_value(self.added[piece])))
+                    piece = ""
+                parts.append(piece)
+                owner.append(k)
+        values, per = self._plain(pa.array(parts, pa.string()))
+        if marks:
+            part, one = (np.array(x) for x in zip(*marks))
+            values = np.insert(values, (np.cumsum(per) - per)[part], one)
+            per[part] = 1
+        return values, np.bincount(owner, per, len(column)).astype(np.int64)
 
 
 def unused(docs) -> str:
@@ -333,28 +367,32 @@ def unused(docs) -> str:
     return "_" * (1 + max(map(len, docs.columns)))
 
 
-def slices(column: pa.Array, size: int = PIECE) -> Iterator[tuple[int, int, list[str]]]:
-    """Ranges (i, j) of a column of texts of about ``size`` bytes together, with the
-    texts (null: empty): a batch's texts are never all Python strings at once."""
+def ranges(column: pa.Array, size: int = PIECE) -> Iterator[tuple[int, int]]:
+    """Ranges (i, j) of a column of texts of about ``size`` bytes together (a longer text alone)."""
     n = np.asarray(pc.fill_null(pc.binary_length(column), 0))
     upto, i = np.cumsum(n, dtype=np.int64), 0
     while i < len(n):
         j = max(i + 1, int(np.searchsorted(upto, (upto[i - 1] if i else 0) + size)))
-        yield i, j, [t or "" for t in column.slice(i, j - i).to_pylist()]
+        yield i, j
         i = j
 
 
-def encoded(memo: WordMemo, texts: list[str]) -> Iterator[np.ndarray]:
-    """The values of each text in order; long texts go in pieces, so that memory
-    is bounded by their own values."""
-    for i, j in batches(texts):
-        if j == i + 1 and len(texts[i]) > 2 * PIECE:
-            # An added token never spans a cut: cuts are before white characters, and
-            # texts of added tokens with white characters inside stay whole.
-            if any(re.search(r"\s", a) for a in memo.added):
-                yield memo.run([texts[i]])[0]
-            else:
-                yield np.concatenate([memo.run([p])[0] for p in pieces(texts[i])])
-            continue
-        values, per = memo.run(texts[i:j])
-        yield from np.split(values, np.cumsum(per)[:-1])
+def slices(column: pa.Array, size: int = PIECE) -> Iterator[tuple[int, int, list[str]]]:
+    """``ranges`` with the texts (null: empty): a batch's texts are never all Python strings at once."""
+    for i, j in ranges(column, size):
+        yield i, j, [t or "" for t in column.slice(i, j - i).to_pylist()]
+
+
+def encoded(memo: WordMemo, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(i, j, values of the texts i to j laid end to end, number of values of each), in order; a
+    long text goes in pieces, so that memory is bounded by its own values."""
+    # An added token never spans a cut: cuts are before white characters, and with
+    # white characters inside added tokens the texts stay whole.
+    whole = any(re.search(r"\s", a) for a in memo.added)
+    for i, j in ranges(column, PIECE):
+        texts = column.slice(i, j - i)
+        if j == i + 1 and not whole and (pc.binary_length(texts)[0].as_py() or 0) > 2 * PIECE:
+            values = np.concatenate([memo.run(pa.array([p]))[0] for p in pieces(texts[0].as_py())])
+            yield i, j, values, np.array([len(values)], np.int64)
+        else:
+            yield i, j, *memo.run(texts)

@@ -135,25 +135,33 @@ class CountTransducer:
             n += (step & 1023) - 512
         return n
 
-    def words(self, words: list[str]) -> list[list[int]]:
-        return [[self.count(w.encode())] for w in words]
+    def words(self, words: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+        """(number of tokens of each word, one value each)."""
+        return np.fromiter(map(self.count, words.to_pylist()), np.int32, len(words)), np.ones(len(words), np.int64)
 
 
 def memo(data: bytes) -> pretokens.WordMemo:
     def build():
         t = CountTransducer(data)
-        return pretokens.WordMemo(t.words, t.vocab.added, added_value=lambda i: [1])
+        return pretokens.WordMemo(t.words, t.vocab.added, added_value=lambda i: 1)
 
     return vocab.held(("counts", vocab.digest(data)), build)
 
 
+def per_text(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of each text's values."""
+    upto = np.concatenate(([0], np.cumsum(values, dtype=np.int64)))
+    return np.diff(upto[np.concatenate(([0], np.cumsum(sizes)))])
+
+
 def token_counts(docs: DataFrame, path: str | None = None, limit: int = 512, text: str = "text",
                  keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns (default: all but the text) plus ``n_bytes`` (UTF-8),
     ``n_tokens`` (as the tokenizers library counts, without special tokens added)
     and ``over_limit`` (more tokens than ``limit``).
 
-    A null or empty text counts zero. Repeated rows give repeated results; a kept
+    A null or empty text counts zero; a text of any length is counted whole, in pieces cut
+    between pre-tokens. An empty table gives no rows. Repeated rows give repeated results; a kept
     column whose name is one of the new ones is replaced. No shuffle.
     """
     new = ["n_bytes", "n_tokens", "over_limit"]
@@ -166,7 +174,7 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = 512, tex
         counts = memo(data.value)
         for batch in parts:
             column = batch.column(batch.num_columns - 1)
-            n = np.array([int(x.sum()) for _, _, texts in pretokens.slices(column) for x in pretokens.encoded(counts, texts)], np.int64)
+            n = np.concatenate([per_text(values, sizes) for _, _, values, sizes in pretokens.encoded(counts, column)] or [np.zeros(0, np.int64)])
             size = np.asarray(pc.fill_null(pc.binary_length(column), 0)).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(k) for k in range(len(keep))] + [pa.array(size), pa.array(n), pa.array(n > limit)],

@@ -15,6 +15,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,8 @@ from pyspark.sql import functions as F
 from carelake.llm import pretokens, vocab
 
 BLOOM_FPP = 0.01
-MEMO_WORDS = 600_000  # a miss costs a call of the library: more than the default
+MEMO_BYTES = 128 << 20  # a miss costs a call of the library: more than the default
+BATCH = 10_000  # words given to the library at a time
 
 
 def _encoder(data: bytes) -> pretokens.WordMemo:
@@ -34,10 +36,15 @@ def _encoder(data: bytes) -> pretokens.WordMemo:
         from tokenizers import Tokenizer
         t = Tokenizer.from_str(data.decode())
 
-        def encode(words: list[str]) -> list[list[int]]:
-            return [e.ids for e in t.encode_batch_fast(words, add_special_tokens=False)]
+        def encode(words: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+            values, sizes = [], []
+            for i in range(0, len(words), BATCH):
+                lists = [e.ids for e in t.encode_batch_fast(words.slice(i, BATCH).cast(pa.string()).to_pylist(), add_special_tokens=False)]
+                sizes.append(np.fromiter(map(len, lists), np.int64, len(lists)))
+                values.append(np.fromiter(chain.from_iterable(lists), np.int32, int(sizes[-1].sum())))
+            return np.concatenate(values), np.concatenate(sizes)
 
-        return pretokens.WordMemo(encode, vocab.vocabulary(data).added, limit=MEMO_WORDS)
+        return pretokens.WordMemo(encode, vocab.vocabulary(data).added, limit=MEMO_BYTES)
 
     return vocab.held(("library", vocab.digest(data)), build)
 
@@ -58,18 +65,15 @@ def write_token_ids(docs: DataFrame, folder: str, path: str | None = None, end_i
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo, part, start = _encoder(data.value), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], np.int32)
         for batch in parts:
-            for i, j, texts in pretokens.slices(batch.column(1)):
-                flat, sizes = [], []
-                for x in pretokens.encoded(memo, texts):
-                    flat += [x, end]
-                    sizes.append(len(x) + 1)
-                at = np.concatenate(([0], np.cumsum(sizes)))
+            for i, j, values, sizes in pretokens.encoded(memo, batch.column(1)):
+                upto = np.cumsum(sizes)
+                at = np.concatenate(([0], upto + np.arange(1, len(sizes) + 1)))
+                ids = np.insert(values, upto, end_id)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(j - i, part, np.int32)), batch.column(0).slice(i, j - i),
                      pa.array(start + at[:-1]), pa.array(np.diff(at)),
-                     pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(flat).astype(np.int32)))],
+                     pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids.astype(np.int32)))],
                     names=["part", "k", "local_start", "n_tokens", "ids"])
                 start += int(at[-1])
 

@@ -8,9 +8,12 @@ compiles the tables it needs once (``compiled``).
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import hashlib
 import json
 
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
@@ -24,14 +27,19 @@ def default_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def broadcast_file(spark: SparkSession, path: str | None = None) -> Broadcast:
-    """The tokenizer file's bytes as a broadcast (size checked)."""
-    ship_package(spark)
+def read_file(path: str | None = None) -> bytes:
+    """The tokenizer file's bytes (size checked)."""
     with open(path or default_path(), "rb") as f:
         data = f.read(MAX_FILE_BYTES + 1)
     if len(data) > MAX_FILE_BYTES:
         raise ValueError(f"tokenizer file {path} exceeds {MAX_FILE_BYTES} bytes")
-    return spark.sparkContext.broadcast(data)
+    return data
+
+
+def broadcast_file(spark: SparkSession, path: str | None = None) -> Broadcast:
+    """The tokenizer file's bytes as a broadcast."""
+    ship_package(spark)
+    return spark.sparkContext.broadcast(read_file(path))
 
 
 def byte_chars() -> dict[str, int]:
@@ -133,10 +141,20 @@ def held(key: tuple, build):
     """
     if _HELD[0] != key:
         _HELD[:] = [None, None]  # let go before building
+        give_back()
         _HELD[:] = [key, build()]
     return _HELD[1]
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on through stages with other needs."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def digest(data: bytes) -> bytes:
     return hashlib.sha256(data).digest()
 

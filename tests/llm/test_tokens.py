@@ -4,11 +4,12 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from carelake.llm import bpe, pretokens, token_counts, token_output, vocab
+from carelake.llm import bpe, flat, pretokens, token_counts, token_output, vocab
 from tests.llm.helpers import ODD_TEXTS
 
 DOCS = "doc_id bigint, text string, n_tokens int, ids string, extra int"
@@ -27,8 +28,23 @@ def data():
 
 
 @pytest.fixture(scope="module")
-def memos(data):
-    return bpe.tools(data), token_counts.memo(data)  # each replaces the other in a worker, not here
+def tables(data):
+    return flat.compiled(data)
+
+
+@pytest.fixture(scope="module")
+def memos(data, tables):
+    added = vocab.vocabulary(data).added
+    return ((pretokens.WordMemo(bpe.Encoder(tables).words, added, classes=tables["classes"]), bpe.Decoder(tables)),
+            token_counts.memo(data), token_output._encoder(data))
+
+
+def values_of(memo, texts):
+    """The values of each text."""
+    out = []
+    for _, _, values, sizes in pretokens.encoded(memo, pa.array(texts, pa.string())):
+        out += np.split(values, np.cumsum(sizes)[:-1])
+    return out
 
 
 @pytest.fixture(scope="module")
@@ -49,30 +65,72 @@ def test_every_token_encodes_to_itself(data):
 @settings(max_examples=300, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.text(alphabet=" \n\t'strvemldaZ9!é²　\x85,<|>", max_size=30) | st.text(max_size=40), max_size=4))
 def test_ids_and_counts_equal_the_library(library, memos, texts):
-    (memo, decoder), counts = memos
-    for t, x, n in zip(texts, pretokens.encoded(memo, texts), pretokens.encoded(counts, texts)):
+    (memo, decoder), counts, by_library = memos
+    for t, x, n, y in zip(texts, *(values_of(m, texts) for m in (memo, counts, by_library))):
         want = ids_of(library, t)
-        assert x.tolist() == want
+        assert x.tolist() == want == y.tolist()
         assert int(n.sum()) == len(want)
         assert decoder.text(x) == library.decode(want, skip_special_tokens=False)
 
 
-def test_results_do_not_depend_on_the_memo_or_the_states(library, data, monkeypatch):
+def test_results_do_not_depend_on_the_memo_or_the_states(library, data, tables, monkeypatch):
     texts = [t or "" for t in ODD_TEXTS]
     want = [ids_of(library, t) for t in texts]
-    small = pretokens.WordMemo(bpe.Encoder(data).words, vocab.vocabulary(data).added, limit=3)
-    assert [x.tolist() for t in texts for x in pretokens.encoded(small, [t])] == want
+    small = pretokens.WordMemo(bpe.Encoder(tables).words, vocab.vocabulary(data).added, limit=3)
+    assert [x.tolist() for t in texts for x in values_of(small, [t])] == want
     monkeypatch.setattr(token_counts, "STATES", 5)
     few = token_counts.CountTransducer(data)
     assert all(few.count(w.encode()) == len(ids_of(library, w)) for w in ("internationalization", "aaaaaaaaaaaaaaaaaaaaaaaaa", "zqxj"))
 
 
-def test_pieces_of_a_long_text_are_cut_at_pre_tokens(library, data, monkeypatch):
+#: Two words of one length that a linear 64-bit hash confuses.
+ALIKE = ["oxumvuumwxwejpsmwbawdmmr", "zytwnbldtttfgnjekyqckatk"]
+
+
+def test_words_are_told_apart_by_their_bytes(spark, library, memos, scratch):
+    for memo in (memos[0][0], memos[2]):
+        for texts in (ALIKE, ALIKE[::-1], [" ".join(ALIKE)]):
+            assert [x.tolist() for x in values_of(memo, texts)] == [ids_of(library, t) for t in texts]
+    docs = spark.createDataFrame(list(enumerate(ALIKE)), "doc_id bigint, text string").coalesce(1)
+    want = {k: ids_of(library, t) for k, t in enumerate(ALIKE)}
+    assert {r["doc_id"]: r["n_tokens"] for r in token_counts.token_counts(docs).collect()} == {k: len(v) for k, v in want.items()}
+    got = {r["doc_id"]: r for r in bpe.encode_decode(docs).collect()}
+    assert {k: r["ids"] for k, r in got.items()} == want
+    assert all(r["decoded_sha256"] == hashlib.sha256(ALIKE[k].encode()).hexdigest() for k, r in got.items())
+    stored = token_output.read_token_ids(spark, token_output.write_token_ids(docs, scratch("alike"))).collect()
+    assert {r["doc_id"]: r["ids"][:-1] for r in stored} == want
+
+
+def test_many_words_at_once_equal_one_at_a_time(library, tables):
+    rng = np.random.default_rng(8)
+    words = ["".join(rng.choice(list("abcdeitnors "), rng.integers(1, 40))) for _ in range(3000)]
+    words += ["ab" * 3000, "Z" * 70_000, "é" * 900, "".join(rng.choice(list("xyz\U0001f642é"), 5000)), "x"]
+    e = bpe.Encoder(tables)
+    raw = pa.array([w.encode() for w in words], pa.binary())
+    values, n = e.words(raw)
+    v = vocab.vocabulary(open(vocab.default_path(), "rb").read())
+    for w, x in zip(words[:400], np.split(values, np.cumsum(n)[:-1])):
+        assert x.tolist() == v.merged(w.encode())
+    one = [e.words(raw.slice(k, 1)) for k in (0, 5, 3000, 3001, 3002, 3003, 3004)]
+    many = np.split(values, np.cumsum(n)[:-1])
+    assert all(np.array_equal(x, many[k]) for (x, _), k in zip(one, (0, 5, 3000, 3001, 3002, 3003, 3004)))
+    assert [x.tolist() for x in (many[3000], many[3001], many[3002])] == [ids_of(library, words[k]) for k in (3000, 3001, 3002)]
+
+
+def test_flat_pairs_equal_the_vocabulary(data, tables):
+    rng = np.random.default_rng(1)
+    v, e = vocab.vocabulary(data), bpe.Encoder(tables)
+    a, b = rng.integers(0, 50_000, 4000), rng.integers(0, 50_000, 4000)
+    first = e.compatible(a, b)
+    assert first.tolist() == [v.compatible(int(x), int(y)) for x, y in zip(a, b)]
+    assert np.array_equal(e.compatible(a, b), first)  # from the table
+
+
+def test_pieces_of_a_long_text_are_cut_at_pre_tokens(library, memos, monkeypatch):
     monkeypatch.setattr(pretokens, "PIECE", 50)
-    monkeypatch.setattr(pretokens, "batches", lambda texts, size=50: ((i, i + 1) for i in range(len(texts))))
-    memo, _ = bpe.tools(data)
+    monkeypatch.setattr(pretokens, "ranges", lambda column, size=50: ((i, i + 1) for i in range(len(column))))
     texts = ["some words, and  more\n\n words 'll go  on " * 40, "x" * 500, " " * 300 + "y"]
-    assert [x.tolist() for x in pretokens.encoded(memo, texts)] == [ids_of(library, t) for t in texts]
+    assert [x.tolist() for x in values_of(memos[0][0], texts)] == [ids_of(library, t) for t in texts]
 
 
 def test_scan_of_chunk_maps_equals_one_pass():
