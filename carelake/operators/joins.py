@@ -8,6 +8,8 @@
   twice). Within both bounds it is broadcast. Beyond them the join is a shuffle
   join whose skewed partitions (a hot key with, say, a third of all rows) the
   adaptive skew-join rule splits over several tasks.
+* ``check="stored"``: the same for a small side that is stored already (``stored``), so that a caller
+  can look at it first.
 * ``check="runtime"``: for small sides that are expensive to evaluate (an
   aggregate over a large table): the join is planned as a shuffle join, and
   adaptive execution turns it into a broadcast join only after measuring the side.
@@ -32,6 +34,12 @@ def measured(df: DataFrame) -> tuple[int, int]:
     return n, size + n * ROW_OVERHEAD
 
 
+def stored(small: DataFrame) -> DataFrame:
+    """``small``, evaluated once into the shared checkpoint folder."""
+    checkpoint_root(small.sparkSession)
+    return small.checkpoint(eager=True)
+
+
 def join_small(big: DataFrame, small: DataFrame, on: list[str] | str, how: str = "inner",
                max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
                check: str = "count") -> DataFrame:
@@ -43,8 +51,8 @@ def join_small(big: DataFrame, small: DataFrame, on: list[str] | str, how: str =
     on = [on] if isinstance(on, str) else list(on)
     if check == "runtime":
         return big.join(small, on, how)
-    checkpoint_root(small.sparkSession)  # make sure a shared checkpoint folder is set
-    small = small.checkpoint(eager=True)
+    if check == "count":
+        small = stored(small)
     rows, size = measured(small)
     if rows <= max_rows and size <= max_bytes:
         return big.join(F.broadcast(small), on, how)

@@ -22,11 +22,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelake.operators.joins import (DEFAULT_MAX_BROADCAST_BYTES, DEFAULT_MAX_BROADCAST_ROWS, join_small,
-                                      measured)
+                                      measured, stored)
 from carelake.operators.parallel import spread
 from carelake.session import ship_package
 
@@ -83,51 +84,69 @@ def entity_spans(notes: DataFrame, lexicon: DataFrame, key: str = "doc_id", text
     (``{"STRENGTH": "[0-9.]+ ?mg", "DURATION": "[0-9]+ days"}``).
 
     Where matches overlap, the longest wins, then the earliest; equal spans go to the lexicon, then to
-    the first rule. This is settled per run of overlapping matches of a note, so
-    no note is gathered whole. The lexicon is joined on a term's first token, as a
+    the first rule (``_settled``). Notes are read and cut once: a token carries its lexicon match and its
+    rule matches together. The lexicon is evaluated once and joined on a term's first token, as a
     broadcast when its size is proven small, else as a shuffle join with skewed
-    partitions split. With single-token terms and no rules nothing can overlap
-    and there is no shuffle (also on a stream of notes).
+    partitions split. Each row is a note of its own, whatever its key. With single-token terms
+    and no rules nothing can overlap and there is no shuffle (also on a stream of notes).
     """
-    lex = (lexicon.select(_token_array(F.col("term")).alias("words"), "entity").where(F.size("words") > 0)
-           .select(F.col("words")[0].alias("first"), "words", "entity"))
+    lex = stored(lexicon.select(_token_array(F.col("term")).alias("words"), "entity").where(F.size("words") > 0)
+                 .select(F.col("words")[0].alias("first"), "words", "entity"))
     widest = max([lex.agg(F.max(F.size("words"))).first()[0] or 1, *[rule_words(r) for r in (rules or {}).values()]])
+    alone = widest == 1 and not rules
+    note = [] if alone else [F.monotonically_increasing_id().alias(_NOTE)]
     t = _token_array(F.col(text))
-    grams = (spread(notes.select(key, text)).select(key, t.alias("t"))
-             .select(key, F.posexplode(F.transform("t", lambda x, i: F.slice("t", i + 1, widest))).alias("start", "gram"))
-             .select(key, "start", F.col("gram")[0].alias("first"), "gram"))
-    hits = join_small(grams, lex, "first", "inner", max_rows=max_broadcast_rows)
+    cut = spread(notes.select(key, text)).select(key, *note, t.alias("t"))
+    names = [c for c in cut.columns if c != "t"]
+    grams = (cut.select(*names, F.posexplode(F.transform("t", lambda x, i: F.slice("t", i + 1, widest))).alias("start", "gram"))
+             .select(*names, "start", F.col("gram")[0].alias("first"), "gram"))
+    joined = join_small(grams, lex, "first", "left" if rules else "inner", max_rows=max_broadcast_rows, check="stored")
     n = F.size("words")
-    hits = (hits.where(F.slice("gram", 1, n) == F.col("words"))
-            .select(key, F.array_join("words", " ").alias("chunk"), "entity", F.col("start").cast("int").alias("start"),
-                    (F.col("start") + n).cast("int").alias("end"), F.lit(0).alias("prio")))
-    if widest == 1 and not rules:
-        return hits.drop("prio")
-    if rules:
-        found = []
-        for i, (label, rx) in enumerate(rules.items(), 1):
-            k = rule_words(rx)
-            chunk = F.array_join(F.slice("gram", 1, k), " ")
-            ok = (F.size("gram") >= k) & chunk.rlike(f"^(?:{rx})$")
-            found.append(F.when(ok, F.struct(chunk.alias("chunk"), F.lit(label).alias("entity"), F.lit(k).alias("n"), F.lit(i).alias("prio"))))
-        by_rule = (grams.select(key, "start", F.explode(F.array_compact(F.array(*found))).alias("x"))
-                   .select(key, "x.chunk", "x.entity", F.col("start").cast("int").alias("start"),
-                           (F.col("start") + F.col("x.n")).cast("int").alias("end"), "x.prio"))
-        hits = hits.unionByName(by_rule)
-    return _without_overlaps(hits, key)
-
-
-def _without_overlaps(hits: DataFrame, key: str) -> DataFrame:
-    """Longest match first, then the earliest, then the lowest ``prio``; no overlaps."""
-    order = Window.partitionBy(key).orderBy("start", "end")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    runs = (hits.withColumn("new", F.coalesce((F.col("start") >= F.max("end").over(before)).cast("int"), F.lit(1)))
-            .withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
-    ranked = F.sort_array(F.collect_list(F.struct((F.col("start") - F.col("end")).alias("size"), "start", "prio", "entity", "end", "chunk")))
-    best = F.aggregate("hits", F.slice("hits", 1, 0), lambda kept, x: F.when(
-        F.exists(kept, lambda k: (k["start"] < x["end"]) & (x["start"] < k["end"])), kept).otherwise(F.concat(kept, F.array(x))))
-    return (runs.groupBy(key, "run").agg(ranked.alias("hits")).select(key, F.explode(best).alias("x"))
-            .select(key, "x.chunk", "x.entity", "x.start", "x.end"))
+    found = [F.when(F.slice("gram", 1, F.greatest(n, F.lit(0))) == F.col("words"),
+                    F.struct(F.array_join("words", " ").alias("chunk"), F.col("entity"), n.alias("n"), F.lit(0).alias("prio")))]
+    for i, (label, rx) in enumerate((rules or {}).items(), 1):
+        k = rule_words(rx)
+        chunk = F.array_join(F.slice("gram", 1, k), " ")
+        found.append(F.when((F.size("gram") >= k) & chunk.rlike(f"^(?:{rx})$"),
+                            F.struct(chunk.alias("chunk"), F.lit(label).alias("entity"), F.lit(k).alias("n"), F.lit(i).alias("prio"))))
+    hits = (joined.select(*names, "start", F.explode(F.array_compact(F.array(*found))).alias("x"))
+            .select(*names, "x.chunk", "x.entity", F.col("start").cast("int").alias("start"),
+                    (F.col("start") + F.col("x.n")).cast("int").alias("end"), "x.prio"))
+    return (hits.drop("prio") if alone else _settled(hits)).select(key, "chunk", "entity", "start", "end")
+
+
+_NOTE = "__note"
+
+
+def _settled(hits: DataFrame) -> DataFrame:
+    """The matches that stand: longest first, then the earliest, the lowest ``prio``, the first label.
+
+    Matches are shuffled by note and sorted in the order of choice; a match stands if none of
+    its tokens is taken. As no match before it is shorter, its first and its last token
+    tell. One pass, whose state is one byte per token of the note at hand: linear in the
+    matches, however many overlap, and no note's matches are gathered.
+    """
+    ship_package(hits.sparkSession)
+    columns = [c for c in hits.columns if c != _NOTE]
+    rows = (hits.repartition(_NOTE).sortWithinPartitions(_NOTE, (F.col("start") - F.col("end")), "start", "prio", "entity")
+            .select(*columns, _NOTE))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, taken = None, bytearray()
+        for b in batches:
+            stands = []
+            for note, start, end in zip(*(b.column(c).to_pylist() for c in (_NOTE, "start", "end"))):
+                if note != here:
+                    here, taken = note, bytearray()
+                if len(taken) < end:
+                    taken.extend(bytes(max(end, 2 * len(taken)) - len(taken)))
+                free = not taken[start] and not taken[end - 1]
+                if free:
+                    taken[start:end] = b"\1" * (end - start)
+                stands.append(free)
+            yield b.filter(pa.array(stands, pa.bool_())).select(columns)
+
+    return rows.mapInArrow(run, hits.select(*columns).schema)
 
 
 def note_entities(spans: DataFrame, key: str = "doc_id", labels: list[str] | None = ENTITY_CLASSES) -> DataFrame:

@@ -1,7 +1,8 @@
-"""Places in a global order without a window over all rows.
+"""Places and running sums in a global order without a window over all rows.
 
 Rows are range-partitioned and sorted by the order's columns; a row's place is its index
-within its partition plus the rows of all partitions before, one count per partition.
+within its partition plus the rows of all partitions before, one count per partition. Running sums
+are made the same way from one total per partition.
 """
 
 from __future__ import annotations
@@ -33,3 +34,21 @@ def with_place(df: DataFrame, order: list[Column | str], name: str = "place", pa
     starts = counts.select(part, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"))
     return (rows.join(F.broadcast(starts), part)
             .withColumn(name, F.col("__start") + F.col(index) + 1).drop(part, index, "__start"))
+
+
+def with_running_sum(df: DataFrame, order: list[Column | str], sums: dict[str, str], partitions: int | None = None) -> DataFrame:
+    """``df`` with a column per entry of ``sums`` (``{name: column}``): the exact sum of an integer or decimal
+    column over the row and all rows before it in ``order`` (which must end with a key)."""
+    checkpoint_root(df.sparkSession)
+    part = "__part"
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    rows = (ranged.sortWithinPartitions(*order)
+            .withColumn(part, F.shiftright(F.monotonically_increasing_id(), _INDEX_BITS)).checkpoint())
+    wide = {c: F.col(c).cast("decimal(38,0)") if not str(rows.schema[c].dataType.simpleString()).startswith("decimal") else F.col(c)
+            for c in sums.values()}
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    totals = rows.groupBy(part).agg(*[F.sum(wide[c]).alias(n) for n, c in sums.items()])
+    starts = totals.select(part, *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"__{n}") for n in sums])
+    inside = Window.partitionBy(part).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = rows.select("*", *[F.sum(wide[c]).over(inside).alias(n) for n, c in sums.items()]).join(F.broadcast(starts), part)
+    return out.withColumns({n: F.col(n) + F.col(f"__{n}") for n in sums}).drop(part, *[f"__{n}" for n in sums])

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from carelake.functions.columns import pearson
+from carelake.operators.places import with_running_sum
 
 
 def row_count(df: DataFrame, alias: str = "n") -> DataFrame:
@@ -105,3 +106,29 @@ def corr_with_target(df: DataFrame, cols: list[str], target: str, digits: int |
                         (F.round(F.col(f"r{i}"), digits) if digits is not None else F.col(f"r{i}")).alias("r"))
                for i, c in enumerate(cols)]
     return wide.select(F.inline(F.array(*entries))).orderBy(F.desc_nulls_last("r"), "feature")
+
+
+def auc_rank_sum(df: DataFrame, score: str, label: str, by: str | None = None) -> DataFrame:
+    """The exact area under ROC by the rank sum: ``[by,] positives, negatives, auc``.
+
+    The area is the share of (positive, negative) pairs in which the positive has the higher score, ties
+    counting half. Rows are first counted per score (map-side), the counts sorted by score over range
+    partitions, and each score's positives meet the negatives below it (a running sum): all
+    in integers, one division at the end. Rows with a NULL label or score are left out (NaN is the
+    highest score); ``label`` over 0 is positive. A part without both labels has a NULL area.
+    """
+    keys = [by] if by else []
+    y = F.when(F.col(label) > 0, 1).otherwise(0)
+    counts = (df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
+              .groupBy(*keys, F.col(score).alias("__score"))
+              .agg(F.sum(y).alias("__pos"), F.sum(1 - y).alias("__neg")))
+    up_to = with_running_sum(counts, [*keys, "__score"], {"__upto": "__neg"})
+    # In one order over all parts, a part's own negatives start where the ones before end: its
+    # positives times that many are taken off again.
+    twice = F.col("__pos") * (2 * F.col("__upto") - F.col("__neg"))
+    sums = (up_to.groupBy(*keys).agg(F.sum("__pos").alias("positives"), F.sum("__neg").alias("negatives"),
+                                     F.sum(twice.cast("decimal(38,0)")).alias("__twice"),
+                                     F.min(F.col("__upto") - F.col("__neg")).alias("__before")))
+    own = F.col("__twice") - 2 * F.col("__before") * F.col("positives")
+    return sums.select(*keys, "positives", "negatives", F.try_divide(
+        own.cast("double"), (2 * F.col("positives") * F.col("negatives")).cast("double")).alias("auc"))

@@ -16,7 +16,8 @@ from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit, TrainValid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.functions.columns import flag, lenient_cast
+from carelake.functions.columns import flag
+from carelake.operators.stats import auc_rank_sum
 
 # The search space of the original model selection.
 GRID_BOOTSTRAP = [True, False]
@@ -30,11 +31,6 @@ FIT_ROWS = 4000  # bound of the labelled rows the registered search fits on
 FIT_PARTITIONS = 4
 
 
-def cast_columns(df: DataFrame, casts: dict[str, str], to: str = "int") -> DataFrame:
-    """Add columns by lenient cast: ``{new_name: source_column}``."""
-    return df.withColumns({new: lenient_cast(src, to) for new, src in casts.items()})
-
-
 def encode_flags(df: DataFrame, flags: dict[str, tuple[str, object]], drop_sources: bool = True) -> DataFrame:
     """``{flag_name: (source_column, value)}`` -> 0/1 columns.
 
@@ -70,16 +66,6 @@ def scale_features(df: DataFrame, features: list[str], extra: list[str] | None =
     return asm2.transform(scaled)
 
 
-def vector_columns(vector: str, names: list[str], digits: int | None = 6) -> list:
-    arr = vector_to_array(vector)
-    return [(F.round(arr[i], digits) if digits is not None else arr[i]).alias(n) for i, n in enumerate(names)]
-
-
-def random_split(df: DataFrame, ratio: float = TRAIN_RATIO, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    train, test = df.randomSplit([ratio, 1 - ratio], seed=seed)
-    return train, test
-
-
 def _uniform(key: list[str], seed: int):
     """A number in [0, 1) from the row key: the first 8 hex digits of the md5 of seed
     and key, joined by ``|`` (any SQL engine can compute it)."""
@@ -178,13 +164,8 @@ def predictions_table(model, df: DataFrame, key: list[str], label: str) -> DataF
                        vector_to_array("probability")[1].alias("probability_1"))
 
 
-def metrics_table(spark: SparkSession, model, label: str, **splits: DataFrame) -> DataFrame:
-    """Area under ROC and ``1 - auc`` per named split: ``(split, auc, error)``.
-    (The notebook printed this number as "accuracy"; it is the area under ROC.)"""
-    ev = evaluator(label)
-    model = scoring_model(model)
-    rows = []
-    for name, df in splits.items():
-        auc = ev.evaluate(model.transform(df), {ev.metricName: "areaUnderROC"})
-        rows.append((name, float(auc), float(1.0 - auc)))
-    return spark.createDataFrame(rows, "split string, auc double, error double")
+def metrics_table(model, df: DataFrame, label: str, split: str = "split") -> DataFrame:
+    """Exact area under ROC and ``1 - auc`` per split: ``(split, positives, negatives, auc, error)``; every row is
+    scored once. (The notebook printed this number as "accuracy"; it is the area under ROC.)"""
+    got = auc_rank_sum(predictions_table(model, df, [split], label), "probability_1", label, by=split)
+    return got.select(F.col(split).alias("split"), "positives", "negatives", "auc", (1 - F.col("auc")).alias("error"))

@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 
 from carelake.functions.columns import exact_sum, lenient_cast, month_of, rounded
 from carelake.operators import coding, notes, quality, stats, tables as tbl, treatment
+from carelake.operators.places import with_place
 from carelake.plans import medallion
 from carelake.plans.tables import (CONCEPTS_PER_RESPONSE, GOLD_YEAR, LAB_FEATURES,
                                    MIN_NOTES, ORDERS_SCHEMA, TOP_K, brand_frequency, concept_table,
-                                   lab_frame, name_counts, table)
+                                   lab_frame, learning_frame, name_counts, table)
 from carelake.session import scratch_dir
 from carelake.sources import files
 from carelake.streaming.incremental import incremental_load, read_loaded
@@ -220,7 +221,7 @@ LAB_KEY = ["l_orderkey", "l_linenumber"]
 
 
 def _split(spark, sf_dir):
-    data = treatment.scale_features(lab_frame(spark, sf_dir), LAB_FEATURES, ["SEX"])
+    data = treatment.scale_features(learning_frame(spark, sf_dir), LAB_FEATURES, ["SEX"])
     return treatment.hash_split(data.select(*LAB_KEY, "all_features", "TREATMENT"), LAB_KEY)
 
 
@@ -252,29 +253,41 @@ def reset_model_cache() -> None:
 
 
 def q_rf_grid(spark, sf_dir):
-    """One row per parameter set; the scores' values depend on the learner, so they are
-    reported as being areas (within 0 and 1) and as the number of sets marked best."""
+    """One row per parameter set with what must hold of the scores: areas, one best set, which has the
+    highest score, and more than one score (a classifier that learned nothing scores every set alike)."""
     grid = treatment.grid_table(spark, _fitted(spark, sf_dir))
-    best = Window.partitionBy(F.lit(0))  # 24 rows
+    every = Window.partitionBy(F.lit(0))  # 24 rows
     return grid.select("bootstrap", "max_depth", "num_trees", "metric", F.col("score").between(0, 1).alias("is_area"),
-                       F.sum(F.col("is_best").cast("int")).over(best).cast("int").alias("n_best"))
+                       F.sum(F.col("is_best").cast("int")).over(every).cast("int").alias("n_best"),
+                       (F.max(F.when(F.col("is_best"), F.col("score"))).over(every) == F.max("score").over(every)).alias("best_is_highest"),
+                       (F.max("score").over(every) > F.min("score").over(every)).alias("scores_differ"))
 
 
 def q_rf_predictions(spark, sf_dir):
-    """Predictions for every row, training and test, with checks of their values."""
+    """Predictions for every row, training and test, with what must hold of them: class and probability
+    agree, and within each split the probabilities add up to about the number of positives and are
+    higher for positives than for negatives (of a constant classifier they are not)."""
     pred = treatment.predictions_table(_fitted(spark, sf_dir), _split(spark, sf_dir), LAB_KEY + ["split"], "TREATMENT")
-    return pred.select(*LAB_KEY, "TREATMENT", "split", F.col("prediction").isin(0.0, 1.0).alias("is_class"),
-                       F.col("probability_1").between(0, 1).alias("is_probability"),
-                       ((F.col("probability_1") > 0.5) == (F.col("prediction") == 1.0)).alias("agrees"))
+    p, y = F.col("probability_1"), F.col("TREATMENT")
+    totals = pred.groupBy(F.col("split").alias("of")).agg(
+        (F.abs(F.avg(p) - F.avg(y)) < 0.05).alias("adds_up"),
+        (F.avg(F.when(y == 1, p)) > F.avg(F.when(y == 0, p)) + 0.01).alias("separates"))  # two rows
+    return pred.join(F.broadcast(totals), F.col("split") == F.col("of")).select(
+        *LAB_KEY, "TREATMENT", "split", F.col("prediction").isin(0.0, 1.0).alias("is_class"), p.between(0, 1).alias("is_probability"),
+        ((p > 0.5) == (F.col("prediction") == 1.0)).alias("agrees"), "adds_up", "separates")
 
 
 def q_rf_metrics(spark, sf_dir):
-    data = _split(spark, sf_dir)
-    parts = {name: data.where(F.col("split") == name) for name in ("train", "test")}
-    got = treatment.metrics_table(spark, _fitted(spark, sf_dir), "TREATMENT", **parts)
-    rows = data.groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
-    return got.join(rows, "split").select("split", "rows", F.col("auc").between(0, 1).alias("is_area"),
-                                          (F.abs(F.col("auc") + F.col("error") - 1) < 1e-9).alias("adds_up"))
+    """Area under ROC per split, against what it must exceed: a constant classifier has an area of 0.5."""
+    got = treatment.metrics_table(_fitted(spark, sf_dir), _split(spark, sf_dir), "TREATMENT")
+    return got.select("split", "positives", "negatives", (F.col("auc") > 0.55).alias("above_chance"),
+                      (F.col("auc") <= 1).alias("is_area"), (F.abs(F.col("auc") + F.col("error") - 1) < 1e-9).alias("adds_up"))
+
+
+def q_auc_rank_sum(spark, sf_dir):
+    """The exact area under ROC of a score computed from the measurements (many ties), per split."""
+    data = treatment.hash_split(lab_frame(spark, sf_dir), LAB_KEY).withColumn("score", F.col("l_quantity") * (1 - F.col("l_discount")))
+    return stats.auc_rank_sum(data, "score", "TREATMENT", by="split")
 
 
 # --- clinical notes ----------------------------------------------------------------------
@@ -311,8 +324,8 @@ def q_note_entities(spark, sf_dir):
 
 def q_entity_doc_freq(spark, sf_dir):
     out = notes.entity_doc_freq(q_note_entities(spark, sf_dir), min_notes=MIN_NOTES)
-    place = Window.orderBy(F.desc("Frequency"), "first_note", "first_start")  # one row per frequent drug
-    return out.select("Drug", "Frequency", F.row_number().over(place).alias("place"))
+    placed = with_place(out, [F.desc("Frequency"), "first_note", "first_start"])
+    return placed.select("Drug", "Frequency", F.col("place").cast("int").alias("place"))
 
 
 def q_entity_udf(spark, sf_dir):
@@ -554,6 +567,7 @@ QUERIES: dict[str, Query] = {
     "rf_grid": q_rf_grid,
     "rf_predictions": q_rf_predictions,
     "rf_metrics": q_rf_metrics,
+    "auc_rank_sum": q_auc_rank_sum,
     "scan_notes": q_scan_notes,
     "entity_spans": q_entity_spans,
     "note_entities": q_note_entities,

@@ -58,6 +58,9 @@ _LAB = """(SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_disco
         CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END AS SEX,
         CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS TREATMENT FROM lineitem)"""
 
+#: The rows the classifier learns from: a target that the features determine.
+_LEARN = """(SELECT l_orderkey, l_linenumber, CASE WHEN l_extendedprice > 2000 * l_quantity THEN 1 ELSE 0 END AS TREATMENT FROM lineitem)"""
+
 
 def _corr_matrix() -> str:
     parts = [f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, {_r(a, b)} AS r FROM {_LAB} t"
@@ -185,13 +188,21 @@ ORACLE: dict[str, str] = {
     "table_detail": """SELECT count(*) AS n_rows, true AS all_files_listed, true AS has_size, true AS has_time FROM orders""",
     "train_split": f"SELECT l_orderkey, l_linenumber, TREATMENT, {_SPLIT} AS split FROM {_LAB} t",
     "rf_grid": f"""SELECT b AS bootstrap, CAST(d AS INTEGER) AS max_depth, CAST(n AS INTEGER) AS num_trees, 'areaUnderROC' AS metric,
-  true AS is_area, CAST(1 AS INTEGER) AS n_best
+  true AS is_area, CAST(1 AS INTEGER) AS n_best, true AS best_is_highest, true AS scores_differ
   FROM (SELECT unnest({str(GRID_BOOTSTRAP).lower()}) AS b) CROSS JOIN (SELECT unnest({GRID_MAX_DEPTH}) AS d)
   CROSS JOIN (SELECT unnest({GRID_NUM_TREES}) AS n)""",
     "rf_predictions": f"""SELECT l_orderkey, l_linenumber, TREATMENT, {_SPLIT} AS split, true AS is_class, true AS is_probability,
-  true AS agrees FROM {_LAB} t""",
-    "rf_metrics": f"""SELECT split, count(*) AS rows, true AS is_area, true AS adds_up
-  FROM (SELECT {_SPLIT} AS split FROM {_LAB} t) GROUP BY split""",
+  true AS agrees, true AS adds_up, true AS separates FROM {_LEARN} t""",
+    "rf_metrics": f"""SELECT split, count_if(TREATMENT = 1) AS positives, count_if(TREATMENT = 0) AS negatives,
+  true AS above_chance, true AS is_area, true AS adds_up
+  FROM (SELECT {_SPLIT} AS split, TREATMENT FROM {_LEARN} t) GROUP BY split""",
+    "auc_rank_sum": f"""WITH counted AS (
+  SELECT split, score, count_if(TREATMENT = 1) AS pos, count_if(TREATMENT = 0) AS neg
+  FROM (SELECT {_SPLIT} AS split, TREATMENT, l_quantity * (1 - l_discount) AS score FROM {_LAB} t) GROUP BY split, score),
+below AS (SELECT *, sum(neg) OVER (PARTITION BY split ORDER BY score) AS upto FROM counted)
+SELECT split, CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT) AS negatives,
+  CAST(sum(pos * (2 * upto - neg)) AS DOUBLE) / CAST(2 * sum(pos) * sum(neg) AS DOUBLE) AS auc
+FROM below GROUP BY split""",
     "rxnorm_parse": _CONCEPTS,
     "json_roundtrip": _CONCEPTS,
     "request_url": f"SELECT Drug, '{SERVICE_BASE}{DRUGS_PATH}' || url_encode(Drug) AS request_url FROM {_BRANDS} b",

@@ -48,6 +48,12 @@ def lab_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("TREATMENT"))
 
 
+def learning_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lab frame with a target that its features determine (a unit price above 2,000), so that what a
+    classifier has learned shows on rows it has not seen."""
+    return lab_frame(spark, sf_dir).withColumn("TREATMENT", F.when(F.col("l_extendedprice") > 2000 * F.col("l_quantity"), 1).otherwise(0))
+
+
 def concept_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_brand", "p_type", "p_partkey", "p_name")
 

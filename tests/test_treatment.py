@@ -1,4 +1,5 @@
 import pytest
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -20,7 +21,7 @@ def _lab(spark, with_null=False):
 
 
 def test_lenient_cast_does_not_raise(spark):
-    df = treatment.cast_columns(_lab(spark), {"TREATMENT": "SOURCE", "SEX_": "SEX"})
+    df = _lab(spark).withColumns({"TREATMENT": lenient_cast("SOURCE"), "SEX_": lenient_cast("SEX")})
     vals = [(r.SOURCE, r.TREATMENT, r.SEX_) for r in df.collect()]
     assert ("7", 7, 1) in [(s, t, 1) for s, t, _ in vals if s == "7"]
     assert all(t is None for s, t, _ in vals if s != "7")
@@ -64,14 +65,18 @@ def test_forest_search_tables(spark):
     rows = [(float(i % 10), float((i * 7) % 13), int(i % 10 > 4)) for i in range(200)]
     df = spark.createDataFrame(rows, "x1 double, x2 double, y int")
     data = treatment.scale_features(df, ["x1", "x2"])
-    train, test = treatment.random_split(data)
+    data = treatment.hash_split(data, ["x1", "x2"], ratio=0.6)
+    train, test = data.where("split = 'train'"), data.where("split = 'test'")
     model = treatment.tune_forest(train, "y", grid_kwargs={"bootstrap": [True], "max_depth": [2, 3],
                                                            "num_trees": [5]})
     grid = treatment.grid_table(spark, model).collect()
     assert len(grid) == 2 and sum(r.is_best for r in grid) == 1
     assert {r.metric for r in grid} == {"areaUnderROC"}
-    m = {r.split: r for r in treatment.metrics_table(spark, model, "y", train=train, test=test).collect()}
+    m = {r.split: r for r in treatment.metrics_table(model, data, "y").collect()}
     assert m["train"].auc > 0.9 and m["train"].error == pytest.approx(1 - m["train"].auc)
+    ev = BinaryClassificationEvaluator(labelCol="y", metricName="areaUnderROC", numBins=0)
+    for name, part in (("train", train), ("test", test)):  # the exact area is MLlib's without bins
+        assert m[name].auc == pytest.approx(ev.evaluate(treatment.scoring_model(model).transform(part)), abs=1e-12)
     pred = treatment.predictions_table(model, test, ["x1", "x2"], "y")
     assert pred.columns == ["x1", "x2", "y", "prediction", "probability_1"]
     assert pred.count() == test.count()
