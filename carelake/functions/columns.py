@@ -37,9 +37,14 @@ def exact_sum(c: ColumnOrName, scale: int = 2) -> Column:
 
     A double sum depends on the order of addition, which depends on the
     partitioning; a decimal sum does not, so results are identical however the
-    data is split. The partial sums still combine map-side.
+    data is split. The partial sums still combine map-side. A value with more than ``scale``
+    decimals raises: nothing is rounded away without a word.
     """
-    return F.sum(_col(c).cast(f"decimal(18,{scale})")).cast("double")
+    x = _col(c)
+    exact = x.cast(f"decimal(18,{scale})")
+    lost = F.raise_error(F.concat(F.lit(f"exact_sum: more than {scale} decimals in "), x.cast("string")))
+    fits = F.abs(exact.cast("double") - x.cast("double")) <= 1e-9 * F.greatest(F.lit(1.0), F.abs(x.cast("double")))
+    return F.sum(F.when(x.isNull() | fits, exact).otherwise(lost.cast(f"decimal(18,{scale})"))).cast("double")
 
 
 def rounded(c: ColumnOrName, digits: int = 6) -> Column:

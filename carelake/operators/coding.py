@@ -10,8 +10,11 @@ Surrounding whitespace of text values is trimmed, as XML-to-dict converters do.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
 
 from carelake.functions.columns import request_url
 from carelake.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, join_small
@@ -32,10 +35,40 @@ def lookup_urls(drugs: DataFrame, drug: str = "Drug") -> DataFrame:
                         request_url(SERVICE_BASE + DRUGS_PATH, drug).alias("request_url"))
 
 
-def parse_responses(payloads: DataFrame, drug: str = "drug", xml: str = "xml") -> DataFrame:
-    """``(drug, drugGroup, corrupt)`` with the nested response decoded per row;
-    ``corrupt`` holds the text of a response that did not parse."""
-    parsed = F.from_xml(F.col(xml), f"{DRUG_GROUP_SCHEMA}, _corrupt STRING",
+def infer_schema(payloads: DataFrame, xml: str = "xml") -> StructType:
+    """The schema of all responses together (every response is read, in parallel; malformed ones add
+    nothing): the declared one with whatever other elements and attributes occur, as text. An element that
+    repeats in any response is an array in all; the declared arrays stay arrays."""
+    texts = payloads.where(F.col(xml).isNotNull()).select(F.col(xml).cast("string"))
+    spark = payloads.sparkSession
+    reader = spark.read.option("rowTag", ROW_TAG).option("inferSchema", "false").option("columnNameOfCorruptRecord", "_corrupt")
+    lines = getattr(texts._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())  # stays in the JVM
+    found = StructType.fromJson(json.loads(reader._jreader.xml(lines).schema().json()))
+    return _merged(_parse(DRUG_GROUP_SCHEMA), StructType([f for f in found.fields if f.name != "_corrupt"]))
+
+
+def _parse(ddl: str) -> StructType:
+    return StructType.fromDDL(ddl)
+
+
+def _merged(a: DataType, b: DataType) -> DataType:
+    """``a`` with what only ``b`` has; an array if either is one, text where they cannot be reconciled."""
+    if isinstance(a, ArrayType) or isinstance(b, ArrayType):
+        a, b = (x.elementType if isinstance(x, ArrayType) else x for x in (a, b))
+        return ArrayType(_merged(a, b))
+    if isinstance(a, StructType) and isinstance(b, StructType):
+        other = {f.name: f.dataType for f in b.fields}
+        fields = [StructField(f.name, _merged(f.dataType, other.pop(f.name)) if f.name in other else f.dataType) for f in a.fields]
+        return StructType(fields + [StructField(n, t) for n, t in other.items()])
+    return a if isinstance(a, StructType) else b if isinstance(b, StructType) else StringType()
+
+
+def parse_responses(payloads: DataFrame, drug: str = "drug", xml: str = "xml", schema: StructType | None = None) -> DataFrame:
+    """``(drug, drugGroup, corrupt, missing)`` with the nested response decoded per row;
+    ``corrupt`` holds the text of a response that did not parse. ``schema``: the declared one, or
+    one found in the responses (``infer_schema``), which keeps elements that the declaration does not name."""
+    ddl = DRUG_GROUP_SCHEMA if schema is None else schema.toDDL()
+    parsed = F.from_xml(F.col(xml), f"{ddl}, _corrupt STRING",
                         {"rowTag": ROW_TAG, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
     return (payloads.select(F.col(drug).alias("drug"), F.col(xml).alias("__xml"), parsed.alias("__p"))
             .select("drug", F.col("__p.drugGroup").alias("drugGroup"),
@@ -53,13 +86,15 @@ def rejects(parsed: DataFrame) -> DataFrame:
     return parsed.select("drug", reason.alias("reason")).where("reason IS NOT NULL")
 
 
-def flatten_concepts(parsed: DataFrame) -> DataFrame:
-    """Groups -> concepts: ``(Drug, RxCUI, Concept)``. Two ``explode``s, both
+def flatten_concepts(parsed: DataFrame, extra: bool = False) -> DataFrame:
+    """Groups -> concepts: ``(Drug, RxCUI, Concept)`` and, with ``extra``, a column per other element
+    of a concept that the schema has (in its order). Two ``explode``s, both
     row-local (no shuffle); NULL or empty arrays produce no rows."""
     groups = parsed.select("drug", F.explode("drugGroup.conceptGroup").alias("g"))
-    return (groups.select("drug", F.explode("g.conceptProperties").alias("c"))
-            .select(F.col("drug").alias("Drug"), F.col("c.rxcui").alias("RxCUI"),
-                    F.col("c.name").alias("Concept")))
+    concepts = groups.select("drug", F.explode("g.conceptProperties").alias("c"))
+    more = [f.name for f in concepts.schema["c"].dataType.fields if f.name not in ("rxcui", "name")] if extra else []
+    return concepts.select(F.col("drug").alias("Drug"), F.col("c.rxcui").alias("RxCUI"), F.col("c.name").alias("Concept"),
+                           *[F.col(f"c.`{n}`").alias(n) for n in more])
 
 
 def json_roundtrip(parsed: DataFrame) -> DataFrame:
@@ -86,23 +121,27 @@ def _esc(c):
     return c
 
 
-def concept_payloads(concepts: DataFrame, drug: str, group: str, rxcui: str, name: str,
-                     bucket) -> DataFrame:
+def concept_payloads(concepts: DataFrame, drug: str, group: str, rxcui: str, name: str, bucket,
+                     extra: dict[str, str] | None = None) -> DataFrame:
     """Build service-style response documents ``(drug, xml)`` from a concept table.
 
     One document per (drug, bucket): ``bucket`` is a column chosen by the caller
     that bounds how many concepts share a document, so no document, group or task
-    grows with the data. Inside a document, concepts are grouped by ``group``.
+    grows with the data. Inside a document, concepts are grouped by ``group``; ``extra`` adds
+    further elements to each concept (``{element: column}``).
     Used to replay service responses from tables.
     """
     c = concepts.select(F.col(drug).alias("drug"), bucket.alias("bucket"), F.col(group).alias("grp"),
-                        F.col(rxcui).cast("string").alias("rxcui"), F.col(name).alias("name"))
+                        F.col(rxcui).cast("string").alias("rxcui"), F.col(name).alias("name"),
+                        *[F.col(c).alias(f"__x{i}") for i, c in enumerate((extra or {}).values())])
     # One shuffle serves both aggregations: hash partitioning on (drug, bucket)
     # already clusters every (drug, bucket, grp) group. Adaptive execution sizes
     # the partition count from the data.
     c = c.repartition("drug", "bucket")
     prop = F.concat(F.lit("<conceptProperties><rxcui>"), _esc(F.col("rxcui")), F.lit("</rxcui><name>"),
-                    _esc(F.col("name")), F.lit("</name></conceptProperties>"))
+                    _esc(F.col("name")), F.lit("</name>"),
+                    *[part for i, e in enumerate(extra or {}) for part in (F.lit(f"<{e}>"), _esc(F.col(f"__x{i}")), F.lit(f"</{e}>"))],
+                    F.lit("</conceptProperties>"))
     groups = (c.groupBy("drug", "bucket", "grp")
               .agg(F.array_join(F.array_sort(F.collect_list(prop)), "").alias("props"))
               .select("drug", "bucket",

@@ -7,12 +7,17 @@ no skew and no column of any size is collected to the driver.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from carelake.functions.columns import pearson
 from carelake.operators.places import with_running_sum
+from carelake.session import ship_package
 
 
 def row_count(df: DataFrame, alias: str = "n") -> DataFrame:
@@ -71,14 +76,20 @@ def describe_long(df: DataFrame, cols: list[str] | None = None, digits: int | No
     return wide.select(F.inline(F.array(*entries)))
 
 
-def corr_matrix(df: DataFrame, cols: list[str] | None = None, digits: int | None = 6) -> DataFrame:
-    """Pearson r of every ordered pair of columns ``(feature_a, feature_b, r)``.
+WIDE = 24  # columns from which a matrix is made by one vector aggregate instead of an expression per pair
+
+
+def corr_matrix(df: DataFrame, cols: list[str] | None = None, digits: int | None = 6, wide: bool | None = None) -> DataFrame:
+    """Pearson r of every ordered pair of columns ``(feature_a, feature_b, r)``, over the rows where both
+    are present.
 
-    One aggregation computes each unordered pair once; constant columns give
-    NULL. The diagonal is 1 for non-constant columns. Without ``cols``, the
-    numeric columns of the schema are used (text columns are left out).
+    Constant columns give NULL. The diagonal is 1 for non-constant columns. Without ``cols``, the
+    numeric columns of the schema are used (text columns are left out). One pass either way: few columns by an
+    aggregate expression per pair, more than ``WIDE`` (or ``wide=True``) by one Gram matrix (``_pair_sums``).
     """
     cols = cols or numeric_columns(df)
+    if wide if wide is not None else len(cols) > WIDE:
+        return _corr_wide(df, cols, digits)
     aggs, pairs = [], []
     for i, a in enumerate(cols):
         for j in range(i, len(cols)):
@@ -86,14 +97,58 @@ def corr_matrix(df: DataFrame, cols: list[str] | None = None, digits: int | None
             name = f"r{i}_{j}"
             aggs.append(pearson(F.col(a).cast("double"), F.col(b).cast("double")).alias(name))
             pairs.append((a, b, name))
-    wide = df.agg(*aggs)
+    sums = df.agg(*aggs)
     entries = []
     for a, b, name in pairs:
         v = F.round(F.col(name), digits) if digits is not None else F.col(name)
         entries.append(F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), v.alias("r")))
         if a != b:
             entries.append(F.struct(F.lit(b).alias("feature_a"), F.lit(a).alias("feature_b"), v.alias("r")))
-    return wide.select(F.inline(F.array(*entries)))
+    return sums.select(F.inline(F.array(*entries)))
+
+
+def _pair_sums(df: DataFrame, cols: list[str], shift: list[float]) -> DataFrame:
+    """``(i, j, n, si, sj, qi, qj, c)`` per pair of columns: rows where both are present, sums, sums of squares and
+    of products of the shifted values. A task adds up whole batches as matrix products and sends one
+    row per column; the sums of all tasks are added per pair."""
+    ship_package(df.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        k = len(cols)
+        n, s, q, c = (np.zeros((k, k)) for _ in range(4))
+        for b in batches:
+            x = np.column_stack([b.column(i).to_numpy(zero_copy_only=False) for i in range(k)])
+            there = np.column_stack([np.asarray(b.column(i).is_valid()) for i in range(k)]).astype(float)
+            x = np.where(there > 0, x - shift, 0.0)
+            n += there.T @ there
+            s += x.T @ there
+            q += (x * x).T @ there
+            c += x.T @ x
+        kind = pa.list_(pa.float64())
+        yield pa.RecordBatch.from_arrays([pa.array(range(k), pa.int32()), *[pa.array(list(m), kind) for m in (n, s, s.T, q, q.T, c)]],
+                                         names=["i", "n", "si", "sj", "qi", "qj", "c"])
+
+    parts = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(cols)]).mapInArrow(
+        run, "i int, " + ", ".join(f"{x} array<double>" for x in ("n", "si", "sj", "qi", "qj", "c")))
+    pairs = parts.select("i", F.posexplode(F.arrays_zip("n", "si", "sj", "qi", "qj", "c")).alias("j", "x"))
+    return pairs.groupBy("i", "j").agg(*[F.sum(f"x.{x}").alias(x) for x in ("n", "si", "sj", "qi", "qj", "c")])
+
+
+def _corr_wide(df: DataFrame, cols: list[str], digits: int | None) -> DataFrame:
+    # Sums of squares lose digits far from zero: shift every column by one of its values.
+    some = df.limit(1000).agg(*[F.first(F.col(f"`{c}`").cast("double"), ignorenulls=True).alias(f"c{i}") for i, c in enumerate(cols)]).first()
+    sums = _pair_sums(df, cols, [0.0 if x is None or x != x else x for x in some])
+
+    def spread_of(q: str, s: str) -> Column:  # n times the variance; what is left of rounding counts as none
+        v = F.col(q) - F.col(s) * F.col(s) / F.col("n")
+        return F.when((F.col("n") > 1) & (v > 1e-13 * F.col(q)), v)
+
+    r = (F.col("c") - F.col("si") * F.col("sj") / F.col("n")) / F.sqrt(spread_of("qi", "si") * spread_of("qj", "sj"))
+    r = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.when(F.col("n") > 1, r)))
+    r = F.when(spread_of("qi", "si").isNotNull() & spread_of("qj", "sj").isNotNull(), r)
+    name = F.array(*[F.lit(c) for c in cols])
+    return sums.select(F.element_at(name, F.col("i") + 1).alias("feature_a"), F.element_at(name, F.col("j") + 1).alias("feature_b"),
+                       (F.round(r, digits) if digits is not None else r).alias("r"))
 
 
 def corr_with_target(df: DataFrame, cols: list[str], target: str, digits: int | None = 6) -> DataFrame:

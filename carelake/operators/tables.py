@@ -12,14 +12,17 @@ import json
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from carelake.operators.joins import measured
+from carelake.operators.joins import stored
 from carelake.sources.files import list_files
 
 
+MAX_BUCKETS = 100_000  # Spark's own limit of buckets
+
+
 def qname(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
 
@@ -50,8 +53,10 @@ def save_table(df: DataFrame, name: str, mode: str = "errorifexists",
 
 
 def bucket_count(df: DataFrame, bytes_per_bucket: int = 256 * 1024 * 1024) -> int:
-    """Buckets for a table of this many bytes (as ``joins.measured`` counts them)."""
-    return max(1, -(-measured(df)[1] // bytes_per_bucket))
+    """Buckets for a table of this many bytes: of the files it is read from where the plan is a
+    scan, else the planner's estimate (no row is read; a poor estimate costs file sizes, not results)."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(1, -(-min(size, MAX_BUCKETS * bytes_per_bucket) // bytes_per_bucket))
 
 
 def scratch_database(spark: SparkSession, location: str, prefix: str = "carelake") -> str:
@@ -105,16 +110,25 @@ def append_by_name(df: DataFrame, name: str) -> None:
 
 # --- versioned tables, clones -----------------------------------------------------------
 #
-# A versioned table is a list of segments (folder, highest batch): every write appends
-# a new ``batch=<n>`` folder, and the table's name is a view over the batches up to
-# the highest one, with the list in the view's properties. A write becomes
-# visible in one catalog operation. A shallow clone copies the list (one row of
-# state, whatever the table's size) and adds a folder of its own, which takes
-# what is written to the clone; the source's later batches are beyond its list.
+# A versioned table is a list of segments (folder, names of its batches): every write puts
+# its rows into a folder of its own, ``batch=b<number>-<random>``, and the table's name is a view over the
+# batches of the list, which stands in the view's properties. A write becomes visible in one
+# catalog operation. A shallow clone copies the list (one short name per write, whatever
+# the table's size) and adds a folder of its own, which takes what is written to the
+# clone; the source's later batches are not in its list.
+#
+# Writers share no folder, so none overwrites another's rows. Before the name is pointed the list
+# is read again: batches that came in between are kept (appends commute), and a write that must
+# see all rows of the table, a merge, is refused. What is left is the moment between that
+# look and the catalog operation; the catalog has no compare-and-swap.
 
 _SEGMENTS = "carelake.segments"
 
 
+class ConcurrentWrite(RuntimeError):
+    """The table has changed since the write that is refused looked at it."""
+
+
 def _segments(spark: SparkSession, name: str) -> list[list]:
     rows = spark.sql(f"SHOW TBLPROPERTIES {qname(name)}").where(F.col("key") == _SEGMENTS).collect()
     if not rows:
@@ -124,30 +138,50 @@ def _segments(spark: SparkSession, name: str) -> list[list]:
 
 def _point_versioned(spark: SparkSession, name: str, segments: list[list], columns: list[str]) -> DataFrame:
     cols = ", ".join(f"`{c}`" for c in columns)
-    body = " UNION ALL ".join(f"SELECT {cols} FROM parquet.`{path}` WHERE batch <= {last}" for path, last in segments if last >= 0)
+    body = " UNION ALL ".join("SELECT {} FROM parquet.`{}` WHERE batch IN ({})".format(cols, path, ", ".join(f"'{b}'" for b in batches))
+                              for path, batches in segments if batches)
     value = json.dumps(segments).replace("'", "\\'")
     spark.sql(f"CREATE OR REPLACE VIEW {qname(name)} TBLPROPERTIES ('{_SEGMENTS}' = '{value}') AS {body}")
     return spark.table(name)
 
 
+def _new_batch(segments: list[list]) -> str:
+    return f"b{sum(len(b) for _, b in segments)}-{uuid.uuid4().hex[:8]}"
+
+
 def create_versioned(df: DataFrame, name: str, path: str) -> DataFrame:
     """A table ``name`` whose data lies under ``path``, one folder per write."""
     if "batch" in df.columns:
         raise ValueError("batch is the name of the version column")
-    df.write.parquet(f"{path}/batch=0")
-    return _point_versioned(df.sparkSession, name, [[path, 0]], df.columns)
+    batch = _new_batch([])
+    df.write.parquet(f"{path}/batch={batch}")
+    return _point_versioned(df.sparkSession, name, [[path, [batch]]], df.columns)
+
 
+def append_versioned(df: DataFrame, name: str, seen: list[list] | None = None) -> DataFrame:
+    """Append rows by column name (missing columns NULL) as the table's next batch.
 
-def append_versioned(df: DataFrame, name: str) -> DataFrame:
-    """Append rows by column name (missing columns NULL) as the table's next batch."""
+    Batches that other writers add meanwhile are kept. With ``seen`` (the list the rows were made
+    from, ``versions``) the append raises ``ConcurrentWrite`` instead if there are any; its rows stay
+    invisible.
+    """
     spark = df.sparkSession
     segments, target = _segments(spark, name), spark.table(name)
-    path, last = segments[-1]
+    path, batch = segments[-1][0], _new_batch(segments)
     rows = df.select(*[(F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
                        for f in target.schema.fields])
-    # A folder left by a write that died is not in the list, and is replaced.
-    rows.write.mode("overwrite").parquet(f"{path}/batch={last + 1}")
-    return _point_versioned(spark, name, segments[:-1] + [[path, last + 1]], target.columns)
+    rows.write.parquet(f"{path}/batch={batch}")
+    now = _segments(spark, name)
+    if seen is not None and now != seen:
+        raise ConcurrentWrite(f"{name} has been written to since it was read")
+    if now[-1][0] != path:
+        raise ConcurrentWrite(f"{name} has been replaced since the write began")
+    return _point_versioned(spark, name, now[:-1] + [[path, now[-1][1] + [batch]]], target.columns)
+
+
+def versions(spark: SparkSession, name: str) -> list[list]:
+    """The batches that versioned table ``name`` shows: ``[[folder, [batch, ...]], ...]``."""
+    return _segments(spark, name)
 
 
 def snapshot_clone(spark: SparkSession, source: str, name: str, path: str, deep: bool = False) -> DataFrame:
@@ -160,37 +194,89 @@ def snapshot_clone(spark: SparkSession, source: str, name: str, path: str, deep:
     table = spark.table(source)
     if deep:
         return create_versioned(table, name, path)
-    return _point_versioned(spark, name, [s for s in _segments(spark, source) if s[1] >= 0] + [[path, -1]], table.columns)
+    return _point_versioned(spark, name, [s for s in _segments(spark, source) if s[1]] + [[path, []]], table.columns)
 
 
 # --- merge -------------------------------------------------------------------------------
 
-def new_rows(target: DataFrame, source: DataFrame, on: list[str]) -> DataFrame:
+BLOOM_BITS = 16  # bits per target key; three of them set: about 0.5 % of new keys look known
+MAX_BLOOM_BYTES = 64 * 1024 * 1024  # of the filter, which is broadcast
+_BLOCK_BITS = 32 * 1024  # of one row of the filter: the bits of a key lie in one block
+
+
+def _bloom_bits(on: list[str], blocks: int) -> tuple[Column, Column]:
+    """(block of a key, its three bits within the block)."""
+    h = F.xxhash64(*[F.col(f"`{c}`") for c in on])
+    g = F.xxhash64(F.lit(1), *[F.col(f"`{c}`") for c in on])
+    bits = [F.pmod(F.shiftright(g, 15 * i), F.lit(_BLOCK_BITS)) for i in range(3)]
+    return F.pmod(h, F.lit(blocks)), F.array(*bits)
+
+
+def bloom_filter(keys: DataFrame, on: list[str], n: int) -> DataFrame:
+    """A Bloom filter of the distinct keys as rows ``(__block, __bits)`` of 4 KB each, ``n`` keys sized at
+    ``BLOOM_BITS`` bits; the bits are set map-side and merged per block."""
+    blocks = max(1, -(-n * BLOOM_BITS // _BLOCK_BITS))
+    block, bits = _bloom_bits(on, blocks)
+    return (keys.select(block.alias("__block"), F.explode(bits).alias("__bit"))
+            .groupBy("__block").agg(F.bitmap_construct_agg("__bit").alias("__bits")))
+
+
+def _may_be_known(on: list[str], blocks: int) -> Column:
+    """Whether all three bits of a row's key are set in ``__bits`` (a missing block: no)."""
+    def is_set(bit: Column) -> Column:
+        byte = F.conv(F.hex(F.substring("__bits", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+        return F.expr("1").cast("int").bitwiseAND(F.call_function("shiftright", byte, F.pmod(bit, F.lit(8)).cast("int"))) == 1
+
+    return F.coalesce(F.forall(_bloom_bits(on, blocks)[1], is_set), F.lit(False))
+
+
+def new_rows(target: DataFrame, source: DataFrame, on: list[str], prefilter: bool = False) -> DataFrame:
     """Rows of ``source`` whose key has no match in ``target``.
 
     An anti join of two shuffled sides: when one source key holds a large share of
     the rows, the adaptive skew-join rule splits its partition (nothing may stand
     between the exchanges and the join for that, so keys are not made distinct
     first). NULL keys never match, so they are new; duplicate new keys are all kept.
-    """
-    return source.join(target.select(*on), on, "left_anti")
 
-
-def merge_insert_only(spark: SparkSession, target_name: str, source: DataFrame, on: list[str] | str) -> int:
+    ``prefilter``: source rows that a Bloom filter of the target's keys rules out are surely new and
+    are not shuffled; only the rest is joined (the source is read twice for it). The filter is broadcast: a target
+    whose filter would take more than ``MAX_BLOOM_BYTES`` is joined without one. Worth its pass over the
+    target's keys when most of the source is new.
+    """
+    keys = target.select(*on)
+    n = keys.count() if prefilter else 0  # from file metadata
+    if not n or n * BLOOM_BITS > 8 * MAX_BLOOM_BYTES:
+        return source.join(keys, on, "left_anti")
+    blocks = max(1, -(-n * BLOOM_BITS // _BLOCK_BITS))
+    bloom = stored(bloom_filter(keys, on, n))  # at most ``blocks`` rows of 4 KB
+    missing = F.lit(False)
+    for c in on:
+        missing = missing | F.col(f"`{c}`").isNull()
+    held = (source.withColumn("__block", _bloom_bits(on, blocks)[0]).join(F.broadcast(bloom), "__block", "left")
+            .withColumn("__known", ~missing & _may_be_known(on, blocks)))
+    surely_new = held.where(~F.col("__known")).select(*[f"`{c}`" for c in source.columns])
+    rest = held.where("__known").select(*[f"`{c}`" for c in source.columns])
+    return surely_new.unionAll(rest.join(keys, on, "left_anti").select(*[f"`{c}`" for c in source.columns]))
+
+
+def merge_insert_only(spark: SparkSession, target_name: str, source: DataFrame, on: list[str] | str, prefilter: bool = False) -> int:
     """``MERGE INTO t USING s ON key WHEN NOT MATCHED THEN INSERT *``.
 
     Appends the unmatched rows to the target: a managed table, or a versioned
-    table (a clone, for example), whose next batch they become. Appending next to
+    table (a clone, for example), whose next batch they become; a batch that another writer adds to it
+    meanwhile could hold the same keys, so the merge raises ``ConcurrentWrite`` then. Appending next to
     files the same plan reads is safe: the input file list is fixed when the plan
     is made, and the new files are committed at the end of the job. Returns the
-    number of rows inserted (counted while writing, no extra pass).
+    number of rows inserted (counted while writing, no extra pass). ``prefilter`` as in ``new_rows``.
     """
     on = [on] if isinstance(on, str) else list(on)
+    versioned = _is_versioned(spark, target_name)
+    seen = versions(spark, target_name) if versioned else None
     target = spark.table(target_name)
     obs = Observation("merge")
-    ins = new_rows(target, source, on).observe(obs, F.count(F.lit(1)).alias("n"))
-    if _is_versioned(spark, target_name):
-        append_versioned(ins, target_name)
+    ins = new_rows(target, source, on, prefilter).observe(obs, F.count(F.lit(1)).alias("n"))
+    if versioned:
+        append_versioned(ins, target_name, seen)
     else:
         append_by_name(ins, target_name)
     return int(obs.get["n"])

@@ -206,6 +206,11 @@ def q_corr_matrix(spark, sf_dir):
     return stats.corr_matrix(lab_frame(spark, sf_dir), LAB_FEATURES)
 
 
+def q_corr_matrix_wide(spark, sf_dir):
+    """The same matrix by the vector aggregate for wide tables."""
+    return stats.corr_matrix(lab_frame(spark, sf_dir), LAB_FEATURES + ["SEX"], wide=True)
+
+
 def q_corr_target(spark, sf_dir):
     out = stats.corr_with_target(lab_frame(spark, sf_dir), LAB_FEATURES + ["SEX"], "TREATMENT")
     return out.withColumn("place", F.row_number().over(Window.orderBy(F.desc_nulls_last("r"), "feature")))  # a row per column
@@ -305,6 +310,13 @@ def _documents(spark, sf_dir):
 
 
 def q_scan_notes(spark, sf_dir):
+    path = scratch_dir(spark, "notes")
+    files.write_notes(_documents(spark, sf_dir), path, "doc_id", max_notes=1000)
+    return files.split_notes(files.scan_notes(spark, path), "doc_id", "bigint")
+
+
+def q_read_packed_notes(spark, sf_dir):
+    """The same packs read record by record."""
     path = scratch_dir(spark, "notes")
     files.write_notes(_documents(spark, sf_dir), path, "doc_id")
     return files.read_notes(spark, path, "doc_id", "bigint")
@@ -314,8 +326,13 @@ def _spans(spark, sf_dir):
     return notes.entity_spans(_documents(spark, sf_dir), _lexicon(spark, sf_dir), rules=NOTE_RULES)
 
 
+def _token_places(spans):
+    """Spans with names for their bounds that every SQL engine reads as names."""
+    return spans.withColumnsRenamed({"start": "first_token", "end": "after_token"})
+
+
 def q_entity_spans(spark, sf_dir):
-    return _spans(spark, sf_dir)
+    return _token_places(_spans(spark, sf_dir))
 
 
 def q_note_entities(spark, sf_dir):
@@ -329,7 +346,7 @@ def q_entity_doc_freq(spark, sf_dir):
 
 
 def q_entity_udf(spark, sf_dir):
-    return notes.extract_with_model(_documents(spark, sf_dir), notes.LexiconModel(_lexicon(spark, sf_dir), NOTE_RULES))
+    return _token_places(notes.extract_with_model(_documents(spark, sf_dir), notes.LexiconModel(_lexicon(spark, sf_dir), NOTE_RULES)))
 
 
 # --- drug coding ---------------------------------------------------------------------------
@@ -344,6 +361,14 @@ def q_rxnorm_parse(spark, sf_dir):
     return coding.flatten_concepts(coding.parse_responses(_payloads(spark, sf_dir)))
 
 
+def q_rxnorm_inferred(spark, sf_dir):
+    """Responses decoded with the schema found in them: elements that no declaration names are kept."""
+    part = table(spark, sf_dir, "part").select("p_brand", "p_type", "p_partkey", "p_name", "p_size")
+    docs = coding.concept_payloads(part, "p_brand", "p_type", "p_partkey", "p_name",
+                                   bucket=F.floor(F.col("p_partkey") / CONCEPTS_PER_RESPONSE), extra={"size": "p_size"})
+    return coding.flatten_concepts(coding.parse_responses(docs, schema=coding.infer_schema(docs)), extra=True)
+
+
 def q_json_roundtrip(spark, sf_dir):
     return coding.flatten_concepts(coding.json_roundtrip(coding.parse_responses(_payloads(spark, sf_dir))))
 
@@ -386,6 +411,16 @@ def q_merge_insert_only(spark, sf_dir):
     return spark.table(f"{db}.target")
 
 
+def q_merge_prefiltered(spark, sf_dir):
+    """The same merge where most of the source is new: a Bloom filter of the target's keys sends those
+    rows straight to the insert."""
+    root, db = _db(spark, "merge-prefiltered")
+    c = table(spark, sf_dir, "customer")
+    tbl.save_table(c.where(F.col("c_nationkey") < 3), f"{db}.target")
+    tbl.merge_insert_only(spark, f"{db}.target", c, "c_custkey", prefilter=True)
+    return spark.table(f"{db}.target")
+
+
 def q_bucketed_join(spark, sf_dir):
     """Orders of a bucketed customer table: the bucketed side is not shuffled."""
     root, db = _db(spark, "bucketed")
@@ -561,6 +596,7 @@ QUERIES: dict[str, Query] = {
     "encode_flags": q_encode_flags,
     "lenient_cast": q_lenient_cast,
     "corr_matrix": q_corr_matrix,
+    "corr_matrix_wide": q_corr_matrix_wide,
     "corr_target": q_corr_target,
     "scaled_features": q_scaled_features,
     "train_split": q_train_split,
@@ -569,16 +605,19 @@ QUERIES: dict[str, Query] = {
     "rf_metrics": q_rf_metrics,
     "auc_rank_sum": q_auc_rank_sum,
     "scan_notes": q_scan_notes,
+    "read_packed_notes": q_read_packed_notes,
     "entity_spans": q_entity_spans,
     "note_entities": q_note_entities,
     "entity_doc_freq": q_entity_doc_freq,
     "entity_udf": q_entity_udf,
     "rxnorm_parse": q_rxnorm_parse,
+    "rxnorm_inferred": q_rxnorm_inferred,
     "json_roundtrip": q_json_roundtrip,
     "request_url": q_request_url,
     "rxnorm_code": q_rxnorm_code,
     "rxnorm_rejects": q_rxnorm_rejects,
     "merge_insert_only": q_merge_insert_only,
+    "merge_prefiltered": q_merge_prefiltered,
     "bucketed_join": q_bucketed_join,
     "insert_partial": q_insert_partial,
     "snapshot_clone": q_snapshot_clone,

@@ -13,7 +13,7 @@ import argparse
 import json
 import sys
 
-from carelake.session import build_session
+from carelake.session import build_session, clean_scratch
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -44,6 +44,7 @@ def main(argv: list[str] | None = None) -> int:
         from carelake.streaming.incremental import incremental_load
         n = incremental_load(spark, args.source, args.schema, args.target, args.checkpoint, fmt=args.format)
         print(json.dumps({"rows_added": n}))
+    clean_scratch(spark)  # what the job wrote under the checkpoint root; its tables lie elsewhere
     return 0
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.operators.quality import Rule, enforce
-from carelake.operators.tables import nothing_there, point_name, publish
+from carelake.operators.tables import drop_old_versions, nothing_there, point_name, publish
 from carelake.sources.files import scan_csv
 from carelake.streaming.incremental import incremental_load, run_available_now
 
@@ -34,6 +34,8 @@ SILVER_RULES = [
     Rule("valid_count", "Count > 0", "fail"),
 ]
 
+KEPT_VERSIONS = 3  # of gold: readers of an older one finish before its files go
+
 # The table comments of the three layers.
 BRONZE_COMMENT = "Data ingested from NY State Department of Health"
 SILVER_COMMENT = "Data cleaned and prepared for analysis"
@@ -110,13 +112,8 @@ def run_medallion(spark: SparkSession, landing_dir: str, out_dir: str, year: int
     new_bronze = spark.readStream.schema(BRONZE_TABLE_SCHEMA).parquet(bronze_dir)
     metrics = [F.count(F.lit(1)).alias("__rows")] + [F.count_if(~r.ok()).alias(r.name) for r in SILVER_RULES]
     checked = silver(new_bronze, SILVER_RULES).observe("silver_rules", *metrics)
-    progress = run_available_now(checked, silver_dir, silver_ck, partition_by=["Year_Of_Birth"])
-    totals = {m: 0 for m in ["__rows"] + [r.name for r in SILVER_RULES]}
-    for p in progress:
-        row = (p["observedMetrics"] or {}).get("silver_rules")
-        if row is not None:
-            for m in totals:
-                totals[m] += int(row[m] or 0)
+    run = run_available_now(checked, silver_dir, silver_ck, partition_by=["Year_Of_Birth"])
+    totals = {m: 0 for m in ["__rows"] + [r.name for r in SILVER_RULES]} | run.observed.get("silver_rules", {})
     report = spark.createDataFrame(
         [(r.name, totals["__rows"] - totals[r.name], totals[r.name]) for r in SILVER_RULES],
         "rule string, passed bigint, failed bigint")
@@ -136,6 +133,7 @@ def run_medallion(spark: SparkSession, landing_dir: str, out_dir: str, year: int
     # the year filter prunes silver to one partition.
     silver_tbl = spark.read.schema(SILVER_TABLE_SCHEMA).parquet(silver_dir)
     gold_tbl = publish(gold(silver_tbl, year), f"{db}.gold", f"{out_dir}/gold", GOLD_COMMENT.format(year=year))
+    drop_old_versions(spark, f"{out_dir}/gold", f"{db}.gold", keep=KEPT_VERSIONS)
     # Row order of stored files is not kept on read: sort again.
     gold_sorted = gold_tbl.sort(F.desc("Total_Count"), F.asc("First_Name"))
     return {"bronze_rows_added": added, "report": report, "gold": gold_sorted}

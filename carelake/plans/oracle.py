@@ -62,9 +62,9 @@ _LAB = """(SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_disco
 _LEARN = """(SELECT l_orderkey, l_linenumber, CASE WHEN l_extendedprice > 2000 * l_quantity THEN 1 ELSE 0 END AS TREATMENT FROM lineitem)"""
 
 
-def _corr_matrix() -> str:
+def _corr_matrix(cols: list[str] = LAB_FEATURES) -> str:
     parts = [f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, {_r(a, b)} AS r FROM {_LAB} t"
-             for a in LAB_FEATURES for b in LAB_FEATURES]
+             for a in cols for b in cols]
     return "\nUNION ALL\n".join(parts)
 
 
@@ -94,17 +94,17 @@ words AS (
   UNION ALL
   SELECT a || ' ' || b FROM (SELECT unnest(t[:-2]) AS a, unnest(t[2:]) AS b FROM lists)
   WHERE length(a) >= 6 AND length(b) >= 6),
-lexicon AS (
+lexicon AS MATERIALIZED (
   SELECT DISTINCT term, ({_CLASSES})[length(term) % 7 + 1] AS entity FROM words WHERE length(term) >= 6),
-toks AS (
+toks AS MATERIALIZED (
   SELECT doc_id, unnest(t) AS a, unnest(t[2:]) AS b, generate_subscripts(t, 1) - 1 AS pos
   FROM (SELECT doc_id, [lower(x) FOR x IN regexp_extract_all(text, '{_TOKEN}')] AS t FROM documents WHERE text IS NOT NULL) d),
-two AS (
+two AS MATERIALIZED (
   SELECT doc_id, pos, a || ' ' || b AS chunk, coalesce(entity, 'DURATION') AS entity
   FROM toks LEFT JOIN lexicon ON a || ' ' || b = term
   WHERE b IS NOT NULL AND (entity IS NOT NULL OR regexp_full_match(a || ' ' || b, '[0-9]+ [0-9]+'))),
 chains AS (SELECT *, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS chain FROM two),
-pairs AS (
+pairs AS MATERIALIZED (
   SELECT doc_id, pos, chunk, entity FROM (
     SELECT *, row_number() OVER (PARTITION BY doc_id, chain ORDER BY pos) AS r FROM chains) WHERE r % 2 = 1),
 one AS (
@@ -120,6 +120,8 @@ note_entities AS (
   FROM spans GROUP BY doc_id, chunk)
 """
 
+_SPAN_ROWS = 'SELECT doc_id, chunk, entity, start AS first_token, "end" AS after_token FROM spans'
+
 #: train / test by the md5 of seed and key.
 _SPLIT = f"""CASE WHEN ('0x' || substr(md5('{SEED}|' || l_orderkey || '|' || l_linenumber), 1, 8))::BIGINT / 4294967296.0
   < {TRAIN_RATIO} THEN 'train' ELSE 'test' END"""
@@ -167,11 +169,13 @@ ORACLE: dict[str, str] = {
     "lenient_cast": """SELECT *, TRY_CAST(c_mktsegment AS INTEGER) AS TREATMENT,
   TRY_CAST(substr(c_name, 10, 64) AS INTEGER) AS SEX_ FROM customer""",
     "corr_matrix": _corr_matrix(),
+    "corr_matrix_wide": _corr_matrix(LAB_FEATURES + ["SEX"]),
     "corr_target": _corr_target(),
     "scaled_features": _scaled(),
     "scan_notes": "SELECT doc_id, text FROM documents",
-    "entity_spans": _SPANS + "SELECT * FROM spans",
-    "entity_udf": _SPANS + "SELECT * FROM spans",
+    "read_packed_notes": "SELECT doc_id, text FROM documents",
+    "entity_spans": _SPANS + _SPAN_ROWS,
+    "entity_udf": _SPANS + _SPAN_ROWS,
     "note_entities": _SPANS + "SELECT * FROM note_entities",
     "entity_doc_freq": _SPANS + f"""SELECT Drug, Frequency,
   CAST(row_number() OVER (ORDER BY Frequency DESC, first_note, first_start) AS INTEGER) AS place
@@ -204,11 +208,13 @@ SELECT split, CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT) AS
   CAST(sum(pos * (2 * upto - neg)) AS DOUBLE) / CAST(2 * sum(pos) * sum(neg) AS DOUBLE) AS auc
 FROM below GROUP BY split""",
     "rxnorm_parse": _CONCEPTS,
+    "rxnorm_inferred": "SELECT p_brand AS Drug, CAST(p_partkey AS VARCHAR) AS RxCUI, p_name AS Concept, CAST(p_size AS VARCHAR) AS size FROM part",
     "json_roundtrip": _CONCEPTS,
     "request_url": f"SELECT Drug, '{SERVICE_BASE}{DRUGS_PATH}' || url_encode(Drug) AS request_url FROM {_BRANDS} b",
     "rxnorm_code": f"""SELECT b.Drug, b.Frequency, CAST(p_partkey AS VARCHAR) AS RxCUI, p_name AS Concept
   FROM {_BRANDS} b JOIN part ON p_brand = b.Drug""",
     "merge_insert_only": "SELECT * FROM customer",
+    "merge_prefiltered": "SELECT * FROM customer",
     "insert_partial": _CUSTOMER_PLUS_PARTIAL,
     "snapshot_clone": "SELECT * FROM customer",
     "schema_evolution": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,

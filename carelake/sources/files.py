@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -46,17 +48,34 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite")
     return path
 
 
-def scan_notes(spark: SparkSession, path: str) -> DataFrame:
+def scan_notes(spark: SparkSession, path: str, keep_empty: bool = True) -> DataFrame:
     """One row per file: ``(path, note_id, text)``, the whole file as one value.
 
     Files are found at any depth; ``note_id`` is the file's name without its last
     extension, as text (``007.txt`` is note ``007``). No folder names are read as
-    columns, so nothing is inferred from them. Each file is one task input. Spark's
-    file scan skips zero-length files; notes stored in packs keep empty texts.
+    columns, so nothing is inferred from them. Each file is one task input. Spark's file scan skips
+    zero-length files; with ``keep_empty`` they are the files of its listing that the
+    scan does not have, and come back with an empty text (file names only; the listing lies
+    on the driver as for any file scan, no file body is read twice). Many small notes belong in packs
+    (``write_notes``), which are scanned here as whole files and cut by ``split_notes``.
     """
-    name = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
-    return (spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
-            .select(F.col("_metadata.file_path").alias("path"), name.alias("note_id"), F.col("value").alias("text")))
+    def note(c: Column) -> Column:
+        return F.regexp_replace(c, r"\.[^.]*$", "")
+
+    scan = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
+    notes = scan.select(F.col("_metadata.file_path").alias("path"), note(F.col("_metadata.file_name")).alias("note_id"),
+                        F.col("value").alias("text"))
+    if not keep_empty:
+        return notes
+    listed = spark.createDataFrame([(f, unquote(f.rsplit("/", 1)[-1])) for f in scan.inputFiles()], "path string, name string")
+
+    def same(c: Column) -> Column:  # one spelling of a local path's scheme
+        return F.regexp_replace(c, "^file:/+", "file:/")
+
+    listed = listed.select(same(F.col("path")).alias("path"), "name")
+    there = list_files(spark, path).select(same(F.replace(F.col("path"), F.lit(" "), F.lit("%20"))).alias("path"))
+    empty = listed.join(there, "path", "left_anti")
+    return notes.unionAll(empty.select("path", note(F.col("name")), F.lit("").alias("text")))
 
 
 # Many small notes are kept in packs: text files, one per task, in which a note is a
@@ -66,8 +85,9 @@ _RECORD, _UNIT, _ESCAPE = "\x1e", "\x1f", "\x1b"
 _CODES = [(_ESCAPE, "00"), (_RECORD, "01"), (_UNIT, "02")]
 
 
-def write_notes(df: DataFrame, path: str, key: str, text: str = "text") -> str:
-    """Write notes as packs: as many files as ``df`` has tasks, whatever the number of notes.
+def write_notes(df: DataFrame, path: str, key: str, text: str = "text", max_notes: int | None = None) -> str:
+    """Write notes as packs: as many files as ``df`` has tasks, whatever the number of notes, or more
+    of at most ``max_notes`` notes each (packs that are scanned as whole files should be bounded).
 
     Keys are stored as text. NULL texts are stored as missing, empty ones as empty.
     """
@@ -78,21 +98,35 @@ def write_notes(df: DataFrame, path: str, key: str, text: str = "text") -> str:
 
     record = F.concat(escaped(F.col(key).cast("string")),
                       F.coalesce(F.concat(F.lit(_UNIT), escaped(F.col(text))), F.lit("")))
-    df.select(record.alias("value")).write.mode("overwrite").option("lineSep", _RECORD).text(path)
+    w = df.select(record.alias("value")).write.mode("overwrite").option("lineSep", _RECORD)
+    (w.option("maxRecordsPerFile", str(max_notes)) if max_notes else w).text(path)
     return path
 
 
-def read_notes(spark: SparkSession, path: str, key: str, key_type: str = "string") -> DataFrame:
-    """``(key, text)`` of the notes ``write_notes`` stored; keys are text unless a type is declared."""
+def _record(value: Column, key: str, key_type: str) -> list[Column]:
+    """(key, text) of a record."""
     def plain(c: Column) -> Column:
         for ch, code in reversed(_CODES):
             c = F.replace(c, F.lit(_ESCAPE + code), F.lit(ch))
         return c
 
-    at = F.instr("value", _UNIT)
+    at = F.instr(value, _UNIT)
+    return [plain(F.when(at > 0, F.substring_index(value, _UNIT, 1)).otherwise(value)).cast(key_type).alias(key),
+            plain(F.when(at > 0, value.substr(at + 1, F.length(value)))).alias("text")]
+
+
+def read_notes(spark: SparkSession, path: str, key: str, key_type: str = "string") -> DataFrame:
+    """``(key, text)`` of the notes ``write_notes`` stored; keys are text unless a type is declared. Records
+    are read one by one: packs of any size."""
     df = spark.read.option("lineSep", _RECORD).text(path)
-    return df.select(plain(F.when(at > 0, F.substring_index("value", _UNIT, 1)).otherwise(F.col("value"))).cast(key_type).alias(key),
-                     plain(F.when(at > 0, F.col("value").substr(at + 1, F.length("value")))).alias("text"))
+    return df.select(*_record(F.col("value"), key, key_type))
+
+
+def split_notes(packs: DataFrame, key: str, key_type: str = "string") -> DataFrame:
+    """``(key, text)`` of the notes in packs that were scanned as whole files (``scan_notes``)."""
+    records = F.split("text", _RECORD)  # every record ends with the separator: nothing follows the last
+    return (packs.select(F.explode(F.slice(records, 1, F.size(records) - 1)).alias("value"))
+            .select(*_record(F.col("value"), key, key_type)))
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:

@@ -10,21 +10,55 @@ duplicates.
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 
-def run_available_now(stream: DataFrame, target_dir: str, checkpoint_dir: str,
-                      partition_by: list[str] | None = None) -> list:
-    """Write every not-yet-processed input of ``stream`` into a Parquet sink and
-    stop; returns the progress report of each micro-batch of this run."""
+KEPT_REPORTS = 1000  # progress reports Spark keeps between two looks at them
+LOOK_SECONDS = 0.25
+
+
+@dataclass
+class RunTotals:
+    """What one run has done, added up batch by batch (no report is kept): input rows, micro-batches
+    and, per observed set of metrics, the sum of each metric."""
+    rows: int = 0
+    batches: int = 0
+    observed: dict[str, dict[str, int]] = field(default_factory=dict)
+    _last: int | None = None
+
+    def add(self, reports: list) -> None:
+        """Take in the reports of batches not seen yet (they come in order)."""
+        for p in reports:
+            n = p["batchId"]
+            if self._last is not None and n <= self._last:
+                continue
+            if self._last is not None and n != self._last + 1:
+                raise RuntimeError(f"reports of batches {self._last + 1} to {n - 1} are gone: the rows are loaded, their number is unknown")
+            self._last = n
+            self.rows += int(p["numInputRows"])
+            self.batches += 1
+            for name, metrics in (p["observedMetrics"] or {}).items():
+                sums = self.observed.setdefault(name, {})
+                for k, v in metrics.asDict().items():
+                    sums[k] = sums.get(k, 0) + int(v or 0)
+
+
+def run_available_now(stream: DataFrame, target_dir: str, checkpoint_dir: str, partition_by: list[str] | None = None,
+                      kept_reports: int = KEPT_REPORTS) -> RunTotals:
+    """Write every not-yet-processed input of ``stream`` into a Parquet sink and stop; returns the
+    totals of this run's micro-batches, however many there are.
+
+    Spark keeps the last ``kept_reports`` progress reports; they are added up while the query
+    runs, and a batch whose report was missed raises instead of being left out.
+    """
     spark = stream.sparkSession
-    # Keep every progress report of the run (Spark keeps 100 by default). The
-    # stream copies the session conf when it starts, so it is restored after.
     key = "spark.sql.streaming.numRecentProgressUpdates"
     old = spark.conf.get(key)
-    spark.conf.set(key, "1000000")
+    spark.conf.set(key, str(kept_reports))  # the stream copies the session conf when it starts, so it is restored after
     try:
         w = (stream.writeStream.format("parquet").option("path", target_dir)
              .option("checkpointLocation", checkpoint_dir).outputMode("append"))
@@ -33,10 +67,11 @@ def run_available_now(stream: DataFrame, target_dir: str, checkpoint_dir: str,
         q = w.trigger(availableNow=True).start()
     finally:
         spark.conf.set(key, old)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
-    return list(q.recentProgress)
+    totals, done, wait = RunTotals(), False, LOOK_SECONDS if kept_reports >= KEPT_REPORTS else 0.01
+    while not done:
+        done = q.awaitTermination(wait)  # raises what stopped the query
+        totals.add(q.recentProgress)
+    return totals
 
 
 def incremental_load(spark: SparkSession, source_dir: str, schema: StructType | str, target_dir: str,
@@ -59,8 +94,7 @@ def incremental_load(spark: SparkSession, source_dir: str, schema: StructType |
     stream = reader.load(source_dir)
     if transform is not None:
         stream = transform(stream)
-    progress = run_available_now(stream, target_dir, checkpoint_dir)
-    return int(sum(p["numInputRows"] for p in progress))
+    return run_available_now(stream, target_dir, checkpoint_dir).rows
 
 
 def start_continuous_load(spark: SparkSession, source_dir: str, schema: StructType | str, target_dir: str,

@@ -1,0 +1,119 @@
+"""Whole-file notes, schemas found in responses, wide correlation, totals of a stream run."""
+
+import math
+import os
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from carelake.functions.columns import exact_sum
+from carelake.operators import coding, stats
+from carelake.sources import files
+from carelake.streaming.incremental import RunTotals, read_loaded, run_available_now
+
+
+def _folder(path, names):
+    for name, text in names.items():
+        os.makedirs(os.path.dirname(f"{path}/{name}"), exist_ok=True)
+        with open(f"{path}/{name}", "w", newline="") as f:
+            f.write(text)
+
+
+def test_empty_files_are_notes_too(spark, tmp_path):
+    names = {"a.txt": "one\ntwo\r\n", "deep/er/007.txt": "x", "empty.txt": "", "with space.txt": "s", "sp ace/no text.txt": "", "noext": ""}
+    _folder(tmp_path, names)
+    got = {r["path"].split(str(tmp_path) + "/")[-1].replace("%20", " "): (r["note_id"].replace("%20", " "), r["text"])
+           for r in files.scan_notes(spark, str(tmp_path)).collect()}
+    assert got == {n: (os.path.basename(n).rsplit(".", 1)[0], t) for n, t in names.items()}
+    assert files.scan_notes(spark, str(tmp_path), keep_empty=False).count() == 3
+
+
+def test_packs_scanned_as_whole_files(spark, scratch):
+    rows = [(1, "a\nb"), (2, ""), (3, None), (4, "\x1e\x1f\x1b00"), (5, "é"), (6, "\r\n")]
+    df = spark.createDataFrame(rows, "k bigint, text string").coalesce(1)
+    path = files.write_notes(df, scratch("packs"), "k", max_notes=2)
+    packs = files.scan_notes(spark, path)
+    assert packs.count() == 3
+    assert sorted(map(tuple, files.split_notes(packs, "k", "bigint").collect())) == rows
+    assert sorted(map(tuple, files.read_notes(spark, path, "k", "bigint").collect())) == rows
+
+
+def test_a_schema_found_in_the_responses(spark):
+    tag = coding.ROW_TAG
+    def doc(inner):
+        return f"<{tag}><drugGroup><name>x</name>{inner}</drugGroup></{tag}>"
+    one = "<conceptGroup><tty>A</tty><conceptProperties><rxcui>007</rxcui><name>n</name></conceptProperties></conceptGroup>"
+    extra = ("<conceptGroup><tty>B</tty><conceptProperties><rxcui>1</rxcui><name>m</name><synonym>s1</synonym><code lang='en'>c</code>"
+             "</conceptProperties><conceptProperties><rxcui>2</rxcui><name>o</name><tag>t1</tag><tag>t2</tag></conceptProperties></conceptGroup>")
+    rows = [("a", doc(one)), ("b", doc(one + extra)), ("c", None), ("d", "<broken"), ("e", doc("<note>hello</note>")), ("f", doc(""))]
+    docs = spark.createDataFrame(rows, "drug string, xml string").repartition(3)
+    schema = coding.infer_schema(docs)
+    parsed = coding.parse_responses(docs, schema=schema)
+    got = {(r["Drug"], r["RxCUI"]): r.asDict(recursive=True) for r in coding.flatten_concepts(parsed, extra=True).collect()}
+    assert set(got) == {("a", "007"), ("b", "007"), ("b", "1"), ("b", "2")}
+    assert got["b", "1"]["synonym"] == "s1" and got["a", "007"]["synonym"] is None
+    assert got["b", "2"]["tag"] == ["t1", "t2"] and got["b", "1"]["code"]["_lang"] == "en"
+    assert {r["note"] for r in parsed.select("drugGroup.note").collect()} == {None, "hello"}
+    # the declared columns are the same either way, and rejects are still told
+    plain = coding.parse_responses(docs)
+    assert sorted(map(tuple, coding.flatten_concepts(plain).collect())) == sorted(map(tuple, coding.flatten_concepts(parsed).collect()))
+    assert {tuple(r) for r in coding.rejects(parsed).collect()} == {tuple(r) for r in coding.rejects(plain).collect()}
+
+
+def test_wide_correlation_in_one_pass(spark):
+    rng = np.random.default_rng(5)
+    k, n = 300, 400
+    x = rng.normal(1e6, 3, (n, k)) @ np.triu(rng.random((k, k)) < 0.01) * 1.0 + rng.normal(0, 1, (n, k))
+    x[:, 7] = 42.0
+    cols = [f"c{i}" for i in range(k)]
+    df = spark.createDataFrame([tuple(float(v) for v in r) for r in x], ", ".join(f"{c} double" for c in cols)).repartition(4)
+    got = stats.corr_matrix(df, digits=None)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "covar_samp" not in plan
+    m = np.full((k, k), np.nan)
+    for r in got.collect():
+        m[int(r["feature_a"][1:]), int(r["feature_b"][1:])] = np.nan if r["r"] is None else r["r"]
+    with np.errstate(invalid="ignore"):
+        want = np.corrcoef(x.T)
+    want[7, :] = want[:, 7] = np.nan
+    assert np.allclose(m, want, atol=1e-6, equal_nan=True)
+
+
+def test_wide_correlation_equals_the_expressions_with_nulls(spark):
+    rows = [(None if i % 5 == 0 else float(i), None if i % 7 == 0 else i * i % 11, 3.0, float(-i) if i % 3 else None, None) for i in range(60)]
+    df = spark.createDataFrame(rows, "a double, b bigint, c double, d double, e double")
+    pairs = []
+    for wide in (False, True):
+        pairs.append({(r["feature_a"], r["feature_b"]): r["r"] for r in stats.corr_matrix(df, wide=wide).collect()})
+    assert pairs[0] == pairs[1]
+
+
+def test_totals_of_more_batches_than_spark_keeps(spark, tmp_path):
+    """Twelve micro-batches with three reports kept."""
+    os.makedirs(tmp_path / "in")
+    for i in range(12):
+        with open(tmp_path / "in" / f"{i}.csv", "w") as f:
+            f.write("k,v\n" + "".join(f"{i},{j}\n" for j in range(i + 1)))
+    stream = (spark.readStream.schema("k int, v int").option("header", "true").option("maxFilesPerTrigger", "1").csv(str(tmp_path / "in"))
+              .observe("seen", F.count(F.lit(1)).alias("rows"), F.sum("v").alias("total")))
+    got = run_available_now(stream, str(tmp_path / "out"), str(tmp_path / "ck"), kept_reports=3)
+    assert (got.rows, got.batches) == (78, 12) and read_loaded(spark, str(tmp_path / "out")).count() == 78
+    assert got.observed["seen"] == {"rows": 78, "total": sum(j for i in range(12) for j in range(i + 1))}
+    assert run_available_now(stream, str(tmp_path / "out"), str(tmp_path / "ck")).rows == 0
+
+
+def test_a_missed_report_is_not_a_smaller_number():
+    t = RunTotals()
+    t.add([{"batchId": 0, "numInputRows": 5, "observedMetrics": {}}])
+    with pytest.raises(RuntimeError, match="unknown"):
+        t.add([{"batchId": 2, "numInputRows": 5, "observedMetrics": {}}])
+
+
+def test_exact_sum_refuses_to_round(spark):
+    df = spark.createDataFrame([(0.1,), (0.25,), (None,), (12345678901.55,)], "x double")
+    assert df.agg(exact_sum("x")).first()[0] == pytest.approx(12345678901.9)
+    bad = spark.createDataFrame([(0.125,)], "x double")
+    with pytest.raises(Exception, match="more than 2 decimals"):
+        bad.agg(exact_sum("x")).collect()
+    assert math.isclose(bad.agg(exact_sum("x", 3)).first()[0], 0.125)

@@ -90,5 +90,5 @@ def test_entity_spans_on_a_stream_of_notes(spark, scratch):
     stream = spark.readStream.schema("doc_id bigint, text string").parquet(f"{root}/in")
     lex = spark.createDataFrame([("warfarin", "DRUG")], "term string, entity string")
     progress = run_available_now(notes.entity_spans(stream, lex), f"{root}/out", f"{root}/ck")
-    assert sum(p["numInputRows"] for p in progress) == 2
+    assert progress.rows == 2
     assert [tuple(r) for r in spark.read.parquet(f"{root}/out").collect()] == [(1, "warfarin", "DRUG", 0, 1)]

@@ -160,3 +160,95 @@ def test_publish_keeps_old_version_when_job_fails(spark, scratch):
         tbl.publish(bad, f"{db}.s", f"{root}/s")
     assert sorted(r.Count for r in spark.table(f"{db}.s").collect()) == [1, 2]
     assert spark.table(f"{db}.s").where(F.col("Count") == 0).count() == 0
+
+
+def test_two_interleaved_appends_lose_nothing(spark, scratch, monkeypatch):
+    """A second writer starts and ends while the first one writes its rows."""
+    root, db = _versioned(spark, scratch, [("a", "A", "1")])
+    name, look = f"{db}.raw", tbl._segments
+    calls = []
+
+    def slow(spark, name):
+        calls.append(1)
+        if len(calls) == 2:  # the first writer's rows are written; it looks at the list again
+            monkeypatch.setattr(tbl, "_segments", look)
+            tbl.append_versioned(spark.createDataFrame([("second", "S", "2")], CORD), name)
+        return look(spark, name)
+
+    monkeypatch.setattr(tbl, "_segments", slow)
+    tbl.append_versioned(spark.createDataFrame([("first", "F", "3")], CORD), name)
+    assert sorted(r.cord_uid for r in spark.table(name).collect()) == ["a", "first", "second"]
+    assert len({b for _, names in tbl.versions(spark, name) for b in names}) == 3
+
+
+def test_a_merge_is_refused_when_the_table_has_changed(spark, scratch):
+    root, db = _versioned(spark, scratch, [("a", "A", "1")])
+    name = f"{db}.raw"
+    seen = tbl.versions(spark, name)
+    new = tbl.new_rows(spark.table(name), spark.createDataFrame([("b", "B", "1")], CORD), ["cord_uid"])
+    tbl.append_versioned(spark.createDataFrame([("b", "other", "1")], CORD), name)
+    with pytest.raises(tbl.ConcurrentWrite):
+        tbl.append_versioned(new, name, seen)
+    assert sorted((r.cord_uid, r.title) for r in spark.table(name).collect()) == [("a", "A"), ("b", "other")]
+    assert tbl.merge_insert_only(spark, name, spark.createDataFrame([("b", "B", "1"), ("c", "C", "1")], CORD), "cord_uid") == 1
+
+
+def test_a_folder_of_a_write_that_died_is_not_seen(spark, scratch):
+    root, db = _versioned(spark, scratch, [("a", "A", "1")])
+    spark.createDataFrame([("lost", "L", "1")], CORD).write.parquet(f"{root}/raw/batch=b1-deadbeef")
+    tbl.append_versioned(spark.createDataFrame([("b", "B", "1")], CORD), f"{db}.raw")
+    assert sorted(r.cord_uid for r in spark.table(f"{db}.raw").collect()) == ["a", "b"]
+
+
+def _exchanged_rows(plan):
+    """Rows that went through the shuffles of a plan that has run."""
+    total, todo = 0, [plan]
+    while todo:
+        p = todo.pop()
+        name = p.nodeName()
+        if name == "Exchange" and p.metrics().contains("shuffleRecordsWritten"):
+            total += p.metrics().apply("shuffleRecordsWritten").value()
+        if name.startswith("AdaptiveSparkPlan"):
+            todo.append(p.executedPlan())
+        elif name.endswith("QueryStage"):
+            todo.append(p.plan())
+        kids = p.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+    return total
+
+
+def test_a_prefiltered_merge_does_not_shuffle_what_is_surely_new(spark):
+    target = spark.range(0, 20_000, 7).selectExpr("id AS k", "concat('s', id) AS s").repartition(3)
+    source = (spark.range(0, 60_000).selectExpr("id AS k", "concat('s', id) AS s", "id AS v")
+              .unionAll(spark.createDataFrame([(None, "s1", -1), (3, None, -2), (7, "s7", -3), (8, "s8", -4)], "k bigint, s string, v bigint")).repartition(5))
+    got = {}
+    for prefilter in (False, True):
+        for on in (["k"], ["k", "s"]):
+            df = tbl.new_rows(target, source, on, prefilter)
+            got[prefilter, len(on)] = sorted(map(tuple, df.collect()), key=str)
+    assert got[True, 1] == got[False, 1] and got[True, 2] == got[False, 2] and len(got[True, 1]) > 57_000
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        moved = {}
+        for prefilter in (False, True):
+            df = tbl.new_rows(target, source, ["k"], prefilter)
+            plan = df._jdf.queryExecution().executedPlan()
+            df._jdf.queryExecution().toRdd().count()
+            moved[prefilter] = _exchanged_rows(plan)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert moved[False] > 60_000
+    assert moved[True] - 2 * 60_004 - 2 * 2858 < 0.3 * moved[False]  # beside the tests' own repartitions
+
+
+def test_bloom_filter_holds_every_key(spark):
+    keys = spark.range(5000).selectExpr("id * 13 AS k")
+    bloom = tbl.bloom_filter(keys, ["k"], 5000)
+    blocks = -(-5000 * tbl.BLOOM_BITS // tbl._BLOCK_BITS)
+    assert bloom.count() <= blocks
+    probe = spark.range(65_000).withColumnRenamed("id", "k").withColumn("__block", tbl._bloom_bits(["k"], blocks)[0])
+    seen = probe.join(F.broadcast(bloom), "__block", "left").where(tbl._may_be_known(["k"], blocks)).select("k")
+    assert seen.where("k % 13 = 0").count() == 5000
+    assert seen.where("k % 13 <> 0").count() < 0.02 * 60_000
