@@ -312,7 +312,8 @@ class WordMemo:
 
     def _slots(self, words: pa.BinaryArray) -> np.ndarray:
         """The slot of each of these distinct words; new ones are encoded."""
-        if self.nbytes() > self.limit:
+        full = self.table.n + len(words) > len(self.table.rows)  # the arrays may have to double
+        if self.nbytes() * (2 if full else 1) > self.limit:
             self._clear()
         rows, size = blocks_of(words)
         slots = self.table.find(words, rows, size)

@@ -89,7 +89,7 @@ ALIKE = ["oxumvuumwxwejpsmwbawdmmr", "zytwnbldtttfgnjekyqckatk"]
 
 def test_words_are_told_apart_by_their_bytes(spark, library, memos, scratch):
     for memo in (memos[0][0], memos[2]):
-        for texts in (ALIKE, ALIKE[::-1], [" ".join(ALIKE)]):
+        for texts in (ALIKE, ALIKE[::-1], [" ".join(ALIKE)], ["a\ue000b new\ue000 \ue000", "\ue000", "plain words"]):
             assert [x.tolist() for x in values_of(memo, texts)] == [ids_of(library, t) for t in texts]
     docs = spark.createDataFrame(list(enumerate(ALIKE)), "doc_id bigint, text string").coalesce(1)
     want = {k: ids_of(library, t) for k, t in enumerate(ALIKE)}
@@ -189,3 +189,36 @@ def test_token_files_round_trip(spark, docs, library, scratch):
 def test_token_files_of_an_empty_table(spark, docs, scratch):
     folder = token_output.write_token_ids(docs.limit(0), scratch("ids"))
     assert token_output.digests(spark, folder).count() == 0
+
+
+@pytest.mark.parametrize("key", ["part", "ids", "n_tokens", "local_start", "start"])
+def test_token_files_with_a_key_that_clashes(spark, library, scratch, key):
+    docs = spark.createDataFrame([(5, "five words"), (2, "two"), (2, "two")], f"`{key}` bigint, text string")
+    got = [tuple(r) for r in token_output.digests(spark, token_output.write_token_ids(docs, scratch("clash"), key=key), key=key).collect()]
+    n = {k: len(ids_of(library, t)) + 1 for k, t in ((5, "five words"), (2, "two"))}
+    assert sorted(r[:3] for r in got) == [(2, 0, n[2]), (2, n[2], n[2]), (5, 2 * n[2], n[5])]
+
+
+def test_token_files_hold_bloom_filters_and_row_indexes(spark, scratch):
+    """The ORC footer's stream kinds: row indexes (6) of every column, Bloom filters (8: UTF-8) of the key."""
+    import glob
+
+    from pyarrow import orc
+    docs = spark.range(0, 60_000).selectExpr("id AS doc_id", "concat('some text ', id) AS text").coalesce(1)
+    folder = token_output.write_token_ids(docs, scratch("bloom"))
+    files = [f for f in glob.glob(f"{folder.removeprefix('file:')}/*.orc") if orc.ORCFile(f).nrows > 20_000]
+    assert files or sum(orc.ORCFile(f).nrows for f in glob.glob(f"{folder}/*.orc")) == 60_000
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    reader_of = jvm.org.apache.orc.OrcFile
+    for f in glob.glob(f"{folder}/*.orc"):
+        r = reader_of.createReader(jvm.org.apache.hadoop.fs.Path(f), reader_of.readerOptions(conf))
+        assert r.getRowIndexStride() == 10_000
+        rows = r.rows()
+        try:
+            kinds = [[s.getKind().toString() for s in rows.readStripeFooter(x).getStreamsList()] for x in r.getStripes()]
+        finally:
+            rows.close()
+        assert kinds and all("ROW_INDEX" in k and "BLOOM_FILTER_UTF8" in k for k in kinds)
+    one = token_output.read_token_ids(spark, folder).where("doc_id = 41234").collect()
+    assert len(one) == 1
