@@ -18,6 +18,7 @@ broadcast in slices of ``SLICE_BYTES``; the texts stay where they are.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections.abc import Iterator
@@ -26,7 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.llm.vocab import held
@@ -234,23 +235,35 @@ def best_of_place(found: list[tuple]) -> list[tuple]:
     return [r for r in found if not any(rank(q) > rank(r) and q[3] < r[3] + r[4] and r[3] < q[3] + q[4] for q in found)]
 
 
+def _best_rows(found: DataFrame) -> DataFrame:
+    """``best_of_place`` over rows of several slices of templates: a text's rows (one per template it
+    matches) meet by the text's number."""
+    names = [c for c in found.columns if c != "row"]
+
+    def better(q: Column, r: Column) -> Column:
+        share = q["n_found"] / q["n_shingles"], r["n_found"] / r["n_shingles"]
+        higher = (share[0] > share[1]) | ((share[0] == share[1]) & (q["n_shingles"] > r["n_shingles"]))
+        return (higher & (q["first_word"] < r["first_word"] + r["n_words"]) & (r["first_word"] < q["first_word"] + q["n_words"]))
+
+    all_ = found.groupBy("row").agg(F.collect_list(F.struct(*names)).alias("all"))
+    kept = F.filter("all", lambda r: ~F.exists("all", lambda q: better(q, r)))
+    return all_.select("row", F.explode(kept).alias("x")).select("row", "x.*")
+
+
 def notices(spark: SparkSession) -> DataFrame:
     """The built-in templates ``(template_id, text)``."""
     return spark.createDataFrame([(n, " ".join(t.split())) for n, t in NOTICES], "template_id string, text string")
 
 
-def _compiled(data) -> Templates:
-    rows = data.value
-    return held(("licenses", id(rows)), lambda: Templates(rows))
-
-
-def scan(docs: DataFrame, templates: DataFrame | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
+def scan(docs: DataFrame, templates: DataFrame | None = None, key: str = "doc_id", text: str = "text",
+         best: bool = False) -> DataFrame:
     """``(<key>, template_id, containment, n_found, n_shingles, first_word, n_words, n_windows)``:
-    one row per text and template found in it, from the template's best window.
+    one row per text and template found in it, from the template's best window. With ``best`` only
+    the best row of each place stays (``best_of_place``): neighbours of a licence share most of its words.
 
     A null or empty text has no rows, nor has a template without words; a template of
-    fewer than five words is one shingle. Repeated rows give repeated rows; null keys
-    are kept; other columns are not read.
+    fewer than five words is one shingle. Texts of any length are read whole. Repeated rows give repeated
+    rows, an empty table none; null keys are kept; other columns are not read.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -263,22 +276,28 @@ def scan(docs: DataFrame, templates: DataFrame | None = None, key: str = "doc_id
 
     def one(part: list[tuple[str, str]]) -> DataFrame:
         data = spark.sparkContext.broadcast(part)
+        own = hashlib.sha256(repr(part).encode()).hexdigest()  # a worker keeps the compiled templates by their content
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            t = _compiled(data)
+            t = held(("licenses", own), lambda: Templates(data.value))
             for batch in batches:
-                found = [(i, *m) for i in range(batch.num_rows) for m in t.scan(batch.column(1)[i].as_py())]
+                found = [(i, *m) for i in range(batch.num_rows)
+                         for m in (best_of_place if best and slices == 1 else list)(t.scan(batch.column(2)[i].as_py()))]
                 cols = list(zip(*found)) if found else [()] * 7
+                at = pa.array(cols[0], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(cols[0], pa.int64())), pa.array(cols[1], pa.string()),
+                    [batch.column(0).take(at), batch.column(1).take(at), pa.array(cols[1], pa.string()),
                      *[pa.array(c, pa.int64()) for c in cols[2:]]],
-                    names=["id", "template_id", "n_found", "n_shingles", "first_word", "n_words", "n_windows"])
+                    names=["row", "id", "template_id", "n_found", "n_shingles", "first_word", "n_words", "n_windows"])
 
-        return docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("t")).mapInArrow(run, schema)
+        return texts.mapInArrow(run, f"row bigint, {schema}")
 
+    texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("id"), F.col(text).cast("string").alias("t"))
     out = None
     for i in range(slices):
         mine = sorted((r["id"], r["t"]) for r in rows.where(F.pmod(F.xxhash64("id", "t"), F.lit(slices)) == i).collect() if r["id"] is not None)
         out = one(mine) if out is None else out.unionAll(one(mine))
+    if best and slices > 1:
+        out = _best_rows(out)
     return out.select(F.col("id").alias(key), "template_id", (F.col("n_found") / F.col("n_shingles")).alias("containment"),
                       "n_found", "n_shingles", "first_word", "n_words", "n_windows")

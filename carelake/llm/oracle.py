@@ -11,7 +11,7 @@ def _quoted(text: str) -> str:
     return "'" + " ".join(text.split()).replace("'", "''") + "'"
 
 
-#: Exact containment of every template in every window of its grid.
+#: Exact containment of every template in every window of its grid; the best template of each place.
 LICENSES = f"""
 WITH notices(template_id, text) AS (VALUES {', '.join(f"({_quoted(n)}, {_quoted(t)})" for n, t in NOTICES)}),
 texts AS (SELECT doc_id AS id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM documents WHERE text IS NOT NULL),
@@ -32,10 +32,15 @@ windows AS (
   FROM (SELECT *, pos // stride - unnest(range(0, k)) AS win FROM hits) WHERE win >= 0 GROUP BY ALL),
 good AS (SELECT * FROM windows WHERE found >= {CONTAINMENT} * m - 1e-9),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY id, template_id ORDER BY found DESC, win) AS r,
-                  count(*) OVER (PARTITION BY id, template_id) AS n_windows FROM good)
-SELECT id AS doc_id, template_id, CAST(found AS DOUBLE) / m AS containment, found AS n_found, m AS n_shingles, first AS first_word,
-       least(last - first + {WIDTH}, n) AS n_words, n_windows
-FROM ranked WHERE r = 1
+                  count(*) OVER (PARTITION BY id, template_id) AS n_windows FROM good),
+rows_ AS (
+  SELECT id AS doc_id, template_id, CAST(found AS DOUBLE) / m AS containment, found AS n_found, m AS n_shingles, first AS first_word,
+         least(last - first + {WIDTH}, n) AS n_words, n_windows
+  FROM ranked WHERE r = 1)
+SELECT * FROM rows_ r WHERE NOT EXISTS (
+  SELECT 1 FROM rows_ q WHERE q.doc_id = r.doc_id
+    AND (q.containment > r.containment OR (q.containment = r.containment AND q.n_shingles > r.n_shingles))
+    AND q.first_word < r.first_word + r.n_words AND r.first_word < q.first_word + q.n_words)
 """
 
 #: Hashed unigrams of both tables, gains per bucket, scores and places; crc32 byte by byte over distinct words.

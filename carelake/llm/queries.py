@@ -15,7 +15,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.scan(table(spark, sf_dir, "documents"))
+    return license_scan.scan(table(spark, sf_dir, "documents"), best=True)
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

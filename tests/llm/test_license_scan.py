@@ -87,3 +87,32 @@ def test_neighbouring_licences_are_told_apart():
         found = t.scan("some words before " + text + " and some after")
         assert name in [r[0] for r in found], name
         assert [r[0] for r in L.best_of_place(found)] == [name], (name, found)
+
+
+def test_best_rows_in_the_query_and_over_slices(spark, monkeypatch):
+    three, two = GNU.format("program", ":", "", ",", "3"), GNU.format("program", ";", "", ";", "2")
+    docs = spark.createDataFrame([(1, three), (2, two), (3, three + " and then " + two), (1, three), (None, "see " + two), (4, ""), (5, None)],
+                                 "doc_id bigint, text string")
+    want = sorted([(1, "GPL-3.0 header")] * 2 + [(2, "GPL-2.0 header"), (3, "GPL-2.0 header"), (3, "GPL-3.0 header")], key=str) \
+        + [(None, "GPL-2.0 header")]
+    one = L.scan(docs, best=True).select("doc_id", "template_id").collect()
+    monkeypatch.setattr(L, "SLICE_BYTES", 700)
+    many = L.scan(docs, best=True).select("doc_id", "template_id").collect()
+    assert sorted(map(tuple, one), key=str) == sorted(map(tuple, many), key=str) == sorted(want, key=str)
+
+
+def test_templates_of_an_earlier_call_never_answer(spark):
+    docs = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta"), (2, "one two three four five six")], "doc_id bigint, text string")
+    tables = [spark.createDataFrame([("a", "alpha beta gamma delta epsilon zeta")], "template_id string, text string"),
+              spark.createDataFrame([("b", "one two three four five six")], "template_id string, text string")]
+    for k in range(12):
+        assert [r["doc_id"] for r in L.scan(docs, tables[k % 2]).collect()] == [1 + k % 2]
+
+
+def test_long_texts_and_repeated_rows(spark):
+    notice = dict(L.NOTICES)["MIT"] if "MIT" in dict(L.NOTICES) else L.NOTICES[0][1]
+    name = next(n for n, t in L.NOTICES if t == notice)
+    text = "word " * 150_000 + notice + " word" * 150_000
+    docs = spark.createDataFrame([(1, text), (1, text)], "doc_id bigint, text string")
+    got = L.scan(docs, best=True).collect()
+    assert [(r["doc_id"], r["template_id"]) for r in got] == [(1, name)] * 2 and all(149_990 < r["first_word"] < 150_010 for r in got)
