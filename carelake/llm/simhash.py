@@ -265,19 +265,21 @@ def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 2, key: str
 
 def keep_one(docs: DataFrame, width: int = 3, distance: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each near-duplicate component: the one with the
-    smallest key (of rows that share that key, one). A component whose rows all
-    have a null key keeps one row of its smallest fingerprint."""
-    fps = _stored(docs, width, key, text)
-    node = _nodes(fps, distance, NODE_ROWS).checkpoint()
-    first = fps.join(node, "fp").where(F.col("id") == F.col("component_id")).select(F.col("id").alias(key))
-    kept = docs.join(first.distinct(), key, "left_semi").select(*docs.columns)
-    if first.groupBy(key).count().where("count > 1").limit(1).count():
-        kept = kept.dropDuplicates([key])
-    keyless = node.where(F.col("component_id").isNull() & (F.col("fp") == F.col("root"))).select("fp")
-    if keyless.limit(1).count():
-        name = "__fp" + "_" * max(map(len, docs.columns))  # no column of docs is called that
-        of = F.pandas_udf(lambda t: t.map(lambda x: _signed(fingerprint(x, width))), "bigint")
-        rest = docs.where(F.col(key).isNull()).withColumn(name, of(F.coalesce(F.col(text).cast("string"), F.lit(""))))
-        rest = rest.join(keyless.withColumnRenamed("fp", name), name, "left_semi").dropDuplicates([name])
-        kept = kept.unionByName(rest.drop(name))
-    return kept
+    smallest key; of several texts under that key the one whose sha256 is smallest, of equal rows
+    any one. A component whose rows all have a null key keeps one of them by the same rule. Rows of
+    different components never stand in for each other, whatever their keys.
+    """
+    name = "__" + "_" * max(map(len, docs.columns))  # no column of docs starts like that
+    digest = F.unhex(F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary"), 256))
+    marked = docs.select(F.struct(F.col(key).alias("k"), digest.alias("t")).alias("id"), F.col(text).alias("text"))
+    fps = _stored(marked, width, "id", "text").select(F.col("id.k").alias("id"), F.col("id.t").alias("t"), "fp")
+    node = _nodes(fps.select("id", "fp"), distance, NODE_ROWS)
+    # One (key, text) per component, by its root; equal rows are counted along.
+    of_key = fps.groupBy("fp", "id", "t").agg(F.count(F.lit(1)).alias("n")).join(node, "fp").where(F.col("id").eqNullSafe(F.col("component_id")))
+    first = of_key.groupBy("root").agg(F.min(F.struct("t", "id", "n")).alias("x")).select("x.*").checkpoint()
+    first = first.select(F.col("id").alias(name + "id"), F.col("t").alias(name + "t"), F.col("n").alias(name + "n"))
+    rows = docs.withColumn(name + "d", digest)
+    kept = rows.join(first.drop(name + "n"), F.col(f"`{key}`").eqNullSafe(F.col(name + "id")) & (F.col(name + "d") == F.col(name + "t")), "left_semi")
+    if first.where(F.col(name + "n") > 1).limit(1).count():
+        kept = kept.dropDuplicates([key, name + "d"])
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -150,7 +150,45 @@ def test_few_or_no_records(spark, docs):
 
 
 def test_shards_are_written_in_order(spark, docs, scratch):
-    folder = sharding.write_shards(docs.where("doc_id <> 7"), scratch("shards"), shards=4)
-    stored = spark.read.parquet(folder)
-    assert stored.count() == docs.where("doc_id <> 7").count()
-    assert {r[0] for r in stored.select("shard").distinct().collect()} == {0, 1, 2, 3}
+    more = docs.selectExpr("*", "doc_id % 3 AS shard", "'mine' AS slot", "1 AS _slot")
+    stored = spark.read.parquet(sharding.write_shards(more, scratch("shards"), shards=4))
+    assert stored.count() == docs.count()  # the repeated row too
+    assert set(stored.columns) == {*docs.columns, "_shard", "__slot", "_slot", "slot", "shard"}
+    assert stored.where("__slot <> 'mine' OR _shard <> doc_id % 3").count() == 0
+    got = stored.select("shard", "slot", "doc_id").toPandas()
+    assert set(got["shard"]) == {0, 1, 2, 3} and (got.doc_id == 7).sum() == 2
+    assert all(sorted(g.slot) == list(range(len(g))) for _, g in got.groupby("shard"))
+    want = sharding.shard(docs, shards=4).select("shard", "slot", "doc_id").toPandas()
+    key = ["shard", "slot"]
+    a, b = (x.sort_values(key)[[*key, "doc_id"]].fillna(-1).to_numpy().tolist() for x in (got, want))
+    assert a == b
+
+
+def test_equal_rows_are_spread_over_cells(spark, monkeypatch):
+    """Half of the rows are equal in id and text: no hash of these tells them apart."""
+    monkeypatch.setattr(sharding, "ROWS_PER_CELL", 100)
+    d = spark.range(4000).selectExpr("IF(id % 2 = 0, NULL, id) AS doc_id", "IF(id % 2 = 0, 'the same', concat('text ', id)) AS text").repartition(4)
+    seen = []
+    window = sharding.Window.partitionBy
+    monkeypatch.setattr(sharding.Window, "partitionBy", staticmethod(lambda *c: (seen.append(c), window(*c))[1]))
+    got = sharding.shard(d, shards=8)
+    assert ("range", "part", "sub") in seen
+    rows = got.toPandas()
+    by = rows.groupby("shard")["size"].sum()
+    assert len(rows) == 4000 and by.max() - by.min() <= 2 * rows["size"].max()
+    assert all(sorted(g.slot) == list(range(len(g))) for _, g in rows.groupby("shard"))
+
+
+def test_ranges_are_bounded_and_the_rest_is_subdivided(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "MAX_RANGES", 3)
+    monkeypatch.setattr(sharding, "ROWS_PER_CELL", 50)
+    d = spark.range(3000).selectExpr("id AS doc_id", "concat('t', id % 700) AS text")
+    rows = sharding.shard(d, shards=6).toPandas()
+    by = rows.groupby("shard")["size"].sum()
+    assert len(rows) == 3000 and by.max() - by.min() <= 2 * rows["size"].max()
+
+
+def test_a_very_long_text_is_one_record(spark):
+    d = spark.createDataFrame([(1, "x" * 3_000_000), *[(i, "y" * 1000) for i in range(2, 900)]], "doc_id bigint, text string")
+    rows = sharding.shard(d, shards=3).toPandas()
+    assert rows["size"].max() == 3_000_016 and len(rows) == 899 and rows.groupby("shard")["size"].sum().max() < 3_700_000

@@ -64,3 +64,18 @@ def test_a_large_group_of_copies_sends_few_rows(spark):
     docs = spark.range(3000).selectExpr("id AS doc_id", "IF(id % 3 = 0, 'one text of many copies', concat('text ', id, ' a b')) AS text")
     got = simhash.near_duplicates(docs).where("doc_id % 3 = 0").select("component_id").distinct().collect()
     assert [r[0] for r in got] == [0]
+
+
+def test_one_row_stays_of_each_component_whatever_the_keys(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(1, a, 1), (1, b, 2),                # one key, two texts that are no copies: both stay
+            (2, b, 3), (3, a, 4),                # copies of them go
+            (5, c, 5), (5, c, 6), (6, c, 7),     # equal rows: one stays
+            (None, b, 8), (None, "null key only", 9), (None, "null key only", 10)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, __d int")
+    kept = simhash.keep_one(docs).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept) == sorted([("1", a), ("1", b), ("5", c), ("None", "null key only")])
+    # the smallest key of one component is merely a member of another
+    rows = [(1, a, 0), (2, a, 0), (2, b, 0), (3, b, 0)]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string, fp int")).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == [(1, a), (2, b)]
