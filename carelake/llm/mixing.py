@@ -1,245 +1,240 @@
 """Mixing sources to target weights by Pareto order sampling.
 
 Targets: the sources share a budget of words by weight; a target stops at
-``max_copies`` times its source's size and the excess is shared again by weight.
-A document's expected copies e follow from its source's target (and its own
-importance, if a column gives one). The whole part of e is certain. What is left
-is drawn as a sample of fixed size (in words): documents are ranked by their random odds
-u / (1 - u) divided by the odds of their inclusion probability, and taken in this
-order until the source's remaining words are used up. A document larger than what is left
-is passed over and the draw goes on behind it, as long as any document left out still fits;
-then one more is taken if it brings the words nearer to the target.
-
-The order is never made by sorting a source: its ranks are cut into buckets, the
-buckets' words are summed (map-side first, so a source with a third of all rows
-is no larger than another), and the bucket that holds the line is cut again; only
-the few rows of the last bucket are ordered. Behind a document that does not fit, the next
-line is looked for in the same way. Ranks come from a hash of key, source and text: no
-state, the same on every run. One row per source goes to the driver
-(``MAX_SOURCES`` bounds them) and comes back as a broadcast of that size.
+``max_copies`` times its source's size and the excess is shared again by weight. In closed form:
+with the sources sorted by cap / weight, a prefix is capped and the others share what it leaves; running
+sums over that order find the prefix.
+
+A document's expected copies e are proportional to its importance (a number per document, rounded
+down to a quarter power of two, its level), capped at ``max_copies``; the factor follows from the
+source's target by the same running sums over the levels. The whole part of e is certain. What is left
+is drawn as a sample of fixed size (in words) with unequal probabilities p: documents are ranked by
+their random odds u / (1 - u) divided by the odds of p, and taken in this order until the source's
+remaining words are used up. A document larger than what is left is passed over.
+
+The order is never made by sorting a source. Ranks are cut into cells of about ``ROWS_PER_CELL``
+documents; the cells' words are summed (map-side first, so a source with a third of all rows is no
+larger than another), all cells before the one in which the words run out are taken whole, and only
+that one cell of each source is ordered and gone through document by document. One more document
+closes the gap, if it brings the words nearer to the target. A fixed number of jobs, whatever the data.
+
+Per source there is one row per level in the plan, and it stays a table: joined to the documents as a
+broadcast if its size is proven small, else by a shuffle join with skewed keys split.
+Ranks come from a hash of key, source and text and from exact sums: no state, the same on every run.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from carelake.session import checkpoint_root
+from carelake.operators.joins import join_small
+from carelake.operators.places import with_place, with_running_sum
+from carelake.session import checkpoint_root, ship_package
 
-MAX_SOURCES = 200_000
-ROUNDS = 30  # of sharing again what capped documents leave (importance only)
+ROWS_PER_CELL = 50_000
+RANK_BITS = 48  # ranks as integers
+LEVELS = 256  # of importance, at most: a quarter power of two each
 WORD = r"[^\x20\x09-\x0D]+"
+KEEP = "decimal(38,6)"  # weights as exact numbers
 
 
 def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text.cast("string"), F.lit(WORD)).cast("bigint"), F.lit(0).cast("bigint"))
 
 
-def targets(sizes: Sequence[float], weights: Sequence[float], budget: float, caps: Sequence[float]) -> list[float]:
-    """Shares of ``budget`` by weight, none above its cap; what a cap cuts off is
-    shared again among the rest by weight, until none is above or all are capped."""
-    out, active, left = [0.0] * len(sizes), list(range(len(sizes))), float(budget)
-    while active:
-        total = sum(weights[i] for i in active)
-        for i in active:
-            out[i] = left * weights[i] / total if total else 0.0
-        over = [i for i in active if out[i] > caps[i]]
-        if not over:
-            break
-        for i in over:
-            out[i] = float(caps[i])
-            left -= out[i]
-        active = [i for i in active if i not in set(over)]
-    return out
+def length_class(text: str = "text") -> Column:
+    """An importance: the square root of a text's words, so that longer documents have better odds."""
+    return F.sqrt(n_words(F.col(text)))
 
 
-RANK_BITS = 48  # ranks as integers: cut into buckets by their leading bits
-END = 2 << RANK_BITS  # after all ranks
-LINES = "array<struct<rank: bigint, tie: bigint, room: double>>"
+def targets(sources: DataFrame, weights: Sequence[float], share: float, max_copies: int) -> DataFrame:
+    """``sources(s, size)`` with ``target``: the words of each source's share.
 
-
-def _taken(size: Column | str, rank: Column | str, tie: Column | str, lines: str) -> Column:
-    """Whether one of the lines takes a document."""
-    size, rank, tie = (F.col(c) if isinstance(c, str) else c for c in (size, rank, tie))
-    return F.exists(lines, lambda x: (size <= x["room"]) & ((rank < x["rank"]) | ((rank == x["rank"]) & (tie <= x["tie"]))))
+    Sources in the order of their names (code points, null last) weigh ``weights``, repeating.
+    """
+    w = F.element_at(F.array(*[F.lit(x).cast(KEEP) for x in weights]), (F.pmod(F.col("place") - 1, F.lit(len(weights))) + 1).cast("int"))
+    placed = with_place(sources, [F.col("s").asc_nulls_last()]).withColumn("w", w)
+    placed = placed.withColumns({"cap": F.col("size") * max_copies, "ratio": F.col("size") * max_copies / F.col("w").cast("double")})
+    placed = with_running_sum(placed, ["ratio", "place"], {"caps": "cap", "ws": "w"})
+    total = placed.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("size"), F.coalesce(F.sum("w"), F.lit(0).cast(KEEP)).alias("w")).first()
+    budget, all_w = share * float(total["size"]), float(total["w"])
+    # What is left for a source and those after it, if all before are capped.
+    left = F.lit(budget) - (F.col("caps") - F.col("cap")).cast("double")
+    rest = F.lit(all_w) - (F.col("ws") - F.col("w")).cast("double")
+    capped = left * F.col("w").cast("double") / F.greatest(rest, F.lit(1e-300)) > F.col("cap")
+    placed = placed.withColumn("capped", capped)
+    done = placed.where("capped").agg(F.coalesce(F.sum("cap"), F.lit(0)).cast("double").alias("cap"),
+                                      F.coalesce(F.sum("w"), F.lit(0).cast(KEEP)).cast("double").alias("w")).first()
+    free = all_w - done["w"]
+    per_weight = (budget - done["cap"]) / free if free > 0 else 0.0
+    return placed.select("s", "size", F.when(F.col("capped"), F.col("cap").cast("double"))
+                         .otherwise(F.col("w").cast("double") * per_weight).alias("target"))
 
 
 class Mix:
-    """The plan of a mix: per source its target and the lines of its draw. ``apply``
-    gives every document its number of copies, without a shuffle."""
+    """The plan of a mix. ``apply`` gives every document its number of copies.
+
+    ``importance``: a column or expression of the documents (null or below zero: 0); the default
+    gives all documents of a source the same odds.
+    """
 
     def __init__(self, docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, max_copies: int = 2,
-                 key: str = "doc_id", text: str = "text", source: str = "source", importance: str | None = None, seed: int = 7):
+                 key: str = "doc_id", text: str = "text", source: str = "source", importance: Column | str | None = None, seed: int = 7):
         self.key, self.text, self.source, self.importance, self.seed = key, text, source, importance, seed
         self.max_copies = max_copies
         checkpoint_root(docs.sparkSession)
+        ship_package(docs.sparkSession)
         #: What the plan is made from; also the documents' keys and sizes for a report.
-        self.rows = docs.select(F.col(key).alias("key"), F.col(source).cast("string").alias("s"),
-                                *[c.alias(n) for n, c in self._expressions().items()]).checkpoint()
-        per = {r["s"]: r for r in self.rows.groupBy("s").agg(F.sum("size").alias("size"), F.sum(F.col("size") * F.col("w")).alias("mass"))
-               .limit(MAX_SOURCES + 1).collect()}
-        if len(per) > MAX_SOURCES:
-            raise ValueError(f"more than {MAX_SOURCES} sources")
-        names = sorted(per, key=lambda s: (s is None, s or ""))  # by code point, null last
-        size = [per[s]["size"] for s in names]
-        goal = targets(size, [weights[i % len(weights)] for i in range(len(names))], share * sum(size), [max_copies * x for x in size])
-        self.plan = {s: {"size": z, "target": x, "factor": x / per[s]["mass"] if per[s]["mass"] else 0.0}
-                     for s, z, x in zip(names, size, goal)}
-        if importance:
-            self._factors()
-        self._lines()
+        self.rows = docs.select(F.col(key).alias("key"), *[c.alias(n) for n, c in self._expressions().items()]).checkpoint()
+        levels = self.rows.groupBy("s", "sk", "level").agg(F.sum("size").alias("m"), F.count(F.lit(1)).alias("n")).checkpoint()
+        per = targets(levels.groupBy("s").agg(F.sum("m").alias("size")), weights, share, max_copies)
+        self.plan = self._factors(levels, per).checkpoint()
+        self._draw()
 
     def _expressions(self) -> dict[str, Column]:
-        """Row-local: size, weight within the source, a uniform number and a tie-breaker."""
+        """Row-local: source and its key in joins, size, level, a uniform number and a tie-breaker."""
         of = [F.col(self.key), F.col(self.source), F.col(self.text)]
         h = F.xxhash64(F.lit(self.seed), *of)
-        w = F.greatest(F.coalesce(F.col(self.importance).cast("double"), F.lit(0.0)), F.lit(0.0)) if self.importance else F.lit(1.0)
-        return {"size": n_words(F.col(self.text)), "w": w, "u": (F.shiftrightunsigned(h, 11) + F.lit(0.5)) / F.lit(float(1 << 53)),
-                "tie": F.xxhash64(F.lit(self.seed + 1), *of)}
-
-    def _beside(self, rows: DataFrame, on: str, fields: str, values: list[tuple]) -> DataFrame:
-        """Per-source values beside rows: a broadcast of at most MAX_SOURCES rows."""
-        table = rows.sparkSession.createDataFrame(values, "__s string, " + fields)
-        return rows.join(F.broadcast(table), F.col(on).cast("string").eqNullSafe(F.col("__s")))
-
-    def _with_rank(self, rows: DataFrame, on: str) -> DataFrame:
-        """Adds ``__whole`` (certain copies) and ``__rank`` (null: no chance of one more).
-
-        The rank is odds(u) / odds(p) as q / (1 + q), which keeps the order, in
-        ``RANK_BITS`` bits.
-        """
-        rows = self._beside(rows, on, "__factor double", [(s, p["factor"]) for s, p in self.plan.items()])
-        e = F.least(F.lit(float(self.max_copies)), F.col("__factor") * F.col("__e.w"))
-        whole = F.floor(e + F.lit(1e-9)).cast("int")
-        p, u = F.greatest(e - whole, F.lit(0.0)), F.col("__e.u")
-        q = u * (1 - p)
-        rank = F.floor(q / (q + (1 - u) * p) * float(1 << RANK_BITS)).cast("bigint")
-        return rows.withColumns({"__whole": whole, "__rank": F.when(p > 0, rank)}).drop("__s", "__factor")
-
-    def _factors(self) -> None:
-        """Documents of high importance reach the cap; the others' factor is raised in turn."""
-        for _ in range(ROUNDS):
-            full = F.col("w") * F.col("__factor") >= self.max_copies
-            got = (self._beside(self.rows, "s", "__factor double", [(s, p["factor"]) for s, p in self.plan.items()]).groupBy("s")
-                   .agg(F.sum(F.when(full, F.col("size") * self.max_copies).otherwise(0)).alias("full"),
-                        F.sum(F.when(~full, F.col("size") * F.col("w")).otherwise(0.0)).alias("mass")).collect())
-            changed = False
-            for r in got:
-                p = self.plan[r["s"]]
-                if r["mass"] and (f := (p["target"] - r["full"]) / r["mass"]) > p["factor"] * (1 + 1e-12):
-                    p["factor"], changed = f, True
-            if not changed:
-                return
-
-    def _lines(self) -> None:
-        """Per source the lines of the draw, and the document that closes the gap.
-
-        A line ``(rank, tie, room)``: of the documents up to (rank, tie) those of at most
-        ``room`` words are taken. Both the position and the room of the lines of a source run one way, so a
-        document is taken if any line takes it.
+        s, size = F.col(self.source).cast("string"), n_words(F.col(self.text))
+        if self.importance is None:
+            level = F.lit(0)
+        else:
+            w = (F.col(self.importance) if isinstance(self.importance, str) else self.importance).cast("double")
+            half = LEVELS // 2
+            level = F.when(w > 0, F.greatest(F.lit(1 - half), F.least(F.lit(half - 1), F.floor(4 * F.log2(w) + 1e-9).cast("int"))))
+        return {"s": s, "sk": F.coalesce(F.concat(F.lit("s"), s), F.lit("null")), "size": size, "level": F.coalesce(level, F.lit(-LEVELS)),
+                "u": (F.shiftrightunsigned(h, 11) + F.lit(0.5)) / F.lit(float(1 << 53)), "tie": F.xxhash64(F.lit(self.seed + 1), *of)}
+
+    def _factors(self, levels: DataFrame, per: DataFrame) -> DataFrame:
+        """Per source and level: certain copies ``whole``, chance ``p`` of one more, and of the source
+        its size, target, words to draw and number of cells."""
+        w = F.when(F.col("level") > -LEVELS, F.pow(F.lit(2.0), F.col("level") / 4.0)).otherwise(0.0)
+        x = levels.join(per.select(F.coalesce(F.concat(F.lit("s"), "s"), F.lit("null")).alias("sk"), "size", "target"), "sk").withColumn("w", w)
+        down = Window.partitionBy("sk").orderBy(F.desc("level"))  # at most LEVELS rows of a source
+        higher = F.coalesce(F.sum(F.col("m") * self.max_copies).over(down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        here_on = F.sum(F.col("m") * F.col("w")).over(down.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+        f = F.when(here_on > 0, (F.col("target") - higher) / here_on).otherwise(0.0)
+        x = x.withColumn("f", f).withColumn("full", F.col("f") * F.col("w") > self.max_copies)
+        every = Window.partitionBy("sk")
+        factor = F.max_by("f", F.when(~F.col("full"), F.col("level"))).over(every)  # of the highest level that is not capped
+        e = F.when(F.col("full"), F.lit(float(self.max_copies))).otherwise(F.greatest(F.lit(0.0), F.coalesce(factor, F.lit(0.0))) * F.col("w"))
+        x = x.withColumn("e", F.least(F.lit(float(self.max_copies)), e)).withColumn("whole", F.floor(F.col("e") + F.lit(1e-9)).cast("int"))
+        x = x.withColumn("p", F.greatest(F.col("e") - F.col("whole"), F.lit(0.0)))
+        drawn = F.sum(F.when(F.col("p") > 0, F.col("n"))).over(every)
+        mean = F.sum(F.col("n") * F.col("p")).over(every) / drawn
+        return x.select("sk", "s", "level", "size", "target", "whole", "p", mean.alias("mean"),
+                        F.ceil(F.coalesce(drawn, F.lit(0)) / F.lit(float(ROWS_PER_CELL))).cast("bigint").alias("cells"),
+                        F.greatest(F.lit(0.0), F.col("target") - F.sum(F.col("whole") * F.col("m")).over(every)).alias("gap"))
+
+    def _ranked(self, rows: DataFrame) -> DataFrame:
+        """Adds the plan's columns, ``rank`` (null: no chance of one more) and ``cell``.
+
+        The rank is odds(u) / odds(p) as q / (1 + q), in ``RANK_BITS`` bits; the odds of the source's mean
+        p, which change no order, spread the ranks evenly over the cells.
         """
-        rows = self._with_rank(self.rows.withColumn("__e", F.struct("w", "u")), "s") \
-            .select("s", "size", "tie", F.col("__whole").alias("whole"), F.col("__rank").alias("rank")).checkpoint()
-        certain = {r["s"]: r["n"] for r in rows.groupBy("s").agg(F.sum(F.col("whole") * F.col("size")).alias("n")).collect()}
+        plan = self.plan.select("sk", "level", F.col("size").alias("source_size"), "target", "whole", "p", "mean", "cells")
+        x = join_small(rows, plan, ["sk", "level"], "left", check="stored")
+        q, mean, p, u = F.col("u") * (1 - F.col("p")), F.col("mean"), F.col("p"), F.col("u")
+        a, b = q * mean, (1 - u) * p * (1 - mean)
+        a, b = (F.when(mean < 1, a).otherwise(q)), (F.when(mean < 1, b).otherwise((1 - u) * p))
+        rank = F.when(p > 0, F.least(F.lit((1 << RANK_BITS) - 1), F.floor(a / (a + b) * float(1 << RANK_BITS)).cast("bigint")))
+        x = x.withColumn("rank", rank)
+        return x.withColumn("cell", F.floor(F.col("rank") / float(1 << RANK_BITS) * F.col("cells")).cast("bigint"))
+
+    def _draw(self) -> None:
+        """``lines``: per source the place up to which all are taken; ``extra``: documents behind it that are."""
         # Repeated rows are taken together: one document of all their words.
-        drawn = rows.where("rank is not null").groupBy("s", "rank", "tie").agg(F.sum("size").alias("size"), F.max("size").alias("one")).checkpoint()
-        gap = {s: max(0.0, p["target"] - certain.get(s, 0)) for s, p in self.plan.items()}
-        for p in self.plan.values():
-            p.update(lines=[], close_rank=-1, close_tie=0)
-        going = dict(gap)
-        while going:  # each round takes a document at least, of a source that goes on
-            lines = self._line(drawn, going)
-            going = {}
-            for s, (rank, tie, used, ended) in lines.items():
-                self.plan[s]["lines"].append((rank, tie, gap[s]))
-                gap[s] -= used
-                if not ended and gap[s] >= 1:
-                    going[s] = gap[s]
-        gap = {s: g for s, g in gap.items() if g > 0}
-        if gap:
-            x = self._beside(drawn, "s", f"gap double, lines {LINES}", [(s, g, self.plan[s]["lines"]) for s, g in gap.items()])
-            off = F.abs(F.col("size") - F.col("gap"))
-            x = (x.where((off < F.col("gap")) & ~_taken("size", "rank", "tie", "lines"))
-                 .groupBy("s").agg(F.min(F.struct(off.alias("off"), "rank", "tie")).alias("x")).collect())
-            for r in x:
-                self.plan[r["s"]].update(close_rank=r["x"]["rank"], close_tie=r["x"]["tie"])
-        #: Repeated rows of which one would fit, but not all.
-        self.skipped = None
-        repeated = drawn.where("one < size")
-        if repeated.limit(1).count():
-            x = self._beside(repeated, "s", f"lines {LINES}", [(s, p["lines"]) for s, p in self.plan.items()])
-            x = x.where(_taken("one", "rank", "tie", "lines") & ~_taken("size", "rank", "tie", "lines"))
-            self.skipped = x.select(F.col("s").alias("__skip_s"), F.col("rank").alias("__skip_rank"), F.col("tie").alias("__skip_tie")).checkpoint()
-
-    def _line(self, drawn: DataFrame, room: dict) -> dict:
-        """Per source of ``room`` the next line among the documents after its last one that fit
-        by themselves: (rank, tie, words taken up to it, none left after it). Sources without such documents are left out."""
-        after = [(s, *(self.plan[s]["lines"] or [(-1, 0, 0)])[-1][:2], x) for s, x in room.items()]
-        x = self._beside(drawn, "s", "last bigint, last_tie bigint, room double", after)
-        later = (F.col("rank") > F.col("last")) | ((F.col("rank") == F.col("last")) & (F.col("tie") > F.col("last_tie")))
-        # After the first line only documents with words: an empty one would come in at any gap.
-        fit = x.where(later & (F.col("size") <= F.col("room")) & ((F.col("size") > 0) | (F.col("last") < 0))).select("s", "size", "rank", "tie")
-        room, out = dict(room), {}
-        start = dict(room)
-        cell = {s: 0 for s in room}  # leading bits of the ranks the line lies in
-        bits = 0
-        for step in (8, 8, 8):
-            x = self._beside(fit, "s", "cell bigint, room double", [(s, c, room[s]) for s, c in cell.items()])
-            x = x.where(F.shiftright("rank", RANK_BITS - bits) == F.col("cell")) if bits else x
-            bits += step
-            sums = x.groupBy("s", "room", F.shiftright("rank", RANK_BITS - bits).alias("at")).agg(F.sum("size").alias("n"))
-            sums = sums.withColumn("upto", F.sum("n").over(Window.partitionBy("s").orderBy("at")))  # at most 2**step + 1 rows a source
-            got = sums.groupBy("s").agg(F.min(F.when(F.col("upto") > F.col("room"), F.struct("at", "n", "upto"))).alias("x"),
-                                        F.sum("n").alias("n")).collect()
-            out.update({r["s"]: (END, 0, r["n"], True) for r in got if r["x"] is None})  # all fit
-            cell = {r["s"]: r["x"]["at"] for r in got if r["x"] is not None}
-            room.update({r["s"]: room[r["s"]] - (r["x"]["upto"] - r["x"]["n"]) for r in got if r["x"] is not None})
-            if not cell:
-                return out
-        order = Window.partitionBy("s").orderBy("rank", "tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        x = self._beside(fit, "s", "cell bigint, room double", [(s, c, room[s]) for s, c in cell.items()])
-        x = (x.where(F.shiftright("rank", RANK_BITS - bits) == F.col("cell")).withColumn("upto", F.sum("size").over(order))
-             .where("upto <= room").groupBy("s").agg(F.max(F.struct("rank", "tie", "upto")).alias("x")).collect())
-        found = {r["s"]: r["x"] for r in x}
-        for s, c in cell.items():
-            rank, tie, used = found.get(s) or (c << (RANK_BITS - bits), -1 << 63, 0)  # nothing of the cell
-            out[s] = rank, tie, start[s] - room[s] + used, False
-        return out
-
-    def _copies(self, rows: DataFrame, on: str) -> DataFrame:
-        """``rows`` with a struct ``__e`` (size, w, u, tie) -> adds ``__copies, __source_size, __target``."""
-        rows = self._with_rank(rows, on)
-        rows = self._beside(rows, on, f"__source_size bigint, __target double, __lines {LINES}, __close bigint, __close_tie bigint",
-                            [(s, p["size"], p["target"], p["lines"], p["close_rank"], p["close_tie"]) for s, p in self.plan.items()])
-        tie, rank = F.col("__e.tie"), F.col("__rank")
-        more = _taken(F.col("__e.size"), rank, tie, "__lines")
-        if self.skipped is not None:
-            rows = rows.join(self.skipped, F.col(on).eqNullSafe(F.col("__skip_s")) & (rank == F.col("__skip_rank")) & (tie == F.col("__skip_tie")), "left")
-            more &= F.col("__skip_rank").isNull()
-        more |= (rank == F.col("__close")) & (tie == F.col("__close_tie"))
-        return rows.withColumn("__copies", F.col("__whole") + F.coalesce(more, F.lit(False)).cast("int"))
+        drawn = self._ranked(self.rows).where("rank is not null").groupBy("sk", "cell", "rank", "tie").agg(F.sum("size").alias("size")).checkpoint()
+        gaps = self.plan.groupBy("sk").agg(F.first("gap").alias("gap"))
+        cells = drawn.groupBy("sk", "cell").agg(F.sum("size").alias("n")).join(gaps, "sk")  # a row per ROWS_PER_CELL documents
+        upto = F.sum("n").over(Window.partitionBy("sk").orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        crossing = (cells.withColumn("upto", upto).where("upto > gap").groupBy("sk")
+                    .agg(F.min_by(F.struct("cell", (F.col("gap") - F.col("upto") + F.col("n")).alias("room")), "cell").alias("x"))
+                    .select("sk", "x.*").checkpoint())
+        at = join_small(drawn, crossing, ["sk", "cell"], check="stored").select("sk", "rank", "tie", "size", "room")
+        found = at.repartition("sk").sortWithinPartitions("sk", "rank", "tie").mapInArrow(_greedy, _FOUND).checkpoint()
+        # One document closes the gap: the nearest in size of those not taken.
+        lines = found.where("line").select("sk", "rank", "tie", "room")
+        left = join_small(drawn, lines.select("sk", F.col("rank").alias("line_rank"), F.col("tie").alias("line_tie"), F.col("room").alias("gap")).checkpoint(),
+                          "sk", check="stored")
+        more = found.where("NOT line").select("sk", "rank", "tie").withColumn("taken", F.lit(True)).checkpoint()
+        left = left.where(_behind("rank", "tie", "line_rank", "line_tie") & (F.abs(F.col("size") - F.col("gap")) < F.col("gap")))
+        left = join_small(left, more, ["sk", "rank", "tie"], "left_anti", check="stored")
+        close = left.groupBy("sk").agg(F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("off"), "rank", "tie")).alias("x"))
+        self.extra = more.unionAll(close.select("sk", "x.rank", "x.tie", F.lit(True))).checkpoint()
+        #: Of a source without a line (all of it is taken) there is no row.
+        self.lines = lines.select("sk", F.col("rank").alias("line_rank"), F.col("tie").alias("line_tie")).checkpoint()
+
+    def _copies(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with the columns of ``_expressions`` -> adds ``copies, source_size, target``."""
+        x = join_small(self._ranked(rows), self.lines, "sk", "left", check="stored")
+        x = join_small(x, self.extra, ["sk", "rank", "tie"], "left", check="stored")
+        before = F.col("line_rank").isNull() | ~_behind("rank", "tie", "line_rank", "line_tie")
+        more = F.col("rank").isNotNull() & (before | F.coalesce("taken", F.lit(False)))
+        return x.withColumn("copies", F.col("whole") + more.cast("int"))
 
     def report(self) -> DataFrame:
         """Per document: ``<key>, size, source_size, target`` (its source's), ``taken`` (words,
         repeats counted), ``copies``."""
-        x = self._copies(self.rows.withColumn("__e", F.struct("size", "w", "u", "tie")), "s")
-        return x.select(F.col("key").alias(self.key), "size", F.col("__source_size").alias("source_size"), F.col("__target").alias("target"),
-                        (F.col("size") * F.col("__copies")).alias("taken"), F.col("__copies").alias("copies"))
+        return self._copies(self.rows).select(F.col("key").alias(self.key), "size", "source_size", "target",
+                                              (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
     def apply(self, docs: DataFrame) -> DataFrame:
         """The documents the mix takes, each as often as it is taken; columns as in ``docs``."""
-        e = self._expressions()
-        x = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(self.source).cast("string").alias("s"),
-                        F.struct(*[e[n].alias(n) for n in ("size", "w", "u", "tie")]).alias("__e"))
-        x = self._copies(x, "s").where("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+        x = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[c.alias(n) for n, c in self._expressions().items()])
+        x = self._copies(x).where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
         return x.select(*[F.col(f"row.`{c}`") for c in docs.columns])
 
 
+def _behind(rank: str, tie: str, line_rank: str, line_tie: str) -> Column:
+    return (F.col(rank) > F.col(line_rank)) | ((F.col(rank) == F.col(line_rank)) & (F.col(tie) > F.col(line_tie)))
+
+
+_FOUND = "sk string, rank bigint, tie bigint, room double, line boolean"
+
+
+def _greedy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Goes through the documents of each source's last cell in the order of their ranks, with the words
+    left in hand. Gives a row per source (``line``: the last document before the first one that does not
+    fit; what is left at the end) and one per document taken behind it."""
+    sk = None
+    room, line, passed, extra = 0.0, (-1, 0), False, []
+
+    def rows():
+        return [(sk, *line, room, True), *[(sk, r, t, 0.0, False) for r, t in extra]]
+
+    def batch(out):
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate(
+            (pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.bool_()))], names=["sk", "rank", "tie", "room", "line"])
+
+    for b in batches:
+        out = []
+        for s, rank, tie, size, start in zip(*(b.column(k).to_pylist() for k in range(5))):
+            if s != sk:
+                if sk is not None:
+                    out += rows()
+                sk, room, line, passed, extra = s, start, (rank, tie - 1) if tie > -(1 << 63) else (rank - 1, (1 << 63) - 1), False, []
+            if size > room:
+                passed = True
+            else:
+                room -= size
+                if passed and size:  # an empty document behind the line would come in at any gap
+                    extra.append((rank, tie))
+                elif not passed:
+                    line = rank, tie
+        if out:
+            yield batch(out)
+    if sk is not None:
+        yield batch(rows())
+
+
 def mix(docs: DataFrame, **options) -> Mix:
     """A mix of ``docs``. Defined results: a null or empty text has size 0 and takes
-    no words; a null source is a source of its own, after all others; rows equal in key, source
+    no words; texts of any length count whole; a null source is a source of its own, after all others; rows equal in key, source
     and text share their rank, and are taken or left together; an empty table gives an
     empty report; other columns are carried along, whatever their names."""
     return Mix(docs, **options)

@@ -19,7 +19,7 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, max_copies=2).report()
+    return mixing.mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, max_copies=2, importance=mixing.length_class()).report()
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
