@@ -33,20 +33,27 @@ def enforce(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return df
 
 
+def counters(rules: list[Rule]) -> list[Column]:
+    """Rows (``__rows``) and the violations of each rule, as aggregates."""
+    return [F.count(F.lit(1)).alias("__rows")] + [F.count_if(~r.ok()).alias(r.name) for r in rules]
+
+
+def report_of(spark: SparkSession, counts: dict[str, int], rules: list[Rule]) -> DataFrame:
+    """``counters`` as a table ``(rule, passed, failed)``."""
+    rows = [(r.name, int(counts["__rows"]) - int(counts[r.name]), int(counts[r.name])) for r in rules]
+    return spark.createDataFrame(rows, "rule string, passed bigint, failed bigint")
+
+
 def observe_rules(df: DataFrame, rules: list[Rule], name: str = "rules") -> tuple[DataFrame, Observation]:
     """Attach violation counters that are filled by whatever action runs next
     (typically the table write), without a second pass over the data."""
     obs = Observation(name)
-    metrics = [F.count(F.lit(1)).alias("__rows")]
-    metrics += [F.count_if(~r.ok()).alias(r.name) for r in rules]
-    return df.observe(obs, *metrics), obs
+    return df.observe(obs, *counters(rules)), obs
 
 
 def report_from_observation(spark: SparkSession, obs: Observation, rules: list[Rule]) -> DataFrame:
     """The counters of ``observe_rules`` as a table ``(rule, passed, failed)``."""
-    m = obs.get
-    rows = [(r.name, int(m["__rows"]) - int(m[r.name]), int(m[r.name])) for r in rules]
-    return spark.createDataFrame(rows, "rule string, passed bigint, failed bigint")
+    return report_of(spark, obs.get, rules)
 
 
 def expect_report(df: DataFrame, rules: list[Rule]) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.operators.quality import Rule, enforce
+from carelake.operators.quality import Rule, counters, enforce, report_of
 from carelake.operators.tables import drop_old_versions, nothing_there, point_name, publish
 from carelake.sources.files import scan_csv
 from carelake.streaming.incremental import incremental_load, run_available_now
@@ -110,13 +110,10 @@ def run_medallion(spark: SparkSession, landing_dir: str, out_dir: str, year: int
 
     # Silver reads the committed bronze files through bronze's commit log.
     new_bronze = spark.readStream.schema(BRONZE_TABLE_SCHEMA).parquet(bronze_dir)
-    metrics = [F.count(F.lit(1)).alias("__rows")] + [F.count_if(~r.ok()).alias(r.name) for r in SILVER_RULES]
-    checked = silver(new_bronze, SILVER_RULES).observe("silver_rules", *metrics)
+    checked = silver(new_bronze, SILVER_RULES).observe("silver_rules", *counters(SILVER_RULES))
     run = run_available_now(checked, silver_dir, silver_ck, partition_by=["Year_Of_Birth"])
     totals = {m: 0 for m in ["__rows"] + [r.name for r in SILVER_RULES]} | run.observed.get("silver_rules", {})
-    report = spark.createDataFrame(
-        [(r.name, totals["__rows"] - totals[r.name], totals[r.name]) for r in SILVER_RULES],
-        "rule string, passed bigint, failed bigint")
+    report = report_of(spark, totals, SILVER_RULES)
     # Expectation history: one row per rule and update, appended (never rewritten).
     (report.withColumn("table", F.lit("silver")).withColumn("run_at", F.current_timestamp())
      .write.mode("append").parquet(f"{out_dir}/_expectations"))
