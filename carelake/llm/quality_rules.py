@@ -10,7 +10,9 @@ aggregation (counts per feature and threshold bucket). The list is applied as an
 ordered ``CASE WHEN`` expression.
 
 The labelled rows used to fit are bounded: about ``SAMPLE`` rows, taken by a hash of
-the key. Everything else covers all rows.
+the key. The list is short by design, to stay readable: at most ``MAX_RULES`` rules of at most
+``MAX_CONDITIONS`` conditions each, which bounds the fit's jobs; both cut what is learned, not what is judged.
+Statistics and verdicts cover all rows, whole texts of any length; a null text counts as an empty one.
 """
 
 from __future__ import annotations

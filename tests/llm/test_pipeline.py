@@ -54,7 +54,7 @@ def test_stages_against_brute_force(spark, scratch):
     low = components([fingerprint(r["text"]) for r in kept], 2)
     assert {r["doc_id"] for r in rows[3]} == {kept[i]["doc_id"] for i in set(low)}
     # mixing: the operator's copies
-    copies = {r["doc_id"]: r["copies"] for r in mixing.mix(frames[3]).report().collect()}
+    copies = {r["doc_id"]: r["copies"] for r in mixing.mix(frames[3], importance=mixing.length_class()).report().collect()}
     assert Counter(r["doc_id"] for r in rows[4]) == Counter({k: v for k, v in copies.items() if v})
     # BPE: the library's ids
     library = Tokenizer.from_file(vocab.default_path())
@@ -87,4 +87,13 @@ def test_stages_on_nulls_and_repeated_rows(spark, scratch):
         stage(spark, docs, SF0001).write.parquet(folder)
         docs = spark.read.parquet(folder)
         n.append(docs.count())
+        if name == "language ID":  # texts without letters go, whatever their id
+            assert docs.where("text IS NULL OR text = ''").count() == 0
+            assert docs.where("doc_id IS NULL").count() <= 1
+        if name == "quality rules":
+            assert docs.where("size(split(trim(text), '[ \\n\\t]+')) < 10").count() == 0
+        if name == "SimHash near-dedup":  # of repeated rows one stays
+            assert docs.count() == docs.dropDuplicates(["doc_id", "text"]).count() == docs.dropDuplicates(["text"]).count()
+        if name == "mixing":
+            assert docs.groupBy("doc_id").count().where("count > 2").count() == 0
     assert n[0] == 69 and 0 < n[3] <= n[2] <= n[1] < n[0] and n[5] == n[4] > 0

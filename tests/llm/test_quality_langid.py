@@ -126,3 +126,73 @@ def test_no_labelled_rows(spark):
     assert m.languages == []
     assert [r["lang_pred"] for r in langid.identify(docs, m).collect()] == ["und", "und"]
     assert langid.identify(docs.limit(0), m).count() == 0
+
+
+def kneser_ney(words, order):
+    """Interpolated Kneser-Ney over padded words, by dictionaries: a function of (context, character)."""
+    from collections import Counter, defaultdict
+    counts = Counter()
+    for w, n in words.items():
+        p = langid.LEFT * (order - 1) + w + langid.RIGHT
+        for i in range(len(w) + 1):
+            counts[p[i:i + order]] += n
+    alphabet = len({c for g in counts for c in g}) + 1
+    levels = [counts]
+    for _ in range(order - 1):
+        lower = Counter()
+        for g in levels[-1]:  # distinct left neighbours
+            lower[g[1:]] += 1
+        levels.append(lower)
+    levels = levels[::-1]  # order 1 first
+    tables = []
+    for level in levels:
+        n1, n2 = sum(v == 1 for v in level.values()), sum(v == 2 for v in level.values())
+        d = min(0.95, max(0.1, n1 / (n1 + 2 * n2))) if n1 and n2 else 0.75
+        total, types = defaultdict(int), defaultdict(int)
+        for g, n in level.items():
+            total[g[:-1]] += n
+            types[g[:-1]] += 1
+        tables.append((level, d, total, types))
+
+    def p(gram):
+        if not gram:
+            return 1 / alphabet
+        level, d, total, types = tables[len(gram) - 1]
+        below = p(gram[1:])
+        if gram[:-1] not in total:
+            return below
+        return max(level.get(gram, 0) - d, 0) / total[gram[:-1]] + d * types[gram[:-1]] / total[gram[:-1]] * below
+
+    return p, alphabet, counts
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_models_equal_an_independent_kneser_ney(order):
+    random.seed(order)
+    words = {"".join(random.choice("abcde") for _ in range(random.randint(1, 7))): random.randint(1, 5) for _ in range(60)}
+    p, alphabet, counts = kneser_ney(words, order)
+    points = np.array([[ord(c) for c in g] for g in sorted(counts)], np.uint32)
+    model = langid.LanguageModel.fit(points, np.array([counts[g] for g in sorted(counts)]), alphabet)
+    grams = sorted({langid.LEFT * (order - 1) + w + langid.RIGHT for w in words})
+    probe = sorted({g[i:i + order] for g in grams for i in range(len(g) - order + 1)}
+                   | {"".join(random.choice("abcdefx") for _ in range(order)) for _ in range(300)})
+    at = np.array([[ord(c) for c in g] for g in probe], np.uint32)
+    hashes = [langid._fold(at[:, order - k - 1:]) for k in range(order)]
+    context = [langid._fold(at[:, order - k - 1:order - 1]) for k in range(order)]
+    got = np.exp(model.log_prob(hashes, context, alphabet))
+    assert got == pytest.approx([p(g) for g in probe], rel=1e-9)
+
+
+def test_cross_entropy_of_a_text_is_the_mean_over_its_characters(model):
+    scorer = langid.Scorer(model)
+    total, size = scorer.run(["the thand the", "the", "thand", None])
+    one, two = scorer.run(["the"])[0][0], scorer.run(["thand"])[0][0]
+    assert np.allclose(total[0], 2 * one + two) and size.tolist() == [4 + 6 + 4, 4, 6, 0]
+
+
+def test_long_texts_and_repeated_rows(spark, model):
+    text = next(r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").where("lang = 'de' AND length(text) > 2000").limit(1).collect())
+    docs = spark.createDataFrame([(1, text), (2, (text + " ") * 1500), (2, (text + " ") * 1500)], "doc_id bigint, text string")
+    got = {(r["doc_id"], r["lang_pred"], round(r["cross_entropy"], 6), r["rejected"]) for r in langid.identify(docs, model, keep=["doc_id"]).collect()}
+    assert len(got) == 2 and {g[1] for g in got} == {"de"} and len({g[2] for g in got}) == 1
+    assert langid.keep_known(docs, model).count() == 3

@@ -79,3 +79,14 @@ def test_one_row_stays_of_each_component_whatever_the_keys(spark):
     rows = [(1, a, 0), (2, a, 0), (2, b, 0), (3, b, 0)]
     kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string, fp int")).collect()
     assert sorted((r["doc_id"], r["text"]) for r in kept) == [(1, a), (2, b)]
+
+
+def test_a_hub_is_not_joined_by_shuffle(spark, monkeypatch):
+    from carelake.llm import components as C
+    monkeypatch.setattr(C, "HUB_EDGES", 5)
+    edges = [(0, i) for i in range(1, 400)] + [(i, i + 1000) for i in range(1, 50)] + [(2000, 2001), (2001, 2002)]
+    df = spark.createDataFrame(edges, "u bigint, v bigint")
+    got = {r["u"]: r["root"] for r in C.components(df).collect()}
+    assert got == {**{i: 0 for i in range(1, 400)}, **{i + 1000: 0 for i in range(1, 50)}, 2001: 2000, 2002: 2000}
+    low = df.groupBy("u").count().selectExpr("u", "u AS m", "count AS n")
+    assert C._beside(df, low, len(edges)).count() == len(edges)
