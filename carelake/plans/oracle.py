@@ -197,7 +197,7 @@ ORACLE: dict[str, str] = {
   CROSS JOIN (SELECT unnest({GRID_NUM_TREES}) AS n)""",
     "rf_predictions": f"""SELECT l_orderkey, l_linenumber, TREATMENT, {_SPLIT} AS split, true AS is_class, true AS is_probability,
   true AS agrees, true AS adds_up, true AS separates FROM {_LEARN} t""",
-    "rf_metrics": f"""SELECT split, count_if(TREATMENT = 1) AS positives, count_if(TREATMENT = 0) AS negatives,
+    "rf_metrics": f"""SELECT split, CAST(count_if(TREATMENT = 1) AS BIGINT) AS positives, CAST(count_if(TREATMENT = 0) AS BIGINT) AS negatives,
   true AS above_chance, true AS is_area, true AS adds_up
   FROM (SELECT {_SPLIT} AS split, TREATMENT FROM {_LEARN} t) GROUP BY split""",
     "auc_rank_sum": f"""WITH counted AS (
