@@ -487,6 +487,19 @@ def q_schema_evolution(spark, sf_dir):
         .select(*[c for c in o.columns])
 
 
+def q_schema_evolution_load(spark, sf_dir):
+    """Files that arrive later carry a column more: the same load, with the widened schema on the same checkpoint."""
+    root = scratch_dir(spark, "evolve-load")
+    o = table(spark, sf_dir, "orders")
+    first = [c for c in o.columns if c != "o_orderpriority"]
+    load = {"source_dir": f"{root}/landing/*", "target_dir": f"{root}/table", "checkpoint_dir": f"{root}/_checkpoint"}
+    files.write_csv(o.where(F.col("o_orderstatus") == "F").select(*first), f"{root}/landing/batch=1")
+    incremental_load(spark, schema=o.select(*first).schema, **load)
+    files.write_csv(o.where(F.col("o_orderstatus") != "F").select(*first, "o_orderpriority"), f"{root}/landing/batch=2")
+    incremental_load(spark, schema=o.select(*first, "o_orderpriority").schema, **load)
+    return read_loaded(spark, f"{root}/table").select(*o.columns)
+
+
 def q_union_all(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     parts = [c.where(F.col("c_mktsegment") == s) for s in ("AUTOMOBILE", "BUILDING")]
@@ -625,6 +638,7 @@ QUERIES: dict[str, Query] = {
     "recreate_database": q_recreate_database,
     "empty_table": q_empty_table,
     "schema_evolution": q_schema_evolution,
+    "schema_evolution_load": q_schema_evolution_load,
     "union_all": q_union_all,
     "incremental_load": q_incremental_load,
     "scan_csv": q_scan_csv,

@@ -138,6 +138,9 @@ _DUCK_TO_SPARK = """CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER'
 _CUSTOMER_PLUS_PARTIAL = """SELECT * FROM customer UNION ALL
 SELECT CAST(-1 AS BIGINT), CAST(NULL AS VARCHAR), CAST(NULL AS INTEGER), CAST(NULL AS DOUBLE), CAST(NULL AS VARCHAR)"""
 
+_EVOLVED = """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+  CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_orderpriority END AS o_orderpriority FROM orders"""
+
 ORACLE: dict[str, str] = {
     "gold_top10": f"{_GOLD} ORDER BY Total_Count DESC, First_Name LIMIT {TOP_K}",
     "gold": f"{_GOLD} ORDER BY Total_Count DESC, First_Name",
@@ -217,8 +220,8 @@ FROM below GROUP BY split""",
     "merge_prefiltered": "SELECT * FROM customer",
     "insert_partial": _CUSTOMER_PLUS_PARTIAL,
     "snapshot_clone": "SELECT * FROM customer",
-    "schema_evolution": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
-  CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_orderpriority END AS o_orderpriority FROM orders""",
+    "schema_evolution_load": _EVOLVED,
+    "schema_evolution": _EVOLVED,
     "union_all": "SELECT * FROM customer",
     "incremental_load": "SELECT * FROM orders",
     "scan_csv": "SELECT * FROM orders",

@@ -20,7 +20,7 @@ def summarise(plan: str) -> dict:
         "object_aggs": len(re.findall(r"^\(\d+\) ObjectHashAggregate", plan, re.M)),
         "sort_aggs": len(re.findall(r"^\(\d+\) SortAggregate", plan, re.M)),
         "joins": re.findall(r"^\(\d+\) (\w+Join\w*)", plan, re.M),
-        "python": len(re.findall(r"^\(\d+\) (MapInPandas|ArrowEvalPython|BatchEvalPython)", plan, re.M)),
+        "python": len(re.findall(r"^\(\d+\) (MapIn\w+|ArrowEvalPython|BatchEvalPython|FlatMap\w+)", plan, re.M)),
         "scan_cols": [len([c for c in s.split(",") if ":" in c]) for s in scans],
         "pushed": sorted({p for p in re.findall(r"PushedFilters: \[([^\]]+)\]", plan)}),
         "top_k": "TakeOrderedAndProject" in plan,
