@@ -49,7 +49,9 @@ def build_session(master: str | None = None, app: str = "carelake",
          # Batches handed to Python (the model hook) are cut by bytes as well as
          # rows, so a batch of very long notes stays bounded in worker memory.
          .config("spark.sql.execution.arrow.maxBytesPerBatch", str(64 * 1024 * 1024))
-         .config("spark.sql.parquet.filterPushdown", "true"))
+         .config("spark.sql.parquet.filterPushdown", "true")
+         # Checkpoints whose frames are no longer in use are deleted while the job goes on.
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     if master:
         b = b.master(master)
     if shuffle_partitions or (shuffle_partitions := os.environ.get("CARELAKE_SHUFFLE_PARTITIONS")):
