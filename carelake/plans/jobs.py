@@ -13,7 +13,7 @@ import argparse
 import json
 import sys
 
-from carelake.session import build_session, clean_scratch
+from carelake.session import build_session, drop_scratch, scratch_made
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -35,6 +35,7 @@ def main(argv: list[str] | None = None) -> int:
     args = p.parse_args(argv)
 
     spark = build_session(master=args.master)
+    before = len(scratch_made(spark))
     if args.job == "medallion":
         from carelake.plans.medallion import run_medallion
         res = run_medallion(spark, args.landing, args.out, args.year, args.db, full_refresh=args.full_refresh)
@@ -44,7 +45,7 @@ def main(argv: list[str] | None = None) -> int:
         from carelake.streaming.incremental import incremental_load
         n = incremental_load(spark, args.source, args.schema, args.target, args.checkpoint, fmt=args.format)
         print(json.dumps({"rows_added": n}))
-    clean_scratch(spark)  # what the job wrote under the checkpoint root; its tables lie elsewhere
+    drop_scratch(spark, scratch_made(spark)[before:])  # what this job put there; its tables lie elsewhere
     return 0
 
 

@@ -91,7 +91,21 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     Every call returns a fresh path, so a query that is run twice never reads
     or overwrites the files of an earlier run.
     """
-    return f"{checkpoint_root(spark)}/carelake/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_root(spark)}/carelake/{name}-{uuid.uuid4().hex[:12]}"
+    scratch_made(spark).append(path)
+    return path
+
+
+def scratch_made(spark: SparkSession) -> list[str]:
+    """The scratch folders this application has asked for, in order."""
+    return spark.sparkContext.__dict__.setdefault("_carelake_scratch", [])
+
+
+def drop_scratch(spark: SparkSession, paths: list[str]) -> None:
+    """Delete these scratch folders; others under the same root may belong to other applications."""
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def clean_scratch(spark: SparkSession, name: str | None = None) -> bool:

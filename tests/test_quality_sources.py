@@ -79,10 +79,12 @@ def test_whole_text_notes_scan(spark, scratch):
     for n, t in texts.items():
         with open(os.path.join(d, n), "w") as f:
             f.write(t)
-    got = {r.path.rsplit("/", 1)[-1]: r.text for r in files.scan_notes(spark, d).collect()}
-    # Zero-length files are skipped by Spark's file scan: an empty note has no row
-    # (and would have no entities anyway).
-    assert got == {k: v for k, v in texts.items() if v}
+    def scanned(**how):
+        return {r.path.rsplit("/", 1)[-1]: r.text for r in files.scan_notes(spark, d, **how).collect()}
+
+    # Zero-length files are skipped by Spark's file scan; the listing has them.
+    assert scanned(keep_empty=False) == {k: v for k, v in texts.items() if v}
+    assert scanned() == texts
     listing = files.list_files(spark, d, "*.txt")
     assert listing.count() == 2 and set(listing.columns) == {"path", "modificationTime", "length"}
 
