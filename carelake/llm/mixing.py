@@ -35,7 +35,7 @@ from carelake.operators.joins import join_small
 from carelake.operators.places import with_place, with_running_sum
 from carelake.session import checkpoint_root, ship_package
 
-ROWS_PER_CELL = 50_000
+ROWS_PER_CELL = 10_000
 RANK_BITS = 48  # ranks as integers
 LEVELS = 256  # of importance, at most: a quarter power of two each
 WORD = r"[^\x20\x09-\x0D]+"
