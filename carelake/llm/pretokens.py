@@ -343,7 +343,7 @@ class WordMemo:
 
     def run(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(values of all texts laid end to end, number of values per text); a null text has none."""
-        column = pc.fill_null(column, "")
+        column = pc.fill_null(column.cast(pa.string()), "")  # 32-bit offsets, whatever the session's Arrow types
         if self.split is None or not any(pc.any(pc.match_substring(column, a)).as_py() for a in self.added):
             return self._plain(column)
         # Sections between added tokens are pre-tokenized on their own.

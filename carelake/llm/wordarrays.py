@@ -32,7 +32,7 @@ def slices(column: pa.Array, size: int = SLICE) -> Iterator[tuple[int, int]]:
 
 def mapped(column: pa.StringArray, table: bytes) -> pa.BinaryArray:
     """Every byte of the texts put through ``table`` (null: empty), as binary values."""
-    column = pc.fill_null(column, "")
+    column = pc.fill_null(column.cast(pa.string()), "")  # 32-bit offsets, whatever the session's Arrow types
     offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
     data = column.buffers()[2]
     raw = data[offsets[0]:offsets[-1]].to_pybytes() if data is not None else b""
