@@ -10,7 +10,8 @@ thousand), which is broadcast; scoring gathers weights over whole slices of text
 
 Fitting uses a bounded sample: ``PER_LABEL`` labelled ids of each label, those with the smallest
 hash, joined to their texts by a broadcast of that size; features are made in parallel,
-and one task runs over the examples in the order of their hashes, ``EPOCHS`` times, as
+and one task runs over the examples, ``EPOCHS`` times, each time in another random order (a hash of
+epoch and id: the hash that chose them would put the rarer label's rest at the end), as
 a stream (its memory is the state of the model). The intercept is set for labels at the
 square root of their true odds: halfway between the rare label's share and even odds,
 as L1 holds the weights back. Scoring reads every text whole; rows stay where they are.
@@ -165,7 +166,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
                     names=["h", "k", "label", "at"])
 
     examples = rows.select("h", "k", "label", "text").mapInArrow(extract, "h bigint, k string, label int, at array<int>").checkpoint()
-    passes = examples.select(F.explode(F.sequence(F.lit(1), F.lit(epochs))).alias("epoch"), "h", "k", "label", "at")
+    passes = examples.select(F.explode(F.sequence(F.lit(1), F.lit(epochs))).alias("epoch"), "k", "label", "at")
+    passes = passes.withColumn("o", F.xxhash64("epoch", "k"))
 
     def learn(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, seen = Ftrl(1 << bits, alpha, beta, l1, l2), np.zeros(2, np.int64)
@@ -181,7 +183,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
             [pa.array([at.astype(np.int32)], pa.list_(pa.int32())), pa.array([w[at]], pa.list_(pa.float64())),
              pa.array([model.intercept()]), pa.array([seen.tolist()], pa.list_(pa.int64()))], names=["at", "w", "w0", "seen"])
 
-    got = (passes.repartition(1).sortWithinPartitions("epoch", "h", "k").select("label", "at")
+    got = (passes.repartition(1).sortWithinPartitions("epoch", "o", "k").select("label", "at")
            .mapInArrow(learn, "at array<int>, w array<double>, w0 double, seen array<bigint>").collect())
     if not got or not sum(got[0]["seen"]):
         return Model(bits, np.zeros(0, np.int32), np.zeros(0, np.float32), -np.inf)

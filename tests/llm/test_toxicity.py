@@ -77,6 +77,14 @@ def test_model_does_not_depend_on_partitions(tables, model):
     assert np.array_equal(other.at, model.at) and np.array_equal(other.weight, model.weight) and other.intercept == model.intercept
 
 
+def test_a_bound_that_cuts_one_label_only_does_not_tip_the_scale(tables):
+    """Fewer clean texts than there are, all toxic ones: the order must not put the rest of these at the end."""
+    docs, labels = tables
+    small = toxicity.fit_on_rest(docs, labels, per_label=400)
+    got = toxicity.score(docs, small, keep=["doc_id"]).where(toxicity.held_out()).join(labels, "doc_id").toPandas()
+    assert (got[got.toxic == 0].score >= 0.5).mean() < 0.02 and (got[got.toxic == 1].score >= 0.5).mean() > 0.8
+
+
 def test_held_out_rows_do_not_train(tables, model):
     docs, labels = tables
     flipped = labels.withColumn("toxic", F.when(toxicity.held_out(), 1 - F.col("toxic")).otherwise(F.col("toxic")))
