@@ -163,20 +163,22 @@ def corr_with_target(df: DataFrame, cols: list[str], target: str, digits: int |
     return wide.select(F.inline(F.array(*entries))).orderBy(F.desc_nulls_last("r"), "feature")
 
 
-def auc_rank_sum(df: DataFrame, score: str, label: str, by: str | None = None) -> DataFrame:
+def auc_rank_sum(df: DataFrame, score: str, label: str, by: str | None = None, weight: str | None = None) -> DataFrame:
     """The exact area under ROC by the rank sum: ``[by,] positives, negatives, auc``.
 
     The area is the share of (positive, negative) pairs in which the positive has the higher score, ties
     counting half. Rows are first counted per score (map-side), the counts sorted by score over range
     partitions, and each score's positives meet the negatives below it (a running sum): all
     in integers, one division at the end. Rows with a NULL label or score are left out (NaN is the
-    highest score); ``label`` over 0 is positive. A part without both labels has a NULL area.
+    highest score); ``label`` over 0 is positive. A part without both labels has a NULL area. A row stands
+    for ``weight`` rows, a whole number (default: itself).
     """
     keys = [by] if by else []
     y = F.when(F.col(label) > 0, 1).otherwise(0)
+    n = F.col(weight) if weight else F.lit(1)
     counts = (df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
               .groupBy(*keys, F.col(score).alias("__score"))
-              .agg(F.sum(y).alias("__pos"), F.sum(1 - y).alias("__neg")))
+              .agg(F.sum(y * n).alias("__pos"), F.sum((1 - y) * n).alias("__neg")))
     up_to = with_running_sum(counts, [*keys, "__score"], {"__upto": "__neg"})
     # In one order over all parts, a part's own negatives start where the ones before end: its
     # positives times that many are taken off again.

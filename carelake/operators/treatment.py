@@ -8,15 +8,22 @@ tables rather than printed or collected.
 
 from __future__ import annotations
 
+import math
+import re
+from functools import reduce
+from operator import or_
+
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import MinMaxScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import Bucketizer, MinMaxScaler, MinMaxScalerModel, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit, TrainValidationSplitModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from carelake.functions.columns import flag
+from carelake.operators.joins import join_small, stored
 from carelake.operators.stats import auc_rank_sum
 
 # The search space of the original model selection.
@@ -30,6 +37,9 @@ TRAIN_RATIO = 0.8
 FIT_ROWS = 4000  # bound of the labelled rows the registered search fits on
 FIT_PARTITIONS = 4
 
+_CELL, _VALUES = "__cell", "all_values"
+_MAX_CELLS = 1 << 53  # a cell's number is put together in doubles
+
 
 def encode_flags(df: DataFrame, flags: dict[str, tuple[str, object]], drop_sources: bool = True) -> DataFrame:
     """``{flag_name: (source_column, value)}`` -> 0/1 columns.
@@ -54,29 +64,64 @@ def scale_features(df: DataFrame, features: list[str], extra: list[str] | None =
     The scaler is fitted on ``fit_on`` (default: all rows, as in the original
     notebook; pass the training rows to keep test rows out of the fit). A
     constant feature scales to 0.5. NULL features raise unless
-    ``handle_invalid`` is "skip" or "keep".
+    ``handle_invalid`` is "skip" or "keep". Where the fit saw all rows and no value of
+    theirs is missing, ``all_values`` is an array of the same numbers as ``all_features``,
+    made by built-in expressions: cheaper for steps that need no vector.
     """
+    extra = list(extra or [])
     asm = VectorAssembler(inputCols=features, outputCol="features", handleInvalid=handle_invalid)
     assembled = asm.transform(df)
     scaler = MinMaxScaler(inputCol="features", outputCol="scaled_features")
-    model = scaler.fit(asm.transform(fit_on) if fit_on is not None else assembled)
+    bounds = _bounds(df if fit_on is None else fit_on, features, extra if fit_on is None else [])
+    model = scaler.fit(asm.transform(bounds if bounds is not None else df if fit_on is None else fit_on))
     scaled = model.transform(assembled)
-    asm2 = VectorAssembler(inputCols=["scaled_features"] + list(extra or []), outputCol="all_features",
+    asm2 = VectorAssembler(inputCols=["scaled_features"] + extra, outputCol="all_features",
                            handleInvalid=handle_invalid)
-    return asm2.transform(scaled)
+    out = asm2.transform(scaled)
+    if bounds is None or fit_on is not None:
+        return out
+    return out.withColumn(_VALUES, F.array(*_scaled(model, features), *[F.col(c).cast("double") for c in extra]))
+
+
+def _bounds(df: DataFrame, features: list[str], extra: list[str]) -> DataFrame | None:
+    """Two rows, the minima and the maxima of ``features``: a scaler's fit on them is its fit on all rows. None
+    if there is no row, a value of ``features`` or ``extra`` is missing, or one of them is no number."""
+    if not all(isinstance(df.schema[c].dataType, NumericType) for c in [*features, *extra]):
+        return None
+    x = [F.col(c).cast("double") for c in [*features, *extra]]
+    missing = reduce(or_, [v.isNull() | F.isnan(v) for v in x])
+    got = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(missing).alias("missing"),
+                 *[f(v).alias(f"{n}{i}") for i, v in enumerate(x[:len(features)]) for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    if not got["n"] or got["missing"]:
+        return None
+    rows = [tuple(got[f"{n}{i}"] for i in range(len(features))) for n in ("lo", "hi")]
+    return df.sparkSession.createDataFrame(rows, ", ".join(f"`{c}` double" for c in features))
+
+
+def _scaled(model: MinMaxScalerModel, features: list[str]) -> list[Column]:
+    """What the scaler makes of each feature, as built-in expressions: its arithmetic, step by step."""
+    low, high = model.getMin(), model.getMax()
+    out = []
+    for c, lo, hi in zip(features, model.originalMin.toArray().tolist(), model.originalMax.toArray().tolist()):
+        x, by = F.col(c).cast("double"), (high - low) / (hi - lo) if hi != lo else 0.0
+        out.append((x - F.lit(lo)) * F.lit(by) + F.lit(low) if by else F.lit((low + high) / 2))
+    return out
 
 
-def _uniform(key: list[str], seed: int):
-    """A number in [0, 1) from the row key: the first 8 hex digits of the md5 of seed
-    and key, joined by ``|`` (any SQL engine can compute it)."""
+def _below(share: float, key: list[str], seed: int) -> Column:
+    """Whether the row key's number in [0, 1) is below ``share``. The number: the first 8 hex digits of the md5 of
+    seed and key, joined by ``|``, over 2^32 (any SQL engine can compute it); hex digits compare as they are."""
+    least = math.ceil(share * (1 << 32))
+    if least >= 1 << 32:
+        return F.lit(True)
     text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key])
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") / F.lit(float(1 << 32))
+    return F.substring(F.md5(text), 1, 8) < F.lit(f"{max(least, 0):08x}")
 
 
 def hash_split(df: DataFrame, key: list[str], ratio: float = TRAIN_RATIO, seed: int = SEED) -> DataFrame:
     """Adds ``split`` = train/test from a hash of the row key: the same row lands
     in the same split however the data is partitioned or re-read."""
-    return df.withColumn("split", F.when(_uniform(key, seed) < ratio, F.lit("train")).otherwise(F.lit("test")))
+    return df.withColumn("split", F.when(_below(ratio, key, seed), F.lit("train")).otherwise(F.lit("test")))
 
 
 def fit_sample(train: DataFrame, key: list[str], rows: int = FIT_ROWS, seed: int = SEED) -> DataFrame:
@@ -87,7 +132,7 @@ def fit_sample(train: DataFrame, key: list[str], rows: int = FIT_ROWS, seed: int
     used to fit; predictions cover every row.
     """
     share = min(1.0, rows / max(train.count(), 1))
-    return (train.where(_uniform(key, seed + 1) < share).repartition(FIT_PARTITIONS, *key).sortWithinPartitions(*key))
+    return (train.where(_below(share, key, seed + 1)).repartition(FIT_PARTITIONS, *key).sortWithinPartitions(*key))
 
 
 def scale_columns(df: DataFrame, features: list[str], prefix: str = "scaled_", digits: int | None = 6) -> DataFrame:
@@ -157,15 +202,93 @@ def grid_table(spark: SparkSession, model: TrainValidationSplitModel) -> DataFra
                                        "score double, is_best boolean")
 
 
-def predictions_table(model, df: DataFrame, key: list[str], label: str) -> DataFrame:
-    """``key…, label, prediction, probability_1`` — no vectors, no collect."""
-    pred = scoring_model(model).transform(df)
-    return pred.select(*key, label, "prediction",
-                       vector_to_array("probability")[1].alias("probability_1"))
+def cut_points(forest) -> list[list[float]] | None:
+    """The thresholds of a forest per feature, ascending (at most ``maxBins - 1`` each, whatever the rows of its
+    fit); None if a split is on categories."""
+    text = forest.toDebugString
+    if " in {" in text:
+        return None
+    cuts: list[set[float]] = [set() for _ in range(forest.numFeatures)]
+    for i, t in re.findall(r"If \(feature (\d+) <= ([^)\s]+)\)", text):
+        cuts[int(i)].add(float(t))
+    return [sorted(c) for c in cuts]
+
+
+def _grid(forest) -> list[list[float]] | None:
+    """The forest's cuts, if their cells can be numbered."""
+    cuts = cut_points(forest)
+    return cuts if cuts is not None and math.prod(len(c) + 2 for c in cuts if c) < _MAX_CELLS else None
+
+
+def _with_cell(df: DataFrame, features: str, cuts: list[list[float]]) -> DataFrame:
+    """``df`` with the number of each row's cell: a digit per feature the forest looks at, which tells the cuts that
+    the value lies between (one digit more for NaN)."""
+    used = [i for i, c in enumerate(cuts) if c]
+    if not used:
+        return df.withColumn(_CELL, F.lit(0).cast("bigint"))
+    values = F.col(_VALUES) if _VALUES in df.columns else vector_to_array(features)
+    # A split sends x <= t left, a bucket begins with its bound: that is the next number after t.
+    bins = Bucketizer(splitsArray=[[-math.inf, *[math.nextafter(t, math.inf) for t in cuts[i]], math.inf] for i in used],
+                      inputCols=[f"__v{i}" for i in used], outputCols=[f"__b{i}" for i in used], handleInvalid="keep")
+    cut = bins.transform(df.withColumns({f"__v{i}": F.get(values, i) for i in used}))
+    cell, radix = F.lit(0.0), 1
+    for i in used:
+        cell, radix = cell + F.col(f"__b{i}") * F.lit(float(radix)), radix * (len(cuts[i]) + 2)
+    return cut.withColumn(_CELL, cell.cast("bigint"))
+
+
+def _cell_vector(cuts: list[list[float]]) -> Column:
+    """A vector that lies in the cell: per feature the cut that ends its interval, or a number beyond the last."""
+    values, radix = [], 1
+    for c in cuts:
+        if not c:
+            values.append(F.lit(0.0))
+            continue
+        ends = F.array(*[F.lit(x) for x in [*c, math.nextafter(c[-1], math.inf), math.nan]])
+        values.append(F.get(ends, F.expr(f"CAST(({_CELL} DIV {radix}) % {len(c) + 2} AS INT)")))
+        radix *= len(c) + 2
+    return array_to_vector(F.array(*values))
+
+
+def _scores(best, df: DataFrame, *columns: str) -> DataFrame:
+    return best.transform(df).select(*columns, "prediction", vector_to_array("probability")[1].alias("probability_1"))
+
+
+def scored_cells(model, df: DataFrame, by: list[str]) -> DataFrame:
+    """``by…, n, prediction, probability_1, __cell``, stored: the rows counted per values of ``by`` and cell, with the
+    forest's answer for the cell.
+
+    A forest asks on which side of its thresholds the features lie, and nothing else: all rows of a cell of the
+    grid of thresholds get one answer. Rows are counted per cell (map-side), and each cell that occurs is
+    scored once, by the model, wherever in the grid the rows are: ``maxBins`` and the features bound them, not
+    the rows. A forest without such a grid (splits on categories, too many features) scores every row once.
+    """
+    best = scoring_model(model)
+    cuts = _grid(best)
+    if cuts is None:
+        return stored(_scores(best, df, *by).groupBy(*by, "prediction", "probability_1").agg(F.count(F.lit(1)).alias("n")))
+    features, spark = best.getFeaturesCol(), df.sparkSession
+    counts = stored(_with_cell(df, features, cuts).groupBy(*by, _CELL).agg(F.count(F.lit(1)).alias("n")))
+    # A few cells fill a task of their own with work: not so few tasks as their bytes would make.
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    cells = counts.select(_CELL).distinct().repartition(tasks).withColumn(features, _cell_vector(cuts))
+    return stored(join_small(counts, _scores(best, cells, _CELL), _CELL, "left"))
+
+
+def predictions_table(model, df: DataFrame, key: list[str], label: str, cells: DataFrame | None = None) -> DataFrame:
+    """``key…, label, prediction, probability_1`` — no vectors, no collect. Every row gets its cell's scores
+    (``cells``: of ``scored_cells`` over these rows, found here if not given)."""
+    best = scoring_model(model)
+    cuts = _grid(best)
+    if cuts is None:
+        return _scores(best, df, *key, label)
+    of = (scored_cells(model, df, []) if cells is None else cells).select(_CELL, "prediction", "probability_1").distinct()
+    rows = _with_cell(df, best.getFeaturesCol(), cuts).select(*key, label, _CELL)
+    return join_small(rows, of, _CELL, "left").drop(_CELL)
 
 
 def metrics_table(model, df: DataFrame, label: str, split: str = "split") -> DataFrame:
-    """Exact area under ROC and ``1 - auc`` per split: ``(split, positives, negatives, auc, error)``; every row is
-    scored once. (The notebook printed this number as "accuracy"; it is the area under ROC.)"""
-    got = auc_rank_sum(predictions_table(model, df, [split], label), "probability_1", label, by=split)
+    """Exact area under ROC and ``1 - auc`` per split: ``(split, positives, negatives, auc, error)``, from the scores of
+    the cells and their rows. (The notebook printed this number as "accuracy"; it is the area under ROC.)"""
+    got = auc_rank_sum(scored_cells(model, df, [split, label]), "probability_1", label, by=split, weight="n")
     return got.select(F.col(split).alias("split"), "positives", "negatives", "auc", (1 - F.col("auc")).alias("error"))
