@@ -8,7 +8,7 @@ from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from carelake.operators import stats, treatment
+from carelake.operators import notes, stats, treatment
 
 
 def _forest(spark, trees=7, depth=4):
@@ -91,3 +91,27 @@ def test_auc_of_rows_that_stand_for_many(spark):
     each = df.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n"))))
     got = stats.auc_rank_sum(df, "s", "y", by="part", weight="n").collect()
     assert sorted(got) == sorted(stats.auc_rank_sum(each, "s", "y", by="part").collect())
+
+
+def test_terms_with_one_first_word_do_not_multiply_the_tokens(spark, monkeypatch):
+    """400 terms begin with the word that the note is full of: a token is joined once per length of terms and rules."""
+    words = ["alpha"] * 600 + ["w7", "alpha", "12", "alpha"]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, "Alpha W8 mg"), (3, None), (None, "w7 12 13")], "doc_id bigint, text string")
+    lex = spark.createDataFrame([(f"alpha w{i}", "DRUG") for i in range(400)], "term string, entity string")
+    joined, plain = [], notes.join_small
+    monkeypatch.setattr(notes, "join_small", lambda *a, **k: joined.append(plain(*a, **k)) or joined[-1])
+    got = {tuple(r) for r in notes.entity_spans(docs, lex, rules={"DURATION": "[0-9]+ [0-9]+", "STRENGTH": "[0-9]+"}).collect()}
+    assert got == {(1, "alpha w7", "DRUG", 599, 601), (1, "12", "STRENGTH", 602, 603), (2, "alpha w8", "DRUG", 0, 2),
+                   (None, "12 13", "DURATION", 1, 3)}
+    assert len(joined) == 1 and joined[0].count() <= 2 * (len(words) + 3 + 3)
+
+
+@pytest.mark.parametrize("bound", [2_000_000, 0])
+def test_lexicon_rows_of_one_term(spark, bound):
+    """A term with two labels takes the first, one without a label keeps none, a longer one wins; also in a shuffle join."""
+    docs = spark.createDataFrame([(1, "one two three one 4"), (2, "five one two")], "doc_id bigint, text string")
+    lex = spark.createDataFrame([("one", "ROUTE"), ("one", "DRUG"), ("one two three", "FORM"), ("five", None), (None, "DRUG"), ("--", "DRUG"),
+                                 ("ONE  two", "DOSAGE")], "term string, entity string")
+    got = {tuple(r) for r in notes.entity_spans(docs, lex, rules={"STRENGTH": "[0-9]+"}, max_broadcast_rows=bound).collect()}
+    assert got == {(1, "one two three", "FORM", 0, 3), (1, "one", "DRUG", 3, 4), (1, "4", "STRENGTH", 4, 5), (2, "five", None, 0, 1),
+                   (2, "one two", "DOSAGE", 1, 3)}
