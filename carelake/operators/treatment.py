@@ -13,18 +13,24 @@ import re
 from functools import reduce
 from operator import or_
 
-from pyspark.ml.classification import RandomForestClassifier
+import numpy as np
+import pandas as pd
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Bucketizer, MinMaxScaler, MinMaxScalerModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit, TrainValidationSplitModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from carelake.functions.columns import flag
+from carelake.operators import forest as trees
 from carelake.operators.joins import join_small, stored
+from carelake.operators.places import with_running_sum
 from carelake.operators.stats import auc_rank_sum
+from carelake.session import scratch_dir, ship_package
 
 # The search space of the original model selection.
 GRID_BOOTSTRAP = [True, False]
@@ -34,11 +40,14 @@ SEED = 100
 MAX_BINS = 64
 TRAIN_RATIO = 0.8
 
-FIT_ROWS = 4000  # bound of the labelled rows the registered search fits on
+FIT_ROWS = 4000  # rows of a ``fit_sample``, if its caller names no number
 FIT_PARTITIONS = 4
+FIT_CELLS = 2_000_000  # of more cells the search is MLlib's, on the rows
+TREES_PER_TASK = 10
 
 _CELL, _VALUES = "__cell", "all_values"
 _MAX_CELLS = 1 << 53  # a cell's number is put together in doubles
+_ONE = 1 << 44  # shares are added as whole numbers: the same sum in any order
 
 
 def encode_flags(df: DataFrame, flags: dict[str, tuple[str, object]], drop_sources: bool = True) -> DataFrame:
@@ -165,15 +174,198 @@ def param_grid(rf: RandomForestClassifier, bootstrap=None, max_depth=None, num_t
 
 
 def tune_forest(train: DataFrame, label: str, features: str = "all_features", grid_kwargs: dict | None = None,
-                ratio: float = TRAIN_RATIO, seed: int = SEED, parallelism: int = 4) -> TrainValidationSplitModel:
+                ratio: float = TRAIN_RATIO, seed: int = SEED, parallelism: int = 4,
+                key: list[str] | None = None) -> TrainValidationSplitModel:
     """Train/validation search over the forest grid; the best set is refit on all
-    training rows."""
+    training rows.
+
+    With ``key`` rows are dealt to training and validation by a hash of it, and the search runs on the counts of all
+    rows per cell of the features' bins (``_tune_on_cells``): one result on any partitioning. MLlib's own
+    search, on the rows, is left for what has no such counts: categories, values that are missing or not finite, labels
+    other than 0 and 1 or only one of them, more than ``FIT_CELLS`` cells, bins too many to number.
+    """
     rf = forest(label, features)
     grid = param_grid(rf, **(grid_kwargs or {}))
     tvs = TrainValidationSplit(estimator=rf, estimatorParamMaps=grid,
                                evaluator=evaluator(label), trainRatio=ratio, seed=seed,
                                parallelism=max(1, min(parallelism, len(grid))))
-    return tvs.fit(train)
+    return (_tune_on_cells(tvs, train, key) if key else None) or tvs.fit(train)
+
+
+def exact_cuts(df: DataFrame, features: str, max_bins: int) -> list[list[float]] | None:
+    """Cuts per feature, at most ``max_bins - 1``, from the values of all rows: between all neighbours if a feature has
+    at most ``max_bins`` values, else between those next to the multiples of 1 / ``max_bins`` of the rows.
+    None if there is no row or a value is not finite."""
+    values = F.col(_VALUES) if _VALUES in df.columns else vector_to_array(features)
+    counts = stored(df.select(F.posexplode(values).alias("i", "x")).groupBy("i", "x").agg(F.count(F.lit(1)).alias("n")))
+    finite = F.col("x").isNotNull() & ~F.isnan("x") & (F.abs("x") < math.inf)
+    totals = {r["i"]: r for r in counts.groupBy("i").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("values"),
+                                                         F.count_if(~finite).alias("odd")).collect()}  # a row per feature
+    if not totals or any(r["odd"] for r in totals.values()):
+        return None
+    few = [i for i, r in totals.items() if r["values"] <= max_bins]
+    ends: list[set[float]] = [set() for _ in totals]  # the values that end a bin
+    for i, x in counts.where(F.col("i").isin(few)).select("i", "x").collect():
+        ends[i].add(x)
+    if len(few) < len(totals):
+        many = with_running_sum(counts.where(~F.col("i").isin(few)), ["i", "x"], {"upto": "n"})
+        n, start = totals[0]["rows"], F.lit(None).cast("bigint")  # each feature has a value in every row
+        for before, i in enumerate(sorted(set(totals) - set(few))):
+            start = F.when(F.col("i") == i, F.lit(before * n)).otherwise(start)
+        part = (F.col("upto") - start).cast("double") * max_bins / n
+        k = F.least(F.greatest(F.round(part), F.lit(1.0)), F.lit(max_bins - 1.0))
+        near = many.where(part < max_bins).select("i", "x", k.alias("k"), F.abs(part - k).alias("off"))
+        for i, _, at in near.groupBy("i", "k").agg(F.min(F.struct("off", "x")).alias("at")).collect():  # max_bins rows per feature
+            ends[i].add(at["x"])
+    # A cut lies midway between the value that ends a bin and the next value that occurs.
+    known = [sorted(e) for e in ends]
+    after = F.lit(None).cast("int")
+    for i, e in enumerate(known):
+        after = F.when(F.col("i") == i, F.size(F.filter(F.array(*[F.lit(x) for x in e]), lambda x: x < F.col("x")))).otherwise(after)
+    nexts = {(r["i"], r["b"]): r["x"] for r in counts.groupBy("i", after.alias("b")).agg(F.min("x").alias("x")).collect()}
+    cuts = [[(x, nexts.get((i, k + 1))) for k, x in enumerate(e)] for i, e in enumerate(known)]
+    return [[min(max(x + (y - x) / 2, x), math.nextafter(y, -math.inf)) for x, y in c if y is not None] for c in cuts]
+
+
+def _has_categories(df: DataFrame, features: str) -> bool:
+    attrs = df.schema[features].metadata.get("ml_attr", {}).get("attrs", {})
+    return bool({"nominal", "binary"} & set(attrs))
+
+
+def _cells_of(train: DataFrame, label: str, features: str, cuts: list[list[float]], key: list[str], ratio: float, seed: int) -> trees.Cells | None:
+    """The rows of ``train`` counted per cell, on the driver: ``FIT_CELLS`` bounds them."""
+    if math.prod(len(c) + 2 for c in cuts if c) >= _MAX_CELLS:
+        return None
+    fit, y = F.col("__fit"), F.col(label)
+    rows = _with_cell(train, features, cuts).select(_CELL, label, _below(ratio, key, seed + 1).alias("__fit"))
+    counts = stored(rows.groupBy(_CELL).agg(
+        *[F.count_if(of & (y == v)).alias(f"{n}{v}") for n, of in (("fit", fit), ("check", ~fit)) for v in (0, 1)],
+        F.count_if(y.isNull() | ~y.isin(0, 1)).alias("odd")))
+    n, odd, *both = counts.agg(F.count(F.lit(1)), F.sum("odd"), F.sum("fit0"), F.sum("fit1")).first()
+    if n > FIT_CELLS or odd or not all(both):
+        return None
+    got = counts.toArrow()
+    number, *per = (got[c].to_numpy() for c in (_CELL, "fit0", "fit1", "check0", "check1"))
+    return trees.cells(cuts, number, np.array(per[:2]), np.array(per[2:]))
+
+
+def _subset(num_features: int, num_trees: int) -> int:
+    """Features looked at per node, as the classifier's "auto": the root of all, but all of them for a single tree."""
+    return num_features if num_trees == 1 else math.ceil(math.sqrt(num_features))
+
+
+def _tune_on_cells(tvs: TrainValidationSplit, train: DataFrame, key: list[str]) -> TrainValidationSplitModel | None:
+    """The search of ``tvs`` on the counts of all rows per cell; None if they cannot be had.
+
+    Each task grows trees on the broadcast counts. A tree is grown once for all the depths, and the forests of one
+    kind of bag share their trees (``operators.forest``): every parameter set is scored, by the exact area under
+    ROC of its forest on the validation rows. The trees of the best set are grown again on all rows and become an MLlib model.
+    """
+    spark, rf, ratio = train.sparkSession, tvs.getEstimator(), tvs.getTrainRatio()
+    label, features = rf.getLabelCol(), rf.getFeaturesCol()
+    sets = [{p.name: v for p, v in pm.items()} for pm in tvs.getEstimatorParamMaps()]
+    if _has_categories(train, features) or len({(p["seed"], p["maxBins"]) for p in sets}) > 1:
+        return None
+    cuts = exact_cuts(train, features, sets[0]["maxBins"])
+    cells = _cells_of(train, label, features, cuts, key, ratio, tvs.getSeed()) if cuts and any(cuts) else None
+    if cells is None:
+        return None
+    ship_package(spark)
+    shared = spark.sparkContext.broadcast(cells)
+    try:
+        scores = _grid_scores(spark, shared, sets, len(cuts))
+        best = max(range(len(sets)), key=lambda i: scores[i])
+        model = _grown(spark, shared, rf.copy(tvs.getEstimatorParamMaps()[best]), sets[best], cuts)
+    finally:
+        shared.unpersist()
+    return tvs._copyValues(TrainValidationSplitModel(model, scores))
+
+
+def _in_tasks(spark: SparkSession, tasks: list, run, schema: str) -> DataFrame:
+    """The tables that ``run(task)`` yields, one Spark task each."""
+    def each(frames):
+        for frame in frames:
+            for i in frame["id"]:
+                yield from run(tasks[i])
+
+    return spark.range(0, len(tasks), 1, len(tasks)).mapInPandas(each, schema)
+
+
+def _grid_scores(spark: SparkSession, shared, sets: list[dict], num_features: int) -> list[float]:
+    """The area under ROC on the validation rows per parameter set."""
+    kinds = sorted({(p["bootstrap"], _subset(num_features, p["numTrees"])) for p in sets})
+    of = [kinds.index((p["bootstrap"], _subset(num_features, p["numTrees"]))) for p in sets]
+    depths, seed = sorted({p["maxDepth"] for p in sets}), sets[0]["seed"]
+    tasks = []
+    for kind in range(len(kinds)):
+        sizes = sorted({p["numTrees"] for p, k in zip(sets, of) if k == kind})
+        for a, b in zip([0, *sizes], sizes):
+            tasks += [(kind, b, range(x, min(x + TREES_PER_TASK, b))) for x in range(a, b, TREES_PER_TASK)]
+
+    def run(task):
+        kind, upto, numbers = task
+        cells, (bootstrap, subset) = shared.value, kinds[kind]
+        seen = np.flatnonzero(cells.check.sum(axis=0))
+        bins = np.ascontiguousarray(cells.bins[:, seen])
+        sums = np.zeros((len(depths), len(seen)), np.int64)
+        for number in numbers:
+            tree = trees.grow(cells.bins, cells.fit, cells.width, depths[-1], subset, bootstrap, seed, number)
+            for s, share in zip(sums, trees.shares(tree, bins, depths)):
+                s += np.rint(share * _ONE).astype(np.int64)
+        yield pd.DataFrame({"kind": kind, "upto": upto, "cell": seen, "neg": cells.check[0, seen], "pos": cells.check[1, seen],
+                            **{f"s{d}": s for d, s in zip(depths, sums)}})
+
+    parts = _in_tasks(spark, tasks, run, "kind int, upto int, cell bigint, neg bigint, pos bigint, " + ", ".join(f"s{d} bigint" for d in depths))
+    wide = stored(parts.groupBy("kind", "cell").agg(
+        F.max("neg").alias("neg"), F.max("pos").alias("pos"),
+        *[F.sum(F.when(F.col("upto") <= n, F.col(f"s{d}"))).alias(f"s{d}_{n}") for d, n in sorted({(p["maxDepth"], p["numTrees"]) for p in sets})]))
+    each = F.array(*[F.struct(F.lit(i).alias("set"), F.lit(k).alias("of"), F.col(f"s{p['maxDepth']}_{p['numTrees']}").alias("score"))
+                     for i, (p, k) in enumerate(zip(sets, of))])
+    rows = wide.select("kind", F.explode(F.filter(each, lambda e: e["of"] == F.col("kind"))).alias("e"), F.explode(F.array(
+        F.struct(F.lit(0).alias("y"), F.col("neg").alias("n")), F.struct(F.lit(1).alias("y"), F.col("pos").alias("n")))).alias("l"))
+    got = auc_rank_sum(rows.select("e.set", "e.score", "l.y", "l.n").where("n > 0"), "score", "y", by="set", weight="n")
+    area = {r["set"]: r["auc"] for r in got.collect()}  # a row per parameter set
+    return [0.0 if area.get(i) is None else area[i] for i in range(len(sets))]
+
+
+def _grown(spark: SparkSession, shared, rf: RandomForestClassifier, params: dict, cuts: list[list[float]]) -> RandomForestClassificationModel:
+    """The forest of one parameter set, fitted on all rows, as a model of MLlib: tasks write its nodes in the form in
+    which MLlib stores a model, around the metadata of a model that MLlib fitted on two rows with the same parameters."""
+    n, depth, seed, bootstrap = (params[x] for x in ("numTrees", "maxDepth", "seed", "bootstrap"))
+    subset = _subset(len(cuts), n)
+
+    def run(numbers):
+        cells = shared.value
+        rows = cells.fit + cells.check
+        for number in numbers:
+            tree = trees.grow(cells.bins, rows, cells.width, depth, subset, bootstrap, seed, number)
+            nodes, leaf, left = trees.kept(tree, depth)
+            count, feature, split = tree.count[nodes], np.where(leaf, -1, tree.feature[nodes]), tree.split[nodes]
+            total = np.maximum(count.sum(axis=1), 1.0)
+            yield pd.DataFrame({
+                "tree": number, "id": np.arange(len(nodes)), "n0": count[:, 0], "n1": count[:, 1],
+                "impurity": 1.0 - (count[:, 0] / total) ** 2 - (count[:, 1] / total) ** 2, "gain": np.where(leaf, -1.0, tree.gain[nodes]),
+                "left_child": left, "right_child": np.where(leaf, -1, left + 1), "feature": feature,
+                "threshold": [math.nan if f < 0 else cells.cuts[f][s] for f, s in zip(feature, split)]})
+
+    tasks = [range(x, min(x + TREES_PER_TASK, n)) for x in range(0, n, TREES_PER_TASK)]
+    nodes = _in_tasks(spark, tasks, run, "tree int, id int, n0 double, n1 double, impurity double, gain double, "
+                                         "left_child int, right_child int, feature int, threshold double")
+    two = spark.createDataFrame([(Vectors.dense([float(y)] * len(cuts)), y) for y in (0, 1)], ["x", "y"])
+    like, path = scratch_dir(spark, "forest-like"), scratch_dir(spark, "forest")
+    two = two.select(F.col("x").alias(rf.getFeaturesCol()), F.col("y").alias(rf.getLabelCol()))
+    rf.fit(two.coalesce(1)).write().save(like)
+    spark.read.text(f"{like}/metadata").coalesce(1).write.text(f"{path}/metadata")
+    spark.read.parquet(f"{like}/treesMetadata").write.parquet(f"{path}/treesMetadata")
+    is_leaf = F.col("feature") < 0
+    split = F.struct(F.col("feature").alias("featureIndex"),
+                     F.when(is_leaf, F.array().cast("array<double>")).otherwise(F.array("threshold")).alias("leftCategoriesOrThreshold"),
+                     F.lit(-1).alias("numCategories"))
+    node = F.struct("id", F.when(F.col("n1") > F.col("n0"), 1.0).otherwise(0.0).alias("prediction"), "impurity",
+                    F.array("n0", "n1").alias("impurityStats"), (F.col("n0") + F.col("n1")).cast("bigint").alias("rawCount"), "gain",
+                    F.col("left_child").alias("leftChild"), F.col("right_child").alias("rightChild"), split.alias("split"))
+    nodes.select(F.col("tree").alias("treeID"), node.alias("nodeData")).write.parquet(f"{path}/data")
+    return RandomForestClassificationModel.load(path)
 
 
 def scoring_model(model):
